@@ -11,9 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.operators import metrics
-from shoplens.plans.oracle_views import with_views
+from shoplens import schemas
+from shoplens.operators import clean, dedup, ingest, metrics
+from shoplens.operators.keyed import latest_per_key
+from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
+from shoplens.session import work_path
 
 # Fixed query parameters (chosen dates present in the fixtures).
 DAU_DAY = "2024-01-15"
@@ -72,3 +75,190 @@ def _series_sql(date_col: str, hour_col: str, value: str, table: str, day: str)
     extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
 def realtime_hours_dau(t: RetailTables) -> DataFrame:
     return metrics.hour_table(metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY))
+
+
+@register("dau_incremental", with_views("""
+    SELECT b.mid, b.uid, b.appid, b.area, b.os, b.ch, b.type, b.vs, b.log_date, b.log_hour, b.ts FROM (
+      SELECT *, row_number() OVER (PARTITION BY log_date, mid ORDER BY ts, uid, appid, area, os, ch, type, vs, log_hour) AS rn
+      FROM startup_log WHERE log_hour >= '12') b
+    WHERE b.rn = 1 AND NOT EXISTS (
+      SELECT 1 FROM startup_log a WHERE a.log_hour < '12' AND a.log_date = b.log_date AND a.mid = b.mid)
+    """, "startup_log"))
+def dau_incremental(t: RetailTables) -> DataFrame:
+    """Second micro-batch of each day (afternoon) against the devices the
+    first batch (morning) already counted: only unseen devices come out."""
+    morning = t.startup_logs.where(F.col("log_hour") < "12")
+    afternoon = t.startup_logs.where(F.col("log_hour") >= "12")
+    seen = dedup.seen_devices(dedup.first_visit_per_day(morning))
+    return dedup.dau_increment(afternoon, seen)
+
+
+@register("new_devices", with_views("""
+    SELECT first_date AS log_date, count(*) AS new_mid
+    FROM (SELECT mid, min(log_date) AS first_date FROM dau GROUP BY mid) GROUP BY first_date
+    """, "dau"))
+def new_devices(t: RetailTables) -> DataFrame:
+    return dedup.new_devices(t.dau)
+
+
+@register("batch_counts", with_views(
+    "SELECT log_date, count(*) AS n_rows FROM startup_log GROUP BY log_date", "startup_log"))
+def batch_counts(t: RetailTables) -> DataFrame:
+    """Rows passed per day-batch of startup logs (the per-batch console count)."""
+    return t.startup_logs.groupBy("log_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --- orders and revenue ---------------------------------------------------
+
+@register("order_clean", with_views(f"SELECT {ORDER_COLUMNS_SQL} FROM order_info", "order_info"))
+def order_clean(t: RetailTables) -> DataFrame:
+    return t.orders.select(*schemas.ORDER_INFO_COLUMNS)
+
+
+@register("gmv_total", with_views(
+    f"SELECT CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount "
+    f"FROM order_info WHERE create_date = '{GMV_DAY}'", "order_info"))
+def gmv_total(t: RetailTables) -> DataFrame:
+    return metrics.gmv_total(t.orders, GMV_DAY)
+
+
+@register("gmv_hours", with_views(
+    f"SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount "
+    f"FROM order_info WHERE create_date = '{GMV_DAY}' GROUP BY create_hour", "order_info"))
+def gmv_hours(t: RetailTables) -> DataFrame:
+    return metrics.gmv_hours(t.orders, GMV_DAY)
+
+
+@register("realtime_total", with_views(f"""
+    SELECT 'dau' AS id, 'daily active devices' AS name, CAST(count(*) AS DOUBLE) AS value
+      FROM dau WHERE log_date = '{DAU_DAY}'
+    UNION ALL
+    SELECT 'new_mid', 'new devices', CAST(count(*) AS DOUBLE)
+      FROM (SELECT mid FROM dau GROUP BY mid HAVING min(log_date) = '{DAU_DAY}')
+    UNION ALL
+    SELECT 'order_amount', 'order amount', CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)
+      FROM order_info WHERE create_date = '{DAU_DAY}'
+    """, "dau", "order_info"))
+def realtime_total(t: RetailTables) -> DataFrame:
+    return metrics.realtime_total(t.dau, t.orders, DAU_DAY)
+
+
+@register("realtime_total_gmv_day", with_views(f"""
+    SELECT 'dau' AS id, 'daily active devices' AS name, CAST(count(*) AS DOUBLE) AS value
+      FROM dau WHERE log_date = '{GMV_DAY}'
+    UNION ALL
+    SELECT 'new_mid', 'new devices', CAST(count(*) AS DOUBLE)
+      FROM (SELECT mid FROM dau GROUP BY mid HAVING min(log_date) = '{GMV_DAY}')
+    UNION ALL
+    SELECT 'order_amount', 'order amount', CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)
+      FROM order_info WHERE create_date = '{GMV_DAY}'
+    """, "dau", "order_info"))
+def realtime_total_gmv_day(t: RetailTables) -> DataFrame:
+    """Cards on a day with orders but no device logs (DAU 0, revenue set)."""
+    return metrics.realtime_total(t.dau, t.orders, GMV_DAY)
+
+
+@register("realtime_hours_gmv", with_views(
+    _HOUR_TABLE_SQL, "order_info",
+    extra={"series": _series_sql("create_date", "create_hour",
+                                 "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)", "order_info", GMV_DAY)}))
+def realtime_hours_gmv(t: RetailTables) -> DataFrame:
+    return metrics.hour_table(metrics.realtime_hours(metrics.CARD_ORDER_AMOUNT, t.dau, t.orders, GMV_DAY))
+
+
+@register("realtime_hours_series", with_views(
+    "SELECT * FROM series", "dau",
+    extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
+def realtime_hours_series(t: RetailTables) -> DataFrame:
+    """The raw (day, hour, value) answer before zero-filling."""
+    return metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY)
+
+
+@register("hours_map")
+def hours_map(t: RetailTables) -> DataFrame:
+    """{today: {HH: v}, yesterday: {HH: v}} as (day, hours map) rows."""
+    return metrics.hours_map(metrics.realtime_hours(metrics.CARD_ORDER_AMOUNT, t.dau, t.orders, GMV_DAY))
+
+
+@register("day_over_day", with_views("""
+    SELECT d.day AS day, d.value AS value, p.value AS prev_value,
+           CASE WHEN p.value <> 0 THEN (d.value - p.value) / p.value * 100.0 END AS pct_change
+    FROM daily d LEFT JOIN daily p ON CAST(p.day AS DATE) + 1 = CAST(d.day AS DATE)
+    """, "order_info", extra={"daily": """
+      SELECT create_date AS day, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS value
+      FROM order_info GROUP BY create_date"""}))
+def day_over_day(t: RetailTables) -> DataFrame:
+    """Daily revenue with the previous day's value and the change in percent."""
+    daily = metrics.daily_series(t.orders, "create_date", metrics.money_sum("total_amount"))
+    return metrics.day_over_day(daily)
+
+
+@register("order_upsert", with_views(f"SELECT {ORDER_COLUMNS_SQL} FROM order_info", "order_info"))
+def order_upsert(t: RetailTables) -> DataFrame:
+    """Order topic delivered twice (a replay after restart): keyed upsert by
+    id keeps one row per order, the one with the highest ``seq``."""
+    rows = t.topic(schemas.ORDER_INFO_TOPIC)
+    replayed = rows.unionByName(rows)
+    parsed = clean.parse_orders(replayed)
+    return latest_per_key(parsed.drop("ingest_ts"), ["id"], ["seq"]).select(*schemas.ORDER_INFO_COLUMNS)
+
+
+# --- ingest and change feed ----------------------------------------------
+
+@register("log_route", with_views("""
+    SELECT 'gmall_start' AS topic, count(*) AS n_rows FROM events WHERE event_type = 'signup'
+    UNION ALL SELECT 'gmall_event', count(*) FROM events WHERE event_type <> 'signup'
+    """))
+def log_route(t: RetailTables) -> DataFrame:
+    stamped = ingest.stamp_log(t.raw_log_lines, "stamp_ms")
+    return ingest.route_logs(stamped).groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("log_stamp_archive", with_views(
+    "SELECT strftime(ts, '%Y-%m-%d') AS log_date, count(*) AS n_rows FROM events GROUP BY 1"))
+def log_stamp_archive(t: RetailTables) -> DataFrame:
+    """Stamp every posted line, append it to the day-rolled archive, read the
+    archive back: rows per day folder."""
+    path = work_path(t.spark, "log_archive")
+    ingest.archive_logs(ingest.stamp_log(t.raw_log_lines, "stamp_ms"), path)
+    return (t.spark.read.text(path).groupBy("log_date")
+            .agg(F.count(F.lit(1)).alias("n_rows")).select(F.col("log_date").cast("string"), "n_rows"))
+
+
+def _routed_lines(t: RetailTables, topic: str) -> DataFrame:
+    stamped = ingest.route_logs(ingest.stamp_log(t.raw_log_lines, "stamp_ms"))
+    return stamped.where(F.col("topic") == topic).select("value")
+
+
+@register("startup_parse", with_views(
+    "SELECT mid, uid, appid, area, os, ch, type, vs, ts, log_date, log_hour FROM startup_log", "startup_log"))
+def startup_parse(t: RetailTables) -> DataFrame:
+    return clean.parse_startup(_routed_lines(t, schemas.STARTUP_TOPIC))
+
+
+@register("event_parse", with_views(
+    "SELECT mid, uid, appid, area, os, type, evid, pgid, npgid, itemid, ts, log_date, log_hour FROM event_log",
+    "event_log"))
+def event_parse(t: RetailTables) -> DataFrame:
+    return clean.parse_event(_routed_lines(t, schemas.EVENT_TOPIC))
+
+
+@register("cdc_route", """
+    SELECT 'gmall_order_info' AS topic, count(*) AS n_rows FROM orders
+    UNION ALL SELECT 'gmall_order_detail', count(*) FROM lineitem
+    UNION ALL SELECT 'gmall_user_info', count(*) + count(*) FILTER (WHERE c_custkey % 10 = 3) FROM customer
+    """)
+def cdc_route(t: RetailTables) -> DataFrame:
+    return t.routed_changes.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("cdc_roundtrip_orders", with_views(f"SELECT {ORDER_COLUMNS_SQL} FROM order_info", "order_info"))
+def cdc_roundtrip_orders(t: RetailTables) -> DataFrame:
+    """Order rows -> change feed -> topic JSON -> parsed and cleaned again."""
+    return clean.parse_orders(t.topic(schemas.ORDER_INFO_TOPIC)).select(*schemas.ORDER_INFO_COLUMNS)
+
+
+@register("user_latest", with_views("SELECT * FROM user_info", "user_info"))
+def user_latest(t: RetailTables) -> DataFrame:
+    """Latest user row per id from the user topic's inserts and updates."""
+    return t.users

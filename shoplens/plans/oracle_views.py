@@ -73,14 +73,23 @@ CTES["orders_text"] = """
 """
 
 CTES["order_info"] = """
-  SELECT id, province_id, consignee, left(consignee_tel, 4) || '*******' AS consignee_tel,
-         order_status, user_id, TRY_CAST(total_amount AS DOUBLE) AS total_amount, create_time,
+  SELECT id, province_id, consignee, NULL::VARCHAR AS order_comment,
+         left(consignee_tel, 4) || '*******' AS consignee_tel,
+         order_status, NULL::VARCHAR AS payment_way, user_id, NULL::VARCHAR AS img_url,
+         TRY_CAST(total_amount AS DOUBLE) AS total_amount,
+         NULL::VARCHAR AS expire_time, NULL::VARCHAR AS delivery_address, create_time,
+         NULL::VARCHAR AS operate_time, NULL::VARCHAR AS tracking_no, NULL::VARCHAR AS parent_order_id,
+         NULL::VARCHAR AS out_trade_no, NULL::VARCHAR AS trade_body,
          split_part(create_time, ' ', 1) AS create_date,
          split_part(split_part(create_time, ' ', 2), ':', 1) AS create_hour,
          CAST(create_time AS TIMESTAMP) AS ingest_ts, okey
   FROM orders_text
 """
 
+ORDER_COLUMNS_SQL = ("id, province_id, consignee, order_comment, consignee_tel, order_status, payment_way, "
+                     "user_id, img_url, total_amount, expire_time, delivery_address, create_time, operate_time, "
+                     "tracking_no, parent_order_id, out_trade_no, trade_body, create_date, create_hour")
+
 CTES["order_detail"] = """
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
            || '-' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS id,
@@ -129,4 +138,6 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
         add(n)
     parts = [f"{n} AS ({CTES[n]})" for n in _ORDER if n in needed]
     parts += [f"{n} AS ({q})" for n, q in (extra or {}).items()]
+    if not parts:
+        return body
     return "WITH " + ",\n".join(parts) + "\n" + body
