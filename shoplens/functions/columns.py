@@ -97,7 +97,7 @@ def age_years(birthday: ColumnOrName, as_of: ColumnOrName) -> Column:
     Not a calendar age: days are divided by 365 and truncated toward zero, so a
     future birthday of less than a year gives 0. NULL for unparsable dates.
     """
-    days = F.datediff(F.to_date(_col(as_of)), F.try_to_date(_col(birthday), F.lit("yyyy-MM-dd")))
+    days = F.datediff(F.to_date(_col(as_of)), F.try_to_date(_col(birthday), "yyyy-MM-dd"))
     return (days / F.lit(365)).cast("int")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import schemas
-from shoplens.operators import clean, dedup, ingest, metrics
+from shoplens.operators import alerts, clean, dedup, ingest, metrics, sale_detail
 from shoplens.operators.keyed import latest_per_key
 from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
@@ -262,3 +262,126 @@ def cdc_roundtrip_orders(t: RetailTables) -> DataFrame:
 def user_latest(t: RetailTables) -> DataFrame:
     """Latest user row per id from the user topic's inserts and updates."""
     return t.users
+
+
+# --- coupon alerts --------------------------------------------------------
+
+# Fixture density: a 30 s window holds about one event, so the registered
+# queries use a 6 h window sliding by 1 h (the function defaults stay 30 s / 5 s).
+ALERT_WINDOW, ALERT_SLIDE = "6 hours", "1 hour"
+_ALERT_WINDOW_MS, _ALERT_SLIDE_MS = 6 * 3600 * 1000, 3600 * 1000
+
+_ALERT_SQL = f"""
+  SELECT mid, ws AS window_start, ws + {_ALERT_WINDOW_MS} AS window_end,
+         array_to_string(list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))), ',') AS uids,
+         array_to_string(list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))), ',') AS item_ids,
+         CAST(count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS INTEGER) AS n_users,
+         coalesce(bool_or(evid = 'clickItem'), false) AS has_veto,
+         count(*) AS n_events,
+         concat_ws(',', {", ".join(
+             f"CASE WHEN count(*) FILTER (WHERE evid = '{k}') > 0 THEN '{k}:' || "
+             f"CAST(count(*) FILTER (WHERE evid = '{k}') AS VARCHAR) END" for k in alerts.EVENT_KINDS)}) AS events,
+         ws + {_ALERT_WINDOW_MS} AS ts
+  FROM (SELECT e.*, (e.ts // {_ALERT_SLIDE_MS} - r.i) * {_ALERT_SLIDE_MS} AS ws
+        FROM event_log e, (SELECT range AS i FROM range(0, {_ALERT_WINDOW_MS // _ALERT_SLIDE_MS})) r)
+  GROUP BY mid, ws
+"""
+
+
+def _alert_windows(t: RetailTables) -> DataFrame:
+    return alerts.alert_windows(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
+
+
+@register("coupon_alert_candidates", with_views(
+    "SELECT * FROM w WHERE n_users >= 3", "event_log", extra={"w": _ALERT_SQL}))
+def coupon_alert_candidates(t: RetailTables) -> DataFrame:
+    return alerts.render(alerts.alert_candidates(_alert_windows(t)))
+
+
+@register("coupon_alert_windows", with_views(
+    "SELECT * FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log", extra={"w": _ALERT_SQL}))
+def coupon_alert_windows(t: RetailTables) -> DataFrame:
+    return alerts.render(alerts.coupon_alerts(_alert_windows(t)))
+
+
+@register("coupon_alert_latest", with_views("""
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
+      FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
+    WHERE rn = 1""", "event_log", extra={"w": _ALERT_SQL}))
+def coupon_alert_latest(t: RetailTables) -> DataFrame:
+    return alerts.render(alerts.latest_per_document(alerts.coupon_alerts(_alert_windows(t))))
+
+
+# --- orders x details x users ---------------------------------------------
+
+AGE_AS_OF = "2020-03-01"
+JOIN_WITHIN_S = 300
+
+_SALE_COLS_SQL = """
+  d.id AS order_detail_id, o.id AS order_id, o.order_status AS order_status, o.create_time AS create_time,
+  o.user_id AS user_id, d.sku_id AS sku_id, TRY_CAST(d.order_price AS DOUBLE) AS sku_price,
+  d.sku_name AS sku_name, o.create_date AS dt"""
+
+_PAIRS_SQL = f"""
+  SELECT {_SALE_COLS_SQL}
+  FROM order_detail d JOIN order_info o ON d.order_id = o.id
+   AND d.ingest_ts BETWEEN o.ingest_ts - INTERVAL {JOIN_WITHIN_S} SECOND AND o.ingest_ts + INTERVAL {JOIN_WITHIN_S} SECOND
+"""
+
+_SALE_DETAIL_SQL = f"""
+  SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
+         u.gender AS user_gender,
+         coalesce(CAST(date_diff('day', CAST(u.birthday AS DATE), DATE '{AGE_AS_OF}') // 365 AS INTEGER), 0) AS user_age,
+         u.user_level AS user_level, s.sku_price, s.sku_name, s.dt
+  FROM pairs s LEFT JOIN user_info u ON s.user_id = u.id
+"""
+
+
+@register("order_detail_interval", with_views("SELECT * FROM pairs", "order_info", "order_detail",
+                                              extra={"pairs": _PAIRS_SQL}))
+def order_detail_interval(t: RetailTables) -> DataFrame:
+    """Order x line pairs whose arrivals are at most 300 s apart, each once."""
+    return sale_detail.join_within(t.orders, t.details, JOIN_WITHIN_S)
+
+
+@register("order_detail_full_outer", with_views(f"""
+    SELECT d.id AS order_detail_id, coalesce(o.id, d.order_id) AS order_id, o.order_status AS order_status,
+           o.create_time AS create_time, o.user_id AS user_id, d.sku_id AS sku_id,
+           TRY_CAST(d.order_price AS DOUBLE) AS sku_price, d.sku_name AS sku_name, o.create_date AS dt
+    FROM order_detail d FULL OUTER JOIN order_info o ON d.order_id = o.id""", "order_info", "order_detail"))
+def order_detail_full_outer(t: RetailTables) -> DataFrame:
+    return sale_detail.join_all(t.orders, t.details)
+
+
+@register("unmatched_orders", with_views(f"""
+    SELECT {ORDER_COLUMNS_SQL} FROM order_info o
+    WHERE NOT EXISTS (SELECT 1 FROM order_detail d WHERE d.order_id = o.id)""", "order_info", "order_detail"))
+def unmatched_orders(t: RetailTables) -> DataFrame:
+    return sale_detail.unmatched_orders(t.orders, t.details).select(*schemas.ORDER_INFO_COLUMNS)
+
+
+@register("unmatched_details", with_views("""
+    SELECT d.id, d.order_id, d.sku_name, d.sku_id, d.order_price, NULL::VARCHAR AS img_url, d.sku_num
+    FROM order_detail d WHERE NOT EXISTS (SELECT 1 FROM order_info o WHERE o.id = d.order_id)""",
+    "order_info", "order_detail"))
+def unmatched_details(t: RetailTables) -> DataFrame:
+    return sale_detail.unmatched_details(t.orders, t.details).select(*schemas.ORDER_DETAIL.fieldNames())
+
+
+@register("orders_missed_interval", with_views(f"""
+    SELECT {ORDER_COLUMNS_SQL} FROM order_info o
+    WHERE NOT EXISTS (SELECT 1 FROM order_detail d WHERE d.order_id = o.id
+      AND d.ingest_ts BETWEEN o.ingest_ts - INTERVAL {JOIN_WITHIN_S} SECOND
+                          AND o.ingest_ts + INTERVAL {JOIN_WITHIN_S} SECOND)""", "order_info", "order_detail"))
+def orders_missed_interval(t: RetailTables) -> DataFrame:
+    """Orders that met no line within 300 s (they leave the join cache unmatched)."""
+    return sale_detail.unmatched_orders_within(t.orders, t.details, JOIN_WITHIN_S).select(
+        *schemas.ORDER_INFO_COLUMNS)
+
+
+@register("sale_detail", with_views(_SALE_DETAIL_SQL, "order_info", "order_detail", "user_info",
+                                    extra={"pairs": _PAIRS_SQL}))
+def sale_detail_table(t: RetailTables) -> DataFrame:
+    """The wide sale_detail table: interval-joined pairs plus user fields."""
+    return sale_detail.build_sale_detail(t.orders, t.details, t.users, AGE_AS_OF, JOIN_WITHIN_S)
