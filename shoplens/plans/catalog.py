@@ -12,11 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import schemas
-from shoplens.operators import alerts, clean, dedup, ingest, metrics, sale_detail
+from shoplens.operators import alerts, clean, dedup, ingest, metrics, sale_detail, search
 from shoplens.operators.keyed import latest_per_key
 from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
 from shoplens.session import work_path
+from shoplens.sources.topics import read_topic_files
+from shoplens.streaming import jobs
+from shoplens.streaming.replay import replay
+from shoplens.streaming.sinks import AppendTable, KeyedTable
 
 # Fixed query parameters (chosen dates present in the fixtures).
 DAU_DAY = "2024-01-15"
@@ -385,3 +389,162 @@ def orders_missed_interval(t: RetailTables) -> DataFrame:
 def sale_detail_table(t: RetailTables) -> DataFrame:
     """The wide sale_detail table: interval-joined pairs plus user fields."""
     return sale_detail.build_sale_detail(t.orders, t.details, t.users, AGE_AS_OF, JOIN_WITHIN_S)
+
+
+# --- search page and province map -----------------------------------------
+
+SEARCH_DAY, SEARCH_KEYWORD, PAGE_START, PAGE_LENGTH = GMV_DAY, "", 5, 10
+SEARCH_DAY_KW, SEARCH_KEYWORD_KW = "1996-09-17", "Red"
+_SALE_DETAIL_VIEWS = ("order_info", "order_detail", "user_info")
+_SALE_EXTRA = {"pairs": _PAIRS_SQL, "sale": _SALE_DETAIL_SQL}
+
+
+def _sales(t: RetailTables) -> DataFrame:
+    return sale_detail.build_sale_detail(t.orders, t.details, t.users, AGE_AS_OF, JOIN_WITHIN_S)
+
+
+@register("sale_search_page", with_views(f"""
+    SELECT * FROM sale WHERE dt = '{SEARCH_DAY}' ORDER BY order_detail_id
+    LIMIT {PAGE_LENGTH} OFFSET {PAGE_START}""", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_search_page(t: RetailTables) -> DataFrame:
+    return search.search_page(search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD), PAGE_START, PAGE_LENGTH)
+
+
+@register("sale_search_keyword", with_views(f"""
+    SELECT * FROM sale WHERE dt = '{SEARCH_DAY_KW}' AND contains(lower(sku_name), lower('{SEARCH_KEYWORD_KW}'))""",
+    *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_search_keyword(t: RetailTables) -> DataFrame:
+    """All hits of a keyword search on one day (no paging)."""
+    return search.filter_sales(_sales(t), SEARCH_DAY_KW, SEARCH_KEYWORD_KW)
+
+
+@register("sale_search_total", with_views(
+    f"SELECT count(*) AS total FROM sale WHERE dt = '{SEARCH_DAY}'", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_search_total(t: RetailTables) -> DataFrame:
+    return search.search_total(search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD))
+
+
+@register("sale_gender_share", with_views("""
+    SELECT user_gender, n, round(n * 100.0 / sum(n) OVER (), 2) AS pct
+    FROM (SELECT user_gender, count(*) AS n FROM sale GROUP BY user_gender)""",
+    *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_gender_share(t: RetailTables) -> DataFrame:
+    """Gender shares over every sale row (the search with no day filter)."""
+    return search.gender_share(_sales(t))
+
+
+@register("sale_age_share", with_views("""
+    SELECT age_band, n, round(n * 100.0 / sum(n) OVER (), 2) AS pct
+    FROM (SELECT CASE WHEN user_age < 20 THEN 'under 20' WHEN user_age < 30 THEN '20 to 29'
+                      ELSE '30 and over' END AS age_band, count(*) AS n FROM sale GROUP BY 1)""",
+    *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_age_share(t: RetailTables) -> DataFrame:
+    return search.age_share(_sales(t))
+
+
+@register("sale_day_shares", with_views(f"""
+    SELECT 'gender' AS dim, user_gender AS label, n, round(n * 100.0 / sum(n) OVER (), 2) AS pct
+    FROM (SELECT user_gender, count(*) AS n FROM sale WHERE dt = '{SEARCH_DAY}' GROUP BY user_gender)
+    UNION ALL
+    SELECT 'age', age_band, n, round(n * 100.0 / sum(n) OVER (), 2)
+    FROM (SELECT CASE WHEN user_age < 20 THEN 'under 20' WHEN user_age < 30 THEN '20 to 29'
+                      ELSE '30 and over' END AS age_band, count(*) AS n
+          FROM sale WHERE dt = '{SEARCH_DAY}' GROUP BY 1)""", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_day_shares(t: RetailTables) -> DataFrame:
+    """The two pie charts of one search: gender and age shares of the day."""
+    hits = search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD)
+    g = search.gender_share(hits).select(F.lit("gender").alias("dim"), F.col("user_gender").alias("label"), "n", "pct")
+    a = search.age_share(hits).select(F.lit("age").alias("dim"), F.col("age_band").alias("label"), "n", "pct")
+    return g.unionByName(a)
+
+
+@register("user_age_bands", with_views(f"""
+    SELECT CASE WHEN a < 20 THEN 'under 20' WHEN a < 30 THEN '20 to 29' ELSE '30 and over' END AS age_band,
+           count(*) AS n
+    FROM (SELECT date_diff('day', CAST(birthday AS DATE), DATE '{AGE_AS_OF}') // 365 AS a FROM user_info)
+    GROUP BY 1""", "user_info"))
+def user_age_bands(t: RetailTables) -> DataFrame:
+    """Users per age band at the as-of date."""
+    from shoplens.functions import columns as C
+    return (t.users.groupBy(C.age_band(C.age_years("birthday", F.lit(AGE_AS_OF))).alias("age_band"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("province_sales", with_views("""
+    SELECT s.province_id, n.n_name AS province, s.order_count, s.order_amount,
+           least(greatest(CAST(floor(s.order_count / 100) * 100 AS BIGINT), 0), 500) AS band
+    FROM (SELECT province_id, count(*) AS order_count,
+                 CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount
+          FROM order_info GROUP BY province_id) s
+    LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = s.province_id""", "order_info"))
+def province_sales(t: RetailTables) -> DataFrame:
+    return search.province_sales(t.orders, t.raw("nation"))
+
+
+# --- streaming replays ------------------------------------------------------
+
+def _stamped_lines(t: RetailTables, topic: str) -> DataFrame:
+    stamped = ingest.route_logs(ingest.stamp_log(t.raw_log_lines, "stamp_ms"))
+    return stamped.where(F.col("topic") == topic).select(
+        "value", F.timestamp_millis("stamp_ms").alias("ingest_ts"), (F.col("stamp_ms") / 1000.0).alias("_t"))
+
+
+def _topic_messages(t: RetailTables, topic: str) -> DataFrame:
+    return t.topic(topic).withColumn("_t", F.unix_seconds("ingest_ts").cast("double"))
+
+
+@register("dau_stream", with_views("SELECT * FROM dau", "dau"))
+def dau_stream(t: RetailTables) -> DataFrame:
+    """Startup topic replayed through the streaming DAU job (per-batch
+    earliest row, anti join against the seen table, replay-safe append)."""
+    spark = t.spark
+    topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau")
+    table = AppendTable(work_path(spark, "tables", "dau"), partition_by=["log_date"])
+    replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")},
+           lambda: jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
+    return table.read(spark).select(*dedup.DAU_COLUMNS)
+
+
+@register("order_upsert_stream", with_views(f"SELECT {ORDER_COLUMNS_SQL} FROM order_info", "order_info"))
+def order_upsert_stream(t: RetailTables) -> DataFrame:
+    """Order topic replayed through the streaming upsert job."""
+    spark = t.spark
+    topic, ckpt = work_path(spark, "topics", "orders"), work_path(spark, "ckpt", "orders")
+    table = KeyedTable(work_path(spark, "tables", "orders"), keys=["id"], order_by=["seq"],
+                       partition_by=["create_date"])
+    replay({topic: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t")},
+           lambda: jobs.order_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
+    return table.read(spark).select(*schemas.ORDER_INFO_COLUMNS)
+
+
+@register("coupon_alert_stream", with_views("""
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
+      FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
+    WHERE rn = 1""", "event_log", extra={"w": _ALERT_SQL}))
+def coupon_alert_stream(t: RetailTables) -> DataFrame:
+    """Event topic replayed through the streaming alert job (update mode,
+    keyed upsert sink), then the alert test and latest-per-minute read."""
+    spark = t.spark
+    topic, ckpt = work_path(spark, "topics", "event"), work_path(spark, "ckpt", "alerts")
+    table = jobs.alert_table(work_path(spark, "tables", "alerts"))
+    replay({topic: (_stamped_lines(t, schemas.EVENT_TOPIC), "_t")},
+           lambda: jobs.alert_job(read_topic_files(spark, topic), table, ckpt, ALERT_WINDOW, ALERT_SLIDE,
+                                  watermark="1 hour", available_now=True))
+    return alerts.render(jobs.read_alerts(table, spark))
+
+
+@register("sale_detail_stream", with_views(_SALE_DETAIL_SQL, "order_info", "order_detail", "user_info",
+                                           extra={"pairs": _PAIRS_SQL}))
+def sale_detail_stream(t: RetailTables) -> DataFrame:
+    """Order and detail topics replayed through the stream-stream interval
+    join job; users joined stream-static from the user upsert table."""
+    spark = t.spark
+    o_topic, d_topic = work_path(spark, "topics", "orders"), work_path(spark, "topics", "details")
+    ckpt, out = work_path(spark, "ckpt", "sale_detail"), work_path(spark, "tables", "sale_detail")
+    users = t.users
+    replay({o_topic: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t"),
+            d_topic: (_topic_messages(t, schemas.ORDER_DETAIL_TOPIC), "_t")},
+           lambda: jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
+                                        users, out, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True))
+    return spark.read.parquet(out).select(*schemas.SALE_DETAIL_COLUMNS)
