@@ -45,19 +45,18 @@ class RetailTables:
     # --- database rows ----------------------------------------------------
     @cached_property
     def orders_text(self) -> DataFrame:
+        """order_info text rows plus ``ingest_ts`` (arrival = creation time)."""
         return fixtures.order_info_text(self.raw("orders"), self.raw("customer"))
 
     @cached_property
     def orders(self) -> DataFrame:
         """Clean order rows with ``ingest_ts`` = creation time (arrival)."""
-        return clean.clean_orders(self.orders_text).withColumn(
-            "ingest_ts", F.to_timestamp("create_time"))
+        return clean.clean_orders(self.orders_text)
 
     @cached_property
     def details(self) -> DataFrame:
         """order_detail rows with ``ingest_ts`` (arrival time)."""
-        d = fixtures.order_detail_text(self.raw("lineitem"), self.raw("orders"), self.raw("part"))
-        return d.withColumn("ingest_ts", F.to_timestamp("ingest_time")).drop("ingest_time")
+        return fixtures.order_detail_text(self.raw("lineitem"), self.raw("orders"), self.raw("part"))
 
     @cached_property
     def users_text(self) -> DataFrame:
@@ -65,8 +64,7 @@ class RetailTables:
 
     @cached_property
     def envelopes(self) -> DataFrame:
-        d = fixtures.order_detail_text(self.raw("lineitem"), self.raw("orders"), self.raw("part"))
-        return changefeed.fixture_envelopes(self.orders_text, d, self.users_text)
+        return changefeed.fixture_envelopes(self.orders_text, self.details, self.users_text)
 
     @cached_property
     def routed_changes(self) -> DataFrame:

@@ -40,18 +40,16 @@ def _kind_seq(key: Column, kind: int) -> Column:
 
 
 def fixture_envelopes(orders_text: DataFrame, details_text: DataFrame, users_text: DataFrame) -> DataFrame:
-    """Change feed over the three entity tables.
+    """Change feed over the three entity tables (orders and details carry
+    their arrival time in ``ingest_ts``; users get a fixed one per id).
 
     Every row is inserted once. Rows whose key ends in 3 are then updated
     (orders change status, users change level), rows whose key ends in 7 are
     deleted, and rows whose key ends in 0 are preceded by a transaction marker
     entry that carries no row data. ``seq`` orders the changes of one key.
     """
-    okey = F.col("id").cast("bigint")
-    o = orders_text.withColumns({"_key": okey, "ingest_ts": F.to_timestamp("create_time")})
-    d = details_text.withColumns({
-        "_key": F.col("order_id").cast("bigint"), "ingest_ts": F.to_timestamp("ingest_time"),
-    }).drop("ingest_time")
+    o = orders_text.withColumn("_key", F.col("id").cast("bigint"))
+    d = details_text.withColumn("_key", F.col("order_id").cast("bigint"))
     u = users_text.withColumns({
         "_key": F.col("id").cast("bigint"),
         "ingest_ts": F.timestamp_seconds(F.lit(1704067200) + F.col("id").cast("bigint")),

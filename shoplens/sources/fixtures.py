@@ -108,9 +108,11 @@ def _money_text(c: Column) -> Column:
 
 
 def order_info_text(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """order_info after-images as the change feed carries them: all text."""
+    """order_info after-images as the change feed carries them (all text),
+    plus ``ingest_ts``: the order's arrival time, equal to its creation time."""
     cust = customer.select("c_custkey", "c_name", "c_nationkey")
-    o = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+    o = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").withColumn(
+        "_created", _create_time(F.col("o_orderdate"), F.col("o_orderkey")))
     null = F.lit(None).cast("string")
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"),
@@ -126,18 +128,18 @@ def order_info_text(orders: DataFrame, customer: DataFrame) -> DataFrame:
         _money_text(F.col("o_totalprice")).alias("total_amount"),
         null.alias("expire_time"),
         null.alias("delivery_address"),
-        F.date_format(_create_time(F.col("o_orderdate"), F.col("o_orderkey")), "yyyy-MM-dd HH:mm:ss")
-        .alias("create_time"),
+        F.date_format(F.col("_created"), "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         null.alias("operate_time"),
         null.alias("tracking_no"),
         null.alias("parent_order_id"),
         null.alias("out_trade_no"),
         null.alias("trade_body"),
+        F.col("_created").alias("ingest_ts"),
     )
 
 
 def order_detail_text(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    """order_detail after-images plus ``ingest_ts``, the detail's arrival time.
+    """order_detail after-images (text) plus ``ingest_ts``, the line's arrival time.
 
     Arrival = order creation time shifted by a key-derived -600..+600 s, so
     about half of the lines arrive within 300 s of their order.
@@ -159,7 +161,7 @@ def order_detail_text(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
         _money_text(F.col("l_extendedprice")).alias("order_price"),
         F.lit(None).cast("string").alias("img_url"),
         F.col("l_quantity").cast("int").cast("string").alias("sku_num"),
-        F.date_format(arrival, "yyyy-MM-dd HH:mm:ss").alias("ingest_time"),
+        arrival.alias("ingest_ts"),
     )
 
 
