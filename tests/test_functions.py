@@ -1,0 +1,82 @@
+from pyspark.sql import functions as F
+
+from shoplens import schemas
+from shoplens.functions import columns as C
+
+
+def one(spark, expr, data, schema):
+    return [r[0] for r in spark.createDataFrame(data, schema).select(expr.alias("x")).collect()]
+
+
+def test_log_date_and_hour_utc(spark):
+    # 2024-01-01 23:59:59.999 UTC and the next millisecond
+    ts = [(1704153599999,), (1704153600000,)]
+    assert one(spark, C.log_date("ts"), ts, "ts long") == ["2024-01-01", "2024-01-02"]
+    assert one(spark, C.log_hour("ts"), ts, "ts long") == ["23", "00"]
+
+
+def test_create_date_hour_and_malformed(spark):
+    data = [("2020-02-21 12:13:14",), ("2020-02-21",), (None,)]
+    assert one(spark, C.create_date("t"), data, "t string") == ["2020-02-21", "2020-02-21", None]
+    assert one(spark, C.create_hour("t"), data, "t string") == ["12", None, None]
+
+
+def test_mask_phone(spark):
+    data = [("13812345678",), ("12",), (None,)]
+    assert one(spark, C.mask_phone("t"), data, "t string") == ["1381*******", "12*******", None]
+
+
+def test_safe_double_keeps_quoted_numbers_and_nulls_bad_text(spark):
+    data = [("12.5",), ("abc",), (None,), ("1e3",)]
+    assert one(spark, C.safe_double("t"), data, "t string") == [12.5, None, None, 1000.0]
+
+
+def test_day_before(spark):
+    assert one(spark, C.day_before("d"), [("2024-03-01",)], "d string") == ["2024-02-29"]
+
+
+def test_age_years_is_365_day_years_truncated(spark):
+    data = [("2000-03-01",), ("2000-03-02",), ("2020-06-01",), ("bad",), ("1990-01-01",)]
+    got = one(spark, C.age_years("b", F.lit("2020-03-01")), data, "b string")
+    # 2000-03-01 -> 7305 days -> 20; one day later still 20 (7304/365 = 20.01);
+    # future birthday of < 1 year -> 0; unparsable -> NULL
+    assert got[:4] == [20, 20, 0, None]
+    assert got[4] == 30
+
+
+def test_age_band_edges(spark):
+    data = [(19,), (20,), (29,), (30,), (0,)]
+    assert one(spark, C.age_band("a"), data, "a int") == [
+        C.AGE_BAND_YOUNG, C.AGE_BAND_MIDDLE, C.AGE_BAND_MIDDLE, C.AGE_BAND_OLD, C.AGE_BAND_YOUNG]
+
+
+def test_value_band(spark):
+    data = [(-5.0,), (0.0,), (99.9,), (100.0,), (599.0,), (10000.0,)]
+    assert one(spark, C.value_band("v"), data, "v double") == [0, 0, 0, 100, 500, 500]
+
+
+def test_pct_change_null_on_zero(spark):
+    data = [(150.0, 100.0), (1.0, 0.0), (1.0, None)]
+    assert one(spark, C.pct_change("a", "b"), data, "a double, b double") == [50.0, None, None]
+
+
+def test_route_log_substring_and_by_type(spark):
+    data = [('{"type":"startup"}', "startup"), ('{"type":"event","evid":"startup_ad"}', "event"),
+            ('{"type":"event"}', "event")]
+    sub = one(spark, C.route_log("v"), data, "v string, type string")
+    typ = one(spark, C.route_log("v", by_type=True), data, "v string, type string")
+    assert sub == [schemas.STARTUP_TOPIC, schemas.STARTUP_TOPIC, schemas.EVENT_TOPIC]  # misroutes row 2
+    assert typ == [schemas.STARTUP_TOPIC, schemas.EVENT_TOPIC, schemas.EVENT_TOPIC]
+
+
+def test_route_change_matrix(spark):
+    data = [("order_info", "INSERT"), ("order_info", "UPDATE"), ("order_detail", "INSERT"),
+            ("order_detail", "DELETE"), ("user_info", "INSERT"), ("user_info", "UPDATE"),
+            ("user_info", "DELETE"), ("sku_info", "INSERT")]
+    assert one(spark, C.route_change("t", "e"), data, "t string, e string") == [
+        schemas.ORDER_INFO_TOPIC, None, schemas.ORDER_DETAIL_TOPIC, None,
+        schemas.USER_INFO_TOPIC, schemas.USER_INFO_TOPIC, None, None]
+
+
+def test_alert_doc_id_has_no_separator(spark):
+    assert one(spark, C.alert_doc_id("m", "ts"), [("mid_1", 120000)], "m string, ts long") == ["mid_12"]
