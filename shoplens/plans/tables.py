@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens import schemas
 from shoplens.operators import clean, dedup, ingest
 from shoplens.operators.keyed import latest_per_key
 from shoplens.sources import changefeed, fixtures
@@ -71,11 +72,21 @@ class RetailTables:
         return ingest.route_changes(self.envelopes)
 
     def topic(self, name: str) -> DataFrame:
-        return self.routed_changes.where(F.col("topic") == name).drop("topic")
+        """Messages of one topic: the routed change feed of the table that
+        feeds it (same rows as filtering the full feed, smaller plan)."""
+        envelopes = {
+            schemas.ORDER_INFO_TOPIC: lambda: changefeed.table_envelopes(
+                changefeed.keyed_orders(self.orders_text), "order_info"),
+            schemas.ORDER_DETAIL_TOPIC: lambda: changefeed.table_envelopes(
+                changefeed.keyed_details(self.details), "order_detail"),
+            schemas.USER_INFO_TOPIC: lambda: changefeed.table_envelopes(
+                changefeed.keyed_users(self.users_text), "user_info"),
+        }[name]()
+        routed = ingest.route_changes(envelopes)
+        return routed.where(F.col("topic") == name).drop("topic")
 
     @cached_property
     def users(self) -> DataFrame:
         """Latest user row per id from the user topic (inserts and updates)."""
-        from shoplens import schemas
         parsed = clean.parse_users(self.topic(schemas.USER_INFO_TOPIC))
         return latest_per_key(parsed.drop("ingest_ts"), ["id"], ["seq"]).drop("seq")

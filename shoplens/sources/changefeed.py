@@ -39,38 +39,52 @@ def _kind_seq(key: Column, kind: int) -> Column:
     return key * F.lit(4) + F.lit(kind)
 
 
-def fixture_envelopes(orders_text: DataFrame, details_text: DataFrame, users_text: DataFrame) -> DataFrame:
-    """Change feed over the three entity tables (orders and details carry
-    their arrival time in ``ingest_ts``; users get a fixed one per id).
-
-    Every row is inserted once. Rows whose key ends in 3 are then updated
-    (orders change status, users change level), rows whose key ends in 7 are
-    deleted, and rows whose key ends in 0 are preceded by a transaction marker
-    entry that carries no row data. ``seq`` orders the changes of one key.
-    """
-    o = orders_text.withColumn("_key", F.col("id").cast("bigint"))
-    d = details_text.withColumn("_key", F.col("order_id").cast("bigint"))
-    u = users_text.withColumns({
+# Fixed rule of the fixture change feed: which column an UPDATE changes.
+FIXTURE_UPDATES = {
+    "order_info": ("order_status", "U"),
+    "order_detail": ("sku_num", "0"),
+    "user_info": ("user_level", "6"),
+}
+
+
+def table_envelopes(rows: DataFrame, table: str) -> DataFrame:
+    """Change feed of one table: every row inserted once; rows whose key ends
+    in 3 then updated, rows whose key ends in 7 deleted, and rows whose key
+    ends in 0 preceded by a transaction marker entry without row data.
+    ``rows`` carry ``_key`` (BIGINT) and ``ingest_ts``; ``seq`` orders the
+    changes of one key."""
+    key = F.col("_key")
+    later = F.col("ingest_ts") + F.expr("INTERVAL 60 SECONDS")
+    col, value = FIXTURE_UPDATES[table]
+    ins = to_envelopes(rows.withColumn("seq", _kind_seq(key, 0)), table, "INSERT")
+    upd = to_envelopes(rows.where(key % 10 == 3).withColumns(
+        {col: F.lit(value), "seq": _kind_seq(key, 1), "ingest_ts": later}), table, "UPDATE")
+    dele = to_envelopes(rows.where(key % 10 == 7).withColumns(
+        {"seq": _kind_seq(key, 2), "ingest_ts": later}), table, "DELETE")
+    marker = (to_envelopes(rows.where(key % 10 == 0).withColumn("seq", _kind_seq(key, 0) - F.lit(1)),
+                           table, "INSERT", entry_type="TRANSACTIONBEGIN")
+              .withColumn("row_datas", F.array().cast(schemas.CHANGE_ENVELOPE["row_datas"].dataType)))
+    return ins.unionByName(upd).unionByName(dele).unionByName(marker)
+
+
+def keyed_orders(orders_text: DataFrame) -> DataFrame:
+    return orders_text.withColumn("_key", F.col("id").cast("bigint"))
+
+
+def keyed_details(details_text: DataFrame) -> DataFrame:
+    return details_text.withColumn("_key", F.col("order_id").cast("bigint"))
+
+
+def keyed_users(users_text: DataFrame) -> DataFrame:
+    """Users get a fixed arrival time per id (2024-01-01 plus id seconds)."""
+    return users_text.withColumns({
         "_key": F.col("id").cast("bigint"),
         "ingest_ts": F.timestamp_seconds(F.lit(1704067200) + F.col("id").cast("bigint")),
     })
-    parts = []
-    for rows, table, changes in (
-        (o, "order_info", {"order_status": F.lit("U")}),
-        (d, "order_detail", {"sku_num": F.lit("0")}),
-        (u, "user_info", {"user_level": F.lit("6")}),
-    ):
-        key = F.col("_key")
-        later = F.col("ingest_ts") + F.expr("INTERVAL 60 SECONDS")
-        parts.append(to_envelopes(rows.withColumn("seq", _kind_seq(key, 0)), table, "INSERT"))
-        upd = rows.where(key % 10 == 3).withColumns({**changes, "seq": _kind_seq(key, 1), "ingest_ts": later})
-        parts.append(to_envelopes(upd, table, "UPDATE"))
-        dele = rows.where(key % 10 == 7).withColumns({"seq": _kind_seq(key, 2), "ingest_ts": later})
-        parts.append(to_envelopes(dele, table, "DELETE"))
-        marker = rows.where(key % 10 == 0).withColumn("seq", _kind_seq(key, 0) - F.lit(1))
-        parts.append(to_envelopes(marker, table, "INSERT", entry_type="TRANSACTIONBEGIN")
-                     .withColumn("row_datas", F.array().cast(schemas.CHANGE_ENVELOPE["row_datas"].dataType)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+
+def fixture_envelopes(orders_text: DataFrame, details_text: DataFrame, users_text: DataFrame) -> DataFrame:
+    """Change feed over the three entity tables (see :func:`table_envelopes`)."""
+    return (table_envelopes(keyed_orders(orders_text), "order_info")
+            .unionByName(table_envelopes(keyed_details(details_text), "order_detail"))
+            .unionByName(table_envelopes(keyed_users(users_text), "user_info")))
