@@ -61,8 +61,10 @@ def new_mid_total(dau: DataFrame, day: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("new_mid")))
 
 
-def realtime_total(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
-    """Metric cards (id, name, value) for ``day``: DAU, new devices, revenue."""
+def realtime_total(dau: DataFrame, orders: DataFrame, day: str | None = None) -> DataFrame:
+    """Metric cards (id, name, value) for ``day`` (default today): DAU, new
+    devices, revenue."""
+    day = day or today(dau.sparkSession)
     def card(df: DataFrame, card_id: str, value_col: str) -> DataFrame:
         return df.select(F.lit(card_id).alias("id"), F.lit(CARD_NAMES[card_id]).alias("name"),
                          F.col(value_col).cast("double").alias("value"))
@@ -81,18 +83,25 @@ def _hour_series(df: DataFrame, date_col: str, hour_col: str, value: Column, day
             .agg(value.alias("value")))
 
 
+def today(spark: SparkSession) -> str:
+    """Today's date (session time zone) as ``yyyy-MM-dd``: the default day of
+    the dashboard when the caller gives none."""
+    return spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd")).first()[0]
+
+
 def yesterday_of(day: str) -> str:
     """The day before a ``yyyy-MM-dd`` parameter (a literal, so the date
     filter still prunes partitions)."""
     return (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
 
 
-def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
-    """(day, hour, value) rows for today and yesterday.
+def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, day: str | None = None) -> DataFrame:
+    """(day, hour, value) rows for ``day`` (default today) and the day before.
 
     ``metric_id`` is ``dau`` or ``order_amount``; any other id gives no rows
     (the service answers with two null maps).
     """
+    day = day or today(dau.sparkSession)
     if metric_id == CARD_DAU:
         return _hour_series(dau, "log_date", "log_hour", F.count(F.lit(1)).cast("double"), day)
     if metric_id == CARD_ORDER_AMOUNT:

@@ -17,7 +17,7 @@ from shoplens.operators.keyed import latest_per_key
 from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
 from shoplens.session import work_path
-from shoplens.sources.topics import read_topic_files
+from shoplens.sources.topics import read_topic_files, write_topic_files
 from shoplens.streaming import jobs
 from shoplens.streaming.replay import replay
 from shoplens.streaming.sinks import AppendTable, KeyedTable
@@ -292,6 +292,24 @@ _ALERT_SQL = f"""
 """
 
 
+_EVENT_STRUCTS = ", ".join(
+    f"CASE WHEN count(*) FILTER (WHERE evid = '{k}') > 0 THEN "
+    f"[struct_pack(evid := '{k}', n := count(*) FILTER (WHERE evid = '{k}'))] ELSE [] END"
+    for k in alerts.EVENT_KINDS)
+
+_ALERT_DOC_SQL = f"""
+  SELECT mid, ws AS window_start, ws + {_ALERT_WINDOW_MS} AS ts,
+         list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))) AS uids,
+         list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))) AS item_ids,
+         CAST(count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS INTEGER) AS n_users,
+         coalesce(bool_or(evid = 'clickItem'), false) AS has_veto,
+         list_concat({_EVENT_STRUCTS}) AS events
+  FROM (SELECT e.*, (e.ts // {_ALERT_SLIDE_MS} - r.i) * {_ALERT_SLIDE_MS} AS ws
+        FROM event_log e, (SELECT range AS i FROM range(0, {_ALERT_WINDOW_MS // _ALERT_SLIDE_MS})) r)
+  GROUP BY mid, ws
+"""
+
+
 def _alert_windows(t: RetailTables) -> DataFrame:
     return alerts.alert_windows(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
 
@@ -548,3 +566,28 @@ def sale_detail_stream(t: RetailTables) -> DataFrame:
            lambda: jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
                                         users, out, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True))
     return spark.read.parquet(out).select(*schemas.SALE_DETAIL_COLUMNS)
+
+
+@register("coupon_alert_documents", with_views("""
+    SELECT doc_id, to_json(struct_pack(mid := mid, uids := uids, itemIds := item_ids, events := events, ts := ts))
+             AS doc
+    FROM (SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
+      FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
+    WHERE rn = 1)""", "event_log", extra={"w": _ALERT_DOC_SQL}))
+def coupon_alert_documents(t: RetailTables) -> DataFrame:
+    """Alert documents as the keyed index stores them: (doc_id, JSON text)."""
+    return alerts.to_documents(alerts.latest_per_document(alerts.coupon_alerts(_alert_windows(t))))
+
+
+@register("topic_files_route", with_views("""
+    SELECT 'gmall_start' AS topic, count(*) AS n_rows FROM events WHERE event_type = 'signup'
+    UNION ALL SELECT 'gmall_event', count(*) FROM events WHERE event_type <> 'signup'
+    """))
+def topic_files_route(t: RetailTables) -> DataFrame:
+    """Stamped log lines written through the file topic sink (one folder per
+    topic) and read back: messages per topic."""
+    path = work_path(t.spark, "topic_sink")
+    write_topic_files(ingest.route_logs(ingest.stamp_log(t.raw_log_lines, "stamp_ms")), path)
+    return (t.spark.read.text(path).groupBy(F.col("topic").cast("string").alias("topic"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))

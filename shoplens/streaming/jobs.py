@@ -69,7 +69,8 @@ def order_job(lines: DataFrame, table: KeyedTable, checkpoint: str,
     parsed = clean.parse_orders(lines)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch, batch_id)
+        if not batch.isEmpty():  # an idle trigger writes nothing
+            table.write_batch(batch, batch_id)
 
     return _start(parsed.writeStream.foreachBatch(each), checkpoint, trigger_seconds, available_now, "orders")
 
@@ -90,7 +91,8 @@ def alert_job(lines: DataFrame, table: KeyedTable, checkpoint: str, window: str
     windows = alerts.alert_windows(events, window, slide, watermark=watermark)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch, batch_id)
+        if not batch.isEmpty():  # skip the bulk write for an empty batch
+            table.write_batch(batch, batch_id)
 
     writer = windows.writeStream.outputMode("update").foreachBatch(each)
     return _start(writer, checkpoint, trigger_seconds, available_now, "alerts")
@@ -136,3 +138,13 @@ def observed_rows(query: StreamingQuery, name: str = "dau_rows") -> list[int]:
             out.append(int(metrics["rows"]))
     return out
 
+
+
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows dropped because they arrived behind the watermark, summed over
+    the stateful operators of the recent progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.stateOperators or []:
+            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
+    return total
