@@ -560,11 +560,12 @@ def sale_detail_stream(t: RetailTables) -> DataFrame:
     spark = t.spark
     o_topic, d_topic = work_path(spark, "topics", "orders"), work_path(spark, "topics", "details")
     ckpt, out = work_path(spark, "ckpt", "sale_detail"), work_path(spark, "tables", "sale_detail")
-    users = t.users
+    users = t.users.checkpoint(eager=True)  # built once, read by every run
     replay({o_topic: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t"),
             d_topic: (_topic_messages(t, schemas.ORDER_DETAIL_TOPIC), "_t")},
            lambda: jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
-                                        users, out, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True))
+                                        users, out, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True,
+                                        checkpoint_users=False))
     return spark.read.parquet(out).select(*schemas.SALE_DETAIL_COLUMNS)
 
 
@@ -591,3 +592,17 @@ def topic_files_route(t: RetailTables) -> DataFrame:
     write_topic_files(ingest.route_logs(ingest.stamp_log(t.raw_log_lines, "stamp_ms")), path)
     return (t.spark.read.text(path).groupBy(F.col("topic").cast("string").alias("topic"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("order_detail_interval_stream", with_views("SELECT * FROM pairs", "order_info", "order_detail",
+                                                     extra={"pairs": _PAIRS_SQL}))
+def order_detail_interval_stream(t: RetailTables) -> DataFrame:
+    """Order and detail topics replayed through the stream-stream interval join."""
+    spark = t.spark
+    o_topic, d_topic = work_path(spark, "topics", "orders"), work_path(spark, "topics", "details")
+    ckpt, out = work_path(spark, "ckpt", "pairs"), work_path(spark, "tables", "pairs")
+    replay({o_topic: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t"),
+            d_topic: (_topic_messages(t, schemas.ORDER_DETAIL_TOPIC), "_t")},
+           lambda: jobs.interval_join_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
+                                          out, ckpt, JOIN_WITHIN_S, available_now=True))
+    return spark.read.parquet(out)

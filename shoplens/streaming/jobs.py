@@ -109,24 +109,40 @@ def read_alerts(table: KeyedTable, spark, min_users: int = 3) -> DataFrame:
 
 # --- orders x details ---------------------------------------------------------
 
-def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: DataFrame, path: str,
-                    checkpoint: str, as_of: str, within_seconds: int = 300, watermark: str = "10 minutes",
-                    trigger_seconds: int = 3, available_now: bool = False) -> StreamingQuery:
-    """Order and detail streams -> sale_detail rows appended to parquet at ``path``.
+def interval_join_job(order_lines: DataFrame, detail_lines: DataFrame, path: str, checkpoint: str,
+                      within_seconds: int = 300, watermark: str = "10 minutes", users: DataFrame | None = None,
+                      as_of: str | None = None, trigger_seconds: int = 3,
+                      available_now: bool = False, checkpoint_users: bool = True) -> StreamingQuery:
+    """Order and detail streams -> matched pairs (or sale_detail rows when
+    ``users`` is given) appended to parquet at ``path``.
 
     Stream-stream inner join on order id with arrivals at most
     ``within_seconds`` apart; both sides carry a watermark on their arrival
     time, so Spark drops join state once no partner can still arrive. Each
-    pair is emitted once. ``users`` is a static table (latest row per id),
-    joined stream-static. The parquet sink is exactly-once through its own
-    commit log.
+    pair is emitted once. ``users`` is a static table (one row per id),
+    joined stream-static; its lineage is cut with a reliable checkpoint (skip
+    with ``checkpoint_users=False`` if the caller already did) so
+    micro-batches read the saved rows instead of re-deriving them. The
+    parquet sink is exactly-once through its own commit log.
     """
     orders = clean.parse_orders(order_lines).withWatermark("ingest_ts", watermark)
     details = clean.parse_details(detail_lines).withWatermark("ingest_ts", watermark)
-    pairs = sale_detail.join_within(orders, details, within_seconds)
-    rows = sale_detail.enrich_users(pairs, users, as_of)
+    rows = sale_detail.join_within(orders, details, within_seconds)
+    if users is not None:
+        static = users.checkpoint(eager=True) if checkpoint_users else users
+        rows = sale_detail.enrich_users(rows, static, as_of)
     writer = rows.writeStream.format("parquet").option("path", path).outputMode("append")
-    return _start(writer, checkpoint, trigger_seconds, available_now, "sale_detail")
+    return _start(writer, checkpoint, trigger_seconds, available_now, "order_detail_join")
+
+
+def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: DataFrame, path: str,
+                    checkpoint: str, as_of: str, within_seconds: int = 300, watermark: str = "10 minutes",
+                    trigger_seconds: int = 3, available_now: bool = False,
+                    checkpoint_users: bool = True) -> StreamingQuery:
+    """The sale_detail job: interval-joined pairs enriched with user fields."""
+    return interval_join_job(order_lines, detail_lines, path, checkpoint, within_seconds, watermark,
+                             users=users, as_of=as_of, trigger_seconds=trigger_seconds,
+                             available_now=available_now, checkpoint_users=checkpoint_users)
 
 
 def observed_rows(query: StreamingQuery, name: str = "dau_rows") -> list[int]:
