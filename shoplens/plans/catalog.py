@@ -606,3 +606,14 @@ def order_detail_interval_stream(t: RetailTables) -> DataFrame:
            lambda: jobs.interval_join_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
                                           out, ckpt, JOIN_WITHIN_S, available_now=True))
     return spark.read.parquet(out)
+
+
+@register("dau_stream_state", with_views("SELECT * FROM dau", "dau"))
+def dau_stream_state(t: RetailTables) -> DataFrame:
+    """Startup topic replayed through the state-store DAU job."""
+    spark = t.spark
+    topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau_state")
+    out = work_path(spark, "tables", "dau_state")
+    replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")},
+           lambda: jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, available_now=True))
+    return spark.read.parquet(out).select(*dedup.DAU_COLUMNS)

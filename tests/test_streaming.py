@@ -132,3 +132,23 @@ def test_interval_join_stream_matches_late_and_early_lines(spark):
         assert q.exception() is None
     got = rows(spark.read.parquet(out), "order_detail_id", "order_id", "user_gender", "user_age", "sku_price")
     assert got == [("d0", "o1", "M", 20, 1.0), ("d1", "o1", "M", 20, 2.0), ("d2", "o1", "M", 20, 3.0)]
+
+
+def test_dau_state_job_equals_batch_and_forgets_closed_days(spark):
+    topic, ckpt, out = scratch() + "/topic", scratch(), scratch() + "/out"
+    chunks = [
+        [("m1", "u1", T0 + 5000), ("m1", "u2", T0 + 1000), ("m2", "u3", T0 + 2000)],
+        [("m1", "u4", T0 + 9000), ("m3", "u5", T0 + 9500), ("m3", "u6", T0 + 9400)],
+        [("m1", "u7", T0 + 86400000 + 4 * 3600000)],   # next day, moves the watermark past day 1
+        [("m2", "u8", T0 + 3000)],                      # day 1 row, far behind the watermark: dropped
+    ]
+    all_rows = []
+    for chunk in chunks:
+        all_rows += chunk
+        append_topic_files(spark.createDataFrame([(_startup_json(*r),) for r in chunk], "value string"), topic)
+        q = jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, lateness="1 hour", available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    got = rows(spark.read.parquet(out), "log_date", "mid", "uid")
+    assert got == [("2024-01-01", "m1", "u2"), ("2024-01-01", "m2", "u3"), ("2024-01-01", "m3", "u6"),
+                   ("2024-01-02", "m1", "u7")]
