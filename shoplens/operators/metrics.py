@@ -115,18 +115,22 @@ def hours_map(series: DataFrame) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("hour", "value")))).alias("hours"))
 
 
+HOUR_LABELS = [f"{h:02d}" for h in range(24)]
+
+
 def hour_spine(spark: SparkSession) -> DataFrame:
-    """The 24 hour labels 00..23 (fixed size, safe to broadcast)."""
+    """The 24 hour labels 00..23."""
     return spark.range(24).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hour"))
 
 
 def hour_table(series: DataFrame) -> DataFrame:
     """24 rows (hour, yesterday, today) with missing hours as 0.
 
-    The per-hour pivot has at most 24 rows (one per hour label), so
-    broadcasting it is bounded whatever the input size."""
+    The pivot keeps only the 24 valid hour labels (the spine drops any other
+    text anyway), so it has at most 24 rows and broadcasting it is bounded
+    whatever the input size."""
     spark = series.sparkSession
-    pivot = series.groupBy("hour").agg(
+    pivot = series.where(F.col("hour").isin(HOUR_LABELS)).groupBy("hour").agg(
         F.sum(F.when(F.col("day") == "yesterday", F.col("value"))).alias("yesterday"),
         F.sum(F.when(F.col("day") == "today", F.col("value"))).alias("today"))
     return (hour_spine(spark).join(F.broadcast(pivot), "hour", "left")
