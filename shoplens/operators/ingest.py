@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from shoplens.functions import columns as C
 
 
+def now_ms() -> Column:
+    """Ingest time of a live service: the query's current time in epoch ms."""
+    return F.unix_millis(F.current_timestamp())
+
+
 def stamp_log(lines: DataFrame, stamp_ms: Column | str, value_col: str = "value") -> DataFrame:
     """Put ``ts`` = ingest time into each JSON log line, replacing a client ``ts``.
 

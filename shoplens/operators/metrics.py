@@ -118,6 +118,22 @@ def hours_map(series: DataFrame) -> DataFrame:
 HOUR_LABELS = [f"{h:02d}" for h in range(24)]
 
 
+def hours_answer(series: DataFrame) -> DataFrame:
+    """One row (answer): the service's JSON text
+    ``{"yesterday":{"HH":v,...},"today":{"HH":v,...}}`` (at most 2 x 24 entries)."""
+    per_day = hours_map(series)
+    # yesterday first, as the service writes it
+    ordered = F.array_sort(F.collect_list(F.struct("day", "hours")),
+                           lambda a, b: F.when(a["day"] == b["day"], 0)
+                           .when(a["day"] == "yesterday", -1).otherwise(1))
+    return per_day.agg(F.to_json(F.map_from_entries(ordered)).alias("answer"))
+
+
+def cards_answer(cards: DataFrame) -> DataFrame:
+    """One row (answer): the metric cards as a JSON array of {id, name, value}."""
+    return cards.agg(F.to_json(F.array_sort(F.collect_list(F.struct("id", "name", "value")))).alias("answer"))
+
+
 def hour_spine(spark: SparkSession) -> DataFrame:
     """The 24 hour labels 00..23."""
     return spark.range(24).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hour"))

@@ -617,3 +617,13 @@ def dau_stream_state(t: RetailTables) -> DataFrame:
     replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")},
            lambda: jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, available_now=True))
     return spark.read.parquet(out).select(*dedup.DAU_COLUMNS)
+
+
+@register("realtime_hours_answer", with_views(f"""
+    SELECT to_json(map_from_entries(list(struct_pack(k := day, v := hours) ORDER BY day DESC))) AS answer
+    FROM (SELECT day, map_from_entries(list(struct_pack(k := hour, v := value) ORDER BY hour)) AS hours
+          FROM series GROUP BY day)""", "dau",
+    extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
+def realtime_hours_answer(t: RetailTables) -> DataFrame:
+    """The realtime-hours answer as the service returns it: one JSON text."""
+    return metrics.hours_answer(metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY))

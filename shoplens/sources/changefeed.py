@@ -35,6 +35,13 @@ def to_envelopes(rows: DataFrame, table: str, event_type: str | Column,
     )
 
 
+def parse_envelopes(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Envelopes sent as JSON text on a topic -> envelope columns."""
+    keep = [c for c in lines.columns if c != value_col]
+    return lines.select(*keep, F.from_json(F.col(value_col), schemas.CHANGE_ENVELOPE).alias("_e")).select(
+        *keep, *[F.col(f"_e.{f}").alias(f) for f in schemas.CHANGE_ENVELOPE.fieldNames() if f not in keep])
+
+
 def _kind_seq(key: Column, kind: int) -> Column:
     return key * F.lit(4) + F.lit(kind)
 

@@ -242,3 +242,23 @@ def test_search_keyword_tokens_paging_and_shares(spark):
     assert sum(s[2] for s in shares) == 100.0
     ages = {r["age_band"]: r["n"] for r in search.age_share(search.filter_sales(sales, "2024-01-01")).collect()}
     assert ages == {"under 20": 5, "20 to 29": 5}
+
+
+def test_rest_answer_shapes(spark):
+    series = spark.createDataFrame([("today", "12", 38.0), ("today", "13", 1233.0), ("yesterday", "11", 383.0)],
+                                   "day string, hour string, value double")
+    answer = metrics.hours_answer(series).first()[0]
+    import json
+    assert json.loads(answer) == {"today": {"12": 38.0, "13": 1233.0}, "yesterday": {"11": 383.0}}
+    cards = spark.createDataFrame([("dau", "d", 2.0), ("order_amount", "o", None)], "id string, name string, value double")
+    assert json.loads(metrics.cards_answer(cards).first()[0]) == [
+        {"id": "dau", "name": "d", "value": 2.0}, {"id": "order_amount", "name": "o"}]
+
+
+def test_envelopes_round_trip_through_json(spark):
+    from shoplens.sources import changefeed
+    env = spark.createDataFrame([("ROWDATA", "user_info", "INSERT", [[{"name": "id", "value": "1"}]], 5, None)],
+                                schemas.CHANGE_ENVELOPE)
+    text = env.select(F.to_json(F.struct(*env.columns)).alias("value"))
+    back = changefeed.parse_envelopes(text)
+    assert rows(ingest.route_changes(back), "topic", "value") == [(schemas.USER_INFO_TOPIC, '{"id":"1"}')]
