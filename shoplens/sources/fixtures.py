@@ -5,7 +5,7 @@ same entities are *derived by Spark* from the given parquet tables (formulas
 in FIXTURES.md part B), so every downstream query grows with the tables.
 
 All derivations are narrow projections except two equi-joins (orders with
-customers, lines with orders and parts). Those joins are declared without
+customers, lines with parts and their order's date). Those joins are declared without
 hints: Catalyst prunes the columns, pushes filters into the scans, and picks a
 broadcast only when the side is under ``spark.sql.autoBroadcastJoinThreshold``
 (AQE re-checks with runtime sizes); beyond it, a sort-merge join.
@@ -142,12 +142,16 @@ def order_detail_text(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
     """order_detail after-images (text) plus ``ingest_ts``, the line's arrival time.
 
     Arrival = order creation time shifted by a key-derived -600..+600 s, so
-    about half of the lines arrive within 300 s of their order.
+    about half of the lines arrive within 300 s of their order. Parts are
+    joined first and the order date last, on the *text* order id: the rows
+    leave hash-partitioned by ``order_id``, which the order/line joins
+    downstream key on, so the line side is not shuffled again.
     """
-    o = orders.select("o_orderkey", "o_orderdate")
+    o = orders.select(F.col("o_orderkey").cast("string").alias("order_id"), "o_orderdate")
     p = part.select("p_partkey", "p_name")
-    li = lineitem.join(o, lineitem.l_orderkey == o.o_orderkey, "left").join(
-        p, lineitem.l_partkey == p.p_partkey, "left")
+    li = (lineitem.join(p, lineitem.l_partkey == p.p_partkey, "left")
+          .withColumn("order_id", F.col("l_orderkey").cast("string"))
+          .join(o, "order_id", "left"))
     shift = ((((F.col("l_orderkey") * 31 + F.col("l_linenumber") * 97 + F.col("l_partkey")) % 601) - 300) * 2)
     arrival = F.timestamp_seconds(
         F.unix_seconds(_create_time(F.col("o_orderdate"), F.col("l_orderkey"))) + shift)
@@ -155,7 +159,7 @@ def order_detail_text(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
                     F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
                     F.col("l_quantity").cast("int").cast("string")).alias("id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("order_id"),
         F.col("p_name").alias("sku_name"),
         F.col("l_partkey").cast("string").alias("sku_id"),
         _money_text(F.col("l_extendedprice")).alias("order_price"),
