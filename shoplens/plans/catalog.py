@@ -570,8 +570,8 @@ def sale_detail_stream(t: RetailTables) -> DataFrame:
 
 
 @register("coupon_alert_documents", with_views("""
-    SELECT doc_id, to_json(struct_pack(mid := mid, uids := uids, itemIds := item_ids, events := events, ts := ts))
-             AS doc
+    SELECT doc_id, CAST(to_json(struct_pack(mid := mid, uids := uids, itemIds := item_ids, events := events,
+                                            ts := ts)) AS VARCHAR) AS doc
     FROM (SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
       FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
@@ -620,7 +620,8 @@ def dau_stream_state(t: RetailTables) -> DataFrame:
 
 
 @register("realtime_hours_answer", with_views(f"""
-    SELECT to_json(map_from_entries(list(struct_pack(k := day, v := hours) ORDER BY day DESC))) AS answer
+    SELECT CAST(to_json(map_from_entries(list(struct_pack(k := day, v := hours) ORDER BY day DESC))) AS VARCHAR)
+           AS answer
     FROM (SELECT day, map_from_entries(list(struct_pack(k := hour, v := value) ORDER BY hour)) AS hours
           FROM series GROUP BY day)""", "dau",
     extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
