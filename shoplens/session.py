@@ -56,7 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     reach; it is read from the session and never replaced. Only when it is
     unset (local tests) a scratch folder is created and set.
     """
-    current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
