@@ -178,10 +178,15 @@ def realtime_hours_series(t: RetailTables) -> DataFrame:
     return metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY)
 
 
-@register("hours_map")
+@register("hours_map", with_views("""
+    SELECT day, CAST(to_json(map_from_entries(list(struct_pack(k := hour, v := value) ORDER BY hour)))
+                     AS VARCHAR) AS hours
+    FROM series GROUP BY day""", "dau",
+    extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
 def hours_map(t: RetailTables) -> DataFrame:
-    """{today: {HH: v}, yesterday: {HH: v}} as (day, hours map) rows."""
-    return metrics.hours_map(metrics.realtime_hours(metrics.CARD_ORDER_AMOUNT, t.dau, t.orders, GMV_DAY))
+    """(day, hours): the hour -> value map of today and yesterday, as JSON text."""
+    m = metrics.hours_map(metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY))
+    return m.select("day", F.to_json("hours").alias("hours"))
 
 
 @register("day_over_day", with_views("""
