@@ -173,20 +173,32 @@ DAU_STATE_SCHEMA = "seen boolean"
 
 def _first_unseen(key, pdfs, state):
     """Per (log_date, mid) and micro-batch: emit the earliest row unless the
-    device was already counted that day; remember it until the day closes."""
+    device was already counted that day; remember it until the day closes.
+    The group's rows arrive as Arrow-sized chunks and only the running
+    earliest row is kept, so a device with a huge batch never sits in memory
+    at once."""
     import pandas as pd  # executors import pandas lazily
 
     if state.hasTimedOut:
         state.remove()
         return
-    batch = pd.concat(list(pdfs), ignore_index=True)
-    if state.exists or batch.empty:
+    if state.exists:
+        for _ in pdfs:  # drain: the device is already counted today
+            pass
+        return
+    best = None
+    for chunk in pdfs:
+        if chunk.empty:
+            continue
+        top = chunk.sort_values(["ts", "uid"], kind="mergesort").head(1)
+        if best is None or (top["ts"].iat[0], top["uid"].iat[0]) < (best["ts"].iat[0], best["uid"].iat[0]):
+            best = top
+    if best is None:
         return
-    first = batch.sort_values(["ts", "uid"], kind="mergesort").head(1)
     state.update((True,))
     day_end_ms = int(pd.Timestamp(key[0], tz="UTC").value // 1_000_000) + 86_400_000
     state.setTimeoutTimestamp(day_end_ms)
-    yield first[dedup.DAU_COLUMNS]
+    yield best[dedup.DAU_COLUMNS]
 
 
 def dau_state_job(lines: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour",
