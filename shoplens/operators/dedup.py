@@ -34,8 +34,12 @@ def drop_seen(rows: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def dau_increment(batch: DataFrame, seen: DataFrame) -> DataFrame:
-    """New DAU rows contributed by one batch of startup logs."""
-    return first_visit_per_day(drop_seen(batch, seen))
+    """New DAU rows contributed by one batch of startup logs.
+
+    The earliest row per key is taken first (map-side combined), then the
+    seen keys are removed: the same rows as filtering first, but a hot
+    device reaches the anti join as one row, not as all of its rows."""
+    return drop_seen(first_visit_per_day(batch), seen)
 
 
 def first_seen_day(dau: DataFrame) -> DataFrame:

@@ -20,6 +20,9 @@ from shoplens.operators.dedup import first_seen_day
 CARD_DAU = "dau"
 CARD_NEW_MID = "new_mid"
 CARD_ORDER_AMOUNT = "order_amount"
+# The 24 hour labels of a day, 00..23.
+HOUR_LABELS = [f"{h:02d}" for h in range(24)]
+
 CARD_NAMES = {
     CARD_DAU: "daily active devices",
     CARD_NEW_MID: "new devices",
@@ -110,8 +113,9 @@ def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, day: str |
 
 
 def hours_map(series: DataFrame) -> DataFrame:
-    """(day, hours): hour -> value map per day, at most 24 entries each."""
-    return series.groupBy("day").agg(
+    """(day, hours): hour -> value map per day, at most 24 entries each
+    (only the 24 hour labels are kept, which bounds the collected list)."""
+    return series.where(F.col("hour").isin(HOUR_LABELS)).groupBy("day").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("hour", "value")))).alias("hours"))
 
 
