@@ -26,6 +26,53 @@ _DEFAULTS = {
 }
 
 
+# Settings for a large cluster (~100 TB input, ~1000 executors). AQE starts
+# from many shuffle partitions and coalesces them to ~256 MB each, so the same
+# job neither spills on big stages nor schedules thousands of empty tasks on
+# small ones; skewed partitions above 512 MB and 5x the median are split.
+SCALE_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+# Spark's own defaults for the keys above: a session still holding one of
+# these values has not been tuned by its owner and may take ours.
+_SPARK_DEFAULTS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": None,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5.0",
+    "spark.sql.files.maxPartitionBytes": "128MB",
+    "spark.sql.shuffle.partitions": "200",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
+
+
+def apply_scale_settings(spark: SparkSession) -> dict[str, str]:
+    """Apply :data:`SCALE_SETTINGS` where the session still has Spark's
+    default (explicit choices of the cluster owner win). Returns what changed.
+    The state-store provider only takes effect for queries started afterwards
+    with a new checkpoint."""
+    changed = {}
+    for key, value in SCALE_SETTINGS.items():
+        current = spark.conf.get(key, None)
+        untuned = current in (None, "") or (key in _SPARK_DEFAULTS and current == _SPARK_DEFAULTS[key])
+        if untuned and current != value:
+            spark.conf.set(key, value)
+            changed[key] = value
+    return changed
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "shoplens") -> SparkSession:
     """Return the active session or build a local one for tests / bench."""
