@@ -80,3 +80,15 @@ def test_route_change_matrix(spark):
 
 def test_alert_doc_id_has_no_separator(spark):
     assert one(spark, C.alert_doc_id("m", "ts"), [("mid_1", 120000)], "m string, ts long") == ["mid_12"]
+
+
+def test_scale_settings_fill_only_untuned_keys(spark):
+    from shoplens.session import apply_scale_settings
+    other = spark.newSession()  # own SQL conf, shared context
+    other.conf.set("spark.sql.shuffle.partitions", "37")
+    changed = apply_scale_settings(other)
+    assert "spark.sql.shuffle.partitions" not in changed
+    assert other.conf.get("spark.sql.shuffle.partitions") == "37"
+    assert other.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "20000"
+    assert apply_scale_settings(other) == {}
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) != "20000"
