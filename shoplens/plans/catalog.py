@@ -214,10 +214,13 @@ def order_upsert(t: RetailTables) -> DataFrame:
 
 # --- ingest and change feed ----------------------------------------------
 
-@register("log_route", with_views("""
-    SELECT 'gmall_start' AS topic, count(*) AS n_rows FROM events WHERE event_type = 'signup'
-    UNION ALL SELECT 'gmall_event', count(*) FROM events WHERE event_type <> 'signup'
-    """))
+_LOG_TOPIC_COUNTS_SQL = f"""
+    SELECT '{schemas.STARTUP_TOPIC}' AS topic, count(*) AS n_rows FROM events WHERE event_type = 'signup'
+    UNION ALL SELECT '{schemas.EVENT_TOPIC}', count(*) FROM events WHERE event_type <> 'signup'
+    """
+
+
+@register("log_route", _LOG_TOPIC_COUNTS_SQL)
 def log_route(t: RetailTables) -> DataFrame:
     stamped = ingest.stamp_log(t.raw_log_lines, "stamp_ms")
     return ingest.route_logs(stamped).groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -252,10 +255,11 @@ def event_parse(t: RetailTables) -> DataFrame:
     return clean.parse_event(_routed_lines(t, schemas.EVENT_TOPIC))
 
 
-@register("cdc_route", """
-    SELECT 'gmall_order_info' AS topic, count(*) AS n_rows FROM orders
-    UNION ALL SELECT 'gmall_order_detail', count(*) FROM lineitem
-    UNION ALL SELECT 'gmall_user_info', count(*) + count(*) FILTER (WHERE c_custkey % 10 = 3) FROM customer
+@register("cdc_route", f"""
+    SELECT '{schemas.ORDER_INFO_TOPIC}' AS topic, count(*) AS n_rows FROM orders
+    UNION ALL SELECT '{schemas.ORDER_DETAIL_TOPIC}', count(*) FROM lineitem
+    UNION ALL SELECT '{schemas.USER_INFO_TOPIC}', count(*) + count(*) FILTER (WHERE c_custkey % 10 = 3)
+    FROM customer
     """)
 def cdc_route(t: RetailTables) -> DataFrame:
     return t.routed_changes.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -590,10 +594,7 @@ def coupon_alert_documents(t: RetailTables) -> DataFrame:
     return alerts.to_documents(alerts.latest_per_document(alerts.coupon_alerts(_alert_windows(t))))
 
 
-@register("topic_files_route", with_views("""
-    SELECT 'gmall_start' AS topic, count(*) AS n_rows FROM events WHERE event_type = 'signup'
-    UNION ALL SELECT 'gmall_event', count(*) FROM events WHERE event_type <> 'signup'
-    """))
+@register("topic_files_route", _LOG_TOPIC_COUNTS_SQL)
 def topic_files_route(t: RetailTables) -> DataFrame:
     """Stamped log lines written through the file topic sink (one folder per
     topic) and read back: messages per topic."""

@@ -7,7 +7,7 @@ the Spark derivation too.
 
 from __future__ import annotations
 
-from shoplens.sources.fixtures import AREAS, CHANNELS, VERSIONS
+from shoplens.sources.fixtures import APP_ID, AREAS, CHANNELS, VERSIONS
 
 
 def _list(values: list[str]) -> str:
@@ -23,7 +23,7 @@ CTES["ev"] = """
 CTES["startup_log"] = f"""
   SELECT 'mid_' || CAST(user_id AS VARCHAR) AS mid,
          CAST(user_id AS VARCHAR) AS uid,
-         'gmall2019' AS appid,
+         '{APP_ID}' AS appid,
          {_list(AREAS)}[k % 10 + 1] AS area,
          CASE WHEN k % 10 < 3 THEN 'ios' ELSE 'android' END AS os,
          CASE WHEN k % 10 < 3 THEN 'appstore' ELSE {_list(CHANNELS)}[k % 7 + 1] END AS ch,
@@ -38,7 +38,7 @@ CTES["startup_log"] = f"""
 CTES["event_log"] = f"""
   SELECT 'mid_' || CAST(k % 20 AS VARCHAR) AS mid,
          CAST(user_id AS VARCHAR) AS uid,
-         'gmall2019' AS appid,
+         '{APP_ID}' AS appid,
          {_list(AREAS)}[k % 10 + 1] AS area,
          CASE WHEN k % 10 < 3 THEN 'ios' ELSE 'android' END AS os,
          'event' AS type,

@@ -1,4 +1,4 @@
-"""Database change rows as DataFrames (the binlog client's output, re-aimed).
+"""Database change rows as DataFrames (the change-log client's output, re-aimed).
 
 An envelope carries one table's change of one kind and the after-image of
 each changed row as (name, value) text pairs. ``envelopes`` builds them from
