@@ -152,3 +152,4 @@ def test_dau_state_job_equals_batch_and_forgets_closed_days(spark):
     got = rows(spark.read.parquet(out), "log_date", "mid", "uid")
     assert got == [("2024-01-01", "m1", "u2"), ("2024-01-01", "m2", "u3"), ("2024-01-01", "m3", "u6"),
                    ("2024-01-02", "m1", "u7")]
+    assert jobs.late_rows_dropped(q) == 1  # the last run saw only the late row
