@@ -153,3 +153,38 @@ def test_dau_state_job_equals_batch_and_forgets_closed_days(spark):
     assert got == [("2024-01-01", "m1", "u2"), ("2024-01-01", "m2", "u3"), ("2024-01-01", "m3", "u6"),
                    ("2024-01-02", "m1", "u7")]
     assert jobs.late_rows_dropped(q) == 1  # the last run saw only the late row
+
+
+def test_pipeline_end_to_end_on_file_topics(spark):
+    """Every job wired from topics to tables, compared with the batch path."""
+    from shoplens import schemas
+    from shoplens.operators import ingest, metrics, sale_detail
+    from shoplens.plans.tables import RetailTables
+    from shoplens.streaming.pipeline import Tables, start_all
+
+    t = RetailTables(spark, "/root/testdata/sf0.001")
+    base = scratch()
+    stamped = ingest.route_logs(ingest.stamp_log(t.raw_log_lines, "stamp_ms"))
+    for topic in (schemas.STARTUP_TOPIC, schemas.EVENT_TOPIC):
+        append_topic_files(stamped.where(F.col("topic") == topic).select(
+            "value", F.timestamp_millis("stamp_ms").alias("ingest_ts")), f"{base}/topics/{topic}")
+    for topic in (schemas.ORDER_INFO_TOPIC, schemas.ORDER_DETAIL_TOPIC, schemas.USER_INFO_TOPIC):
+        append_topic_files(t.topic(topic), f"{base}/topics/{topic}")
+
+    qs = start_all(spark, lambda topic: read_topic_files(spark, f"{base}/topics/{topic}"), base,
+                   as_of="2020-03-01", available_now=True, alert_window="6 hours", alert_slide="1 hour",
+                   alert_watermark="400 days", join_watermark="400 days")
+    for q in qs.values():
+        q.awaitTermination()
+        assert q.exception() is None
+    tables = Tables(base)
+    assert rows(tables.dau.read(spark).select(*dedup.DAU_COLUMNS)) == rows(t.dau)
+    assert rows(tables.users.read(spark).drop("seq", "ingest_ts")) == rows(t.users)
+    day = "1996-09-17"
+    assert rows(metrics.gmv_hours(tables.orders.read(spark), day)) == rows(metrics.gmv_hours(t.orders, day))
+    want = sale_detail.build_sale_detail(t.orders, t.details, t.users, "2020-03-01")
+    assert rows(spark.read.parquet(tables.sale_detail)) == rows(want)
+    streamed_alerts = alerts.render(jobs.read_alerts(tables.alerts, spark))
+    batch_alerts = alerts.render(alerts.latest_per_document(alerts.coupon_alerts(
+        alerts.alert_windows(alerts.with_event_time(t.event_logs), "6 hours", "1 hour"))))
+    assert rows(streamed_alerts) == rows(batch_alerts.select(*streamed_alerts.columns))
