@@ -171,34 +171,42 @@ def late_rows_dropped(query: StreamingQuery) -> int:
 DAU_STATE_SCHEMA = "seen boolean"
 
 
-def _first_unseen(key, pdfs, state):
-    """Per (log_date, mid) and micro-batch: emit the earliest row unless the
+def first_unseen_fn(columns: list[str]):
+    """The per-group function of :func:`dau_state_job`, closed over plain
+    values only so that it is shipped to the Python workers by value.
+
+    Per (log_date, mid) and micro-batch: emit the earliest row unless the
     device was already counted that day; remember it until the day closes.
     The group's rows arrive as Arrow-sized chunks and only the running
     earliest row is kept, so a device with a huge batch never sits in memory
     at once."""
-    import pandas as pd  # executors import pandas lazily
-
-    if state.hasTimedOut:
-        state.remove()
-        return
-    if state.exists:
-        for _ in pdfs:  # drain: the device is already counted today
-            pass
-        return
-    best = None
-    for chunk in pdfs:
-        if chunk.empty:
-            continue
-        top = chunk.sort_values(["ts", "uid"], kind="mergesort").head(1)
-        if best is None or (top["ts"].iat[0], top["uid"].iat[0]) < (best["ts"].iat[0], best["uid"].iat[0]):
-            best = top
-    if best is None:
-        return
-    state.update((True,))
-    day_end_ms = int(pd.Timestamp(key[0], tz="UTC").value // 1_000_000) + 86_400_000
-    state.setTimeoutTimestamp(day_end_ms)
-    yield best[dedup.DAU_COLUMNS]
+    columns = list(columns)
+
+    def first_unseen(key, pdfs, state):
+        import pandas as pd  # imported on the worker
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if state.exists:
+            for _ in pdfs:  # drain: the device is already counted today
+                pass
+            return
+        best = None
+        for chunk in pdfs:
+            if chunk.empty:
+                continue
+            top = chunk.sort_values(["ts", "uid"], kind="mergesort").head(1)
+            if best is None or (top["ts"].iat[0], top["uid"].iat[0]) < (best["ts"].iat[0], best["uid"].iat[0]):
+                best = top
+        if best is None:
+            return
+        state.update((True,))
+        day_end_ms = int(pd.Timestamp(key[0], tz="UTC").value // 1_000_000) + 86_400_000
+        state.setTimeoutTimestamp(day_end_ms)
+        yield best[columns]
+
+    return first_unseen
 
 
 def dau_state_job(lines: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour",
@@ -218,6 +226,6 @@ def dau_state_job(lines: DataFrame, path: str, checkpoint: str, lateness: str =
         "event_time", F.timestamp_millis("ts")).withWatermark("event_time", lateness)
     out_schema = ", ".join(f"{c} {'bigint' if c == 'ts' else 'string'}" for c in dedup.DAU_COLUMNS)
     firsts = parsed.groupBy("log_date", "mid").applyInPandasWithState(
-        _first_unseen, out_schema, DAU_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        first_unseen_fn(dedup.DAU_COLUMNS), out_schema, DAU_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     writer = firsts.writeStream.format("parquet").option("path", path).outputMode("append")
     return _start(writer, checkpoint, trigger_seconds, available_now, "dau_state")
