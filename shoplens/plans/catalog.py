@@ -638,3 +638,13 @@ def dau_stream_state(t: RetailTables) -> DataFrame:
 def realtime_hours_answer(t: RetailTables) -> DataFrame:
     """The realtime-hours answer as the service returns it: one JSON text."""
     return metrics.hours_answer(metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY))
+
+
+@register("dau_hours_from_table", with_views(
+    f"SELECT log_hour, count(*) AS dau FROM dau WHERE log_date = '{DAU_DAY}' GROUP BY log_hour", "dau"))
+def dau_hours_from_table(t: RetailTables) -> DataFrame:
+    """The dashboard path: the DAU table is written partitioned by day, and
+    the hourly question reads it back, so the scan prunes to one day folder."""
+    table = AppendTable(work_path(t.spark, "tables", "dau_batch"), partition_by=["log_date"])
+    table.write_batch(t.dau, 0)
+    return metrics.dau_hours(table.read(t.spark), DAU_DAY)
