@@ -21,21 +21,21 @@ def now_ms() -> Column:
 def stamp_log(lines: DataFrame, stamp_ms: Column | str, value_col: str = "value") -> DataFrame:
     """Put ``ts`` = ingest time into each JSON log line, replacing a client ``ts``.
 
-    ``stamp_ms`` is the ingest time in epoch ms: ``unix_millis(current_timestamp())``
-    in a live service, a fixed column in replays and tests.
+    ``stamp_ms`` is the ingest time in epoch ms (:func:`now_ms` in a live
+    service, a fixed column in replays and tests). The log's other fields are
+    re-emitted as JSON text values (the logs are flat objects; the parsers
+    read every field as text).
     """
     stamp = F.col(stamp_ms) if isinstance(stamp_ms, str) else stamp_ms
     fields = F.from_json(F.col(value_col), "map<string,string>")
     without_ts = F.map_filter(fields, lambda k, v: k != F.lit("ts"))
-    # ts is a JSON number: splice it after the text fields instead of quoting it.
+    # ts must stay a JSON number: splice it in before the closing brace
+    # instead of putting it into the (text-valued) map.
     body = F.to_json(without_ts)
-    stamped = F.concat(F.expr("substring(_body, 1, length(_body) - 1)"),
+    stamped = F.concat(F.substring(body, F.lit(1), F.length(body) - 1),
                        F.when(F.size(without_ts) > 0, F.lit(",")).otherwise(F.lit("")),
                        F.lit('"ts":'), stamp.cast("string"), F.lit("}"))
-    return (lines.withColumn("_body", body)
-            .withColumn(value_col, stamped)
-            .withColumn("ts", stamp.cast("bigint"))
-            .drop("_body"))
+    return lines.withColumns({value_col: stamped, "ts": stamp.cast("bigint")})
 
 
 def route_logs(stamped: DataFrame, value_col: str = "value", by_type: bool = False) -> DataFrame:

@@ -167,8 +167,8 @@ def day_over_day(daily: DataFrame) -> DataFrame:
     """(day, value, prev_value, pct_change) with the previous calendar day's
     value. A self-join on the shifted date rather than a ``lag`` window, which
     would need all days in one partition."""
-    prev = daily.select(F.date_format(F.date_add(F.to_date("day"), 1), "yyyy-MM-dd").alias("day"),
-                        F.col("value").alias("prev_value"))
+    prev = daily.select(F.date_format(F.date_add(F.try_to_date("day", "yyyy-MM-dd"), 1), "yyyy-MM-dd")
+                        .alias("day"), F.col("value").alias("prev_value"))
     return (daily.join(prev, "day", "left")
             .select("day", "value", "prev_value",
                     C.pct_change("value", "prev_value").alias("pct_change")))

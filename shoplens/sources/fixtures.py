@@ -42,7 +42,7 @@ def _pick(values: list[str], index: Column) -> Column:
 
 
 def _k(props: str = "props") -> Column:
-    return F.get_json_object(F.col(props), "$.k").cast("int")
+    return F.get_json_object(F.col(props), "$.k").try_cast("int")
 
 
 def _epoch_ms(ts: str) -> Column:
