@@ -1,0 +1,69 @@
+"""Plan-shape checks: what the physical plans must (not) contain."""
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from conftest import SF_SMALL
+from shoplens.operators import sale_detail
+
+BATCH = sorted(n for n in E.queries() if not n.endswith(("_stream", "_stream_state")))
+FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"]
+
+
+def plan_text(df, mode="formatted"):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_python_udf_cross_or_nested_loop_join(spark, name):
+    text = plan_text(E.queries()[name](spark, SF_SMALL))
+    for op in FORBIDDEN:
+        assert op not in text, f"{name} plans {op}"
+
+
+def test_hot_order_is_split_by_skew_join(spark):
+    """One order holding most lines: AQE splits its partition of the line side."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        base = F.timestamp_seconds(F.lit(1704067200))
+        orders = spark.range(200).select(
+            F.col("id").cast("string").alias("id"), F.lit("1").alias("order_status"),
+            F.lit("t").alias("create_time"), F.lit("u").alias("user_id"), F.lit("d").alias("create_date"),
+            base.alias("ingest_ts"))
+        # 60,000 lines: order "0" holds 50,000 of them
+        details = spark.range(60000).select(
+            F.concat(F.lit("d"), F.col("id").cast("string")).alias("id"),
+            F.when(F.col("id") < 50000, F.lit("0")).otherwise((F.col("id") % 200).cast("string")).alias("order_id"),
+            F.lit("s").alias("sku_id"), F.lit("n").alias("sku_name"), F.lit("1.0").alias("order_price"),
+            base.alias("ingest_ts"))
+        pairs = sale_detail.join_within(orders, details, 300)
+        assert pairs.count() == 60000
+        pairs.collect()
+        final = plan_text(pairs, "simple")
+        assert "isFinalPlan=true" in final
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
