@@ -67,3 +67,12 @@ def test_hot_order_is_split_by_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name,fn", [("dau_first_seen", "partial_min"), ("user_latest", "partial_max"),
+                                     ("coupon_alert_windows", "partial_collect_set"),
+                                     ("coupon_alert_latest", "partial_max")])
+def test_hot_keys_are_combined_before_the_shuffle(spark, name, fn):
+    text = plan_text(E.queries()[name](spark, SF_SMALL), "simple")
+    exchange_at = text.index("Exchange hashpartitioning")
+    assert fn in text[exchange_at:], f"{name}: no {fn} below the first exchange"
