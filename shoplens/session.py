@@ -103,18 +103,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     reach; it is read from the session and never replaced. Only when it is
     unset (local tests) a scratch folder is created and set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        if not current:
+            current = tempfile.mkdtemp(prefix="shoplens-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", current)
+        return current
+    current = current or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
-    existing = spark.sparkContext.getCheckpointDir()
+    existing = sc.getCheckpointDir()
     if existing:
         return existing
     local = tempfile.mkdtemp(prefix="shoplens-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
