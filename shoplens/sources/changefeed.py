@@ -42,10 +42,6 @@ def parse_envelopes(lines: DataFrame, value_col: str = "value") -> DataFrame:
         *keep, *[F.col(f"_e.{f}").alias(f) for f in schemas.CHANGE_ENVELOPE.fieldNames() if f not in keep])
 
 
-def _kind_seq(key: Column, kind: int) -> Column:
-    return key * F.lit(4) + F.lit(kind)
-
-
 # Fixed rule of the fixture change feed: which column an UPDATE changes.
 FIXTURE_UPDATES = {
     "order_info": ("order_status", "U"),
@@ -59,19 +55,43 @@ def table_envelopes(rows: DataFrame, table: str) -> DataFrame:
     in 3 then updated, rows whose key ends in 7 deleted, and rows whose key
     ends in 0 preceded by a transaction marker entry without row data.
     ``rows`` carry ``_key`` (BIGINT) and ``ingest_ts``; ``seq`` orders the
-    changes of one key."""
+    changes of one key.
+
+    One pass over ``rows``: each row is exploded into the change kinds that
+    apply to it (1 to 3 entries), so the table is derived and scanned once.
+    """
     key = F.col("_key")
-    later = F.col("ingest_ts") + F.expr("INTERVAL 60 SECONDS")
     col, value = FIXTURE_UPDATES[table]
-    ins = to_envelopes(rows.withColumn("seq", _kind_seq(key, 0)), table, "INSERT")
-    upd = to_envelopes(rows.where(key % 10 == 3).withColumns(
-        {col: F.lit(value), "seq": _kind_seq(key, 1), "ingest_ts": later}), table, "UPDATE")
-    dele = to_envelopes(rows.where(key % 10 == 7).withColumns(
-        {"seq": _kind_seq(key, 2), "ingest_ts": later}), table, "DELETE")
-    marker = (to_envelopes(rows.where(key % 10 == 0).withColumn("seq", _kind_seq(key, 0) - F.lit(1)),
-                           table, "INSERT", entry_type="TRANSACTIONBEGIN")
-              .withColumn("row_datas", F.array().cast(schemas.CHANGE_ENVELOPE["row_datas"].dataType)))
-    return ins.unionByName(upd).unionByName(dele).unionByName(marker)
+
+    def kind(entry: str, event: str, offset: int) -> Column:
+        return F.struct(F.lit(entry).alias("entry_type"), F.lit(event).alias("event_type"),
+                        F.lit(offset).alias("offset"))
+
+    kinds = F.array(
+        F.when(key % 10 == 0, kind("TRANSACTIONBEGIN", "INSERT", -1)),
+        kind("ROWDATA", "INSERT", 0),
+        F.when(key % 10 == 3, kind("ROWDATA", "UPDATE", 1)),
+        F.when(key % 10 == 7, kind("ROWDATA", "DELETE", 2)),
+    )
+    changes = (rows.select("*", F.explode(kinds).alias("_change"))
+               .where(F.col("_change").isNotNull()))
+    is_update = F.col("_change.event_type") == "UPDATE"
+    changed = changes.withColumns({
+        col: F.when(is_update, F.lit(value)).otherwise(F.col(col)),
+        "seq": key * F.lit(4) + F.col("_change.offset"),
+        "ingest_ts": F.when(F.col("_change.offset") > 0, F.col("ingest_ts") + F.expr("INTERVAL 60 SECONDS"))
+        .otherwise(F.col("ingest_ts")),
+    })
+    image = _row_image(changed.drop("_change"))
+    empty = F.array().cast(schemas.CHANGE_ENVELOPE["row_datas"].dataType)
+    return changed.select(
+        F.col("_change.entry_type").alias("entry_type"),
+        F.lit(table).alias("table"),
+        F.col("_change.event_type").alias("event_type"),
+        F.when(F.col("_change.entry_type") == "ROWDATA", F.array(image)).otherwise(empty).alias("row_datas"),
+        F.col("seq").cast("bigint").alias("seq"),
+        F.col("ingest_ts").cast("timestamp").alias("ingest_ts"),
+    )
 
 
 def keyed_orders(orders_text: DataFrame) -> DataFrame:
