@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 def read_topic(spark: SparkSession, bootstrap_servers: str, topics: str | list[str],
                starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Kafka topics as a stream of (topic, key, value, timestamp) text rows.
+    """Kafka topics as a stream of (topic, key, value, seq, ingest_ts) rows.
 
+    ``seq`` is the broker offset: it orders the messages of one key when the
+    producer keys messages by entity id (one partition per key), which the
+    upsert tables use to pick the latest version; ``ingest_ts`` is the record
+    timestamp (arrival time for watermarks and the interval join).
     Starts at the latest offsets like the reference; offsets are tracked in
     the query checkpoint instead of a shared consumer group, so two jobs on
     one topic each see every message. Needs the Kafka connector on the
@@ -30,12 +34,18 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topics: str | list[s
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return reader.load().select(
         "topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-        F.col("timestamp").alias("ingest_ts"))
-
-
-def write_topic(df: DataFrame, bootstrap_servers: str, checkpoint: str, topic_col: str = "topic"):
-    """Stream rows to the topic named in each row's ``topic`` column."""
-    return (df.select(F.col(topic_col).alias("topic"), F.col("value").cast("string").alias("value"))
+        F.col("offset").alias("seq"), F.col("timestamp").alias("ingest_ts"))
+
+
+def write_topic(df: DataFrame, bootstrap_servers: str, checkpoint: str, topic_col: str = "topic",
+                key_col: str | None = None):
+    """Stream rows to the topic named in each row's ``topic`` column; with
+    ``key_col`` the message key is that column (e.g. the entity id), so all
+    versions of one entity land in one partition, in order."""
+    cols = [F.col(topic_col).alias("topic"), F.col("value").cast("string").alias("value")]
+    if key_col:
+        cols.append(F.col(key_col).cast("string").alias("key"))
+    return (df.select(*cols)
             .writeStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
             .option("checkpointLocation", checkpoint)
