@@ -14,6 +14,15 @@ from shoplens.streaming.sinks import AppendTable, KeyedTable
 T0 = 1704067200000  # 2024-01-01 00:00:00 UTC
 
 
+def _plan(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def scratch():
     return tempfile.mkdtemp(prefix="shoplens-test-")
 
@@ -181,7 +190,9 @@ def test_pipeline_end_to_end_on_file_topics(spark):
     assert rows(tables.dau.read(spark).select(*dedup.DAU_COLUMNS)) == rows(t.dau)
     assert rows(tables.users.read(spark).drop("seq", "ingest_ts")) == rows(t.users)
     day = "1996-09-17"
-    assert rows(metrics.gmv_hours(tables.orders.read(spark), day)) == rows(metrics.gmv_hours(t.orders, day))
+    orders_of_day = tables.orders.read(spark, where=F.col("create_date") == day)
+    assert rows(metrics.gmv_hours(orders_of_day, day)) == rows(metrics.gmv_hours(t.orders, day))
+    assert "PartitionFilters: [isnotnull(create_date" in _plan(orders_of_day)
     want = sale_detail.build_sale_detail(t.orders, t.details, t.users, "2020-03-01")
     assert rows(spark.read.parquet(tables.sale_detail)) == rows(want)
     streamed_alerts = alerts.render(jobs.read_alerts(tables.alerts, spark))
