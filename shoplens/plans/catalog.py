@@ -648,3 +648,16 @@ def dau_hours_from_table(t: RetailTables) -> DataFrame:
     table = AppendTable(work_path(t.spark, "tables", "dau_batch"), partition_by=["log_date"])
     table.write_batch(t.dau, 0)
     return metrics.dau_hours(table.read(t.spark), DAU_DAY)
+
+
+@register("sale_search_page_from_table", with_views(f"""
+    SELECT * FROM sale WHERE dt = '{SEARCH_DAY}' ORDER BY order_detail_id
+    LIMIT {PAGE_LENGTH} OFFSET {PAGE_START}""", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_search_page_from_table(t: RetailTables) -> DataFrame:
+    """The dashboard path of the search: sale_detail is written partitioned by
+    ``dt`` (the index the page reads) and one page of one day is read back, so
+    the scan prunes to that day's folder."""
+    table = AppendTable(work_path(t.spark, "tables", "sale_detail"), partition_by=["dt"])
+    table.write_batch(_sales(t), 0)
+    hits = search.filter_sales(table.read(t.spark), SEARCH_DAY, SEARCH_KEYWORD)
+    return search.search_page(hits, PAGE_START, PAGE_LENGTH).select(*schemas.SALE_DETAIL_COLUMNS)
