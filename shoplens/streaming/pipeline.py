@@ -36,6 +36,11 @@ class Tables:
     def dau(self) -> AppendTable:
         return AppendTable(f"{self.base}/tables/dau", partition_by=["log_date"])
 
+    @property
+    def dau_state(self) -> str:
+        """Output folder of the state-store DAU job (parquet file sink)."""
+        return f"{self.base}/tables/dau_state"
+
     @property
     def orders(self) -> KeyedTable:
         return KeyedTable(f"{self.base}/tables/order_info", keys=["id"], order_by=["seq"],
@@ -71,17 +76,25 @@ def user_job(lines: DataFrame, table: KeyedTable, checkpoint: str, trigger_secon
 
 def start_all(spark: SparkSession, source: Source, base: str, as_of: str, available_now: bool = False,
               alert_window: str = "30 seconds", alert_slide: str = "5 seconds",
-              alert_watermark: str = "1 minute", join_watermark: str = "10 minutes") -> dict[str, StreamingQuery]:
+              alert_watermark: str = "1 minute", join_watermark: str = "10 minutes",
+              dau_state: bool = False, dau_lateness: str = "1 hour") -> dict[str, StreamingQuery]:
     """Start the DAU, order, user, alert and sale_detail jobs.
 
-    The sale_detail job joins users stream-static from the user table as it
-    stands when the job starts; it must exist by then (start the user job
-    first, or restart the join job to pick up a newer snapshot).
+    ``dau_state=True`` keeps the DAU seen-set in the state store
+    (:func:`jobs.dau_state_job`, flat per-batch cost all day) instead of
+    anti-joining against the DAU table. The sale_detail job joins users
+    stream-static from the user table as it stands when the job starts; it
+    must exist by then (start the user job first, or restart the join job to
+    pick up a newer snapshot).
     """
     t = Tables(base)
+    if dau_state:
+        dau = jobs.dau_state_job(source(schemas.STARTUP_TOPIC), t.dau_state, t.checkpoint("dau_state"),
+                                 lateness=dau_lateness, available_now=available_now)
+    else:
+        dau = jobs.dau_job(source(schemas.STARTUP_TOPIC), t.dau, t.checkpoint("dau"), available_now=available_now)
     queries = {
-        "dau": jobs.dau_job(source(schemas.STARTUP_TOPIC), t.dau, t.checkpoint("dau"),
-                            available_now=available_now),
+        "dau": dau,
         "orders": jobs.order_job(source(schemas.ORDER_INFO_TOPIC), t.orders, t.checkpoint("orders"),
                                  available_now=available_now),
         "users": user_job(source(schemas.USER_INFO_TOPIC), t.users, t.checkpoint("users"),

@@ -188,6 +188,13 @@ def test_pipeline_end_to_end_on_file_topics(spark):
         assert q.exception() is None
     tables = Tables(base)
     assert rows(tables.dau.read(spark).select(*dedup.DAU_COLUMNS)) == rows(t.dau)
+    base2 = scratch()  # the state-store DAU variant on the same topics
+    qs2 = start_all(spark, lambda topic: read_topic_files(spark, f"{base}/topics/{topic}"), base2,
+                    as_of="2020-03-01", available_now=True, dau_state=True, dau_lateness="400 days")
+    for q in qs2.values():
+        q.awaitTermination()
+        assert q.exception() is None
+    assert rows(spark.read.parquet(Tables(base2).dau_state).select(*dedup.DAU_COLUMNS)) == rows(t.dau)
     assert rows(tables.users.read(spark).drop("seq", "ingest_ts")) == rows(t.users)
     day = "1996-09-17"
     orders_of_day = tables.orders.read(spark, where=F.col("create_date") == day)
