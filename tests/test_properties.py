@@ -82,3 +82,49 @@ def test_sliding_alert_matches_brute_force(spark, data):
         if len(users) >= 3 and not any(e == "clickItem" for _, e in evs):
             want.append((m, ws, tuple(users)))
     assert got == sorted(want)
+
+
+sales_in = st.lists(st.tuples(st.sampled_from(["2024-01-01", "2024-01-02"]),
+                              st.sampled_from(["Red Bolt", "red widget", "blue bolt", "hot gear", None]),
+                              st.sampled_from(["M", "F", None]), st.integers(0, 60)),
+                    min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(sales_in, st.sampled_from(["", "red", "BOLT red", "gear"]), st.integers(0, 5), st.integers(1, 6))
+def test_search_matches_brute_force(spark, data, keyword, start, length):
+    from shoplens.operators import search
+    rows_ = [(f"d{i:03d}", "o", "1", "t", "u", "s", g, a, "1", 1.0, n, day)
+             for i, (day, n, g, a) in enumerate(data)]
+    sales = spark.createDataFrame(rows_, "order_detail_id string, order_id string, order_status string, "
+                                  "create_time string, user_id string, sku_id string, user_gender string, "
+                                  "user_age int, user_level string, sku_price double, sku_name string, dt string")
+    hits = search.filter_sales(sales, "2024-01-01", keyword)
+    tokens = keyword.lower().split()
+    want = sorted(r[0] for r in rows_ if r[11] == "2024-01-01"
+                  and (not tokens or (r[10] is not None and all(t in r[10].lower() for t in tokens))))
+    assert search.search_total(hits).first()[0] == len(want)
+    page = [r[0] for r in search.search_page(hits, start, length).collect()]
+    assert page == want[start:start + length]
+    genders = {}
+    for r in rows_:
+        if r[0] in want:
+            genders[r[6]] = genders.get(r[6], 0) + 1
+    got = {r["user_gender"]: (r["n"], r["pct"]) for r in search.gender_share(hits).collect()}
+    assert got == {g: (n, round(n * 100.0 / len(want), 2)) for g, n in genders.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["1", "2", "3"]), st.integers(0, 100000)), min_size=1, max_size=40))
+def test_province_sales_matches_brute_force(spark, data):
+    from decimal import Decimal
+
+    from shoplens.operators import search
+    orders = spark.createDataFrame([(p, c / 100.0) for p, c in data], "province_id string, total_amount double")
+    got = {r["province_id"]: (r["order_count"], r["order_amount"], r["band"])
+           for r in search.province_sales(orders, width=2, top=6).collect()}
+    want = {}
+    for p, c in data:
+        n, s = want.get(p, (0, Decimal(0)))
+        want[p] = (n + 1, s + Decimal(c) / 100)
+    assert got == {p: (n, float(s), min((n // 2) * 2, 6)) for p, (n, s) in want.items()}
