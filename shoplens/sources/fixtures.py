@@ -16,10 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-)
-
 # The simulator's option lists (area, channel, version).
 AREAS = ["beijing", "shanghai", "guangdong", "hebei", "heilongjiang",
          "shandong", "tianjin", "shan3xi", "shan1xi", "sichuan"]

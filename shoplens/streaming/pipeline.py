@@ -52,7 +52,7 @@ class Tables:
 
     @property
     def alerts(self) -> KeyedTable:
-        return jobs.alert_table(f"{self.base}/tables/coupon_alert_windows")
+        return jobs.alert_table(f"{self.base}/tables/{schemas.COUPON_ALERT_INDEX}")
 
     @property
     def sale_detail(self) -> str:
