@@ -661,3 +661,29 @@ def sale_search_page_from_table(t: RetailTables) -> DataFrame:
     table.write_batch(_sales(t), 0)
     hits = search.filter_sales(table.read(t.spark), SEARCH_DAY, SEARCH_KEYWORD)
     return search.search_page(hits, PAGE_START, PAGE_LENGTH).select(*schemas.SALE_DETAIL_COLUMNS)
+
+
+_ALERT_COUNT_COLS = "mid, window_start, window_end, n_users, has_veto, n_events, events, ts"
+
+
+@register("coupon_alert_counts", with_views(
+    f"SELECT {_ALERT_COUNT_COLS} FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log",
+    extra={"w": _ALERT_SQL}))
+def coupon_alert_counts(t: RetailTables) -> DataFrame:
+    """Alerts from the two-level count (no user set held per device)."""
+    counts = alerts.alert_counts(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
+    return alerts.render(alerts.coupon_alerts(counts))
+
+
+@register("coupon_alert_members", with_views(f"""
+    SELECT DISTINCT c.mid, c.ws AS window_start, c.uid, c.itemid
+    FROM (SELECT e.*, (e.ts // {_ALERT_SLIDE_MS} - r.i) * {_ALERT_SLIDE_MS} AS ws
+          FROM event_log e, (SELECT range AS i FROM range(0, {_ALERT_WINDOW_MS // _ALERT_SLIDE_MS})) r
+          WHERE e.evid = 'coupon') c
+    JOIN (SELECT mid, window_start FROM w WHERE n_users >= 3 AND NOT has_veto) a
+      ON a.mid = c.mid AND a.window_start = c.ws""", "event_log", extra={"w": _ALERT_SQL}))
+def coupon_alert_members(t: RetailTables) -> DataFrame:
+    """The coupon claims behind each alert, as rows (the long form of the sets)."""
+    ev = alerts.with_event_time(t.event_logs)
+    found = alerts.coupon_alerts(alerts.alert_counts(ev, ALERT_WINDOW, ALERT_SLIDE))
+    return alerts.alert_members(ev, found, ALERT_WINDOW, ALERT_SLIDE)

@@ -96,3 +96,9 @@ def test_day_search_gets_a_runtime_bloom_filter_on_the_line_side(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_alert_counts_hold_no_per_device_collection(spark):
+    text = plan_text(E.queries()["coupon_alert_counts"](spark, SF_SMALL), "simple")
+    assert "collect_set" not in text and "collect_list" not in text
+    assert text.count("Exchange hashpartitioning") >= 2  # (window, mid, uid), then (window, mid)
