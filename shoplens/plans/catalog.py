@@ -17,7 +17,7 @@ from shoplens.operators.keyed import latest_per_key
 from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
 from shoplens.session import work_path
-from shoplens.sources.topics import read_topic_files, write_topic_files
+from shoplens.sources.topics import append_topic_files, read_topic_files, write_topic_files
 from shoplens.streaming import jobs
 from shoplens.streaming.replay import replay
 from shoplens.streaming.sinks import AppendTable, KeyedTable
@@ -687,3 +687,35 @@ def coupon_alert_members(t: RetailTables) -> DataFrame:
     ev = alerts.with_event_time(t.event_logs)
     found = alerts.coupon_alerts(alerts.alert_counts(ev, ALERT_WINDOW, ALERT_SLIDE))
     return alerts.alert_members(ev, found, ALERT_WINDOW, ALERT_SLIDE)
+
+
+@register("coupon_alert_count_stream", with_views(
+    f"SELECT {_ALERT_COUNT_COLS} FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log",
+    extra={"w": _ALERT_SQL}))
+def coupon_alert_count_stream(t: RetailTables) -> DataFrame:
+    """Event topic replayed through the chained-aggregation alert job.
+
+    After the data, one heartbeat event (a clock tick a day later, on its own
+    device, with no coupon user so it can never alert) moves the watermark
+    past the last windows, as the passing of time does in a live stream; one
+    more run emits them."""
+    spark = t.spark
+    topic, ckpt, out = (work_path(spark, "topics", "event"), work_path(spark, "ckpt", "alert_counts"),
+                        work_path(spark, "tables", "alert_counts"))
+    lines = _stamped_lines(t, schemas.EVENT_TOPIC)
+
+    def run():
+        return jobs.alert_count_job(read_topic_files(spark, topic), out, ckpt, ALERT_WINDOW, ALERT_SLIDE,
+                                    watermark="1 hour", available_now=True)
+
+    replay({topic: (lines, "_t")}, run)
+    tick_ms = F.col("last") + F.lit(86_400_000)
+    heartbeat = lines.agg(F.max(F.unix_millis("ingest_ts")).alias("last")).select(
+        F.to_json(F.struct(F.lit("__heartbeat__").alias("mid"), F.lit("heartbeat").alias("evid"),
+                           tick_ms.alias("ts"))).alias("value"),
+        F.timestamp_millis(tick_ms).alias("ingest_ts"))
+    append_topic_files(heartbeat, topic)
+    for _ in range(2):
+        q = run()
+        q.awaitTermination()
+    return alerts.render(alerts.coupon_alerts(spark.read.parquet(out)))

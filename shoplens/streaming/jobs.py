@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shoplens import schemas
 from shoplens.operators import alerts, clean, dedup, sale_detail
 from shoplens.streaming.sinks import AppendTable, KeyedTable
 
@@ -229,3 +230,42 @@ def dau_state_job(lines: DataFrame, path: str, checkpoint: str, lateness: str =
         first_unseen_fn(dedup.DAU_COLUMNS), out_schema, DAU_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     writer = firsts.writeStream.format("parquet").option("path", path).outputMode("append")
     return _start(writer, checkpoint, trigger_seconds, available_now, "dau_state")
+
+
+# --- coupon alerts without per-device sets -------------------------------------
+
+def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str = "30 seconds",
+                    slide: str = "5 seconds", watermark: str = "1 minute", trigger_seconds: int = 5,
+                    available_now: bool = False) -> StreamingQuery:
+    """Event lines -> final per (window, device) counts, appended once per window.
+
+    Two chained event-time aggregations (append mode): per (window, device,
+    user), then per (window, device) keyed by the window's end through
+    ``window_time`` — the streaming form of :func:`alerts.alert_counts`, with
+    no user set held anywhere. A window is written once the watermark passes
+    its end, so windows still open when an ``available_now`` run stops come
+    out in a later run.
+    """
+    events = alerts.with_event_time(clean.parse_event(lines)).withWatermark("event_time", watermark)
+    is_coupon = F.col("evid") == schemas.COUPON_EVENT
+    per_user = (events.groupBy(F.window("event_time", window, slide).alias("window"), "mid", "uid")
+                .agg(F.bool_or(is_coupon).alias("coupon_user"),
+                     F.bool_or(F.col("evid") == schemas.CLICK_EVENT).alias("veto"),
+                     F.count(F.lit(1)).alias("n"),
+                     *[F.count_if(F.col("evid") == k).alias(f"n_{k}") for k in alerts.EVENT_KINDS]))
+    # One tumbling window of the slide length per original window: [end - slide, end).
+    per_window = (per_user.groupBy(F.window(F.window_time("window"), slide).alias("w_end"), "mid")
+                  .agg(F.count_if(F.col("coupon_user")).cast("int").alias("n_users"),
+                       F.coalesce(F.bool_or("veto"), F.lit(False)).alias("has_veto"),
+                       F.sum("n").alias("n_events"),
+                       *[F.sum(f"n_{k}").alias(f"n_{k}") for k in alerts.EVENT_KINDS]))
+    length_ms = F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {window})")
+    end_ms = F.unix_millis(F.col("w_end.end"))
+    event_counts = F.filter(
+        F.array(*[F.struct(F.lit(k).alias("evid"), F.col(f"n_{k}").alias("n")) for k in alerts.EVENT_KINDS]),
+        lambda e: e["n"] > 0)
+    out = per_window.select("mid", (end_ms - length_ms).alias("window_start"), end_ms.alias("window_end"),
+                            "n_users", "has_veto", "n_events", event_counts.alias("event_counts"),
+                            end_ms.alias("ts"))
+    writer = out.writeStream.format("parquet").option("path", path).outputMode("append")
+    return _start(writer, checkpoint, trigger_seconds, available_now, "alert_counts")

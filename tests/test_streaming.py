@@ -225,3 +225,30 @@ def test_dau_streams_out_of_order_first_batch_wins(spark):
     batch = clean.parse_startup(spark.createDataFrame(
         [(_startup_json(*r),) for c in chunks for r in c], "value string"))
     assert rows(dedup.first_visit_per_day(batch), "mid", "uid") == [("m1", "u1")]
+
+
+def test_alert_count_job_equals_batch_counts(spark):
+    topic, ckpt, out = scratch() + "/topic", scratch(), scratch() + "/out"
+    chunks = [
+        [("m1", "u1", "coupon", T0 + 1000), ("m1", "u2", "coupon", T0 + 2000), ("m2", "u1", "coupon", T0 + 2000)],
+        [("m1", "u3", "coupon", T0 + 12000), ("m2", "u2", "coupon", T0 + 13000), ("m2", "u3", "coupon", T0 + 14000),
+         ("m2", "u9", "clickItem", T0 + 15000)],
+        [("m3", "u1", "coupon", T0 + 61000)],
+        [("m9", "u0", "addCart", T0 + 3600000)],  # moves the watermark past every window above
+        [],
+    ]
+    all_rows = []
+    for chunk in chunks:
+        all_rows += chunk
+        if chunk:
+            append_topic_files(spark.createDataFrame([(_event_json(*r),) for r in chunk], "value string"), topic)
+        q = jobs.alert_count_job(read_topic_files(spark, topic), out, ckpt, "30 seconds", "5 seconds",
+                                 watermark="10 seconds", available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    streamed = alerts.render(alerts.coupon_alerts(spark.read.parquet(out)))
+    ev = alerts.with_event_time(
+        clean.parse_event(spark.createDataFrame([(_event_json(*r),) for r in all_rows], "value string")))
+    batch = alerts.render(alerts.coupon_alerts(alerts.alert_counts(ev, "30 seconds", "5 seconds")))
+    assert rows(streamed) == rows(batch.select(*streamed.columns))
+    assert {r["mid"] for r in streamed.collect()} == {"m1", "m2"}
