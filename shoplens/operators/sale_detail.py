@@ -94,6 +94,16 @@ def unmatched_orders_within(orders: DataFrame, details: DataFrame, within_second
     return orders.join(hits, "id", "left_anti")
 
 
+def orders_without_partner(orders: DataFrame, details: DataFrame, within_seconds: int = 300) -> DataFrame:
+    """Orders that met no line within the interval, as the left-outer half of
+    the interval join (the form a stream emits once the watermark passes the
+    order's arrival + interval). Returns the order's own columns."""
+    o = orders.select(*[F.col(c).alias(f"o_{c}") for c in orders.columns])
+    d = _details(details).select("d_id", "d_order_id", "d_ingest_ts")
+    joined = o.join(d, interval_condition(within_seconds), "left_outer")
+    return joined.where(F.col("d_id").isNull()).select(*[F.col(f"o_{c}").alias(c) for c in orders.columns])
+
+
 def enrich_users(sales: DataFrame, users: DataFrame, as_of: str | Column) -> DataFrame:
     """Add user gender, level and age (whole 365-day years at ``as_of``).
 

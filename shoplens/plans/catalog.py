@@ -719,3 +719,35 @@ def coupon_alert_count_stream(t: RetailTables) -> DataFrame:
         q = run()
         q.awaitTermination()
     return alerts.render(alerts.coupon_alerts(spark.read.parquet(out)))
+
+
+@register("orders_missed_interval_stream", with_views(f"""
+    SELECT {ORDER_COLUMNS_SQL} FROM order_info o
+    WHERE NOT EXISTS (SELECT 1 FROM order_detail d WHERE d.order_id = o.id
+      AND d.ingest_ts BETWEEN o.ingest_ts - INTERVAL {JOIN_WITHIN_S} SECOND
+                          AND o.ingest_ts + INTERVAL {JOIN_WITHIN_S} SECOND)""", "order_info", "order_detail"))
+def orders_missed_interval_stream(t: RetailTables) -> DataFrame:
+    """Order and detail topics replayed through the left-outer interval join:
+    the orders whose lines never arrived within 300 s. A heartbeat message on
+    each topic a day after the data closes the last orders' intervals."""
+    spark = t.spark
+    o_topic, d_topic = work_path(spark, "topics", "orders"), work_path(spark, "topics", "details")
+    ckpt, out = work_path(spark, "ckpt", "missed"), work_path(spark, "tables", "missed")
+    orders, details = _topic_messages(t, schemas.ORDER_INFO_TOPIC), _topic_messages(t, schemas.ORDER_DETAIL_TOPIC)
+
+    def run():
+        return jobs.unmatched_orders_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
+                                         out, ckpt, JOIN_WITHIN_S, available_now=True)
+
+    replay({o_topic: (orders, "_t"), d_topic: (details, "_t")}, run)
+    last = orders.unionByName(details).agg(F.max("ingest_ts").alias("last"))
+    tick = F.col("last") + F.expr("INTERVAL 1 DAY")
+    append_topic_files(last.select(F.to_json(F.struct(F.lit("__heartbeat__").alias("id"))).alias("value"),
+                                   tick.alias("ingest_ts")), o_topic)
+    append_topic_files(last.select(F.to_json(F.struct(F.lit("__heartbeat__").alias("id"),
+                                                      F.lit("__heartbeat__").alias("order_id"))).alias("value"),
+                                   tick.alias("ingest_ts")), d_topic)
+    for _ in range(2):
+        q = run()
+        q.awaitTermination()
+    return spark.read.parquet(out).where(F.col("id") != "__heartbeat__").select(*schemas.ORDER_INFO_COLUMNS)

@@ -269,3 +269,19 @@ def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str =
                             end_ms.alias("ts"))
     writer = out.writeStream.format("parquet").option("path", path).outputMode("append")
     return _start(writer, checkpoint, trigger_seconds, available_now, "alert_counts")
+
+
+def unmatched_orders_job(order_lines: DataFrame, detail_lines: DataFrame, path: str, checkpoint: str,
+                         within_seconds: int = 300, watermark: str = "10 minutes", trigger_seconds: int = 3,
+                         available_now: bool = False) -> StreamingQuery:
+    """Orders that met no detail line within ``within_seconds`` of arrival.
+
+    Stream-stream left outer join (orders left) on the interval condition;
+    Spark emits an order with an empty right side once the watermark shows no
+    line can still arrive, and those rows are kept.
+    """
+    orders = clean.parse_orders(order_lines).withWatermark("ingest_ts", watermark)
+    details = clean.parse_details(detail_lines).withWatermark("ingest_ts", watermark)
+    missed = sale_detail.orders_without_partner(orders, details, within_seconds)
+    writer = missed.writeStream.format("parquet").option("path", path).outputMode("append")
+    return _start(writer, checkpoint, trigger_seconds, available_now, "unmatched_orders")
