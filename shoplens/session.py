@@ -86,7 +86,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("SHOPLENS_DRIVER_MEMORY", "8g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("SHOPLENS_DRIVER_MEMORY", "4g"))
     if not SparkConf().get("spark.checkpoint.dir", None):
         # Unset only in local runs: a submitted job brings its shared folder.
         builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shoplens-ckpt-"))
