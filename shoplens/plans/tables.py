@@ -24,7 +24,16 @@ class RetailTables:
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return fixtures.read_table(self.spark, self.sf_dir, name)
+        df = fixtures.read_table(self.spark, self.sf_dir, name)
+        if name in fixtures.FACT_TABLES:
+            df = fixtures.spread_small_input(df, self._parallelism())
+        return df
+
+    def _parallelism(self) -> int:
+        try:
+            return self.spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - Spark Connect: leave inputs as they are
+            return 0
 
     # --- app logs ---------------------------------------------------------
     @cached_property

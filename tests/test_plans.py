@@ -81,16 +81,20 @@ def test_hot_keys_are_combined_before_the_shuffle(spark, name, fn):
 def test_day_search_gets_a_runtime_bloom_filter_on_the_line_side(spark):
     """At scale the line side exceeds Spark's runtime-filter threshold (10 GB);
     lowering the threshold here shows the filter Spark then injects: the day's
-    order ids prune the lines before their shuffle."""
+    order ids prune the lines before their shuffle. Planned in the at-scale
+    shape: large inputs are not spread (see fixtures.spread_small_input)."""
+    from shoplens.sources import fixtures
     keys = ["spark.sql.autoBroadcastJoinThreshold",
             "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
+    fixtures.SPREAD_SMALL_INPUTS = False
     try:
         spark.conf.set(keys[0], "-1")
         spark.conf.set(keys[1], "1KB")
         text = plan_text(E.queries()["sale_search_page"](spark, SF_SMALL), "simple")
         assert "might_contain" in text
     finally:
+        fixtures.SPREAD_SMALL_INPUTS = True
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
