@@ -19,7 +19,7 @@ from shoplens.plans.tables import RetailTables
 from shoplens.session import work_path
 from shoplens.sources.topics import append_topic_files, read_topic_files, write_topic_files
 from shoplens.streaming import jobs
-from shoplens.streaming.replay import replay
+from shoplens.streaming.replay import replay, state_partitions
 from shoplens.streaming.sinks import AppendTable, KeyedTable
 
 # Fixed query parameters (chosen dates present in the fixtures).
@@ -715,9 +715,9 @@ def coupon_alert_count_stream(t: RetailTables) -> DataFrame:
                            tick_ms.alias("ts"))).alias("value"),
         F.timestamp_millis(tick_ms).alias("ingest_ts"))
     append_topic_files(heartbeat, topic)
-    for _ in range(2):
-        q = run()
-        q.awaitTermination()
+    with state_partitions(spark):
+        for _ in range(2):
+            run().awaitTermination()
     return alerts.render(alerts.coupon_alerts(spark.read.parquet(out)))
 
 
@@ -747,7 +747,7 @@ def orders_missed_interval_stream(t: RetailTables) -> DataFrame:
     append_topic_files(last.select(F.to_json(F.struct(F.lit("__heartbeat__").alias("id"),
                                                       F.lit("__heartbeat__").alias("order_id"))).alias("value"),
                                    tick.alias("ingest_ts")), d_topic)
-    for _ in range(2):
-        q = run()
-        q.awaitTermination()
+    with state_partitions(spark):
+        for _ in range(2):
+            run().awaitTermination()
     return spark.read.parquet(out).where(F.col("id") != "__heartbeat__").select(*schemas.ORDER_INFO_COLUMNS)
