@@ -252,3 +252,15 @@ def test_alert_count_job_equals_batch_counts(spark):
     batch = alerts.render(alerts.coupon_alerts(alerts.alert_counts(ev, "30 seconds", "5 seconds")))
     assert rows(streamed) == rows(batch.select(*streamed.columns))
     assert {r["mid"] for r in streamed.collect()} == {"m1", "m2"}
+
+
+def test_state_partitions_restores_the_session_setting(spark):
+    from shoplens.streaming.replay import state_partitions
+    other = spark.newSession()
+    with state_partitions(other, 3):
+        assert other.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert other.conf.get("spark.sql.shuffle.partitions", None) is None  # unset again, not left at 3
+    other.conf.set("spark.sql.shuffle.partitions", "11")
+    with state_partitions(other, 3):
+        pass
+    assert other.conf.get("spark.sql.shuffle.partitions") == "11"
