@@ -257,9 +257,10 @@ def test_alert_count_job_equals_batch_counts(spark):
 def test_state_partitions_restores_the_session_setting(spark):
     from shoplens.streaming.replay import state_partitions
     other = spark.newSession()
+    before = other.conf.get("spark.sql.shuffle.partitions", None)
     with state_partitions(other, 3):
         assert other.conf.get("spark.sql.shuffle.partitions") == "3"
-    assert other.conf.get("spark.sql.shuffle.partitions", None) is None  # unset again, not left at 3
+    assert other.conf.get("spark.sql.shuffle.partitions", None) == before  # not left at 3
     other.conf.set("spark.sql.shuffle.partitions", "11")
     with state_partitions(other, 3):
         pass
