@@ -11,7 +11,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC day/hour boundaries and AQE for runtime
@@ -87,9 +86,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("SHOPLENS_DRIVER_MEMORY", "4g"))
-    if not SparkConf().get("spark.checkpoint.dir", None):
-        # Unset only in local runs: a submitted job brings its shared folder.
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shoplens-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
