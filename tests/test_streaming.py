@@ -1,7 +1,6 @@
 """Streaming jobs: stream results equal batch results, sinks survive replay."""
 
 import json
-import tempfile
 
 from pyspark.sql import functions as F
 
@@ -24,7 +23,11 @@ def _plan(df):
 
 
 def scratch():
-    return tempfile.mkdtemp(prefix="shoplens-test-")
+    """A fresh folder under the session's checkpoint folder."""
+    from pyspark.sql import SparkSession
+
+    from shoplens.session import work_path
+    return work_path(SparkSession.getActiveSession(), "tests")
 
 
 def test_keyed_table_replay_is_idempotent(spark):
