@@ -654,12 +654,15 @@ def dau_hours_from_table(t: RetailTables) -> DataFrame:
     SELECT * FROM sale WHERE dt = '{SEARCH_DAY}' ORDER BY order_detail_id
     LIMIT {PAGE_LENGTH} OFFSET {PAGE_START}""", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
 def sale_search_page_from_table(t: RetailTables) -> DataFrame:
-    """The dashboard path of the search: sale_detail is written partitioned by
-    ``dt`` (the index the page reads) and one page of one day is read back, so
-    the scan prunes to that day's folder."""
-    table = AppendTable(work_path(t.spark, "tables", "sale_detail"), partition_by=["dt"])
-    table.write_batch(_sales(t), 0)
-    hits = search.filter_sales(table.read(t.spark), SEARCH_DAY, SEARCH_KEYWORD)
+    """The dashboard path of the search: sale_detail is written as the index
+    the page reads, partitioned by month (``dt_month``; days are sparse, a
+    month folder holds ~30 of them), and one page of one day is read back:
+    the month filter prunes the scan to one folder, the day filter runs on
+    its rows."""
+    table = AppendTable(work_path(t.spark, "tables", "sale_detail"), partition_by=["dt_month"])
+    table.write_batch(_sales(t).withColumn("dt_month", F.substring("dt", 1, 7)), 0)
+    month = table.read(t.spark).where(F.col("dt_month") == SEARCH_DAY[:7])
+    hits = search.filter_sales(month, SEARCH_DAY, SEARCH_KEYWORD)
     return search.search_page(hits, PAGE_START, PAGE_LENGTH).select(*schemas.SALE_DETAIL_COLUMNS)
 
 
