@@ -79,21 +79,25 @@ def order_job(lines: DataFrame, table: KeyedTable, checkpoint: str,
 # --- coupon alerts ----------------------------------------------------------
 
 def alert_job(lines: DataFrame, table: KeyedTable, checkpoint: str, window: str = "30 seconds",
-              slide: str = "5 seconds", watermark: str = "1 minute",
+              slide: str = "5 seconds", watermark: str = "1 minute", min_users: int = 3,
               trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
     """Event lines -> per (window, device) aggregates, upserted on every change.
 
-    Update mode: each micro-batch emits the windows it changed, the sink
-    overwrites them by key, so the table always holds each window's current
-    value; state of windows older than the watermark is dropped. Readers apply
+    Update mode: each micro-batch emits the windows it changed; state of
+    windows older than the watermark is dropped. A window's distinct-user
+    count only grows and its veto flag only turns on, so only windows at or
+    above ``min_users`` can ever alert: just those are written (a vetoed one
+    overwrites its earlier alerting version, acting as a tombstone), and the
+    table grows with alert candidates, not with all windows. Readers apply
     the alert test (:func:`read_alerts`).
     """
     events = alerts.with_event_time(clean.parse_event(lines))
     windows = alerts.alert_windows(events, window, slide, watermark=watermark)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():  # skip the bulk write for an empty batch
-            table.write_batch(batch, batch_id)
+        candidates = alerts.alert_candidates(batch, min_users)
+        if not candidates.isEmpty():  # skip the bulk write for an empty batch
+            table.write_batch(candidates, batch_id)
 
     writer = windows.writeStream.outputMode("update").foreachBatch(each)
     return _start(writer, checkpoint, trigger_seconds, available_now, "alerts")
@@ -104,7 +108,8 @@ def alert_table(path: str) -> KeyedTable:
 
 
 def read_alerts(table: KeyedTable, spark, min_users: int = 3) -> DataFrame:
-    """Current alerts, at most one per device and minute (latest wins)."""
+    """Current alerts, at most one per device and minute (latest wins).
+    ``min_users`` must not be below the one the job wrote with."""
     return alerts.latest_per_document(alerts.coupon_alerts(table.read(spark), min_users))
 
 
