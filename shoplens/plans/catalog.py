@@ -579,7 +579,7 @@ def sale_detail_stream(t: RetailTables) -> DataFrame:
            lambda: jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
                                         users, out, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True,
                                         checkpoint_users=False))
-    return spark.read.parquet(out).select(*schemas.SALE_DETAIL_COLUMNS)
+    return spark.read.parquet(out).select(*schemas.SALE_DETAIL_COLUMNS)  # drops the dt_month partition
 
 
 @register("coupon_alert_documents", with_views("""

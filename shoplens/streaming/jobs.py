@@ -136,8 +136,13 @@ def interval_join_job(order_lines: DataFrame, detail_lines: DataFrame, path: str
     rows = sale_detail.join_within(orders, details, within_seconds)
     if users is not None:
         static = users.checkpoint(eager=True) if checkpoint_users else users
-        rows = sale_detail.enrich_users(rows, static, as_of)
+        # The sale_detail index, partitioned by month: a day's search reads
+        # one month folder (days are sparse; a day folder per day would
+        # leave many tiny files).
+        rows = sale_detail.enrich_users(rows, static, as_of).withColumn("dt_month", F.substring("dt", 1, 7))
     writer = rows.writeStream.format("parquet").option("path", path).outputMode("append")
+    if users is not None:
+        writer = writer.partitionBy("dt_month")
     return _start(writer, checkpoint, trigger_seconds, available_now, "order_detail_join")
 
 
