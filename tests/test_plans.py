@@ -106,3 +106,40 @@ def test_alert_counts_hold_no_per_device_collection(spark):
     text = plan_text(E.queries()["coupon_alert_counts"](spark, SF_SMALL), "simple")
     assert "collect_set" not in text and "collect_list" not in text
     assert text.count("Exchange hashpartitioning") >= 2  # (window, mid, uid), then (window, mid)
+
+
+def test_hot_user_is_split_in_the_enrichment_left_join(spark):
+    """One user holding most sales: AQE splits the sale side of the left join."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sales = spark.range(60000).select(
+            F.concat(F.lit("d"), F.col("id").cast("string")).alias("order_detail_id"),
+            F.lit("o").alias("order_id"), F.lit("1").alias("order_status"), F.lit("t").alias("create_time"),
+            F.when(F.col("id") < 50000, F.lit("u0")).otherwise(
+                F.concat(F.lit("u"), (F.col("id") % 300).cast("string"))).alias("user_id"),
+            F.lit("s").alias("sku_id"), F.lit(1.0).alias("sku_price"), F.lit("n").alias("sku_name"),
+            F.lit("2024-01-01").alias("dt"))
+        users = spark.range(300).select(
+            F.concat(F.lit("u"), F.col("id").cast("string")).alias("id"), F.lit("l").alias("login_name"),
+            F.lit("1").alias("user_level"), F.lit("2000-01-01").alias("birthday"), F.lit("M").alias("gender"))
+        out = sale_detail.enrich_users(sales, users, "2020-03-01")
+        assert out.count() == 60000
+        out.collect()
+        final = plan_text(out, "simple")
+        assert "isFinalPlan=true" in final and "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
