@@ -213,6 +213,7 @@ def test_interval_join_each_pair_once_and_bound(spark):
     assert rows(sale_detail.unmatched_orders(orders, details), "id") == [("o2",)]
     assert rows(sale_detail.unmatched_details(orders, details), "id") == [("d4",)]
     assert rows(sale_detail.unmatched_orders_within(orders, details, 300), "id") == [("o2",)]
+    assert rows(sale_detail.orders_without_partner(orders, details, 300), "id") == [("o2",)]
 
     users = spark.createDataFrame([("u1", "n", "3", "2000-03-01", "F")], schemas.USER_INFO)
     sales = sale_detail.enrich_users(sale_detail.join_all(orders, details).where(F.col("order_id") != "o9"),
