@@ -626,7 +626,7 @@ def dau_stream_state(t: RetailTables) -> DataFrame:
     out = work_path(spark, "tables", "dau_state")
     replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")},
            lambda: jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, available_now=True))
-    return spark.read.parquet(out).select(*dedup.DAU_COLUMNS)
+    return jobs.read_dau_state(spark, out)
 
 
 @register("realtime_hours_answer", with_views(f"""

@@ -238,10 +238,19 @@ def dau_state_job(lines: DataFrame, path: str, checkpoint: str, lateness: str =
     out_schema = ", ".join(f"{c} {'bigint' if c == 'ts' else 'string'}" for c in dedup.DAU_COLUMNS)
     firsts = parsed.groupBy("log_date", "mid").applyInPandasWithState(
         first_unseen_fn(dedup.DAU_COLUMNS), out_schema, DAU_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    writer = firsts.writeStream.format("parquet").option("path", path).outputMode("append")
+    # Partitioned by day: readers go through the sink's metadata log (no
+    # folder listing) and a day's dashboard read prunes to that day.
+    writer = (firsts.writeStream.format("parquet").option("path", path).partitionBy("log_date")
+              .outputMode("append"))
     return _start(writer, checkpoint, trigger_seconds, available_now, "dau_state")
 
 
+def read_dau_state(spark, path: str) -> DataFrame:
+    """The state-store DAU job's table, with ``log_date`` kept as text."""
+    schema = ", ".join(f"{c} {'bigint' if c == 'ts' else 'string'}" for c in dedup.DAU_COLUMNS)
+    return spark.read.schema(schema).parquet(path).select(*dedup.DAU_COLUMNS)
+
+
 # --- coupon alerts without per-device sets -------------------------------------
 
 def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str = "30 seconds",
