@@ -21,7 +21,7 @@ from shoplens.session import work_path
 from shoplens.sources.topics import append_topic_files, read_topic_files, write_topic_files
 from shoplens.streaming import jobs
 from shoplens.streaming.replay import replay, state_partitions
-from shoplens.streaming.sinks import AppendTable, KeyedTable
+from shoplens.streaming.sinks import AppendTable, LogTable
 
 # Fixed query parameters (chosen dates present in the fixtures).
 DAU_DAY = "2024-01-15"
@@ -534,15 +534,13 @@ def dau_stream(t: RetailTables) -> DataFrame:
 
 @register("order_upsert_stream", with_views(f"SELECT {ORDER_COLUMNS_SQL} FROM order_info", "order_info"))
 def order_upsert_stream(t: RetailTables) -> DataFrame:
-    """Order topic replayed through the streaming upsert job.
-
-    A live table is partitioned by ``create_date`` (one or two day folders per
-    micro-batch). This replay squeezes six years of orders into four batches
-    (~600 days each, a handful of orders per day), so the replay table is
-    partitioned by batch only."""
+    """Order topic replayed through the streaming upsert job: versions
+    appended through the file sink, latest per id on read. (A live table is
+    partitioned by ``create_date``; this replay squeezes six years of orders
+    into four batches, a handful per day, so it is left unpartitioned.)"""
     spark = t.spark
     topic, ckpt = work_path(spark, "topics", "orders"), work_path(spark, "ckpt", "orders")
-    table = KeyedTable(work_path(spark, "tables", "orders"), keys=["id"], order_by=["seq"])
+    table = LogTable(work_path(spark, "tables", "orders"), keys=["id"], order_by=["seq"])
     replay({topic: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t")},
            lambda: jobs.order_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
     return table.read(spark).select(*schemas.ORDER_INFO_COLUMNS)

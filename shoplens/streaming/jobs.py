@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplens import schemas
 from shoplens.operators import alerts, clean, dedup, sale_detail
-from shoplens.streaming.sinks import AppendTable, KeyedTable
+from shoplens.streaming.sinks import AppendTable, KeyedTable, LogTable
 
 
 def _start(writer, checkpoint: str, trigger_seconds: int, available_now: bool, name: str) -> StreamingQuery:
@@ -64,16 +64,11 @@ def dau_job(lines: DataFrame, table: AppendTable, checkpoint: str,
 
 # --- order table ------------------------------------------------------------
 
-def order_job(lines: DataFrame, table: KeyedTable, checkpoint: str,
+def order_job(lines: DataFrame, table: LogTable, checkpoint: str,
               trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
-    """Order lines -> cleaned order rows upserted by id into ``table``."""
-    parsed = clean.parse_orders(lines)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():  # an idle trigger writes nothing
-            table.write_batch(batch, batch_id)
-
-    return _start(parsed.writeStream.foreachBatch(each), checkpoint, trigger_seconds, available_now, "orders")
+    """Order lines -> cleaned order versions appended through the file sink;
+    readers take the latest version per id (upsert meaning)."""
+    return _start(table.writer(clean.parse_orders(lines)), checkpoint, trigger_seconds, available_now, "orders")
 
 
 # --- coupon alerts ----------------------------------------------------------

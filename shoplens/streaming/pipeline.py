@@ -18,7 +18,7 @@ from shoplens import schemas
 from shoplens.operators import clean
 from shoplens.sources.topics import read_topic
 from shoplens.streaming import jobs
-from shoplens.streaming.sinks import AppendTable, KeyedTable
+from shoplens.streaming.sinks import AppendTable, KeyedTable, LogTable
 
 Source = Callable[[str], DataFrame]
 
@@ -42,13 +42,13 @@ class Tables:
         return f"{self.base}/tables/dau_state"
 
     @property
-    def orders(self) -> KeyedTable:
-        return KeyedTable(f"{self.base}/tables/order_info", keys=["id"], order_by=["seq"],
-                          partition_by=["create_date"])
+    def orders(self) -> LogTable:
+        return LogTable(f"{self.base}/tables/order_info", keys=["id"], order_by=["seq"],
+                        partition_by=["create_date"])
 
     @property
-    def users(self) -> KeyedTable:
-        return KeyedTable(f"{self.base}/tables/user_info", keys=["id"], order_by=["seq"])
+    def users(self) -> LogTable:
+        return LogTable(f"{self.base}/tables/user_info", keys=["id"], order_by=["seq"])
 
     @property
     def alerts(self) -> KeyedTable:
@@ -62,16 +62,10 @@ class Tables:
         return f"{self.base}/checkpoints/{job}"
 
 
-def user_job(lines: DataFrame, table: KeyedTable, checkpoint: str, trigger_seconds: int = 5,
+def user_job(lines: DataFrame, table: LogTable, checkpoint: str, trigger_seconds: int = 5,
              available_now: bool = False) -> StreamingQuery:
-    """User change rows (inserts and updates) upserted by id: the user table."""
-    parsed = clean.parse_users(lines)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            table.write_batch(batch, batch_id)
-
-    return jobs._start(parsed.writeStream.foreachBatch(each), checkpoint, trigger_seconds, available_now, "users")
+    """User change rows (inserts and updates) appended as versions: the user table."""
+    return jobs._start(table.writer(clean.parse_users(lines)), checkpoint, trigger_seconds, available_now, "users")
 
 
 def start_all(spark: SparkSession, source: Source, base: str, as_of: str, available_now: bool = False,
