@@ -183,10 +183,15 @@ def first_unseen_fn(columns: list[str]):
 
     Per (log_date, mid) and micro-batch: emit the earliest row unless the
     device was already counted that day; remember it until the day closes.
-    The group's rows arrive as Arrow-sized chunks and only the running
-    earliest row is kept, so a device with a huge batch never sits in memory
-    at once."""
+    "Earliest" is the batch order of :func:`dedup.first_visit_per_day`: by
+    ``ts``, then ``uid``, then the remaining columns, nulls first. The
+    group's rows arrive as Arrow-sized chunks and only the running earliest
+    row is kept, so a device with a huge batch never sits in memory at once."""
     columns = list(columns)
+    order = ["ts", "uid"] + [c for c in columns if c not in ("ts", "uid", "log_date", "mid")]
+
+    def rank(row) -> tuple:
+        return tuple((row[c] is not None, row[c] if row[c] is not None else "") for c in order)
 
     def first_unseen(key, pdfs, state):
         import pandas as pd  # imported on the worker
@@ -202,15 +207,17 @@ def first_unseen_fn(columns: list[str]):
         for chunk in pdfs:
             if chunk.empty:
                 continue
-            top = chunk.sort_values(["ts", "uid"], kind="mergesort").head(1)
-            if best is None or (top["ts"].iat[0], top["uid"].iat[0]) < (best["ts"].iat[0], best["uid"].iat[0]):
-                best = top
+            # vectorized within the chunk; one candidate row per chunk
+            top = chunk.sort_values(order, na_position="first", kind="mergesort").head(1)
+            row = {c: (None if pd.isna(v) else v) for c, v in top[columns].iloc[0].items()}
+            if best is None or rank(row) < rank(best):
+                best = row
         if best is None:
             return
         state.update((True,))
         day_end_ms = int(pd.Timestamp(key[0], tz="UTC").value // 1_000_000) + 86_400_000
         state.setTimeoutTimestamp(day_end_ms)
-        yield best[columns]
+        yield pd.DataFrame([best], columns=columns).astype({"ts": "int64"})
 
     return first_unseen
 
