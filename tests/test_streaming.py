@@ -268,3 +268,19 @@ def test_state_partitions_restores_the_session_setting(spark):
     with state_partitions(other, 3):
         pass
     assert other.conf.get("spark.sql.shuffle.partitions") == "11"
+
+
+def test_dau_state_ties_match_batch_order(spark):
+    """Equal ts and uid: both paths pick the row with the smallest remaining
+    columns (here ``area``), so stream and batch agree on ties."""
+    def line(area, ts):
+        return json.dumps({"mid": "m1", "uid": "u1", "appid": "a", "area": area, "os": "ios", "ch": "c",
+                           "type": "startup", "vs": "1", "ts": ts})
+    topic, ckpt, out = scratch() + "/topic", scratch(), scratch() + "/out"
+    data = [(line("zeta", T0 + 5),), (line("alpha", T0 + 5),), (line("beta", T0 + 9),)]
+    append_topic_files(spark.createDataFrame(data, "value string"), topic)
+    q = jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, available_now=True)
+    q.awaitTermination()
+    got = rows(jobs.read_dau_state(spark, out), "mid", "area")
+    batch = dedup.first_visit_per_day(clean.parse_startup(spark.createDataFrame(data, "value string")))
+    assert got == rows(batch, "mid", "area") == [("m1", "alpha")]
