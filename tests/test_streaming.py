@@ -284,3 +284,26 @@ def test_dau_state_ties_match_batch_order(spark):
     got = rows(jobs.read_dau_state(spark, out), "mid", "area")
     batch = dedup.first_visit_per_day(clean.parse_startup(spark.createDataFrame(data, "value string")))
     assert got == rows(batch, "mid", "area") == [("m1", "alpha")]
+
+
+def test_log_table_keeps_latest_version_by_seq(spark):
+    from shoplens.streaming.sinks import LogTable
+    topic, ckpt = scratch() + "/topic", scratch()
+    table = LogTable(scratch() + "/orders", keys=["id"], order_by=["seq"], partition_by=["create_date"])
+
+    def msg(oid, status, seq, day):
+        return (json.dumps({"id": oid, "order_status": status, "create_time": f"{day} 10:00:00",
+                            "total_amount": "1.00", "consignee_tel": "13800000000"}), seq)
+
+    for batch in ([msg("o1", "1", 4, "2024-01-01"), msg("o2", "1", 8, "2024-01-02")],
+                  [msg("o1", "2", 5, "2024-01-01")],      # a newer version of o1
+                  [msg("o1", "2", 5, "2024-01-01")]):     # the same message delivered again
+        append_topic_files(spark.createDataFrame(batch, "value string, seq long"), topic)
+        q = jobs.order_job(read_topic_files(spark, topic), table, ckpt, available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    assert rows(table.read(spark), "id", "order_status", "create_date") == [
+        ("o1", "2", "2024-01-01"), ("o2", "1", "2024-01-02")]
+    day = table.read(spark, where=F.col("create_date") == "2024-01-02")
+    assert rows(day, "id") == [("o2",)]
+    assert "PartitionFilters: [isnotnull(create_date" in _plan(day)
