@@ -128,3 +128,30 @@ def test_province_sales_matches_brute_force(spark, data):
         n, s = want.get(p, (0, Decimal(0)))
         want[p] = (n + 1, s + Decimal(c) / 100)
     assert got == {p: (n, float(s), min((n // 2) * 2, 6)) for p, (n, s) in want.items()}
+
+
+changes_in = st.lists(st.tuples(
+    st.sampled_from(["ROWDATA", "ROWDATA", "TRANSACTIONBEGIN"]),
+    st.sampled_from(["order_info", "order_detail", "user_info", "sku_info"]),
+    st.sampled_from(["INSERT", "UPDATE", "DELETE"]),
+    st.lists(st.lists(st.tuples(st.sampled_from(["id", "a", "b"]), st.one_of(st.none(), st.text("xyz1", max_size=3))),
+                      min_size=1, max_size=3, unique_by=lambda c: c[0]), max_size=3)),
+    min_size=1, max_size=12)
+
+
+@SETTINGS
+@given(changes_in)
+def test_change_routing_matches_brute_force(spark, data):
+    import json
+
+    from shoplens.operators import ingest
+    topics = {("order_info", "INSERT"): schemas.ORDER_INFO_TOPIC, ("order_detail", "INSERT"): schemas.ORDER_DETAIL_TOPIC,
+              ("user_info", "INSERT"): schemas.USER_INFO_TOPIC, ("user_info", "UPDATE"): schemas.USER_INFO_TOPIC}
+    envs = spark.createDataFrame(
+        [(e, t, k, [[{"name": n, "value": v} for n, v in r] for r in rs], i, None) for i, (e, t, k, rs) in enumerate(data)],
+        schemas.CHANGE_ENVELOPE)
+    got = sorted((r["topic"], json.dumps(json.loads(r["value"]), sort_keys=True))
+                 for r in ingest.route_changes(envs).collect())
+    want = sorted((topics[(t, k)], json.dumps(dict(r), sort_keys=True))
+                  for e, t, k, rs in data if e == "ROWDATA" and (t, k) in topics for r in rs)
+    assert got == want
