@@ -155,3 +155,20 @@ def test_change_routing_matches_brute_force(spark, data):
     want = sorted((topics[(t, k)], json.dumps(dict(r), sort_keys=True))
                   for e, t, k, rs in data if e == "ROWDATA" and (t, k) in topics for r in rs)
     assert got == want
+
+
+@SETTINGS
+@given(st.dictionaries(st.integers(0, 20), st.integers(0, 500), min_size=1, max_size=12))
+def test_day_over_day_matches_brute_force(spark, data):
+    from shoplens.operators import metrics
+    base = dt.date(2024, 1, 1)
+    daily = spark.createDataFrame([((base + dt.timedelta(days=d)).isoformat(), float(v)) for d, v in data.items()],
+                                  "day string, value double")
+    got = sorted(tuple(r) for r in metrics.day_over_day(daily).collect())
+    want = []
+    for d, v in data.items():
+        prev = data.get(d - 1)
+        pct = (float(v) - prev) / prev * 100.0 if prev else None
+        want.append(((base + dt.timedelta(days=d)).isoformat(), float(v),
+                     float(prev) if prev is not None else None, pct))
+    assert got == sorted(want)
