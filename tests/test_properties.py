@@ -172,3 +172,16 @@ def test_day_over_day_matches_brute_force(spark, data):
         want.append(((base + dt.timedelta(days=d)).isoformat(), float(v),
                      float(prev) if prev is not None else None, pct))
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["today", "yesterday"]), st.integers(0, 23),
+                          st.integers(1, 50)), max_size=20, unique_by=lambda r: (r[0], r[1])))
+def test_hour_table_matches_brute_force(spark, data):
+    from shoplens.operators import metrics
+    series = spark.createDataFrame([(d, f"{h:02d}", float(v)) for d, h, v in data],
+                                   "day string, hour string, value double")
+    got = sorted(tuple(r) for r in metrics.hour_table(series).collect())
+    vals = {(d, h): float(v) for d, h, v in data}
+    want = sorted((f"{h:02d}", vals.get(("yesterday", h), 0.0), vals.get(("today", h), 0.0)) for h in range(24))
+    assert got == want
