@@ -185,3 +185,23 @@ def test_hour_table_matches_brute_force(spark, data):
     vals = {(d, h): float(v) for d, h, v in data}
     want = sorted((f"{h:02d}", vals.get(("yesterday", h), 0.0), vals.get(("today", h), 0.0)) for h in range(24))
     assert got == want
+
+
+@SETTINGS
+@given(pairs_in)
+def test_full_outer_rewrite_matches_brute_force(spark, data):
+    orders_in, details_in = data
+    orders = spark.createDataFrame(
+        [(o, "1", "t", "u", "d", T0 // 1000 + s) for o, s in orders_in],
+        "id string, order_status string, create_time string, user_id string, create_date string, s long"
+    ).selectExpr("*", "timestamp_seconds(s) AS ingest_ts").drop("s")
+    details = spark.createDataFrame(
+        [(f"d{i}", o, "k", "n", "1.0", T0 // 1000 + s) for i, (o, s) in enumerate(details_in)],
+        "id string, order_id string, sku_id string, sku_name string, order_price string, s long"
+    ).selectExpr("*", "timestamp_seconds(s) AS ingest_ts").drop("s")
+    got = sorted(((r["order_detail_id"] or ""), r["order_id"], r["order_status"] or "")
+                 for r in sale_detail.join_all(orders, details).collect())
+    ids = {o for o, _ in orders_in}
+    want = [(f"d{i}", o, "1" if o in ids else "") for i, (o, _) in enumerate(details_in)]
+    want += [("", o, "1") for o in ids if o not in {d for d, _ in details_in}]
+    assert got == sorted(want)
