@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shoplens.llm import crf_lines, lm_mix, mixing, order_minhash, pattern_pack, secret_owners, syncmers, token_cache
+from shoplens.llm import crf_lines, gbt_html, lm_mix, mixing, order_minhash, pattern_pack, secret_owners, syncmers, token_cache
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         order_minhash.op3_order_minhash,
         token_cache.op4_token_cache,
         mixing.op5_mixing,
+        gbt_html.op6_gbt_html,
         crf_lines.op7_crf_lines,
         syncmers.op8_syncmers,
         pattern_pack.op9_pattern_pack,
