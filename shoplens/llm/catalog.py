@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shoplens.llm import crf_lines, gbt_html, lm_mix, mixing, order_minhash, pattern_pack, secret_owners, syncmers, token_cache
+from shoplens.llm import crf_lines, gbt_html, lm_mix, mixing, order_minhash, pattern_pack, secret_owners, syncmers, token_cache, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         lm_mix.op1_lm_mix,
+        warc.op2_warc,
         order_minhash.op3_order_minhash,
         token_cache.op4_token_cache,
         mixing.op5_mixing,

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import chunks, map_rows, prepare, starts_of, table, texts_of, word_runs
 
-SAMPLE, STEPS, RATE, SHARE = 2000, 150, 0.1, 0.5
+SAMPLE, STEPS, RATE, SHARE = 2000, 150, 0.1, 0.3
 SYMBOLS = "#*$%&|<>"
 OTHER, UPPER, DIGIT, SYMBOL, STOP, SHOUT, MARK, SPACE, LETTER = range(9)
 
@@ -267,9 +267,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that are kept, all columns."""
     prepare(docs.sparkSession)
     field = train(*sample(docs, labels, id_col=id_col, text_col=text_col))
-    named = docs.withColumns({f"_in_{c}": F.col(c) for c in docs.columns})
-    rows = judged(named, field, [f"_in_{c}" for c in docs.columns], text_col=text_col)
-    return rows.where("kept").select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
+    taken = {f.split()[0] for f in FIGURES.split(", ")}
+    aside = {c: f"_in_{c}" if c.lower() in taken else c for c in docs.columns}
+    rows = judged(docs.withColumnsRenamed(aside), field, list(aside.values()), text_col=text_col)
+    return rows.where("kept").select(*[F.col(f"`{new}`").alias(c) for c, new in aside.items()])
 
 
 def op7_crf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,18 +108,18 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     turn = F.md5(F.concat_ws("|", F.lit(seed), F.col("full").cast("string"), F.col("_block")))
     upto = F.sum("block_tokens").over(Window.partitionBy("_source").orderBy("turn", "_block").rowsBetween(Window.unboundedPreceding, 0))
     cut = blocks.join(plan, "_source").withColumn("turn", turn).withColumn("upto", upto)
-    cut = cut.select("_source", "_block", "_weight", "full", (F.col("upto") <= F.col("rest")).alias("whole"),
-                     ((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("block_tokens") < F.col("rest"))).alias("edge"),
-                     (F.col("rest") - (F.col("upto") - F.col("block_tokens"))).alias("room"))
+    cut = cut.select("_source", "_block", "_weight", F.col("full").alias("_full"), (F.col("upto") <= F.col("rest")).alias("_whole"),
+                     ((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("block_tokens") < F.col("rest"))).alias("_edge"),
+                     (F.col("rest") - (F.col("upto") - F.col("block_tokens"))).alias("_room"))
     # the table of blocks joins the rows: few rows a source, the size is Spark's to judge
     rows = rows.join(cut, ["_source", "_block"])
-    again = F.when(F.col("whole"), F.col("full") + 1).otherwise(F.col("full"))
+    again = F.when(F.col("_whole"), F.col("_full") + 1).otherwise(F.col("_full"))
     spent = rows.where(again > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(0), again - 1)))
-    order = F.md5(F.concat_ws("|", F.col("full").cast("string"), F.col("_key")))
-    edge = rows.where("edge").withColumn("_order", order)
+    order = F.md5(F.concat_ws("|", F.col("_full").cast("string"), F.col("_key")))
+    edge = rows.where("_edge").withColumn("_order", order)
     # one block a source: a bounded share of its rows
     sofar = F.sum("_tokens").over(Window.partitionBy("_source").orderBy("_order").rowsBetween(Window.unboundedPreceding, 0))
-    edge = edge.withColumn("_sofar", sofar).where(F.col("_sofar") <= F.col("room")).drop("_order", "_sofar").withColumn("_epoch", F.col("full"))
+    edge = edge.withColumn("_sofar", sofar).where(F.col("_sofar") <= F.col("_room")).drop("_order", "_sofar").withColumn("_epoch", F.col("_full"))
     columns = [*docs.columns, "_source", "_epoch", "_block", "_tokens", "_weight"]
     return spent.select(*columns).unionByName(edge.select(*columns))
 
