@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from shoplens.operators import sale_detail
+from shoplens.plans import catalog
 
-BATCH = sorted(n for n in E.queries() if not n.endswith(("_stream", "_stream_state")))
+BATCH = sorted(n for n in catalog.QUERIES if not n.endswith(("_stream", "_stream_state")))
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
 
