@@ -8,7 +8,6 @@ from shoplens.functions.columns import (  # noqa: F401
     alert_doc_id,
     create_date,
     create_hour,
-    day_before,
     epoch_minute,
     log_date,
     log_hour,

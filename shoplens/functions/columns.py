@@ -32,14 +32,11 @@ def create_date(create_time: ColumnOrName) -> Column:
 
 
 def create_hour(create_time: ColumnOrName) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text -> part of the time before the first colon."""
+    """``yyyy-MM-dd HH:mm:ss`` text -> the time's part before the first colon,
+    a single digit padded to two."""
     time_part = F.try_element_at(F.split(_col(create_time), " "), F.lit(2))
-    return F.try_element_at(F.split(time_part, ":"), F.lit(1))
-
-
-def day_before(day: ColumnOrName) -> Column:
-    """Previous calendar day of a ``yyyy-MM-dd`` string, same format."""
-    return F.date_format(F.date_sub(F.to_date(_col(day)), 1), "yyyy-MM-dd")
+    hour = F.try_element_at(F.split(time_part, ":"), F.lit(1))
+    return F.when(F.length(hour) == 1, F.lpad(hour, 2, "0")).otherwise(hour)
 
 
 def epoch_minute(ts_ms: ColumnOrName) -> Column:
@@ -55,8 +52,9 @@ def mask_phone(tel: ColumnOrName) -> Column:
 
 
 def safe_double(text: ColumnOrName) -> Column:
-    """Text -> DOUBLE, NULL for unparsable input instead of failing the job."""
-    return _col(text).try_cast("double")
+    """Text -> DOUBLE; NULL for unparsable input, NaN and infinities."""
+    value = _col(text).try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def route_log(value: ColumnOrName, by_type: bool = False, type_col: ColumnOrName = "type") -> Column:
@@ -105,6 +103,7 @@ def age_years(birthday: ColumnOrName, as_of: ColumnOrName) -> Column:
 AGE_BAND_YOUNG = "under 20"
 AGE_BAND_MIDDLE = "20 to 29"
 AGE_BAND_OLD = "30 and over"
+AGE_BAND_UNKNOWN = "unknown"
 
 
 def age_band(age: ColumnOrName) -> Column:
@@ -112,7 +111,8 @@ def age_band(age: ColumnOrName) -> Column:
     return (
         F.when(a < 20, F.lit(AGE_BAND_YOUNG))
         .when(a < 30, F.lit(AGE_BAND_MIDDLE))
-        .otherwise(F.lit(AGE_BAND_OLD))
+        .when(a >= 30, F.lit(AGE_BAND_OLD))
+        .otherwise(F.lit(AGE_BAND_UNKNOWN))
     )
 
 

@@ -35,7 +35,8 @@ def clean_orders(orders_text: DataFrame) -> DataFrame:
 
     total_amount: text -> DOUBLE (NULL if unparsable); create_date and
     create_hour split out of create_time; the phone number is masked. Columns
-    other than the 20 order columns (e.g. ``seq``, ``ingest_ts``) are kept.
+    other than the 20 order columns (e.g. ``seq``, ``ingest_ts``) are kept;
+    order columns that the rows lack stay out.
     """
     extra = [c for c in orders_text.columns if c not in schemas.ORDER_INFO_COLUMNS]
     out = orders_text.withColumns({
@@ -44,7 +45,7 @@ def clean_orders(orders_text: DataFrame) -> DataFrame:
         "create_hour": C.create_hour("create_time"),
         "consignee_tel": C.mask_phone("consignee_tel"),
     })
-    return out.select(*schemas.ORDER_INFO_COLUMNS, *extra)
+    return out.select(*[c for c in schemas.ORDER_INFO_COLUMNS if c in out.columns], *extra)
 
 
 def parse_orders(lines: DataFrame, value_col: str = "value") -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens import schemas
 from shoplens.functions import columns as C
 
 
@@ -22,39 +23,43 @@ def stamp_log(lines: DataFrame, stamp_ms: Column | str, value_col: str = "value"
     """Put ``ts`` = ingest time into each JSON log line, replacing a client ``ts``.
 
     ``stamp_ms`` is the ingest time in epoch ms (:func:`now_ms` in a live
-    service, a fixed column in replays and tests). The log's other fields are
-    re-emitted as JSON text values (the logs are flat objects; the parsers
-    read every field as text).
+    service, a fixed column in replays and tests). Every other field keeps its
+    JSON type and value. A line that is no JSON object keeps its text and gets
+    ``well_formed`` false.
     """
     stamp = F.col(stamp_ms) if isinstance(stamp_ms, str) else stamp_ms
-    fields = F.from_json(F.col(value_col), "map<string,string>")
-    without_ts = F.map_filter(fields, lambda k, v: k != F.lit("ts"))
-    # ts must stay a JSON number: splice it in before the closing brace
-    # instead of putting it into the (text-valued) map.
-    body = F.to_json(without_ts)
+    fields = F.from_json(F.col(value_col), "map<string,variant>")
+    rest = F.map_filter(fields, lambda k, v: k != F.lit("ts"))
+    body = F.to_json(rest)
     stamped = F.concat(F.substring(body, F.lit(1), F.length(body) - 1),
-                       F.when(F.size(without_ts) > 0, F.lit(",")).otherwise(F.lit("")),
+                       F.when(F.size(rest) > 0, F.lit(",")).otherwise(F.lit("")),
                        F.lit('"ts":'), stamp.cast("string"), F.lit("}"))
-    return lines.withColumns({value_col: stamped, "ts": stamp.cast("bigint")})
+    return lines.withColumns({value_col: F.coalesce(stamped, F.col(value_col)), "ts": stamp.cast("bigint"),
+                              "well_formed": fields.isNotNull()})
 
 
 def route_logs(stamped: DataFrame, value_col: str = "value", by_type: bool = False) -> DataFrame:
-    """Add ``topic``: startup topic when the text contains ``startup`` (or, with
+    """Replace ``well_formed`` by ``topic``: the rejected topic for malformed
+    lines, the startup topic when the text contains ``startup`` (or, with
     ``by_type``, when the parsed ``type`` is ``startup``), else the event topic."""
     if by_type:
         typ = F.get_json_object(F.col(value_col), "$.type")
-        return stamped.withColumn("topic", C.route_log(value_col, by_type=True, type_col=typ))
-    return stamped.withColumn("topic", C.route_log(value_col))
+        topic = C.route_log(value_col, by_type=True, type_col=typ)
+    else:
+        topic = C.route_log(value_col)
+    return stamped.withColumn("topic", F.when(F.col("well_formed"), topic).otherwise(F.lit(schemas.REJECTED_TOPIC))).drop("well_formed")
 
 
 def archive_logs(stamped: DataFrame, path: str, ts_col: str = "ts") -> None:
     """Append stamped lines as text, one folder per day (the rolled log file)."""
-    (stamped.select(F.col("value"), C.log_date(ts_col).alias("log_date"))
+    (stamped.where("well_formed").select(F.col("value"), C.log_date(ts_col).alias("log_date"))
      .write.mode("append").partitionBy("log_date").text(path))
 
 
 def route_changes(envelopes: DataFrame) -> DataFrame:
-    """Change envelopes -> (topic, value, seq, ingest_ts), one row per changed row.
+    """Change envelopes -> (topic, key, value, seq, ingest_ts), one row per
+    changed row; the key is the row's id, so all versions of an entity reach
+    one partition of a topic in order, and ``seq`` is the change's own number.
 
     Keeps row-data entries only, forwards order_info/order_detail inserts and
     user_info inserts and updates, and turns each after-image into a flat JSON
@@ -67,5 +72,5 @@ def route_changes(envelopes: DataFrame) -> DataFrame:
         "topic",
         F.explode("row_datas").alias("_row"),
         "seq", "ingest_ts",
-    ).select("topic", F.to_json(F.map_from_entries("_row"), {"ignoreNullFields": "false"}).alias("value"),
+    ).select("topic", F.get(F.filter("_row", lambda f: f["name"] == "id"), 0)["value"].alias("key"), F.to_json(F.map_from_entries("_row"), {"ignoreNullFields": "false"}).alias("value"),
              "seq", "ingest_ts")

@@ -2,13 +2,15 @@
 
 Each reads the result tables (DAU, order_info) filtered on their date column,
 so on a date-partitioned table only one or two partitions are scanned.
-Money is summed as DECIMAL(18,2) and returned as DOUBLE: exact for two-decimal
-amounts and independent of the order in which partial sums are merged.
+Money is summed as DECIMAL(28,4) and returned as DOUBLE: exact for amounts of
+up to four decimals and independent of the order in which partial sums are
+merged. An amount that is no finite number below 1e24 counts as missing.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,8 @@ from shoplens.operators.dedup import first_seen_day
 CARD_DAU = "dau"
 CARD_NEW_MID = "new_mid"
 CARD_ORDER_AMOUNT = "order_amount"
-# The 24 hour labels of a day, 00..23.
-HOUR_LABELS = [f"{h:02d}" for h in range(24)]
+# Label of rows without an hour, so that hours always add up to the day.
+NO_HOUR = "unknown"
 
 CARD_NAMES = {
     CARD_DAU: "daily active devices",
@@ -32,7 +34,7 @@ CARD_NAMES = {
 
 def money_sum(c: Column | str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(18,2)")).cast("double")
+    return F.sum(col.try_cast("decimal(28,4)")).cast("double")
 
 
 def dau_total(dau: DataFrame, day: str) -> DataFrame:
@@ -60,7 +62,7 @@ def gmv_hours(orders: DataFrame, day: str) -> DataFrame:
 def new_mid_total(dau: DataFrame, day: str) -> DataFrame:
     """One row (new_mid): devices first seen on ``day`` (the card the
     dashboard shows; the reference fills it with a constant)."""
-    return (first_seen_day(dau).where(F.col("first_date") == day)
+    return (first_seen_day(dau.where(F.col("log_date") <= day)).where(F.col("first_date") == day)
             .agg(F.count(F.lit(1)).alias("new_mid")))
 
 
@@ -82,14 +84,14 @@ def _hour_series(df: DataFrame, date_col: str, hour_col: str, value: Column, day
     yday = yesterday_of(day)
     return (df.where(F.col(date_col).isin(day, yday))
             .groupBy(F.when(F.col(date_col) == day, F.lit("today")).otherwise(F.lit("yesterday"))
-                     .alias("day"), F.col(hour_col).alias("hour"))
+                     .alias("day"), F.coalesce(F.col(hour_col), F.lit(NO_HOUR)).alias("hour"))
             .agg(value.alias("value")))
 
 
 def today(spark: SparkSession) -> str:
     """Today's date (session time zone) as ``yyyy-MM-dd``: the default day of
     the dashboard when the caller gives none."""
-    return spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd")).first()[0]
+    return _dt.datetime.now(ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))).date().isoformat()
 
 
 def yesterday_of(day: str) -> str:
@@ -112,25 +114,25 @@ def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, day: str |
     return dau.sparkSession.createDataFrame([], "day string, hour string, value double")
 
 
-def hours_map(series: DataFrame) -> DataFrame:
-    """(day, hours): hour -> value map per day, at most 24 entries each
-    (only the 24 hour labels are kept, which bounds the collected list)."""
-    return series.where(F.col("hour").isin(HOUR_LABELS)).groupBy("day").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("hour", "value")))).alias("hours"))
+def _hour_entries(hour: Column, value: Column) -> Column:
+    """hour -> value map; a day has its 24 hours and those rows carry."""
+    return F.map_from_entries(F.array_sort(F.collect_list(F.when(hour.isNotNull(), F.struct(hour, value)))))
 
 
-HOUR_LABELS = [f"{h:02d}" for h in range(24)]
+def hours_map(series: DataFrame) -> DataFrame:
+    """(day, hours): hour -> value map per day."""
+    return series.groupBy("day").agg(_hour_entries(F.col("hour"), F.col("value")).alias("hours"))
 
 
 def hours_answer(series: DataFrame) -> DataFrame:
     """One row (answer): the service's JSON text
-    ``{"yesterday":{"HH":v,...},"today":{"HH":v,...}}`` (at most 2 x 24 entries)."""
-    per_day = hours_map(series)
-    # yesterday first, as the service writes it
-    ordered = F.array_sort(F.collect_list(F.struct("day", "hours")),
-                           lambda a, b: F.when(a["day"] == b["day"], 0)
-                           .when(a["day"] == "yesterday", -1).otherwise(1))
-    return per_day.agg(F.to_json(F.map_from_entries(ordered)).alias("answer"))
+    ``{"yesterday":{"HH":v,...},"today":{"HH":v,...}}``; a day without rows
+    has an empty map."""
+    def of(day: str) -> Column:
+        is_day = F.col("day") == day
+        return _hour_entries(F.when(is_day, F.col("hour")).alias("hour"), F.col("value").alias("value")).alias(day)
+
+    return series.agg(of("yesterday"), of("today")).select(F.to_json(F.struct("yesterday", "today")).alias("answer"))
 
 
 def cards_answer(cards: DataFrame) -> DataFrame:
@@ -144,16 +146,12 @@ def hour_spine(spark: SparkSession) -> DataFrame:
 
 
 def hour_table(series: DataFrame) -> DataFrame:
-    """24 rows (hour, yesterday, today) with missing hours as 0.
-
-    The pivot keeps only the 24 valid hour labels (the spine drops any other
-    text anyway), so it has at most 24 rows and broadcasting it is bounded
-    whatever the input size."""
-    spark = series.sparkSession
-    pivot = series.where(F.col("hour").isin(HOUR_LABELS)).groupBy("hour").agg(
+    """(hour, yesterday, today): the 24 hours, missing ones as 0, and any other
+    hour that rows carry, so the columns add up to the day's totals."""
+    pivot = series.groupBy("hour").agg(
         F.sum(F.when(F.col("day") == "yesterday", F.col("value"))).alias("yesterday"),
         F.sum(F.when(F.col("day") == "today", F.col("value"))).alias("today"))
-    return (hour_spine(spark).join(F.broadcast(pivot), "hour", "left")
+    return (hour_spine(series.sparkSession).join(pivot, "hour", "full_outer")
             .select("hour", F.coalesce("yesterday", F.lit(0.0)).alias("yesterday"),
                     F.coalesce("today", F.lit(0.0)).alias("today")))
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import columns as C
+from shoplens.operators.metrics import money_sum
 
 # Fixed value: the day the search page asks for when none is given.
 DEFAULT_SEARCH_DAY = "2019-03-04"
@@ -42,20 +43,55 @@ def search_page(filtered: DataFrame, start: int = 0, length: int = 20) -> DataFr
     return filtered.orderBy("order_detail_id").offset(int(start)).limit(int(length))
 
 
-def _shares(counts: DataFrame) -> DataFrame:
-    total = F.sum("n").over(Window.partitionBy())
+def share_counts(filtered: DataFrame) -> DataFrame:
+    """(user_gender, age_band, n): the one grouping that all shares come from."""
+    return filtered.groupBy("user_gender", C.age_band("user_age").alias("age_band")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def shares(filtered: DataFrame) -> DataFrame:
+    """(dim, label, n, pct): hits and percent per gender and per age band, in
+    one pass over the hits."""
+    both = share_counts(filtered).select(
+        "n", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(c).alias("label")) for d, c in (("gender", "user_gender"), ("age", "age_band"))])).alias("d"))
+    counts = both.groupBy("d.dim", "d.label").agg(F.sum("n").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("dim"))
     return counts.withColumn("pct", F.round(F.col("n") * F.lit(100.0) / total, 2))
 
 
+def _one_share(filtered: DataFrame, dim: str, name: str) -> DataFrame:
+    return shares(filtered).where(F.col("dim") == dim).select(F.col("label").alias(name), "n", "pct")
+
+
 def gender_share(filtered: DataFrame) -> DataFrame:
     """(user_gender, n, pct): hits per gender and percent of all hits."""
-    return _shares(filtered.groupBy("user_gender").agg(F.count(F.lit(1)).alias("n")))
+    return _one_share(filtered, "gender", "user_gender")
 
 
 def age_share(filtered: DataFrame) -> DataFrame:
     """(age_band, n, pct): hits per age band (<20, 20-29, >=30) and percent."""
-    return _shares(filtered.groupBy(C.age_band("user_age").alias("age_band"))
-                   .agg(F.count(F.lit(1)).alias("n")))
+    return _one_share(filtered, "age", "age_band")
+
+
+def search_page_after(filtered: DataFrame, after: str | None = None, length: int = 20) -> DataFrame:
+    """The ``length`` rows that follow the row ``after`` (keyset paging): a
+    deep page costs what the first one does."""
+    rows = filtered if after is None else filtered.where(F.col("order_detail_id") > after)
+    return rows.orderBy("order_detail_id").limit(int(length))
+
+
+def search_answer(filtered: DataFrame, start: int = 0, length: int = 20) -> DataFrame:
+    """One row (total, stat, detail): the hit count, the shares and one page,
+    all from ``filtered``, which is derived once if the caller checkpoints it.
+    ``detail`` and ``stat`` are bounded by the page and by the labels."""
+    page = search_page(filtered, start, length)
+    order = ["order_detail_id", *[c for c in page.columns if c != "order_detail_id"]]
+    detail = page.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*order)))).alias("detail"))
+    stat = shares(filtered).agg(F.coalesce(F.sum(F.when(F.col("dim") == "gender", F.col("n"))), F.lit(0)).alias("total"),
+                                F.to_json(F.array_sort(F.collect_list(F.struct("dim", "label", "n", "pct")))).alias("stat"))
+    # two rows become one
+    null = F.lit(None)
+    both = stat.withColumn("detail", null.cast("string")).unionByName(detail.select(null.cast("bigint").alias("total"), null.cast("string").alias("stat"), "detail"))
+    return both.agg(F.max("total").alias("total"), F.max("stat").alias("stat"), F.max("detail").alias("detail"))
 
 
 def province_sales(orders: DataFrame, nation: DataFrame | None = None,
@@ -69,7 +105,7 @@ def province_sales(orders: DataFrame, nation: DataFrame | None = None,
     """
     agg = orders.groupBy("province_id").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double").alias("order_amount"))
+        money_sum("total_amount").alias("order_amount"))
     out = agg.withColumn("band", C.value_band("order_count", width, top))
     if nation is not None:
         names = nation.select(F.col("n_nationkey").cast("string").alias("province_id"),

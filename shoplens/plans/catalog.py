@@ -18,9 +18,10 @@ from shoplens.operators.keyed import latest_per_key
 from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
 from shoplens.session import work_path
+from shoplens.sources import changefeed, fixtures
 from shoplens.sources.topics import append_topic_files, read_topic_files, write_topic_files
 from shoplens.streaming import jobs
-from shoplens.streaming.replay import replay, state_partitions
+from shoplens.streaming.replay import replay
 from shoplens.streaming.sinks import AppendTable, LogTable
 
 # Fixed query parameters (chosen dates present in the fixtures).
@@ -51,13 +52,13 @@ def dau_first_seen(t: RetailTables) -> DataFrame:
 @register("dau_total", with_views(
     f"SELECT count(*) AS dau FROM dau WHERE log_date = '{DAU_DAY}'", "dau"))
 def dau_total(t: RetailTables) -> DataFrame:
-    return metrics.dau_total(t.dau, DAU_DAY)
+    return metrics.dau_total(t.dau_of(DAU_DAY), DAU_DAY)
 
 
 @register("dau_hours", with_views(
     f"SELECT log_hour, count(*) AS dau FROM dau WHERE log_date = '{DAU_DAY}' GROUP BY log_hour", "dau"))
 def dau_hours(t: RetailTables) -> DataFrame:
-    return metrics.dau_hours(t.dau, DAU_DAY)
+    return metrics.dau_hours(t.dau_of(DAU_DAY), DAU_DAY)
 
 
 _HOUR_TABLE_SQL = """
@@ -79,7 +80,7 @@ def _series_sql(date_col: str, hour_col: str, value: str, table: str, day: str)
     _HOUR_TABLE_SQL, "dau",
     extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
 def realtime_hours_dau(t: RetailTables) -> DataFrame:
-    return metrics.hour_table(metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY))
+    return metrics.hour_table(metrics.realtime_hours(metrics.CARD_DAU, t.dau_of(DAU_DAY, metrics.yesterday_of(DAU_DAY)), t.bare_orders, DAU_DAY))
 
 
 @register("dau_incremental", with_views("""
@@ -121,17 +122,17 @@ def order_clean(t: RetailTables) -> DataFrame:
 
 
 @register("gmv_total", with_views(
-    f"SELECT CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount "
+    f"SELECT CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE) AS order_amount "
     f"FROM order_info WHERE create_date = '{GMV_DAY}'", "order_info"))
 def gmv_total(t: RetailTables) -> DataFrame:
-    return metrics.gmv_total(t.orders, GMV_DAY)
+    return metrics.gmv_total(t.orders_of(GMV_DAY), GMV_DAY)
 
 
 @register("gmv_hours", with_views(
-    f"SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount "
+    f"SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE) AS order_amount "
     f"FROM order_info WHERE create_date = '{GMV_DAY}' GROUP BY create_hour", "order_info"))
 def gmv_hours(t: RetailTables) -> DataFrame:
-    return metrics.gmv_hours(t.orders, GMV_DAY)
+    return metrics.gmv_hours(t.orders_of(GMV_DAY), GMV_DAY)
 
 
 @register("realtime_total", with_views(f"""
@@ -141,11 +142,11 @@ def gmv_hours(t: RetailTables) -> DataFrame:
     SELECT 'new_mid', 'new devices', CAST(count(*) AS DOUBLE)
       FROM (SELECT mid FROM dau GROUP BY mid HAVING min(log_date) = '{DAU_DAY}')
     UNION ALL
-    SELECT 'order_amount', 'order amount', CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)
+    SELECT 'order_amount', 'order amount', CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE)
       FROM order_info WHERE create_date = '{DAU_DAY}'
     """, "dau", "order_info"))
 def realtime_total(t: RetailTables) -> DataFrame:
-    return metrics.realtime_total(t.dau, t.orders, DAU_DAY)
+    return metrics.realtime_total(t.dau, t.orders_of(DAU_DAY), DAU_DAY)
 
 
 @register("realtime_total_gmv_day", with_views(f"""
@@ -155,20 +156,20 @@ def realtime_total(t: RetailTables) -> DataFrame:
     SELECT 'new_mid', 'new devices', CAST(count(*) AS DOUBLE)
       FROM (SELECT mid FROM dau GROUP BY mid HAVING min(log_date) = '{GMV_DAY}')
     UNION ALL
-    SELECT 'order_amount', 'order amount', CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)
+    SELECT 'order_amount', 'order amount', CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE)
       FROM order_info WHERE create_date = '{GMV_DAY}'
     """, "dau", "order_info"))
 def realtime_total_gmv_day(t: RetailTables) -> DataFrame:
     """Cards on a day with orders but no device logs (DAU 0, revenue set)."""
-    return metrics.realtime_total(t.dau, t.orders, GMV_DAY)
+    return metrics.realtime_total(t.dau, t.orders_of(GMV_DAY), GMV_DAY)
 
 
 @register("realtime_hours_gmv", with_views(
     _HOUR_TABLE_SQL, "order_info",
     extra={"series": _series_sql("create_date", "create_hour",
-                                 "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)", "order_info", GMV_DAY)}))
+                                 "CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE)", "order_info", GMV_DAY)}))
 def realtime_hours_gmv(t: RetailTables) -> DataFrame:
-    return metrics.hour_table(metrics.realtime_hours(metrics.CARD_ORDER_AMOUNT, t.dau, t.orders, GMV_DAY))
+    return metrics.hour_table(metrics.realtime_hours(metrics.CARD_ORDER_AMOUNT, t.dau, t.orders_of(GMV_DAY, metrics.yesterday_of(GMV_DAY)), GMV_DAY))
 
 
 @register("realtime_hours_series", with_views(
@@ -176,7 +177,7 @@ def realtime_hours_gmv(t: RetailTables) -> DataFrame:
     extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
 def realtime_hours_series(t: RetailTables) -> DataFrame:
     """The raw (day, hour, value) answer before zero-filling."""
-    return metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY)
+    return metrics.realtime_hours(metrics.CARD_DAU, t.dau_of(DAU_DAY, metrics.yesterday_of(DAU_DAY)), t.bare_orders, DAU_DAY)
 
 
 @register("hours_map", with_views("""
@@ -186,7 +187,7 @@ def realtime_hours_series(t: RetailTables) -> DataFrame:
     extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
 def hours_map(t: RetailTables) -> DataFrame:
     """(day, hours): the hour -> value map of today and yesterday, as JSON text."""
-    m = metrics.hours_map(metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY))
+    m = metrics.hours_map(metrics.realtime_hours(metrics.CARD_DAU, t.dau_of(DAU_DAY, metrics.yesterday_of(DAU_DAY)), t.bare_orders, DAU_DAY))
     return m.select("day", F.to_json("hours").alias("hours"))
 
 
@@ -195,11 +196,11 @@ def hours_map(t: RetailTables) -> DataFrame:
            CASE WHEN p.value <> 0 THEN (d.value - p.value) / p.value * 100.0 END AS pct_change
     FROM daily d LEFT JOIN daily p ON CAST(p.day AS DATE) + 1 = CAST(d.day AS DATE)
     """, "order_info", extra={"daily": """
-      SELECT create_date AS day, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS value
+      SELECT create_date AS day, CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE) AS value
       FROM order_info GROUP BY create_date"""}))
 def day_over_day(t: RetailTables) -> DataFrame:
     """Daily revenue with the previous day's value and the change in percent."""
-    daily = metrics.daily_series(t.orders, "create_date", metrics.money_sum("total_amount"))
+    daily = metrics.daily_series(t.bare_orders, "create_date", metrics.money_sum("total_amount"))
     return metrics.day_over_day(daily)
 
 
@@ -285,64 +286,56 @@ def user_latest(t: RetailTables) -> DataFrame:
 ALERT_WINDOW, ALERT_SLIDE = "6 hours", "1 hour"
 _ALERT_WINDOW_MS, _ALERT_SLIDE_MS = 6 * 3600 * 1000, 3600 * 1000
 
-_ALERT_SQL = f"""
-  SELECT mid, ws AS window_start, ws + {_ALERT_WINDOW_MS} AS window_end,
-         array_to_string(list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))), ',') AS uids,
-         array_to_string(list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))), ',') AS item_ids,
-         CAST(count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS INTEGER) AS n_users,
+# Per window and device, members and events by id; a missing user is one user.
+_ALERT_SQL_OF = """
+  SELECT mid, ws AS window_start, ws + {window} AS window_end,
+         list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))) AS uid_list,
+         list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))) AS item_list,
+         array_to_string(uid_list, ',') AS uids, array_to_string(item_list, ',') AS item_ids,
+         CAST(count(DISTINCT coalesce(uid, '-')) FILTER (WHERE evid = 'coupon') AS INTEGER) AS n_users,
          coalesce(bool_or(evid = 'clickItem'), false) AS has_veto,
-         count(*) AS n_events,
-         concat_ws(',', {", ".join(
-             f"CASE WHEN count(*) FILTER (WHERE evid = '{k}') > 0 THEN '{k}:' || "
-             f"CAST(count(*) FILTER (WHERE evid = '{k}') AS VARCHAR) END" for k in alerts.EVENT_KINDS)}) AS events,
-         ws + {_ALERT_WINDOW_MS} AS ts
-  FROM (SELECT e.*, (e.ts // {_ALERT_SLIDE_MS} - r.i) * {_ALERT_SLIDE_MS} AS ws
-        FROM event_log e, (SELECT range AS i FROM range(0, {_ALERT_WINDOW_MS // _ALERT_SLIDE_MS})) r)
+         count(*) AS n_events, any_value(events) AS events, any_value(event_list) AS event_list, ws + {window} AS ts
+  FROM (SELECT e.*, (e.ts // {slide} - r.i) * {slide} AS ws
+        FROM {events} e, (SELECT range AS i FROM range(0, {window} // {slide})) r)
+  JOIN (SELECT mid, ws, string_agg(evid || ':' || CAST(n AS VARCHAR), ',' ORDER BY evid) AS events,
+               list(struct_pack(evid := evid, n := n) ORDER BY evid) AS event_list
+        FROM (SELECT mid, ws, coalesce(evid, 'null') AS evid, count(*) AS n
+              FROM (SELECT e.*, (e.ts // {slide} - r.i) * {slide} AS ws
+                    FROM {events} e, (SELECT range AS i FROM range(0, {window} // {slide})) r)
+              GROUP BY ALL) GROUP BY mid, ws) USING (mid, ws)
   GROUP BY mid, ws
 """
+_ALERT_SQL = _ALERT_SQL_OF.format(window=_ALERT_WINDOW_MS, slide=_ALERT_SLIDE_MS, events="event_log")
+_ALERT_COLUMNS = "mid, window_start, window_end, uids, item_ids, n_users, has_veto, n_events, events, ts"
 
 
-_EVENT_STRUCTS = ", ".join(
-    f"CASE WHEN count(*) FILTER (WHERE evid = '{k}') > 0 THEN "
-    f"[struct_pack(evid := '{k}', n := count(*) FILTER (WHERE evid = '{k}'))] ELSE [] END"
-    for k in alerts.EVENT_KINDS)
+def _alert_counts(t: RetailTables) -> DataFrame:
+    return alerts.alert_counts(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
 
-_ALERT_DOC_SQL = f"""
-  SELECT mid, ws AS window_start, ws + {_ALERT_WINDOW_MS} AS ts,
-         list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))) AS uids,
-         list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))) AS item_ids,
-         CAST(count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS INTEGER) AS n_users,
-         coalesce(bool_or(evid = 'clickItem'), false) AS has_veto,
-         list_concat({_EVENT_STRUCTS}) AS events
-  FROM (SELECT e.*, (e.ts // {_ALERT_SLIDE_MS} - r.i) * {_ALERT_SLIDE_MS} AS ws
-        FROM event_log e, (SELECT range AS i FROM range(0, {_ALERT_WINDOW_MS // _ALERT_SLIDE_MS})) r)
-  GROUP BY mid, ws
-"""
 
-
-def _alert_windows(t: RetailTables) -> DataFrame:
-    return alerts.alert_windows(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
+def _with_members(t: RetailTables, found: DataFrame) -> DataFrame:
+    return alerts.with_members(found, alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
 
 
 @register("coupon_alert_candidates", with_views(
-    "SELECT * FROM w WHERE n_users >= 3", "event_log", extra={"w": _ALERT_SQL}))
+    f"SELECT {_ALERT_COLUMNS} FROM w WHERE n_users >= 3", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_candidates(t: RetailTables) -> DataFrame:
-    return alerts.render(alerts.alert_candidates(_alert_windows(t)))
+    return alerts.render(_with_members(t, alerts.alert_candidates(_alert_counts(t))))
 
 
 @register("coupon_alert_windows", with_views(
-    "SELECT * FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log", extra={"w": _ALERT_SQL}))
+    f"SELECT {_ALERT_COLUMNS} FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_windows(t: RetailTables) -> DataFrame:
-    return alerts.render(alerts.coupon_alerts(_alert_windows(t)))
+    return alerts.render(_with_members(t, alerts.coupon_alerts(_alert_counts(t))))
 
 
 @register("coupon_alert_latest", with_views("""
-    SELECT * EXCLUDE (rn) FROM (
+    SELECT * EXCLUDE (rn, uid_list, item_list, event_list) FROM (
       SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
       FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
     WHERE rn = 1""", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_latest(t: RetailTables) -> DataFrame:
-    return alerts.render(alerts.latest_per_document(alerts.coupon_alerts(_alert_windows(t))))
+    return alerts.render(alerts.latest_per_document(_with_members(t, alerts.coupon_alerts(_alert_counts(t)))))
 
 
 # --- orders x details x users ---------------------------------------------
@@ -374,7 +367,7 @@ _SALE_DETAIL_SQL = f"""
                                               extra={"pairs": _PAIRS_SQL}))
 def order_detail_interval(t: RetailTables) -> DataFrame:
     """Order x line pairs whose arrivals are at most 300 s apart, each once."""
-    return sale_detail.join_within(t.orders, t.details, JOIN_WITHIN_S)
+    return sale_detail.join_within(t.bare_orders, t.details, JOIN_WITHIN_S)
 
 
 @register("order_detail_full_outer", with_views(f"""
@@ -383,7 +376,7 @@ def order_detail_interval(t: RetailTables) -> DataFrame:
            TRY_CAST(d.order_price AS DOUBLE) AS sku_price, d.sku_name AS sku_name, o.create_date AS dt
     FROM order_detail d FULL OUTER JOIN order_info o ON d.order_id = o.id""", "order_info", "order_detail"))
 def order_detail_full_outer(t: RetailTables) -> DataFrame:
-    return sale_detail.join_all(t.orders, t.details)
+    return sale_detail.join_all(t.bare_orders, t.details)
 
 
 @register("unmatched_orders", with_views(f"""
@@ -398,7 +391,7 @@ def unmatched_orders(t: RetailTables) -> DataFrame:
     FROM order_detail d WHERE NOT EXISTS (SELECT 1 FROM order_info o WHERE o.id = d.order_id)""",
     "order_info", "order_detail"))
 def unmatched_details(t: RetailTables) -> DataFrame:
-    return sale_detail.unmatched_details(t.orders, t.details).select(*schemas.ORDER_DETAIL.fieldNames())
+    return sale_detail.unmatched_details(t.bare_orders, t.details).select(*schemas.ORDER_DETAIL.fieldNames())
 
 
 @register("orders_missed_interval", with_views(f"""
@@ -416,7 +409,7 @@ def orders_missed_interval(t: RetailTables) -> DataFrame:
                                     extra={"pairs": _PAIRS_SQL}))
 def sale_detail_table(t: RetailTables) -> DataFrame:
     """The wide sale_detail table: interval-joined pairs plus user fields."""
-    return sale_detail.build_sale_detail(t.orders, t.details, t.users, AGE_AS_OF, JOIN_WITHIN_S)
+    return sale_detail.build_sale_detail(t.bare_orders, t.details, t.users, AGE_AS_OF, JOIN_WITHIN_S)
 
 
 # --- search page and province map -----------------------------------------
@@ -428,7 +421,7 @@ _SALE_EXTRA = {"pairs": _PAIRS_SQL, "sale": _SALE_DETAIL_SQL}
 
 
 def _sales(t: RetailTables) -> DataFrame:
-    return sale_detail.build_sale_detail(t.orders, t.details, t.users, AGE_AS_OF, JOIN_WITHIN_S)
+    return sale_detail.build_sale_detail(t.bare_orders, t.details, t.users, AGE_AS_OF, JOIN_WITHIN_S)
 
 
 @register("sale_search_page", with_views(f"""
@@ -464,7 +457,7 @@ def sale_gender_share(t: RetailTables) -> DataFrame:
 @register("sale_age_share", with_views("""
     SELECT age_band, n, round(n * 100.0 / sum(n) OVER (), 2) AS pct
     FROM (SELECT CASE WHEN user_age < 20 THEN 'under 20' WHEN user_age < 30 THEN '20 to 29'
-                      ELSE '30 and over' END AS age_band, count(*) AS n FROM sale GROUP BY 1)""",
+                      WHEN user_age >= 30 THEN '30 and over' ELSE 'unknown' END AS age_band, count(*) AS n FROM sale GROUP BY 1)""",
     *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
 def sale_age_share(t: RetailTables) -> DataFrame:
     return search.age_share(_sales(t))
@@ -476,18 +469,15 @@ def sale_age_share(t: RetailTables) -> DataFrame:
     UNION ALL
     SELECT 'age', age_band, n, round(n * 100.0 / sum(n) OVER (), 2)
     FROM (SELECT CASE WHEN user_age < 20 THEN 'under 20' WHEN user_age < 30 THEN '20 to 29'
-                      ELSE '30 and over' END AS age_band, count(*) AS n
+                      WHEN user_age >= 30 THEN '30 and over' ELSE 'unknown' END AS age_band, count(*) AS n
           FROM sale WHERE dt = '{SEARCH_DAY}' GROUP BY 1)""", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
 def sale_day_shares(t: RetailTables) -> DataFrame:
     """The two pie charts of one search: gender and age shares of the day."""
-    hits = search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD)
-    g = search.gender_share(hits).select(F.lit("gender").alias("dim"), F.col("user_gender").alias("label"), "n", "pct")
-    a = search.age_share(hits).select(F.lit("age").alias("dim"), F.col("age_band").alias("label"), "n", "pct")
-    return g.unionByName(a)
+    return search.shares(search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD))
 
 
 @register("user_age_bands", with_views(f"""
-    SELECT CASE WHEN a < 20 THEN 'under 20' WHEN a < 30 THEN '20 to 29' ELSE '30 and over' END AS age_band,
+    SELECT CASE WHEN a < 20 THEN 'under 20' WHEN a < 30 THEN '20 to 29' WHEN a >= 30 THEN '30 and over' ELSE 'unknown' END AS age_band,
            count(*) AS n
     FROM (SELECT date_diff('day', CAST(birthday AS DATE), DATE '{AGE_AS_OF}') // 365 AS a FROM user_info)
     GROUP BY 1""", "user_info"))
@@ -501,7 +491,7 @@ def user_age_bands(t: RetailTables) -> DataFrame:
     SELECT s.province_id, n.n_name AS province, s.order_count, s.order_amount,
            least(greatest(CAST(floor(s.order_count / 100) * 100 AS BIGINT), 0), 500) AS band
     FROM (SELECT province_id, count(*) AS order_count,
-                 CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount
+                 CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE) AS order_amount
           FROM order_info GROUP BY province_id) s
     LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = s.province_id""", "order_info"))
 def province_sales(t: RetailTables) -> DataFrame:
@@ -522,14 +512,14 @@ def _topic_messages(t: RetailTables, topic: str) -> DataFrame:
 
 @register("dau_stream", with_views("SELECT * FROM dau", "dau"))
 def dau_stream(t: RetailTables) -> DataFrame:
-    """Startup topic replayed through the streaming DAU job (per-batch
-    earliest row, anti join against the seen table, replay-safe append)."""
+    """Startup topic replayed through the streaming DAU job (earliest row per
+    day and device in the state store, written as it changes)."""
     spark = t.spark
     topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau")
     table = AppendTable(work_path(spark, "tables", "dau"), partition_by=["log_date"])
     replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")},
            lambda: jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
-    return table.read(spark).select(*dedup.DAU_COLUMNS)
+    return jobs.read_dau(table.read(spark))
 
 
 @register("order_upsert_stream", with_views(f"SELECT {ORDER_COLUMNS_SQL} FROM order_info", "order_info"))
@@ -547,49 +537,88 @@ def order_upsert_stream(t: RetailTables) -> DataFrame:
 
 
 @register("coupon_alert_stream", with_views("""
-    SELECT * EXCLUDE (rn) FROM (
+    SELECT * EXCLUDE (rn, uid_list, item_list, event_list) FROM (
       SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
       FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
     WHERE rn = 1""", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_stream(t: RetailTables) -> DataFrame:
-    """Event topic replayed through the streaming alert job (update mode,
-    keyed upsert sink), then the alert test and latest-per-minute read."""
+    """Event topic replayed through the count job and the claim job; the
+    reader applies the alert test and collects members of the alerts only."""
+    spark = t.spark
+    counts, topic = _alert_count_stream(t)
+    claims, ckpt = work_path(spark, "tables", "claims"), work_path(spark, "ckpt", "claims")
+    jobs.claim_job(read_topic_files(spark, topic), claims, ckpt, available_now=True).awaitTermination()
+    return alerts.render(jobs.read_alerts(spark, counts, claims, ALERT_WINDOW, ALERT_SLIDE))
+
+
+def _alert_count_stream(t: RetailTables) -> tuple[str, str]:
+    """Replay the event topic through the count job: (table, topic) folders.
+
+    After the data, one heartbeat event (a clock tick a day later, on its own
+    device, with no coupon user so it can never alert) moves the watermark
+    past the last windows, as the passing of time does in a live stream; one
+    more run emits them."""
     spark = t.spark
-    topic, ckpt = work_path(spark, "topics", "event"), work_path(spark, "ckpt", "alerts")
-    table = jobs.alert_table(work_path(spark, "tables", "alerts"))
-    replay({topic: (_stamped_lines(t, schemas.EVENT_TOPIC), "_t")},
-           lambda: jobs.alert_job(read_topic_files(spark, topic), table, ckpt, ALERT_WINDOW, ALERT_SLIDE,
-                                  watermark="1 hour", available_now=True))
-    return alerts.render(jobs.read_alerts(table, spark))
+    topic, ckpt, out = (work_path(spark, "topics", "event"), work_path(spark, "ckpt", "alert_counts"),
+                        work_path(spark, "tables", "alert_counts"))
+    lines = _stamped_lines(t, schemas.EVENT_TOPIC)
+
+    def run():
+        return jobs.alert_count_job(read_topic_files(spark, topic), out, ckpt, ALERT_WINDOW, ALERT_SLIDE,
+                                    watermark="1 hour", available_now=True)
+
+    replay({topic: (lines, "_t")}, run)
+    _tick(spark, lines, topic, {"mid": "__heartbeat__", "evid": "heartbeat"}, run)
+    return out, topic
+
+
+def _tick(spark, lines: DataFrame, topic: str, fields: dict[str, str], run) -> None:
+    """One message a day after the last, then two more runs."""
+    tick_ms = F.col("last") + F.lit(86_400_000)
+    heartbeat = lines.agg(F.max(F.unix_millis("ingest_ts")).alias("last")).select(
+        F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in fields.items()], tick_ms.alias("ts"))).alias("value"),
+        F.timestamp_millis(tick_ms).alias("ingest_ts"))
+    append_topic_files(heartbeat, topic)
+    for _ in range(2):
+        run().awaitTermination()
 
 
 @register("sale_detail_stream", with_views(_SALE_DETAIL_SQL, "order_info", "order_detail", "user_info",
                                            extra={"pairs": _PAIRS_SQL}))
 def sale_detail_stream(t: RetailTables) -> DataFrame:
     """Order and detail topics replayed through the stream-stream interval
-    join job; users joined stream-static from the user upsert table."""
-    spark = t.spark
+    join job; users are looked up for each micro-batch."""
+    users = t.users.checkpoint(eager=True)  # built once, read by every batch
+    return _sale_detail_stream(t, lambda i: users)
+
+
+def _sale_detail_stream(t: RetailTables, users_at) -> DataFrame:
+    """``users_at(i)``: the user table during the i-th replayed chunk."""
+    spark, runs = t.spark, []
     o_topic, d_topic = work_path(spark, "topics", "orders"), work_path(spark, "topics", "details")
-    ckpt, out = work_path(spark, "ckpt", "sale_detail"), work_path(spark, "tables", "sale_detail")
-    users = t.users.checkpoint(eager=True)  # built once, read by every run
+    ckpt = work_path(spark, "ckpt", "sale_detail")
+    table = AppendTable(work_path(spark, "tables", "sale_detail"), partition_by=["dt_month"])
+
+    def run():
+        runs.append(1)
+        return jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
+                                    lambda: users_at(len(runs) - 1), table, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True)
+
     replay({o_topic: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t"),
-            d_topic: (_topic_messages(t, schemas.ORDER_DETAIL_TOPIC), "_t")},
-           lambda: jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic),
-                                        users, out, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True,
-                                        checkpoint_users=False))
-    return spark.read.parquet(out).select(*schemas.SALE_DETAIL_COLUMNS)  # drops the dt_month partition
+            d_topic: (_topic_messages(t, schemas.ORDER_DETAIL_TOPIC), "_t")}, run)
+    return table.read(spark).select(*schemas.SALE_DETAIL_COLUMNS)  # drops the dt_month partition
 
 
 @register("coupon_alert_documents", with_views("""
-    SELECT doc_id, CAST(to_json(struct_pack(mid := mid, uids := uids, itemIds := item_ids, events := events,
+    SELECT doc_id, CAST(to_json(struct_pack(mid := mid, uids := uid_list, itemIds := item_list, events := event_list,
                                             ts := ts)) AS VARCHAR) AS doc
     FROM (SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
       FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
-    WHERE rn = 1)""", "event_log", extra={"w": _ALERT_DOC_SQL}))
+    WHERE rn = 1)""", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_documents(t: RetailTables) -> DataFrame:
     """Alert documents as the keyed index stores them: (doc_id, JSON text)."""
-    return alerts.to_documents(alerts.latest_per_document(alerts.coupon_alerts(_alert_windows(t))))
+    return alerts.to_documents(alerts.latest_per_document(_with_members(t, alerts.coupon_alerts(_alert_counts(t)))))
 
 
 @register("topic_files_route", _LOG_TOPIC_COUNTS_SQL)
@@ -618,24 +647,36 @@ def order_detail_interval_stream(t: RetailTables) -> DataFrame:
 
 @register("dau_stream_state", with_views("SELECT * FROM dau", "dau"))
 def dau_stream_state(t: RetailTables) -> DataFrame:
-    """Startup topic replayed through the state-store DAU job."""
+    """Startup topic replayed through the closed-days DAU job; a message two
+    days later closes the last day."""
     spark = t.spark
-    topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau_state")
-    out = work_path(spark, "tables", "dau_state")
-    replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")},
-           lambda: jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, available_now=True))
-    return jobs.read_dau_state(spark, out)
+    topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau_final")
+    out = work_path(spark, "tables", "dau_final")
+    lines = _stamped_lines(t, schemas.STARTUP_TOPIC)
+
+    def run():
+        return jobs.dau_final_job(read_topic_files(spark, topic), out, ckpt, available_now=True)
+
+    replay({topic: (lines, "_t")}, run)
+    _tick(spark, lines, topic, {"mid": "__heartbeat__"}, run)
+    _tick(spark, lines.withColumn("ingest_ts", F.col("ingest_ts") + F.expr("INTERVAL 1 DAY")), topic, {"mid": "__heartbeat__"}, run)
+    return jobs.read_dau_final(spark, out).where(F.col("mid") != "__heartbeat__")
+
 
+_ANSWER_SQL = """
+    SELECT CAST(to_json(struct_pack(
+      yesterday := coalesce(map_from_entries(list(struct_pack(k := hour, v := value) ORDER BY hour) FILTER (WHERE day = 'yesterday')), MAP {}),
+      today := coalesce(map_from_entries(list(struct_pack(k := hour, v := value) ORDER BY hour) FILTER (WHERE day = 'today')), MAP {})))
+      AS VARCHAR) AS answer
+    FROM series"""
 
-@register("realtime_hours_answer", with_views(f"""
-    SELECT CAST(to_json(map_from_entries(list(struct_pack(k := day, v := hours) ORDER BY day DESC))) AS VARCHAR)
-           AS answer
-    FROM (SELECT day, map_from_entries(list(struct_pack(k := hour, v := value) ORDER BY hour)) AS hours
-          FROM series GROUP BY day)""", "dau",
+
+@register("realtime_hours_answer", with_views(
+    _ANSWER_SQL, "dau",
     extra={"series": _series_sql("log_date", "log_hour", "CAST(count(*) AS DOUBLE)", "dau", DAU_DAY)}))
 def realtime_hours_answer(t: RetailTables) -> DataFrame:
     """The realtime-hours answer as the service returns it: one JSON text."""
-    return metrics.hours_answer(metrics.realtime_hours(metrics.CARD_DAU, t.dau, t.orders, DAU_DAY))
+    return metrics.hours_answer(metrics.realtime_hours(metrics.CARD_DAU, t.dau_of(DAU_DAY, metrics.yesterday_of(DAU_DAY)), t.bare_orders, DAU_DAY))
 
 
 @register("dau_hours_from_table", with_views(
@@ -671,9 +712,8 @@ _ALERT_COUNT_COLS = "mid, window_start, window_end, n_users, has_veto, n_events,
     f"SELECT {_ALERT_COUNT_COLS} FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log",
     extra={"w": _ALERT_SQL}))
 def coupon_alert_counts(t: RetailTables) -> DataFrame:
-    """Alerts from the two-level count (no user set held per device)."""
-    counts = alerts.alert_counts(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
-    return alerts.render(alerts.coupon_alerts(counts))
+    """Alerts from the counts alone (no member is collected)."""
+    return alerts.render(alerts.coupon_alerts(_alert_counts(t)))
 
 
 @register("coupon_alert_members", with_views(f"""
@@ -694,32 +734,9 @@ def coupon_alert_members(t: RetailTables) -> DataFrame:
     f"SELECT {_ALERT_COUNT_COLS} FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log",
     extra={"w": _ALERT_SQL}))
 def coupon_alert_count_stream(t: RetailTables) -> DataFrame:
-    """Event topic replayed through the chained-aggregation alert job.
-
-    After the data, one heartbeat event (a clock tick a day later, on its own
-    device, with no coupon user so it can never alert) moves the watermark
-    past the last windows, as the passing of time does in a live stream; one
-    more run emits them."""
-    spark = t.spark
-    topic, ckpt, out = (work_path(spark, "topics", "event"), work_path(spark, "ckpt", "alert_counts"),
-                        work_path(spark, "tables", "alert_counts"))
-    lines = _stamped_lines(t, schemas.EVENT_TOPIC)
-
-    def run():
-        return jobs.alert_count_job(read_topic_files(spark, topic), out, ckpt, ALERT_WINDOW, ALERT_SLIDE,
-                                    watermark="1 hour", available_now=True)
-
-    replay({topic: (lines, "_t")}, run)
-    tick_ms = F.col("last") + F.lit(86_400_000)
-    heartbeat = lines.agg(F.max(F.unix_millis("ingest_ts")).alias("last")).select(
-        F.to_json(F.struct(F.lit("__heartbeat__").alias("mid"), F.lit("heartbeat").alias("evid"),
-                           tick_ms.alias("ts"))).alias("value"),
-        F.timestamp_millis(tick_ms).alias("ingest_ts"))
-    append_topic_files(heartbeat, topic)
-    with state_partitions(spark):
-        for _ in range(2):
-            run().awaitTermination()
-    return alerts.render(alerts.coupon_alerts(spark.read.parquet(out)))
+    """Event topic replayed through the chained-aggregation count job."""
+    counts, _ = _alert_count_stream(t)
+    return alerts.render(alerts.coupon_alerts(t.spark.read.parquet(counts)))
 
 
 @register("orders_missed_interval_stream", with_views(f"""
@@ -748,7 +765,198 @@ def orders_missed_interval_stream(t: RetailTables) -> DataFrame:
     append_topic_files(last.select(F.to_json(F.struct(F.lit("__heartbeat__").alias("id"),
                                                       F.lit("__heartbeat__").alias("order_id"))).alias("value"),
                                    tick.alias("ingest_ts")), d_topic)
-    with state_partitions(spark):
-        for _ in range(2):
-            run().awaitTermination()
+    for _ in range(2):
+        run().awaitTermination()
     return spark.read.parquet(out).where(F.col("id") != "__heartbeat__").select(*schemas.ORDER_INFO_COLUMNS)
+
+
+# --- rows that can fail: odd values, several versions, message text ---------
+
+@register("hours_of_odd_times", with_views("""
+    SELECT hour, coalesce(sum(value) FILTER (WHERE day = 'yesterday'), 0) AS yesterday,
+           coalesce(sum(value) FILTER (WHERE day = 'today'), 0) AS today
+    FROM (SELECT CASE WHEN create_date = '1996-09-17' THEN 'today' ELSE 'yesterday' END AS day,
+                 CASE WHEN okey % 5 = 0 THEN 'unknown' ELSE create_hour END AS hour,
+                 CAST(CAST(total_amount AS DECIMAL(28,4)) AS DOUBLE) AS value
+          FROM order_info WHERE create_date IN ('1996-09-17', '1996-09-16')
+          UNION ALL SELECT '', lpad(CAST(range AS VARCHAR), 2, '0'), 0 FROM range(24))
+    GROUP BY hour""", "order_info"))
+def hours_of_odd_times(t: RetailTables) -> DataFrame:
+    """Hours of orders of which some have no time and some an hour of one
+    digit: the columns still add up to the day's revenue."""
+    text = fixtures.order_info_text(t.raw("orders"), None)
+    key = F.col("id").cast("bigint")
+    date, time = F.substring("create_time", 1, 10), F.substring("create_time", 12, 8)
+    odd = F.when(key % 5 == 0, date).when(key % 5 == 1, F.concat(date, F.lit(" "), F.regexp_replace(time, "^0", ""))).otherwise(F.col("create_time"))
+    orders = clean.clean_orders(text.withColumn("create_time", odd))
+    return metrics.hour_table(metrics.realtime_hours(metrics.CARD_ORDER_AMOUNT, t.dau, orders, GMV_DAY))
+
+
+@register("hours_answer_empty_day", with_views(
+    _ANSWER_SQL, "order_info",
+    extra={"series": _series_sql("create_date", "create_hour", "CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE)",
+                                 "(SELECT * FROM order_info WHERE create_date <> '1996-09-16')", GMV_DAY)}))
+def hours_answer_empty_day(t: RetailTables) -> DataFrame:
+    """The hours answer when the day before has no rows: its key stays."""
+    orders = t.bare_orders.where(F.col("create_date") != "1996-09-16")
+    return metrics.hours_answer(metrics.realtime_hours(metrics.CARD_ORDER_AMOUNT, t.dau, orders, GMV_DAY))
+
+
+@register("coupon_alert_odd_events", with_views(
+    f"SELECT {_ALERT_COLUMNS} FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log",
+    extra={"odd": """SELECT mid, CASE WHEN CAST(uid AS BIGINT) % 7 = 0 THEN NULL ELSE uid END AS uid,
+                            CASE WHEN evid <> 'clickItem' THEN evid WHEN CAST(itemid AS BIGINT) % 3 = 0 THEN 'share'
+                                 WHEN CAST(itemid AS BIGINT) % 3 = 1 THEN NULL ELSE 'addComment' END AS evid, itemid, ts
+                     FROM event_log""",
+           "w": _ALERT_SQL_OF.format(window=_ALERT_WINDOW_MS, slide=_ALERT_SLIDE_MS, events="odd")}))
+def coupon_alert_odd_events(t: RetailTables) -> DataFrame:
+    """Alerts where events have no user, an id outside the known ones, or none."""
+    item, evid = F.col("itemid").cast("bigint"), F.col("evid")
+    odd = t.event_logs.withColumns({
+        "uid": F.when(F.col("uid").cast("bigint") % 7 != 0, F.col("uid")),
+        "evid": F.when(evid != "clickItem", evid).when(item % 3 == 0, "share").when(item % 3 == 2, "addComment"),
+    })
+    return alerts.render(alerts.alert_windows(alerts.with_event_time(odd), ALERT_WINDOW, ALERT_SLIDE))
+
+
+@register("coupon_alert_shared_minute", with_views("""
+    SELECT doc_id, window_start, window_end, n_users, events FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, window_start DESC) AS rn
+      FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
+    WHERE rn = 1""", "event_log", extra={
+    "odd": "SELECT mid, uid, evid, itemid, ts // 720 AS ts FROM event_log",
+    "w": _ALERT_SQL_OF.format(window=30_000, slide=5_000, events="odd")}))
+def coupon_alert_shared_minute(t: RetailTables) -> DataFrame:
+    """Documents of windows that end in the same minute (30 s by 5 s, on a
+    clock run 720 times faster): the last write wins."""
+    fast = alerts.with_event_time(t.event_logs.withColumn("ts", F.floor(F.col("ts") / 720).cast("bigint")))
+    latest = alerts.latest_per_document(alerts.coupon_alerts(alerts.alert_counts(fast)))
+    return alerts.render(latest).select("doc_id", "window_start", "window_end", "n_users", "events")
+
+
+@register("order_upsert_versions", with_views("""
+    SELECT id, CASE WHEN okey % 2 = 0 THEN 'V3' ELSE 'V2' END AS order_status, total_amount FROM order_info""", "order_info"))
+def order_upsert_versions(t: RetailTables) -> DataFrame:
+    """Three versions of an order, delivered out of order and with a repeat:
+    the one with the highest ``seq`` stays (odd keys lack the third)."""
+    rows = t.bare_orders.select("id", "total_amount", F.col("id").cast("bigint").alias("k"))
+    version = lambda n: rows.select("id", F.lit(f"V{n}").alias("order_status"), "total_amount", F.lit(n).alias("seq"))
+    third = rows.where("k % 2 = 0").select("id", F.lit("V3").alias("order_status"), "total_amount", F.lit(3).alias("seq"))
+    return latest_per_key(third.unionByName(version(1)).unionByName(version(2)).unionByName(version(1)), ["id"], ["seq"]).drop("seq")
+
+
+@register("unmatched_details_of_some", with_views("""
+    SELECT d.id, d.order_id, d.sku_name, d.sku_id, d.order_price, NULL::VARCHAR AS img_url, d.sku_num
+    FROM order_detail d WHERE NOT EXISTS (SELECT 1 FROM order_info o WHERE o.id = d.order_id AND o.order_status <> 'F')""",
+    "order_info", "order_detail"))
+def unmatched_details_of_some(t: RetailTables) -> DataFrame:
+    """Details whose order never came: finished orders are left out."""
+    some = t.bare_orders.where(F.col("order_status") != "F")
+    return sale_detail.unmatched_details(some, t.details).select(*schemas.ORDER_DETAIL.fieldNames())
+
+
+_LOG_TEXT_SQL = """
+    SELECT '{start}' AS topic, '{{"mid":"' || mid || '","uid":"' || uid || '","appid":"' || appid || '","area":"' || area || '","os":"' || os
+           || '","ch":"' || ch || '","type":"' || type || '","vs":"' || vs || '","ts":' || CAST(ts AS VARCHAR) || '}}' AS value FROM startup_log
+    UNION ALL
+    SELECT '{event}', '{{"mid":"' || mid || '","uid":"' || uid || '","appid":"' || appid || '","area":"' || area || '","os":"' || os
+           || '","type":"' || type || '","evid":"' || evid || '","pgid":"' || pgid || '","npgid":"' || npgid || '","itemid":"' || itemid
+           || '","ts":' || CAST(ts AS VARCHAR) || '}}' FROM event_log
+    """.format(start=schemas.STARTUP_TOPIC, event=schemas.EVENT_TOPIC)
+
+
+@register("log_archive_text", with_views(f"SELECT value FROM ({_LOG_TEXT_SQL})", "startup_log", "event_log"))
+def log_archive_text(t: RetailTables) -> DataFrame:
+    """The text of every archived line."""
+    path = work_path(t.spark, "log_archive")
+    ingest.archive_logs(ingest.stamp_log(t.raw_log_lines, "stamp_ms"), path)
+    return t.spark.read.text(path).select("value")
+
+
+@register("log_ingest_stream", with_views(
+    f"SELECT * FROM ({_LOG_TEXT_SQL}) UNION ALL SELECT '{schemas.REJECTED_TOPIC}', 'broken ' || CAST(event_id AS VARCHAR) FROM events WHERE event_id % 10 = 0",
+    "startup_log", "event_log"))
+def log_ingest_stream(t: RetailTables) -> DataFrame:
+    """Posted lines, some of them malformed, through the ingest job: the text
+    of each topic's messages."""
+    spark = t.spark
+    posted, out, ckpt = work_path(spark, "topics", "posted"), work_path(spark, "topics", "logs"), work_path(spark, "ckpt", "ingest")
+    bad = t.raw("events").where("event_id % 10 = 0").select(
+        F.concat(F.lit("broken "), F.col("event_id").cast("string")).alias("value"), F.unix_millis(F.col("ts").cast("timestamp")).alias("stamp_ms"))
+    lines = t.raw_log_lines.unionByName(bad).select(
+        "value", F.timestamp_millis("stamp_ms").alias("ingest_ts"), (F.col("stamp_ms") / 1000.0).alias("_t"))
+    replay({posted: (lines, "_t")}, lambda: jobs.ingest_job(read_topic_files(spark, posted), out, ckpt, F.unix_millis("ingest_ts"), available_now=True))
+    return spark.read.parquet(out).select(F.col("topic").cast("string").alias("topic"), "value")
+
+
+@register("cdc_stream", with_views(f"""
+    SELECT '{schemas.USER_INFO_TOPIC}' AS topic, CAST(c_custkey AS VARCHAR) AS key, c_custkey * 4 + v AS seq,
+           '{{"id":"' || CAST(c_custkey AS VARCHAR) || '","login_name":"' || login_name || '","user_level":"'
+           || CASE WHEN v = 1 THEN '6' ELSE level END || '","birthday":"' || birthday || '","gender":"' || gender || '"}}' AS value
+    FROM (SELECT c.c_custkey, c.c_name AS login_name, u.birthday, u.gender,
+                 CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '1' WHEN 'BUILDING' THEN '2' WHEN 'FURNITURE' THEN '3'
+                                   WHEN 'HOUSEHOLD' THEN '4' WHEN 'MACHINERY' THEN '5' END AS level
+          FROM customer c JOIN user_info u ON u.id = CAST(c.c_custkey AS VARCHAR)), (SELECT range AS v FROM range(2))
+    WHERE v = 0 OR c_custkey % 10 = 3
+    UNION ALL
+    SELECT '{schemas.ORDER_DETAIL_TOPIC}', id, CAST(order_id AS BIGINT) * 4,
+           '{{"id":"' || id || '","order_id":"' || order_id || '","sku_name":"' || sku_name || '","sku_id":"' || sku_id
+           || '","order_price":"' || order_price || '","img_url":null,"sku_num":"' || sku_num || '"}}' FROM order_detail""",
+    "user_info", "order_detail"))
+def cdc_stream(t: RetailTables) -> DataFrame:
+    """User and detail change envelopes through the change-feed job: key, own
+    number and text of each message."""
+    spark = t.spark
+    feed, out, ckpt = work_path(spark, "topics", "feed"), work_path(spark, "topics", "changes"), work_path(spark, "ckpt", "changes")
+    rows = changefeed.table_envelopes(changefeed.keyed_users(t.users_text), "user_info").unionByName(
+        changefeed.table_envelopes(changefeed.keyed_details(t.details), "order_detail"))
+    lines = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"), "ingest_ts", F.unix_seconds("ingest_ts").cast("double").alias("_t"))
+    replay({feed: (lines, "_t")}, lambda: jobs.change_job(read_topic_files(spark, feed), out, ckpt, available_now=True))
+    return spark.read.parquet(out).select(F.col("topic").cast("string").alias("topic"), "key", "seq", "value")
+
+
+@register("sale_detail_user_updates_stream", with_views(f"""
+    SELECT s.order_detail_id, s.order_id, s.user_id, u.gender AS user_gender, CASE WHEN o.q < 2 THEN u.user_level ELSE '9' END AS user_level
+    FROM pairs s LEFT JOIN user_info u ON s.user_id = u.id
+    JOIN (SELECT id, least(CAST(floor((epoch(ingest_ts) - lo) / ((hi - lo) / 4)) AS INTEGER), 3) AS q
+          FROM (SELECT *, (SELECT min(x) FROM bounds) AS lo, (SELECT max(x) FROM bounds) AS hi FROM order_detail)) o ON o.id = s.order_detail_id
+    WHERE s.order_id NOT IN (SELECT order_id FROM edges)""",
+    "order_info", "order_detail", "user_info",
+    extra={"pairs": _PAIRS_SQL,
+           "bounds": "SELECT epoch(ingest_ts) AS x FROM order_info UNION ALL SELECT epoch(ingest_ts) + CASE WHEN CAST(id AS BIGINT) % 10 = 3 THEN 60 ELSE 0 END FROM order_info UNION ALL SELECT epoch(ingest_ts) FROM order_detail UNION ALL SELECT epoch(ingest_ts) + 60 FROM order_detail WHERE CAST(order_id AS BIGINT) % 10 = 3",
+           "edges": "SELECT NULL AS order_id WHERE false"}))
+def sale_detail_user_updates_stream(t: RetailTables) -> DataFrame:
+    """Every user's level changes halfway through the replay: pairs that meet
+    later carry the new one."""
+    users = t.users.checkpoint(eager=True)
+    later = users.withColumn("user_level", F.lit("9"))
+    rows = _sale_detail_stream(t, lambda i: users if i < 2 else later)
+    return rows.select("order_detail_id", "order_id", "user_id", "user_gender", "user_level")
+
+
+@register("sale_search_answer", with_views(f"""
+    SELECT (SELECT count(*) FROM hits) AS total,
+           (SELECT coalesce(list(dim || ':' || coalesce(label, '') || ':' || CAST(n AS VARCHAR) ORDER BY dim, label), []) FROM (
+              SELECT 'gender' AS dim, user_gender AS label, count(*) AS n FROM hits GROUP BY 2
+              UNION ALL SELECT 'age', CASE WHEN user_age < 20 THEN 'under 20' WHEN user_age < 30 THEN '20 to 29'
+                                           WHEN user_age >= 30 THEN '30 and over' ELSE 'unknown' END, count(*) FROM hits GROUP BY 2)) AS stat,
+           (SELECT coalesce(list(order_detail_id ORDER BY order_detail_id), []) FROM (SELECT order_detail_id FROM hits ORDER BY 1 LIMIT {PAGE_LENGTH} OFFSET {PAGE_START})) AS detail
+    """, *_SALE_DETAIL_VIEWS, extra={**_SALE_EXTRA, "hits": f"SELECT * FROM sale WHERE dt = '{SEARCH_DAY}'"}))
+def sale_search_answer(t: RetailTables) -> DataFrame:
+    """The whole answer of one search from one filtered set."""
+    hits = search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD).checkpoint()
+    answer = search.search_answer(hits, PAGE_START, PAGE_LENGTH)
+    stat = F.from_json("stat", "array<struct<dim: string, label: string, n: bigint, pct: double>>")
+    return answer.select(
+        "total", F.transform(stat, lambda x: F.concat_ws(":", x["dim"], F.coalesce(x["label"], F.lit("")), x["n"].cast("string"))).alias("stat"),
+        F.from_json("detail", "array<struct<order_detail_id: string>>")["order_detail_id"].alias("detail"))
+
+
+@register("sale_search_next_page", with_views(f"""
+    SELECT * FROM sale WHERE dt = '{SEARCH_DAY}' ORDER BY order_detail_id LIMIT {PAGE_LENGTH} OFFSET {PAGE_LENGTH}""",
+    *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_search_next_page(t: RetailTables) -> DataFrame:
+    """The second page by keyset: the rows after the first page's last."""
+    hits = search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD).checkpoint()
+    last = search.search_page_after(hits, None, PAGE_LENGTH).agg(F.max("order_detail_id")).first()[0]
+    return search.search_page_after(hits, last, PAGE_LENGTH)

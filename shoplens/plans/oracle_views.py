@@ -7,39 +7,32 @@ the Spark derivation too.
 
 from __future__ import annotations
 
-from shoplens.sources.fixtures import APP_ID, AREAS, CHANNELS, VERSIONS
-
-
-def _list(values: list[str]) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
-
-
 CTES: dict[str, str] = {}
 
 CTES["ev"] = """
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 """
 
-CTES["startup_log"] = f"""
+CTES["startup_log"] = """
   SELECT 'mid_' || CAST(user_id AS VARCHAR) AS mid,
          CAST(user_id AS VARCHAR) AS uid,
-         '{APP_ID}' AS appid,
-         {_list(AREAS)}[k % 10 + 1] AS area,
+         'shop' AS appid,
+         'area_' || CAST(k % 10 AS VARCHAR) AS area,
          CASE WHEN k % 10 < 3 THEN 'ios' ELSE 'android' END AS os,
-         CASE WHEN k % 10 < 3 THEN 'appstore' ELSE {_list(CHANNELS)}[k % 7 + 1] END AS ch,
+         CASE WHEN k % 10 < 3 THEN 'appstore' ELSE 'channel_' || CAST(k % 7 AS VARCHAR) END AS ch,
          'startup' AS type,
-         {_list(VERSIONS)}[k % 4 + 1] AS vs,
+         '1.' || CAST(k % 4 AS VARCHAR) AS vs,
          epoch_us(ts) // 1000 AS ts,
          strftime(ts, '%Y-%m-%d') AS log_date,
          strftime(ts, '%H') AS log_hour
   FROM ev WHERE event_type = 'signup'
 """
 
-CTES["event_log"] = f"""
+CTES["event_log"] = """
   SELECT 'mid_' || CAST(k % 20 AS VARCHAR) AS mid,
          CAST(user_id AS VARCHAR) AS uid,
-         '{APP_ID}' AS appid,
-         {_list(AREAS)}[k % 10 + 1] AS area,
+         'shop' AS appid,
+         'area_' || CAST(k % 10 AS VARCHAR) AS area,
          CASE WHEN k % 10 < 3 THEN 'ios' ELSE 'android' END AS os,
          'event' AS type,
          CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem'

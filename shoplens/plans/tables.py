@@ -7,9 +7,10 @@ exchange reuse removes duplicate shuffles inside one query.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import schemas
@@ -18,22 +19,19 @@ from shoplens.operators.keyed import latest_per_key
 from shoplens.sources import changefeed, fixtures
 
 
+def _days(col: str, days: tuple[str, ...]) -> Column:
+    """Range on a raw time column that covers the days."""
+    after = (dt.date.fromisoformat(max(days)) + dt.timedelta(days=1)).isoformat()
+    return (F.col(col) >= F.lit(min(days)).cast("timestamp_ntz")) & (F.col(col) < F.lit(after).cast("timestamp_ntz"))
+
+
 class RetailTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        df = fixtures.read_table(self.spark, self.sf_dir, name)
-        if name in fixtures.FACT_TABLES:
-            df = fixtures.spread_small_input(df, self._parallelism())
-        return df
-
-    def _parallelism(self) -> int:
-        try:
-            return self.spark.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - Spark Connect: leave inputs as they are
-            return 0
+        return fixtures.read_table(self.spark, self.sf_dir, name)
 
     # --- app logs ---------------------------------------------------------
     @cached_property
@@ -63,6 +61,21 @@ class RetailTables:
         """Clean order rows with ``ingest_ts`` = creation time (arrival)."""
         return clean.clean_orders(self.orders_text)
 
+    @cached_property
+    def bare_orders(self) -> DataFrame:
+        """Clean order rows without their customer's columns: one scan."""
+        return clean.clean_orders(fixtures.order_info_text(self.raw("orders"), None))
+
+    def orders_of(self, *days: str) -> DataFrame:
+        """``bare_orders`` of these days; the range reaches the scan."""
+        rows = self.raw("orders").where(_days("o_orderdate", days))
+        return clean.clean_orders(fixtures.order_info_text(rows, None))
+
+    def dau_of(self, *days: str) -> DataFrame:
+        """The DAU rows of these days; the range reaches the scan."""
+        logs = fixtures.startup_logs(self.raw("events").where(_days("ts", days)))
+        return dedup.first_visit_per_day(clean.with_log_time(logs))
+
     @cached_property
     def details(self) -> DataFrame:
         """order_detail rows with ``ingest_ts`` (arrival time)."""
@@ -98,4 +111,4 @@ class RetailTables:
     def users(self) -> DataFrame:
         """Latest user row per id from the user topic (inserts and updates)."""
         parsed = clean.parse_users(self.topic(schemas.USER_INFO_TOPIC))
-        return latest_per_key(parsed.drop("ingest_ts"), ["id"], ["seq"]).drop("seq")
+        return latest_per_key(parsed.drop("ingest_ts", "key"), ["id"], ["seq"]).drop("seq")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Topic and index names the pipeline routes to.
+REJECTED_TOPIC = "REJECTED_LINES"
 STARTUP_TOPIC = "gmall_start"
 EVENT_TOPIC = "gmall_event"
 ORDER_INFO_TOPIC = "gmall_order_info"

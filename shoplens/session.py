@@ -106,8 +106,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         if not current:
-            current = tempfile.mkdtemp(prefix="shoplens-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", current)
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return current
     current = current or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
@@ -117,6 +116,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="shoplens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -21,20 +21,6 @@ def _row_image(df: DataFrame) -> Column:
     return F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols])
 
 
-def to_envelopes(rows: DataFrame, table: str, event_type: str | Column,
-                 entry_type: str = "ROWDATA") -> DataFrame:
-    """One envelope per row: ``rows`` must carry ``seq`` and ``ingest_ts``."""
-    et = event_type if isinstance(event_type, Column) else F.lit(event_type)
-    return rows.select(
-        F.lit(entry_type).alias("entry_type"),
-        F.lit(table).alias("table"),
-        et.alias("event_type"),
-        F.array(_row_image(rows)).alias("row_datas"),
-        F.col("seq").cast("bigint").alias("seq"),
-        F.col("ingest_ts").cast("timestamp").alias("ingest_ts"),
-    )
-
-
 def parse_envelopes(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Envelopes sent as JSON text on a topic -> envelope columns."""
     keep = [c for c in lines.columns if c != value_col]

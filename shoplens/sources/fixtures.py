@@ -16,12 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The simulator's option lists (area, channel, version).
-AREAS = ["beijing", "shanghai", "guangdong", "hebei", "heilongjiang",
-         "shandong", "tianjin", "shan3xi", "shan1xi", "sichuan"]
-CHANNELS = ["xiaomi", "huawei", "wandoujia", "360", "tencent", "baidu", "website"]
-VERSIONS = ["1.2.0", "1.1.2", "1.1.3", "1.1.1"]
-APP_ID = "gmall2019"
+# Neutral values of the log fixtures: area_<n>, channel_<n>, version 1.<n>.
+N_AREAS, N_CHANNELS, N_VERSIONS = 10, 7, 4
+APP_ID = "shop"
 # Fixture event type -> app event id.
 EVENT_IDS = {"purchase": "coupon", "click": "clickItem", "view": "addCart", "error": "addComment"}
 # Market segment -> user level.
@@ -44,28 +41,6 @@ TABLE_SCHEMAS = {
 }
 
 
-# The star schema's fact tables: the only inputs large enough to need spreading.
-FACT_TABLES = ("lineitem", "orders", "events")
-# Switch for plan inspection: the at-scale plan report turns spreading off,
-# since large inputs never take that step.
-SPREAD_SMALL_INPUTS = True
-
-
-def spread_small_input(df: DataFrame, parallelism: int) -> DataFrame:
-    """Spread an input that arrives in fewer splits than half the cores.
-
-    A small file written as one row group is read by one task, and every
-    per-row step fused into that stage (parsing, formatting, the map side of
-    aggregates) runs on one core. Such an input is round-robin spread over
-    the cores; an input with enough splits — any large one — is returned
-    unchanged, so this never adds a shuffle at scale. Filters and column
-    pruning still reach the scan below the repartition.
-    """
-    if SPREAD_SMALL_INPUTS and parallelism > 1 and df.rdd.getNumPartitions() * 2 <= parallelism:
-        return df.repartition(parallelism)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
@@ -73,11 +48,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    """``values[index]`` for a 0-based integer column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + F.lit(1))
-
-
 def _k(props: str = "props") -> Column:
     return F.get_json_object(F.col(props), "$.k").try_cast("int")
 
@@ -90,7 +60,7 @@ def _log_common(k: Column) -> dict[str, Column]:
     is_ios = (k % 10) < 3
     return {
         "appid": F.lit(APP_ID),
-        "area": _pick(AREAS, k % 10),
+        "area": F.concat(F.lit("area_"), (k % N_AREAS).cast("string")),
         "os": F.when(is_ios, F.lit("ios")).otherwise(F.lit("android")),
     }
 
@@ -105,9 +75,9 @@ def startup_logs(events: DataFrame) -> DataFrame:
         common["appid"].alias("appid"),
         common["area"].alias("area"),
         common["os"].alias("os"),
-        F.when(common["os"] == "ios", F.lit("appstore")).otherwise(_pick(CHANNELS, k % 7)).alias("ch"),
+        F.when(common["os"] == "ios", F.lit("appstore")).otherwise(F.concat(F.lit("channel_"), (k % N_CHANNELS).cast("string"))).alias("ch"),
         F.lit("startup").alias("type"),
-        _pick(VERSIONS, k % 4).alias("vs"),
+        F.concat(F.lit("1."), (k % N_VERSIONS).cast("string")).alias("vs"),
         _epoch_ms("ts").alias("ts"),
     )
 
@@ -144,17 +114,21 @@ def _money_text(c: Column) -> Column:
     return c.cast("decimal(18,2)").cast("string")
 
 
-def order_info_text(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def order_info_text(orders: DataFrame, customer: DataFrame | None) -> DataFrame:
     """order_info after-images as the change feed carries them (all text),
-    plus ``ingest_ts``: the order's arrival time, equal to its creation time."""
-    cust = customer.select("c_custkey", "c_name", "c_nationkey")
-    o = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").withColumn(
-        "_created", _create_time(F.col("o_orderdate"), F.col("o_orderkey")))
+    plus ``ingest_ts``: the order's arrival time, equal to its creation time.
+    Without ``customer`` the rows lack ``province_id`` and ``consignee``, and
+    nothing is joined."""
+    o, of_customer = orders, []
+    if customer is not None:
+        cust = customer.select("c_custkey", "c_name", "c_nationkey")
+        o = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+        of_customer = [F.col("c_nationkey").cast("string").alias("province_id"), F.col("c_name").alias("consignee")]
+    o = o.withColumn("_created", _create_time(F.col("o_orderdate"), F.col("o_orderkey")))
     null = F.lit(None).cast("string")
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"),
-        F.col("c_nationkey").cast("string").alias("province_id"),
-        F.col("c_name").alias("consignee"),
+        *of_customer,
         null.alias("order_comment"),
         F.concat(F.lit("1"), F.lpad(((F.col("o_custkey") * 7919) % 10000000000).cast("string"), 10, "0"))
         .alias("consignee_tel"),

@@ -38,10 +38,10 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topics: str | list[s
 
 
 def write_topic(df: DataFrame, bootstrap_servers: str, checkpoint: str, topic_col: str = "topic",
-                key_col: str | None = None):
-    """Stream rows to the topic named in each row's ``topic`` column; with
-    ``key_col`` the message key is that column (e.g. the entity id), so all
-    versions of one entity land in one partition, in order."""
+                key_col: str | None = "key"):
+    """Stream rows to the topic named in each row's ``topic`` column; the
+    message key is ``key_col`` (the entity id), so all versions of one entity
+    land in one partition, in order. None sends unkeyed."""
     cols = [F.col(topic_col).alias("topic"), F.col("value").cast("string").alias("value")]
     if key_col:
         cols.append(F.col(key_col).cast("string").alias("key"))

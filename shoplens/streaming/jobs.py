@@ -11,13 +11,17 @@ Triggers default to the reference's cadence (5 s; 3 s for the join job);
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens import schemas
-from shoplens.operators import alerts, clean, dedup, sale_detail
-from shoplens.streaming.sinks import AppendTable, KeyedTable, LogTable
+from shoplens.functions import columns as C
+from shoplens.operators import alerts, clean, dedup, ingest, sale_detail
+from shoplens.sources import changefeed
+from shoplens.streaming.sinks import AppendTable, LogTable
 
 
 def _start(writer, checkpoint: str, trigger_seconds: int, available_now: bool, name: str) -> StreamingQuery:
@@ -29,37 +33,79 @@ def _start(writer, checkpoint: str, trigger_seconds: int, available_now: bool, n
     return writer.start()
 
 
+# --- ingest -----------------------------------------------------------------
+
+def ingest_job(lines: DataFrame, path: str, checkpoint: str, stamp_ms: Column | str | None = None,
+               trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Posted log lines -> stamped messages, one folder per topic (malformed
+    lines in the rejected topic) and, below it, per day: topic and day-rolled
+    archive in one exactly-once write. ``stamp_ms``: default the present."""
+    stamped = ingest.route_logs(ingest.stamp_log(lines, ingest.now_ms() if stamp_ms is None else stamp_ms))
+    out = stamped.select("topic", C.log_date("ts").alias("log_date"), "value", F.lit(None).cast("bigint").alias("seq"),
+                         F.timestamp_millis("ts").alias("ingest_ts"))
+    writer = out.writeStream.format("parquet").option("path", path).partitionBy("topic", "log_date").outputMode("append")
+    return _start(writer, checkpoint, trigger_seconds, available_now, "ingest")
+
+
+def change_job(lines: DataFrame, path: str, checkpoint: str,
+               trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Change envelopes (JSON text) -> keyed messages, one folder per topic."""
+    routed = ingest.route_changes(changefeed.parse_envelopes(lines.select("value")))
+    writer = routed.writeStream.format("parquet").option("path", path).partitionBy("topic").outputMode("append")
+    return _start(writer, checkpoint, trigger_seconds, available_now, "changes")
+
+
 # --- daily active devices ---------------------------------------------------
 
-def dau_job(lines: DataFrame, table: AppendTable, checkpoint: str,
-            trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
-    """Startup log lines -> new (first-of-day) device rows appended to ``table``.
+def first_visits(lines: DataFrame, lateness: str) -> DataFrame:
+    """Startup lines -> the earliest row per (day, device), as a windowed
+    ``min`` in the state store.
 
-    Per micro-batch: earliest row per (day, device) inside the batch, minus
-    devices the table already holds for that day (anti join on the day's
-    partitions only). The batch is persisted because it feeds two actions.
-    Rows per batch are reported as the observed metric ``dau_rows``.
+    The 1-day window only bounds the state: it lets the watermark drop days
+    that are over. The day itself is ``log_date`` in the session's time zone,
+    so a day that spans two windows may give a device two rows, of which the
+    reader takes the earliest (:func:`read_dau`). Rows later than ``lateness``
+    are dropped by the watermark and counted (:func:`late_rows_dropped`);
+    ``dau_rows`` observes the rows that come out of each micro-batch.
     """
-    parsed = clean.parse_startup(lines).observe("dau_rows", F.count(F.lit(1)).alias("rows"))
+    rows = clean.parse_startup(lines).select(*dedup.DAU_COLUMNS)
+    rows = rows.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", lateness)
+    rest = [c for c in dedup.DAU_COLUMNS if c not in ("ts", "uid", *dedup.DAU_KEYS)]
+    first = F.min(F.struct("ts", "uid", *rest)).alias("_row")
+    firsts = rows.groupBy(F.window("event_time", "1 day"), *dedup.DAU_KEYS).agg(first)
+    return firsts.select(*dedup.DAU_KEYS, "_row.*").select(*dedup.DAU_COLUMNS).observe("dau_rows", F.count(F.lit(1)).alias("rows"))
+
 
+def dau_job(lines: DataFrame, table: AppendTable, checkpoint: str, lateness: str = "1 hour",
+            trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Startup lines -> first visits, written as they change (update mode), so
+    the current day can be read at any time. A batch costs its own rows: the
+    table is never read or listed here."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*dedup.DAU_COLUMNS).persist()
-        try:
-            if batch.isEmpty():
-                return
-            # The days present in one batch: a handful of values, used as
-            # literals so the seen-table read prunes to those day folders.
-            days = [r[0] for r in batch.select("log_date").distinct().collect()]
-            spark = batch.sparkSession
-            new = dedup.first_visit_per_day(batch)
-            if table.exists(spark):
-                seen = table.read(spark, before_batch=batch_id).where(F.col("log_date").isin(days))
-                new = dedup.drop_seen(new, dedup.seen_devices(seen))
-            table.write_batch(new, batch_id)
-        finally:
-            batch.unpersist()
-
-    return _start(parsed.writeStream.foreachBatch(each), checkpoint, trigger_seconds, available_now, "dau")
+        table.write_batch(batch, batch_id)
+
+    writer = first_visits(lines, lateness).writeStream.outputMode("update").foreachBatch(each)
+    return _start(writer, checkpoint, trigger_seconds, available_now, "dau")
+
+
+def dau_final_job(lines: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour",
+                  trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Startup lines -> first visits of days that are over (append mode), once
+    each, through the file sink's commit log."""
+    writer = (first_visits(lines, lateness).writeStream.format("parquet").option("path", path)
+              .partitionBy("log_date").outputMode("append"))
+    return _start(writer, checkpoint, trigger_seconds, available_now, "dau_final")
+
+
+def read_dau(versions: DataFrame) -> DataFrame:
+    """The DAU table from what either job wrote: the earliest row per key."""
+    return dedup.first_visit_per_day(versions)
+
+
+def read_dau_final(spark, path: str) -> DataFrame:
+    """The final job's table, with ``log_date`` kept as text."""
+    schema = ", ".join(f"{c} {'bigint' if c == 'ts' else 'string'}" for c in dedup.DAU_COLUMNS)
+    return read_dau(spark.read.schema(schema).parquet(path).select(*dedup.DAU_COLUMNS))
 
 
 # --- order table ------------------------------------------------------------
@@ -73,82 +119,89 @@ def order_job(lines: DataFrame, table: LogTable, checkpoint: str,
 
 # --- coupon alerts ----------------------------------------------------------
 
-def alert_job(lines: DataFrame, table: KeyedTable, checkpoint: str, window: str = "30 seconds",
-              slide: str = "5 seconds", watermark: str = "1 minute", min_users: int = 3,
-              trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
-    """Event lines -> per (window, device) aggregates, upserted on every change.
-
-    Update mode: each micro-batch emits the windows it changed; state of
-    windows older than the watermark is dropped. A window's distinct-user
-    count only grows and its veto flag only turns on, so only windows at or
-    above ``min_users`` can ever alert: just those are written (a vetoed one
-    overwrites its earlier alerting version, acting as a tombstone), and the
-    table grows with alert candidates, not with all windows. Readers apply
-    the alert test (:func:`read_alerts`).
+def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str = "30 seconds",
+                    slide: str = "5 seconds", watermark: str = "1 minute",
+                    coupon_event: str = schemas.COUPON_EVENT, veto_event: str = schemas.CLICK_EVENT,
+                    trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Event lines -> final counts per (window, device), appended once.
+
+    The batch form's three aggregations chained on event time (append mode);
+    no group holds a device's users. A window is written once the watermark
+    passes its end. All windows are written, so a reader may ask for any
+    ``min_users``.
     """
-    events = alerts.with_event_time(clean.parse_event(lines))
-    windows = alerts.alert_windows(events, window, slide, watermark=watermark)
+    events = alerts.with_event_time(clean.parse_event(lines)).withWatermark("event_time", watermark)
+    # the windows after the first are tumbling ones of the slide's length: [end - slide, end)
+    ends = lambda w: F.window(F.window_time(w), slide).alias("w_end")
+    by_event = alerts.per_user(events, window, slide).groupBy(ends("window"), "mid", "evid").agg(*alerts.event_totals())
+    g = by_event.groupBy(ends("w_end"), "mid").agg(*alerts.window_totals(coupon_event, veto_event))
+    length_ms = F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {window})")
+    end_ms = F.unix_millis(F.col("w_end.end"))
+    out = g.select("mid", (end_ms - length_ms).alias("window_start"), end_ms.alias("window_end"),
+                   "n_users", "has_veto", "n_events", "event_counts", end_ms.alias("ts"))
+    writer = out.writeStream.format("parquet").option("path", path).outputMode("append")
+    return _start(writer, checkpoint, trigger_seconds, available_now, "alert_counts")
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        candidates = alerts.alert_candidates(batch, min_users)
-        if not candidates.isEmpty():  # skip the bulk write for an empty batch
-            table.write_batch(candidates, batch_id)
 
-    writer = windows.writeStream.outputMode("update").foreachBatch(each)
-    return _start(writer, checkpoint, trigger_seconds, available_now, "alerts")
+CLAIM_SCHEMA = "mid string, uid string, evid string, itemid string, ts bigint, log_date string"
 
 
-def alert_table(path: str) -> KeyedTable:
-    return KeyedTable(path, keys=["mid", "window_start"])
+def claim_job(lines: DataFrame, path: str, checkpoint: str, coupon_event: str = schemas.COUPON_EVENT,
+              trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Event lines -> the coupon claims, appended by day: the members of alerts."""
+    claims = clean.parse_event(lines).where(F.col("evid") == coupon_event)
+    writer = (claims.select("mid", "uid", "evid", "itemid", "ts", "log_date").writeStream.format("parquet")
+              .option("path", path).partitionBy("log_date").outputMode("append"))
+    return _start(writer, checkpoint, trigger_seconds, available_now, "claims")
 
 
-def read_alerts(table: KeyedTable, spark, min_users: int = 3) -> DataFrame:
-    """Current alerts, at most one per device and minute (latest wins).
-    ``min_users`` must not be below the one the job wrote with."""
-    return alerts.latest_per_document(alerts.coupon_alerts(table.read(spark), min_users))
+def read_alerts(spark, counts_path: str, claims_path: str, window: str = "30 seconds", slide: str = "5 seconds",
+                coupon_event: str = schemas.COUPON_EVENT, min_users: int = 3) -> DataFrame:
+    """The alerts, at most one per device and minute (latest wins), with their
+    users and items. ``window``, ``slide`` and ``coupon_event`` as in the jobs."""
+    found = alerts.coupon_alerts(spark.read.parquet(counts_path), min_users)
+    claims = alerts.with_event_time(spark.read.schema(CLAIM_SCHEMA).parquet(claims_path))
+    return alerts.latest_per_document(alerts.with_members(found, claims, window, slide, coupon_event))
 
 
 # --- orders x details ---------------------------------------------------------
 
 def interval_join_job(order_lines: DataFrame, detail_lines: DataFrame, path: str, checkpoint: str,
-                      within_seconds: int = 300, watermark: str = "10 minutes", users: DataFrame | None = None,
-                      as_of: str | None = None, trigger_seconds: int = 3,
-                      available_now: bool = False, checkpoint_users: bool = True) -> StreamingQuery:
-    """Order and detail streams -> matched pairs (or sale_detail rows when
-    ``users`` is given) appended to parquet at ``path``.
+                      within_seconds: int = 300, watermark: str = "10 minutes", trigger_seconds: int = 3,
+                      available_now: bool = False) -> StreamingQuery:
+    """Order and detail streams -> matched pairs appended to parquet at ``path``.
 
     Stream-stream inner join on order id with arrivals at most
     ``within_seconds`` apart; both sides carry a watermark on their arrival
     time, so Spark drops join state once no partner can still arrive. Each
-    pair is emitted once. ``users`` is a static table (one row per id),
-    joined stream-static; its lineage is cut with a reliable checkpoint (skip
-    with ``checkpoint_users=False`` if the caller already did) so
-    micro-batches read the saved rows instead of re-deriving them. The
-    parquet sink is exactly-once through its own commit log.
+    pair is emitted once, exactly-once through the sink's commit log.
     """
+    writer = _pairs(order_lines, detail_lines, within_seconds, watermark).writeStream.format("parquet").option("path", path)
+    return _start(writer.outputMode("append"), checkpoint, trigger_seconds, available_now, "order_detail_join")
+
+
+def _pairs(order_lines: DataFrame, detail_lines: DataFrame, within_seconds: int, watermark: str) -> DataFrame:
     orders = clean.parse_orders(order_lines).withWatermark("ingest_ts", watermark)
     details = clean.parse_details(detail_lines).withWatermark("ingest_ts", watermark)
-    rows = sale_detail.join_within(orders, details, within_seconds)
-    if users is not None:
-        static = users.checkpoint(eager=True) if checkpoint_users else users
-        # The sale_detail index, partitioned by month: a day's search reads
-        # one month folder (days are sparse; a day folder per day would
-        # leave many tiny files).
-        rows = sale_detail.enrich_users(rows, static, as_of).withColumn("dt_month", F.substring("dt", 1, 7))
-    writer = rows.writeStream.format("parquet").option("path", path).outputMode("append")
-    if users is not None:
-        writer = writer.partitionBy("dt_month")
-    return _start(writer, checkpoint, trigger_seconds, available_now, "order_detail_join")
-
-
-def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: DataFrame, path: str,
+    return sale_detail.join_within(orders, details, within_seconds)
+
+
+def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: Callable[[], DataFrame], table: AppendTable,
                     checkpoint: str, as_of: str, within_seconds: int = 300, watermark: str = "10 minutes",
-                    trigger_seconds: int = 3, available_now: bool = False,
-                    checkpoint_users: bool = True) -> StreamingQuery:
-    """The sale_detail job: interval-joined pairs enriched with user fields."""
-    return interval_join_job(order_lines, detail_lines, path, checkpoint, within_seconds, watermark,
-                             users=users, as_of=as_of, trigger_seconds=trigger_seconds,
-                             available_now=available_now, checkpoint_users=checkpoint_users)
+                    trigger_seconds: int = 3, available_now: bool = False) -> StreamingQuery:
+    """The sale_detail job: interval-joined pairs with user fields.
+
+    ``users()`` gives the user table (one row per id) and is called for each
+    micro-batch, so a user inserted or updated after the start is used by
+    later rows. The index is partitioned by month: a day's search reads one
+    month folder (days are sparse; a folder per day would leave many tiny
+    files). A replayed batch overwrites its own rows."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = sale_detail.enrich_users(batch, users(), as_of)
+        table.write_batch(rows.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
+
+    writer = _pairs(order_lines, detail_lines, within_seconds, watermark).writeStream.outputMode("append").foreachBatch(each)
+    return _start(writer, checkpoint, trigger_seconds, available_now, "sale_detail")
 
 
 def observed_rows(query: StreamingQuery, name: str = "dau_rows") -> list[int]:
@@ -172,126 +225,6 @@ def late_rows_dropped(query: StreamingQuery) -> int:
     return total
 
 
-# --- daily active devices on the state store -----------------------------------
-
-DAU_STATE_SCHEMA = "seen boolean"
-
-
-def first_unseen_fn(columns: list[str]):
-    """The per-group function of :func:`dau_state_job`, closed over plain
-    values only so that it is shipped to the Python workers by value.
-
-    Per (log_date, mid) and micro-batch: emit the earliest row unless the
-    device was already counted that day; remember it until the day closes.
-    "Earliest" is the batch order of :func:`dedup.first_visit_per_day`: by
-    ``ts``, then ``uid``, then the remaining columns, nulls first. The
-    group's rows arrive as Arrow-sized chunks and only the running earliest
-    row is kept, so a device with a huge batch never sits in memory at once."""
-    columns = list(columns)
-    order = ["ts", "uid"] + [c for c in columns if c not in ("ts", "uid", "log_date", "mid")]
-
-    def rank(row) -> tuple:
-        return tuple((row[c] is not None, row[c] if row[c] is not None else "") for c in order)
-
-    def first_unseen(key, pdfs, state):
-        import pandas as pd  # imported on the worker
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            for _ in pdfs:  # drain: the device is already counted today
-                pass
-            return
-        best = None
-        for chunk in pdfs:
-            if chunk.empty:
-                continue
-            # vectorized within the chunk; one candidate row per chunk
-            top = chunk.sort_values(order, na_position="first", kind="mergesort").head(1)
-            row = {c: (None if pd.isna(v) else v) for c, v in top[columns].iloc[0].items()}
-            if best is None or rank(row) < rank(best):
-                best = row
-        if best is None:
-            return
-        state.update((True,))
-        day_end_ms = int(pd.Timestamp(key[0], tz="UTC").value // 1_000_000) + 86_400_000
-        state.setTimeoutTimestamp(day_end_ms)
-        yield pd.DataFrame([best], columns=columns).astype({"ts": "int64"})
-
-    return first_unseen
-
-
-def dau_state_job(lines: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour",
-                  trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
-    """Startup lines -> first visit per (day, device), seen-set in the state store.
-
-    The same answer as :func:`dau_job` without reading the result table: the
-    "seen today" flag lives in Spark's state store (one small entry per
-    device and day, RocksDB-backed on a cluster) and expires once the
-    watermark passes the end of its day. Rows later than ``lateness`` behind
-    the newest event are dropped by the watermark and counted in the
-    progress (``late_rows_dropped``).
-    """
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    parsed = clean.parse_startup(lines).select(*dedup.DAU_COLUMNS).withColumn(
-        "event_time", F.timestamp_millis("ts")).withWatermark("event_time", lateness)
-    out_schema = ", ".join(f"{c} {'bigint' if c == 'ts' else 'string'}" for c in dedup.DAU_COLUMNS)
-    firsts = parsed.groupBy("log_date", "mid").applyInPandasWithState(
-        first_unseen_fn(dedup.DAU_COLUMNS), out_schema, DAU_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    # Partitioned by day: readers go through the sink's metadata log (no
-    # folder listing) and a day's dashboard read prunes to that day.
-    writer = (firsts.writeStream.format("parquet").option("path", path).partitionBy("log_date")
-              .outputMode("append"))
-    return _start(writer, checkpoint, trigger_seconds, available_now, "dau_state")
-
-
-def read_dau_state(spark, path: str) -> DataFrame:
-    """The state-store DAU job's table, with ``log_date`` kept as text."""
-    schema = ", ".join(f"{c} {'bigint' if c == 'ts' else 'string'}" for c in dedup.DAU_COLUMNS)
-    return spark.read.schema(schema).parquet(path).select(*dedup.DAU_COLUMNS)
-
-
-# --- coupon alerts without per-device sets -------------------------------------
-
-def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str = "30 seconds",
-                    slide: str = "5 seconds", watermark: str = "1 minute", trigger_seconds: int = 5,
-                    available_now: bool = False) -> StreamingQuery:
-    """Event lines -> final per (window, device) counts, appended once per window.
-
-    Two chained event-time aggregations (append mode): per (window, device,
-    user), then per (window, device) keyed by the window's end through
-    ``window_time`` — the streaming form of :func:`alerts.alert_counts`, with
-    no user set held anywhere. A window is written once the watermark passes
-    its end, so windows still open when an ``available_now`` run stops come
-    out in a later run.
-    """
-    events = alerts.with_event_time(clean.parse_event(lines)).withWatermark("event_time", watermark)
-    is_coupon = F.col("evid") == schemas.COUPON_EVENT
-    per_user = (events.groupBy(F.window("event_time", window, slide).alias("window"), "mid", "uid")
-                .agg(F.bool_or(is_coupon).alias("coupon_user"),
-                     F.bool_or(F.col("evid") == schemas.CLICK_EVENT).alias("veto"),
-                     F.count(F.lit(1)).alias("n"),
-                     *[F.count_if(F.col("evid") == k).alias(f"n_{k}") for k in alerts.EVENT_KINDS]))
-    # One tumbling window of the slide length per original window: [end - slide, end).
-    per_window = (per_user.groupBy(F.window(F.window_time("window"), slide).alias("w_end"), "mid")
-                  .agg(F.count_if(F.col("coupon_user")).cast("int").alias("n_users"),
-                       F.coalesce(F.bool_or("veto"), F.lit(False)).alias("has_veto"),
-                       F.sum("n").alias("n_events"),
-                       *[F.sum(f"n_{k}").alias(f"n_{k}") for k in alerts.EVENT_KINDS]))
-    length_ms = F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {window})")
-    end_ms = F.unix_millis(F.col("w_end.end"))
-    event_counts = F.filter(
-        F.array(*[F.struct(F.lit(k).alias("evid"), F.col(f"n_{k}").alias("n")) for k in alerts.EVENT_KINDS]),
-        lambda e: e["n"] > 0)
-    out = per_window.select("mid", (end_ms - length_ms).alias("window_start"), end_ms.alias("window_end"),
-                            "n_users", "has_veto", "n_events", event_counts.alias("event_counts"),
-                            end_ms.alias("ts"))
-    writer = out.writeStream.format("parquet").option("path", path).outputMode("append")
-    return _start(writer, checkpoint, trigger_seconds, available_now, "alert_counts")
-
-
 def unmatched_orders_job(order_lines: DataFrame, detail_lines: DataFrame, path: str, checkpoint: str,
                          within_seconds: int = 300, watermark: str = "10 minutes", trigger_seconds: int = 3,
                          available_now: bool = False) -> StreamingQuery:

@@ -12,15 +12,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens import schemas
 from shoplens.operators import clean
 from shoplens.sources.topics import read_topic
 from shoplens.streaming import jobs
-from shoplens.streaming.sinks import AppendTable, KeyedTable, LogTable
+from shoplens.streaming.sinks import AppendTable, LogTable
 
 Source = Callable[[str], DataFrame]
+#: Versions in the user table: the parsed row and the message's metadata.
+USER_VERSIONS = T.StructType([T.StructField("seq", T.LongType()), T.StructField("ingest_ts", T.TimestampType()), *schemas.USER_INFO.fields])
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str) -> Source:
@@ -37,9 +40,9 @@ class Tables:
         return AppendTable(f"{self.base}/tables/dau", partition_by=["log_date"])
 
     @property
-    def dau_state(self) -> str:
-        """Output folder of the state-store DAU job (parquet file sink)."""
-        return f"{self.base}/tables/dau_state"
+    def dau_final(self) -> str:
+        """Output folder of the closed days' DAU job (parquet file sink)."""
+        return f"{self.base}/tables/dau_final"
 
     @property
     def orders(self) -> LogTable:
@@ -48,15 +51,19 @@ class Tables:
 
     @property
     def users(self) -> LogTable:
-        return LogTable(f"{self.base}/tables/user_info", keys=["id"], order_by=["seq"])
+        return LogTable(f"{self.base}/tables/user_info", keys=["id"], order_by=["seq"], schema=USER_VERSIONS)
 
     @property
-    def alerts(self) -> KeyedTable:
-        return jobs.alert_table(f"{self.base}/tables/{schemas.COUPON_ALERT_INDEX}")
+    def alert_counts(self) -> str:
+        return f"{self.base}/tables/{schemas.COUPON_ALERT_INDEX}"
 
     @property
-    def sale_detail(self) -> str:
-        return f"{self.base}/tables/sale_detail"
+    def claims(self) -> str:
+        return f"{self.base}/tables/coupon_claims"
+
+    @property
+    def sale_detail(self) -> AppendTable:
+        return AppendTable(f"{self.base}/tables/sale_detail", partition_by=["dt_month"])
 
     def checkpoint(self, job: str) -> str:
         return f"{self.base}/checkpoints/{job}"
@@ -71,35 +78,33 @@ def user_job(lines: DataFrame, table: LogTable, checkpoint: str, trigger_seconds
 def start_all(spark: SparkSession, source: Source, base: str, as_of: str, available_now: bool = False,
               alert_window: str = "30 seconds", alert_slide: str = "5 seconds",
               alert_watermark: str = "1 minute", join_watermark: str = "10 minutes",
-              dau_state: bool = False, dau_lateness: str = "1 hour") -> dict[str, StreamingQuery]:
+              dau_lateness: str = "1 hour", log_lines: DataFrame | None = None,
+              envelopes: DataFrame | None = None) -> dict[str, StreamingQuery]:
     """Start the DAU, order, user, alert and sale_detail jobs.
 
-    ``dau_state=True`` keeps the DAU seen-set in the state store
-    (:func:`jobs.dau_state_job`, flat per-batch cost all day) instead of
-    anti-joining against the DAU table. The sale_detail job joins users
-    stream-static from the user table as it stands when the job starts; it
-    must exist by then (start the user job first, or restart the join job to
-    pick up a newer snapshot).
+    ``log_lines`` (posted log text) and ``envelopes`` (change feed text) also
+    start the ingest jobs, which write the topics under ``base``. All topics
+    and tables may be empty at the start.
     """
     t = Tables(base)
-    if dau_state:
-        dau = jobs.dau_state_job(source(schemas.STARTUP_TOPIC), t.dau_state, t.checkpoint("dau_state"),
-                                 lateness=dau_lateness, available_now=available_now)
-    else:
-        dau = jobs.dau_job(source(schemas.STARTUP_TOPIC), t.dau, t.checkpoint("dau"), available_now=available_now)
-    queries = {
-        "dau": dau,
-        "orders": jobs.order_job(source(schemas.ORDER_INFO_TOPIC), t.orders, t.checkpoint("orders"),
-                                 available_now=available_now),
-        "users": user_job(source(schemas.USER_INFO_TOPIC), t.users, t.checkpoint("users"),
-                          available_now=available_now),
-        "alerts": jobs.alert_job(source(schemas.EVENT_TOPIC), t.alerts, t.checkpoint("alerts"),
-                                 alert_window, alert_slide, alert_watermark, available_now=available_now),
+    now = {"available_now": available_now}
+    queries = {}
+    if log_lines is not None:
+        queries["ingest"] = jobs.ingest_job(log_lines, f"{base}/topics/logs", t.checkpoint("ingest"), **now)
+    if envelopes is not None:
+        queries["changes"] = jobs.change_job(envelopes, f"{base}/topics/changes", t.checkpoint("changes"), **now)
+    queries |= {
+        "dau": jobs.dau_job(source(schemas.STARTUP_TOPIC), t.dau, t.checkpoint("dau"), dau_lateness, **now),
+        "dau_final": jobs.dau_final_job(source(schemas.STARTUP_TOPIC), t.dau_final, t.checkpoint("dau_final"), dau_lateness, **now),
+        "orders": jobs.order_job(source(schemas.ORDER_INFO_TOPIC), t.orders, t.checkpoint("orders"), **now),
+        "users": user_job(source(schemas.USER_INFO_TOPIC), t.users, t.checkpoint("users"), **now),
+        "alerts": jobs.alert_count_job(source(schemas.EVENT_TOPIC), t.alert_counts, t.checkpoint("alerts"),
+                                       alert_window, alert_slide, alert_watermark, **now),
+        "claims": jobs.claim_job(source(schemas.EVENT_TOPIC), t.claims, t.checkpoint("claims"), **now),
     }
-    if available_now:
+    if available_now:  # a drained run: later rows see all users of this run
         queries["users"].awaitTermination()
     queries["sale_detail"] = jobs.sale_detail_job(
-        source(schemas.ORDER_INFO_TOPIC), source(schemas.ORDER_DETAIL_TOPIC), t.users.read(spark),
-        t.sale_detail, t.checkpoint("sale_detail"), as_of, watermark=join_watermark,
-        available_now=available_now)
+        source(schemas.ORDER_INFO_TOPIC), source(schemas.ORDER_DETAIL_TOPIC), lambda: t.users.read(spark),
+        t.sale_detail, t.checkpoint("sale_detail"), as_of, watermark=join_watermark, **now)
     return queries

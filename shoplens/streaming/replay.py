@@ -11,9 +11,8 @@ run is also a restart from the checkpoint.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,37 +32,10 @@ def time_chunks(time_col: Column, lo: float, hi: float, n_chunks: int) -> list[C
     return preds
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
-    """Size the shuffle (and so the state-store) partitions of streams started
-    inside the block to ``n`` (default: the session's cores), restoring the
-    session setting afterwards. A stateful query fixes its state partition
-    count at its first run, from this setting."""
-    if n is None:
-        try:
-            n = spark.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - Spark Connect: keep the session value
-            n = None
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key, None)
-    if n:
-        spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        if n:
-            if old is None:  # was not set: back to Spark's default
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, old)
-
-
 def replay(topics: dict[str, tuple[DataFrame, str]], run: Callable[[], StreamingQuery], n_chunks: int = 4) -> None:
     """Feed each topic ``{path: (messages, epoch_seconds_column)}`` chunk by chunk.
 
-    ``run`` starts the job (``available_now=True``) on the topic folders. The
-    replay is a small bounded input, so its streams use one state partition
-    per core (:func:`state_partitions`) rather than the session's setting.
+    ``run`` starts the job (``available_now=True``) on the topic folders.
     """
     bounds = None
     for msgs, tcol in topics.values():
@@ -74,13 +46,11 @@ def replay(topics: dict[str, tuple[DataFrame, str]], run: Callable[[], Streaming
         bounds = (lo, hi) if bounds is None else (min(bounds[0], lo), max(bounds[1], hi))
     if bounds is None:
         return
-    spark = next(iter(topics.values()))[0].sparkSession
     for i in range(n_chunks):
         for path, (msgs, tcol) in topics.items():
             pred = time_chunks(F.col(tcol), bounds[0], bounds[1], n_chunks)[i]
             append_topic_files(msgs.where(pred).drop(tcol), path)
-        with state_partitions(spark):
-            q = run()
-            q.awaitTermination()
+        q = run()
+        q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))

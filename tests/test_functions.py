@@ -31,10 +31,6 @@ def test_safe_double_keeps_quoted_numbers_and_nulls_bad_text(spark):
     assert one(spark, C.safe_double("t"), data, "t string") == [12.5, None, None, 1000.0]
 
 
-def test_day_before(spark):
-    assert one(spark, C.day_before("d"), [("2024-03-01",)], "d string") == ["2024-02-29"]
-
-
 def test_age_years_is_365_day_years_truncated(spark):
     data = [("2000-03-01",), ("2000-03-02",), ("2020-06-01",), ("bad",), ("1990-01-01",)]
     got = one(spark, C.age_years("b", F.lit("2020-03-01")), data, "b string")

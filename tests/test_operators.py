@@ -164,7 +164,8 @@ def test_alert_needs_three_users_and_no_click(spark):
         ("m3", "u1", "coupon", "2", T0 + 3000),
     ])
     w = alerts.alert_windows(ev, "1 minute", "1 minute")
-    assert rows(alerts.alert_candidates(w), "mid") == [("m1",), ("m2",)]
+    counts = alerts.alert_counts(ev, "1 minute", "1 minute")
+    assert rows(alerts.alert_candidates(counts), "mid") == [("m1",), ("m2",)]
     out = alerts.render(alerts.coupon_alerts(w)).collect()
     assert len(out) == 1
     a = out[0]
@@ -175,7 +176,7 @@ def test_alert_needs_three_users_and_no_click(spark):
 
 def test_sliding_windows_are_start_inclusive_end_exclusive(spark):
     ev = event_rows(spark, [("m1", "u1", "coupon", "1", T0 + 30000)])
-    w = rows(alerts.alert_windows(ev, "30 seconds", "10 seconds"), "window_start", "window_end")
+    w = rows(alerts.alert_counts(ev, "30 seconds", "10 seconds"), "window_start", "window_end")
     assert w == [(T0 + 10000, T0 + 40000), (T0 + 20000, T0 + 50000), (T0 + 30000, T0 + 60000)]
 
 

@@ -71,7 +71,7 @@ def test_hot_order_is_split_by_skew_join(spark):
 
 
 @pytest.mark.parametrize("name,fn", [("dau_first_seen", "partial_min"), ("user_latest", "partial_max"),
-                                     ("coupon_alert_windows", "partial_collect_set"),
+                                     ("coupon_alert_windows", "partial_count"),
                                      ("coupon_alert_latest", "partial_max")])
 def test_hot_keys_are_combined_before_the_shuffle(spark, name, fn):
     text = plan_text(E.queries()[name](spark, SF_SMALL), "simple")
@@ -82,20 +82,16 @@ def test_hot_keys_are_combined_before_the_shuffle(spark, name, fn):
 def test_day_search_gets_a_runtime_bloom_filter_on_the_line_side(spark):
     """At scale the line side exceeds Spark's runtime-filter threshold (10 GB);
     lowering the threshold here shows the filter Spark then injects: the day's
-    order ids prune the lines before their shuffle. Planned in the at-scale
-    shape: large inputs are not spread (see fixtures.spread_small_input)."""
-    from shoplens.sources import fixtures
+    order ids prune the lines before their shuffle."""
     keys = ["spark.sql.autoBroadcastJoinThreshold",
             "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
-    fixtures.SPREAD_SMALL_INPUTS = False
     try:
         spark.conf.set(keys[0], "-1")
         spark.conf.set(keys[1], "1KB")
         text = plan_text(E.queries()["sale_search_page"](spark, SF_SMALL), "simple")
         assert "might_contain" in text
     finally:
-        fixtures.SPREAD_SMALL_INPUTS = True
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
@@ -105,8 +101,30 @@ def test_day_search_gets_a_runtime_bloom_filter_on_the_line_side(spark):
 
 def test_alert_counts_hold_no_per_device_collection(spark):
     text = plan_text(E.queries()["coupon_alert_counts"](spark, SF_SMALL), "simple")
-    assert "collect_set" not in text and "collect_list" not in text
-    assert text.count("Exchange hashpartitioning") >= 2  # (window, mid, uid), then (window, mid)
+    assert "collect_set" not in text
+    assert text.count("Exchange hashpartitioning") >= 3  # (window, mid, evid, uid), (window, mid, evid), (window, mid)
+
+
+def test_alert_members_are_collected_after_the_count(spark):
+    """The sets are built above the semi join with the alerts."""
+    text = plan_text(E.queries()["coupon_alert_windows"](spark, SF_SMALL), "simple")
+    assert "collect_set" in text and "LeftSemi" in text and text.index("collect_set") < text.index("LeftSemi")
+
+
+def test_revenue_of_a_day_reads_one_table_by_range(spark):
+    text = plan_text(E.queries()["gmv_total"](spark, SF_SMALL), "formatted")
+    assert text.count("Scan parquet") <= 2 and "customer" not in text
+    assert "GreaterThanOrEqual(o_orderdate" in text
+
+
+def test_shares_plan_the_join_once(spark):
+    text = plan_text(E.queries()["sale_day_shares"](spark, SF_SMALL), "simple")
+    assert text.count("lineitem.parquet") == 1
+
+
+def test_streaming_dau_plans_no_python(spark):
+    text = plan_text(E.queries()["dau_first_seen"](spark, SF_SMALL), "simple")
+    assert "Python" not in text and "Pandas" not in text
 
 
 def test_hot_user_is_split_in_the_enrichment_left_join(spark):

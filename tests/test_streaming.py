@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -63,7 +64,7 @@ def test_dau_stream_equals_batch_across_batches(spark):
         q = jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True)
         q.awaitTermination()
         assert q.exception() is None
-    got = rows(table.read(spark), "log_date", "mid", "uid")
+    got = rows(jobs.read_dau(table.read(spark)), "log_date", "mid", "uid")
     batch = clean.parse_startup(spark.createDataFrame([(_startup_json(*r),) for r in all_rows], "value string"))
     assert got == rows(dedup.first_visit_per_day(batch), "log_date", "mid", "uid")
     assert got == [("2024-01-01", "m1", "u2"), ("2024-01-01", "m2", "u3"), ("2024-01-01", "m3", "u6"),
@@ -76,32 +77,36 @@ def _event_json(mid, uid, evid, ts):
 
 
 def test_alert_stream_equals_batch(spark):
-    topic, ckpt = scratch() + "/topic", scratch()
-    table = jobs.alert_table(scratch() + "/alerts")
+    topic, ckpts, counts, claims = scratch() + "/topic", [scratch(), scratch()], scratch() + "/counts", scratch() + "/claims"
     chunks = [
         [("m1", "u1", "coupon", T0 + 1000), ("m1", "u2", "coupon", T0 + 2000), ("m2", "u1", "coupon", T0 + 2000)],
         [("m1", "u3", "coupon", T0 + 12000), ("m2", "u2", "coupon", T0 + 13000), ("m2", "u3", "coupon", T0 + 14000),
          ("m2", "u9", "clickItem", T0 + 15000)],
         [("m3", "u1", "coupon", T0 + 61000)],
+        [("m9", "u0", "addCart", T0 + 3600000)],  # moves the watermark past every window above
+        [],
     ]
     all_rows = []
     for chunk in chunks:
         all_rows += chunk
-        append_topic_files(spark.createDataFrame([(_event_json(*r),) for r in chunk], "value string"), topic)
-        q = jobs.alert_job(read_topic_files(spark, topic), table, ckpt, "30 seconds", "5 seconds",
-                           watermark="10 seconds", available_now=True)
-        q.awaitTermination()
-        assert q.exception() is None
-    streamed = alerts.render(jobs.read_alerts(table, spark))
+        if chunk:
+            append_topic_files(spark.createDataFrame([(_event_json(*r),) for r in chunk], "value string"), topic)
+        for q in (jobs.alert_count_job(read_topic_files(spark, topic), counts, ckpts[0], "30 seconds", "5 seconds",
+                                       watermark="10 seconds", available_now=True),
+                  jobs.claim_job(read_topic_files(spark, topic), claims, ckpts[1], available_now=True)):
+            q.awaitTermination()
+            assert q.exception() is None
+    streamed = alerts.render(jobs.read_alerts(spark, counts, claims))
     batch_events = alerts.with_event_time(
         clean.parse_event(spark.createDataFrame([(_event_json(*r),) for r in all_rows], "value string")))
-    batch = alerts.render(alerts.latest_per_document(
-        alerts.coupon_alerts(alerts.alert_windows(batch_events, "30 seconds", "5 seconds"))))
+    batch = alerts.render(alerts.latest_per_document(alerts.alert_windows(batch_events, "30 seconds", "5 seconds")))
     assert rows(streamed) == rows(batch.select(*streamed.columns))
     got = {(r["mid"], r["window_end"]) for r in streamed.collect() if r["mid"] == "m2"}
     # m2's click at +15 s lies outside [-15 s, +15 s): only that window alerts
     assert got == {("m2", T0 + 15000)}
     assert "m3" not in {r["mid"] for r in streamed.collect()}
+    # the counts serve any threshold
+    assert {r["mid"] for r in jobs.read_alerts(spark, counts, claims, min_users=1).collect()} == {"m1", "m2", "m3"}
 
 
 def _order_json(oid, user, ct):
@@ -115,7 +120,8 @@ def _detail_json(did, oid, price):
 
 
 def test_interval_join_stream_matches_late_and_early_lines(spark):
-    o_topic, d_topic, ckpt, out = scratch() + "/o", scratch() + "/d", scratch(), scratch() + "/out"
+    o_topic, d_topic, ckpt = scratch() + "/o", scratch() + "/d", scratch()
+    out = AppendTable(scratch() + "/out", partition_by=["dt_month"])
     users = spark.createDataFrame([("u1", "l", "2", "2000-03-01", "M")],
                                   "id string, login_name string, user_level string, birthday string, gender string")
 
@@ -138,33 +144,120 @@ def test_interval_join_stream_matches_late_and_early_lines(spark):
             if msgs:
                 df = spark.createDataFrame(msgs, schema).withColumn("ingest_ts", F.to_timestamp("ingest_ts"))
                 append_topic_files(df, path)
-        q = jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic), users,
+        q = jobs.sale_detail_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic), lambda: users,
                                  out, ckpt, "2020-03-01", 300, watermark="10 minutes", available_now=True)
         q.awaitTermination()
         assert q.exception() is None
-    got = rows(spark.read.parquet(out), "order_detail_id", "order_id", "user_gender", "user_age", "sku_price")
+    got = rows(out.read(spark), "order_detail_id", "order_id", "user_gender", "user_age", "sku_price")
     assert got == [("d0", "o1", "M", 20, 1.0), ("d1", "o1", "M", 20, 2.0), ("d2", "o1", "M", 20, 3.0)]
 
 
-def test_dau_state_job_equals_batch_and_forgets_closed_days(spark):
-    topic, ckpt, out = scratch() + "/topic", scratch(), scratch() + "/out"
+def _drain(query):
+    query.awaitTermination()
+    assert query.exception() is None
+    return query
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Shanghai"])
+def test_dau_final_job_equals_batch_in_any_time_zone(spark, zone):
+    """Days are the session's; rows behind the watermark are dropped and
+    counted; an earlier row of a later batch replaces the device's row."""
     chunks = [
-        [("m1", "u1", T0 + 5000), ("m1", "u2", T0 + 1000), ("m2", "u3", T0 + 2000)],
-        [("m1", "u4", T0 + 9000), ("m3", "u5", T0 + 9500), ("m3", "u6", T0 + 9400)],
-        [("m1", "u7", T0 + 86400000 + 4 * 3600000)],   # next day, moves the watermark past day 1
+        [("m1", "u1", T0 + 5000), ("m1", "u2", T0 + 4000), ("m2", "u3", T0 + 2000)],
+        [("m1", "u4", T0 + 1000), ("m3", "u5", T0 + 9500), ("m3", "u6", T0 + 9400)],
+        [("m1", "u7", T0 + 2 * 86400000)],              # two days on: moves the watermark past day 1
         [("m2", "u8", T0 + 3000)],                      # day 1 row, far behind the watermark: dropped
+        [("m9", "u9", T0 + 5 * 86400000)],
+        [],
     ]
-    all_rows = []
-    for chunk in chunks:
-        all_rows += chunk
-        append_topic_files(spark.createDataFrame([(_startup_json(*r),) for r in chunk], "value string"), topic)
-        q = jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, lateness="1 hour", available_now=True)
-        q.awaitTermination()
-        assert q.exception() is None
-    got = rows(jobs.read_dau_state(spark, out), "log_date", "mid", "uid")
-    assert got == [("2024-01-01", "m1", "u2"), ("2024-01-01", "m2", "u3"), ("2024-01-01", "m3", "u6"),
-                   ("2024-01-02", "m1", "u7")]
-    assert jobs.late_rows_dropped(q) == 1  # the last run saw only the late row
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        topic, ckpts, out = scratch() + "/topic", [scratch(), scratch()], scratch() + "/out"
+        table = AppendTable(scratch() + "/dau", partition_by=["log_date"])
+        kept, dropped = [], 0
+        for k, chunk in enumerate(chunks):
+            kept += chunk if k != 3 else []
+            if chunk:
+                append_topic_files(spark.createDataFrame([(_startup_json(*r),) for r in chunk], "value string"), topic)
+            _drain(jobs.dau_job(read_topic_files(spark, topic), table, ckpts[0], available_now=True))
+            dropped += jobs.late_rows_dropped(_drain(jobs.dau_final_job(read_topic_files(spark, topic), out, ckpts[1], available_now=True)))
+        batch = dedup.first_visit_per_day(clean.parse_startup(spark.createDataFrame([(_startup_json(*r),) for r in kept], "value string")))
+        assert rows(jobs.read_dau(table.read(spark))) == rows(batch)
+        assert rows(jobs.read_dau_final(spark, out).where("mid <> 'm9'")) == rows(batch.where("mid <> 'm9'"))
+        assert ("m1", "u4") in rows(batch, "mid", "uid")
+        assert dropped == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_dau_rows_are_counted_after_deduplication(spark):
+    topic, ckpt = scratch() + "/topic", scratch()
+    table = AppendTable(scratch() + "/dau", partition_by=["log_date"])
+    append_topic_files(spark.createDataFrame([(_startup_json("m1", f"u{i}", T0 + i),) for i in range(5)], "value string"), topic)
+    q = _drain(jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
+    assert jobs.observed_rows(q)[0] == 1
+
+
+def test_dau_table_compacts_closed_days(spark):
+    topic, ckpt = scratch() + "/topic", scratch()
+    table = AppendTable(scratch() + "/dau", partition_by=["log_date"])
+    for k in range(3):
+        append_topic_files(spark.createDataFrame([(_startup_json("m1", f"u{k}", T0 + 100 - k),)], "value string"), topic)
+        _drain(jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
+    closed = AppendTable(scratch() + "/closed", partition_by=["log_date"])
+    for _ in range(2):  # a rerun gives the same table
+        table.compact(spark, F.col("log_date") == "2024-01-01", jobs.read_dau, closed)
+    assert table.read(spark).count() == 3
+    assert rows(closed.read(spark), "log_date", "mid", "uid") == [("2024-01-01", "m1", "u2")]
+
+
+def test_no_python_runs_in_the_streaming_dau(spark):
+    import shoplens.streaming.jobs as source
+    text = open(source.__file__).read()
+    assert "applyInPandas" not in text and "udf" not in text
+
+
+def test_start_all_on_empty_topics_and_a_user_after_the_start(spark):
+    from shoplens import schemas
+    from shoplens.streaming.pipeline import Tables, start_all
+
+    base = scratch()
+    topics = [schemas.STARTUP_TOPIC, schemas.EVENT_TOPIC, schemas.ORDER_INFO_TOPIC, schemas.ORDER_DETAIL_TOPIC, schemas.USER_INFO_TOPIC]
+    for topic in topics:
+        append_topic_files(spark.createDataFrame([], "value string"), f"{base}/topics/{topic}")
+
+    def run():
+        for q in start_all(spark, lambda topic: read_topic_files(spark, f"{base}/topics/{topic}"), base, "2020-03-01", available_now=True).values():
+            _drain(q)
+
+    run()
+    at = F.to_timestamp(F.lit("2024-01-01 10:00:00"))
+
+    def send(topic, text, seq):
+        append_topic_files(spark.createDataFrame([(text, seq)], "value string, seq long").withColumn("ingest_ts", at), f"{base}/topics/{topic}")
+
+    send(schemas.ORDER_INFO_TOPIC, _order_json("o1", "u1", "2024-01-01 10:00:00"), 1)
+    send(schemas.ORDER_DETAIL_TOPIC, _detail_json("d1", "o1", "1.00"), 1)
+    run()  # no such user yet
+    send(schemas.USER_INFO_TOPIC, json.dumps({"id": "u1", "login_name": "l", "user_level": "2", "birthday": "2000-03-01", "gender": "M"}), 1)
+    send(schemas.ORDER_DETAIL_TOPIC, _detail_json("d2", "o1", "2.00"), 2)
+    run()
+    got = rows(Tables(base).sale_detail.read(spark), "order_detail_id", "user_gender", "user_age")
+    assert got == [("d1", None, 0), ("d2", "M", 20)]
+
+
+def test_ingest_keeps_fields_and_rejects_malformed_lines(spark):
+    from shoplens import schemas
+    from shoplens.operators import ingest
+
+    lines = [('{"type":"startup","n":12,"o":{"ts":1,"a":[1,null]},"ts":5,"z":null}',), ("no json",), ("[1]",), ("{}",), (None,), ('{"type":"event","d":1.25}',)]
+    out = ingest.route_logs(ingest.stamp_log(spark.createDataFrame(lines, "value string"), F.lit(T0)))
+    got = {(r["topic"], r["value"]) for r in out.collect()}
+    assert got == {
+        (schemas.STARTUP_TOPIC, '{"type":"startup","n":12,"o":{"a":[1,null],"ts":1},"z":null,"ts":%d}' % T0),
+        (schemas.EVENT_TOPIC, '{"type":"event","d":1.25,"ts":%d}' % T0), (schemas.EVENT_TOPIC, '{"ts":%d}' % T0),
+        (schemas.REJECTED_TOPIC, "no json"), (schemas.REJECTED_TOPIC, "[1]"), (schemas.REJECTED_TOPIC, None)}
 
 
 def test_pipeline_end_to_end_on_file_topics(spark):
@@ -185,49 +278,24 @@ def test_pipeline_end_to_end_on_file_topics(spark):
 
     qs = start_all(spark, lambda topic: read_topic_files(spark, f"{base}/topics/{topic}"), base,
                    as_of="2020-03-01", available_now=True, alert_window="6 hours", alert_slide="1 hour",
-                   alert_watermark="400 days", join_watermark="400 days")
+                   alert_watermark="1 hour", join_watermark="400 days", dau_lateness="400 days")
     for q in qs.values():
         q.awaitTermination()
         assert q.exception() is None
     tables = Tables(base)
-    assert rows(tables.dau.read(spark).select(*dedup.DAU_COLUMNS)) == rows(t.dau)
-    base2 = scratch()  # the state-store DAU variant on the same topics
-    qs2 = start_all(spark, lambda topic: read_topic_files(spark, f"{base}/topics/{topic}"), base2,
-                    as_of="2020-03-01", available_now=True, dau_state=True, dau_lateness="400 days")
-    for q in qs2.values():
-        q.awaitTermination()
-        assert q.exception() is None
-    assert rows(jobs.read_dau_state(spark, Tables(base2).dau_state)) == rows(t.dau)
-    assert rows(tables.users.read(spark).drop("seq", "ingest_ts")) == rows(t.users)
+    assert rows(jobs.read_dau(tables.dau.read(spark))) == rows(t.dau)
+    assert rows(tables.users.read(spark).select(*t.users.columns)) == rows(t.users)
     day = "1996-09-17"
     orders_of_day = tables.orders.read(spark, where=F.col("create_date") == day)
     assert rows(metrics.gmv_hours(orders_of_day, day)) == rows(metrics.gmv_hours(t.orders, day))
     assert "PartitionFilters: [isnotnull(create_date" in _plan(orders_of_day)
     want = sale_detail.build_sale_detail(t.orders, t.details, t.users, "2020-03-01")
-    assert rows(spark.read.parquet(tables.sale_detail).select(*want.columns)) == rows(want)
-    streamed_alerts = alerts.render(jobs.read_alerts(tables.alerts, spark))
-    batch_alerts = alerts.render(alerts.latest_per_document(alerts.coupon_alerts(
-        alerts.alert_windows(alerts.with_event_time(t.event_logs), "6 hours", "1 hour"))))
-    assert rows(streamed_alerts) == rows(batch_alerts.select(*streamed_alerts.columns))
-
-
-def test_dau_streams_out_of_order_first_batch_wins(spark):
-    """Documented difference: an earlier row arriving in a later batch does
-    not replace the device's row (the seen set already holds it)."""
-    chunks = [[("m1", "u5", T0 + 5000)], [("m1", "u1", T0 + 1000)]]
-    topic, ckpt, ckpt2, out = scratch() + "/topic", scratch(), scratch(), scratch() + "/out"
-    table = AppendTable(scratch() + "/dau", partition_by=["log_date"])
-    for chunk in chunks:
-        append_topic_files(spark.createDataFrame([(_startup_json(*r),) for r in chunk], "value string"), topic)
-        for q in (jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True),
-                  jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt2, available_now=True)):
-            q.awaitTermination()
-            assert q.exception() is None
-    assert rows(table.read(spark), "mid", "uid") == [("m1", "u5")]
-    assert rows(jobs.read_dau_state(spark, out), "mid", "uid") == [("m1", "u5")]
-    batch = clean.parse_startup(spark.createDataFrame(
-        [(_startup_json(*r),) for c in chunks for r in c], "value string"))
-    assert rows(dedup.first_visit_per_day(batch), "mid", "uid") == [("m1", "u1")]
+    assert rows(tables.sale_detail.read(spark).select(*want.columns)) == rows(want)
+    # windows that the watermark has closed: all but those of the last hours
+    closed = spark.read.parquet(tables.alert_counts)
+    counts = alerts.alert_counts(alerts.with_event_time(t.event_logs), "6 hours", "1 hour")
+    assert closed.count() > 0 and rows(alerts.render(closed)) == rows(alerts.render(counts.join(
+        closed.select("mid", "window_start"), ["mid", "window_start"], "left_semi").select(*closed.columns)))
 
 
 def test_alert_count_job_equals_batch_counts(spark):
@@ -257,33 +325,19 @@ def test_alert_count_job_equals_batch_counts(spark):
     assert {r["mid"] for r in streamed.collect()} == {"m1", "m2"}
 
 
-def test_state_partitions_restores_the_session_setting(spark):
-    from shoplens.streaming.replay import state_partitions
-    other = spark.newSession()
-    before = other.conf.get("spark.sql.shuffle.partitions", None)
-    with state_partitions(other, 3):
-        assert other.conf.get("spark.sql.shuffle.partitions") == "3"
-    assert other.conf.get("spark.sql.shuffle.partitions", None) == before  # not left at 3
-    other.conf.set("spark.sql.shuffle.partitions", "11")
-    with state_partitions(other, 3):
-        pass
-    assert other.conf.get("spark.sql.shuffle.partitions") == "11"
-
-
-def test_dau_state_ties_match_batch_order(spark):
+def test_dau_ties_match_batch_order(spark):
     """Equal ts and uid: both paths pick the row with the smallest remaining
     columns (here ``area``), so stream and batch agree on ties."""
     def line(area, ts):
         return json.dumps({"mid": "m1", "uid": "u1", "appid": "a", "area": area, "os": "ios", "ch": "c",
                            "type": "startup", "vs": "1", "ts": ts})
-    topic, ckpt, out = scratch() + "/topic", scratch(), scratch() + "/out"
+    topic, ckpt = scratch() + "/topic", scratch()
+    table = AppendTable(scratch() + "/dau", partition_by=["log_date"])
     data = [(line("zeta", T0 + 5),), (line("alpha", T0 + 5),), (line("beta", T0 + 9),)]
     append_topic_files(spark.createDataFrame(data, "value string"), topic)
-    q = jobs.dau_state_job(read_topic_files(spark, topic), out, ckpt, available_now=True)
-    q.awaitTermination()
-    got = rows(jobs.read_dau_state(spark, out), "mid", "area")
+    _drain(jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
     batch = dedup.first_visit_per_day(clean.parse_startup(spark.createDataFrame(data, "value string")))
-    assert got == rows(batch, "mid", "area") == [("m1", "alpha")]
+    assert rows(jobs.read_dau(table.read(spark)), "mid", "area") == rows(batch, "mid", "area") == [("m1", "alpha")]
 
 
 def test_log_table_keeps_latest_version_by_seq(spark):
