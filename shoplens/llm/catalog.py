@@ -19,4 +19,4 @@ QUERIES = {
         secret_owners.op10_secret_owners,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.OP5_SQL}

@@ -129,3 +129,56 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     times each, as many tokens as there are."""
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", F.col("_source").alias("source"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_tokens").alias("n_tokens"), F.round("_weight", 6).alias("weight"))
+
+
+#: The same in SQL: bisection by recursion, then the budgets and the two cuts.
+OP5_SQL = rf"""
+WITH RECURSIVE rows_of AS (
+  SELECT doc_id, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n,
+         md5(concat_ws('|', '{SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')))) AS key
+  FROM documents),
+shares AS (
+  SELECT source, sum(n) AS tokens, sum(n) / (SELECT CAST(sum(n) AS DOUBLE) FROM rows_of) AS p FROM rows_of GROUP BY source),
+entropy_cut AS (
+  SELECT 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high
+  UNION ALL
+  SELECT i + 1, CASE WHEN e >= goal THEN (low + high) / 2 ELSE low END, CASE WHEN e >= goal THEN high ELSE (low + high) / 2 END
+  FROM (SELECT i, any_value(low) AS low, any_value(high) AS high,
+               ln(sum(pow(p, (low + high) / 2))) - sum(pow(p, (low + high) / 2) * ln(pow(p, (low + high) / 2))) / sum(pow(p, (low + high) / 2)) AS e,
+               {ENTROPY} * ln(count(*)) AS goal
+        FROM entropy_cut, shares WHERE p > 0 AND i < 40 GROUP BY i)),
+repeat_cut AS (
+  SELECT 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high
+  UNION ALL
+  SELECT i + 1, CASE WHEN m > {REPEATS} THEN (low + high) / 2 ELSE low END, CASE WHEN m > {REPEATS} THEN high ELSE (low + high) / 2 END
+  FROM (SELECT i, any_value(low) AS low, any_value(high) AS high, max(pow(p, (low + high) / 2) / p) / sum(pow(p, (low + high) / 2)) AS m
+        FROM repeat_cut, shares WHERE p > 0 AND i < 40 GROUP BY i)),
+first_t AS (SELECT round((low + high) / 2, 6) AS t FROM entropy_cut WHERE i = 40),
+final_t AS (
+  SELECT CASE WHEN (SELECT count(*) FROM shares WHERE p > 0) < 2 THEN 1.0
+              WHEN (SELECT max(pow(p, t) / p) / sum(pow(p, t)) FROM shares WHERE p > 0) > {REPEATS}
+              THEN greatest(t, (SELECT round((low + high) / 2, 6) + 1e-6 FROM repeat_cut WHERE i = 40)) ELSE t END AS t
+  FROM first_t),
+weights AS (
+  SELECT source, tokens, CASE WHEN p > 0 THEN round(pow(p, t) / (SELECT sum(pow(p, t)) FROM shares, final_t WHERE p > 0), 9) ELSE 0 END AS w
+  FROM shares, final_t),
+goals AS (
+  SELECT source, tokens, w, CAST(floor(w * (SELECT CAST(sum(tokens) AS DOUBLE) FROM shares) + 0.5) AS BIGINT) AS goal FROM weights),
+plan AS (
+  SELECT source, w, CASE WHEN tokens > 0 THEN CAST(goal // tokens AS INTEGER) ELSE 1 END AS n_full,
+         CASE WHEN tokens > 0 THEN goal % tokens ELSE 0 END AS rest FROM goals),
+blocks AS (SELECT source, substr(key, 1, {BLOCK_DIGITS}) AS block, sum(n) AS tokens FROM rows_of GROUP BY ALL),
+cut AS (
+  SELECT source, block, w, n_full, rest, tokens, sum(tokens) OVER (
+           PARTITION BY source ORDER BY md5(concat_ws('|', '{SEED}', CAST(n_full AS VARCHAR), block)), block ROWS UNBOUNDED PRECEDING) AS upto
+  FROM blocks JOIN plan USING (source)),
+spent AS (
+  SELECT r.*, c.block, c.w, c.n_full, c.upto <= c.rest AS is_whole, c.upto > c.rest AND c.upto - c.tokens < c.rest AS is_edge, c.rest - (c.upto - c.tokens) AS room
+  FROM rows_of r JOIN cut c ON r.source = c.source AND substr(r.key, 1, {BLOCK_DIGITS}) = c.block)
+SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, block, n AS n_tokens, round(w, 6) AS weight
+FROM (SELECT *, unnest(range(n_full + CASE WHEN is_whole THEN 1 ELSE 0 END)) AS epoch FROM spent)
+UNION ALL
+SELECT doc_id, source, n_full, block, n, round(w, 6)
+FROM (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY md5(concat_ws('|', CAST(n_full AS VARCHAR), key)) ROWS UNBOUNDED PRECEDING) AS sofar FROM spent WHERE is_edge)
+WHERE sofar <= room
+"""
