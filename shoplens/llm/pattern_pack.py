@@ -22,76 +22,98 @@ joins: it splits before white space that follows a non-space.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from shoplens.llm.common import chunks, prepare, staged, starts_of, table, texts_of
 
-MODEL, END, SIZE = "byte_bpe_50k.json", 2, 1024
+MODEL, RANKS, END, SIZE = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", 2, 1024
 BUCKETS = 512
 #: Unicode white space, and the four separators that some engines count too.
 SPACE = "\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNSURE = re.compile("[\x1c-\x1f\u180e\u200b\ufeff]|<\\|endoftext\\|>")
 RUN = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-MEMORY = 300_000
-
-
-@lru_cache(maxsize=2)
-def _load(model: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(public_tokenizers.path(model))
+JOINED = re.compile(f"[{SPACE}]+[^{SPACE}]")
+CHUNK_CHARS = 4_000_000
 
 
 class RunCoder:
-    """Ids of texts, encoding each distinct run once while it is remembered
-    (at most ``MEMORY`` runs and a few MB of ids)."""
-
-    def __init__(self, model: str):
-        self.tool, self.runs = _load(model), {}
-        self.ids, self.begin, self.n = [], [], []
-
-    def _whole(self, text: str) -> np.ndarray:
+    """Ids of texts, encoding each distinct run of a chunk of texts once.
+
+    Runs that begin with white space are joined and encoded together, since the
+    tokenizer never joins them; the bytes that ids stand for tell the runs
+    apart again. ``ranks``: the same vocabulary for a faster library; texts
+    that it might split in another way go to the tokenizer itself."""
+
+    def __init__(self, model: str = MODEL, ranks: str | None = RANKS):
+        self.tool = Tokenizer.from_file(public_tokenizers.path(model))
+        self.fast = None
+        if ranks:
+            with open(public_tokenizers.path(ranks), "rb") as f:
+                table_of = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.fast = tiktoken.Encoding(model, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table_of, special_tokens={})
+        # one character of a byte-level token stands for one byte
+        vocab = self.tool.get_vocab()
+        self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.n_bytes[i] = len(token)
+
+    def whole(self, text: str) -> np.ndarray:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _plain(self, text: str) -> np.ndarray:
+        return np.array(self.fast.encode_ordinary(text), np.uint32) if self.fast else self.whole(text)
+
+    def _runs(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs' ids one after the other, and the number of each."""
+        n, parts = np.zeros(len(runs), np.int64), []
+        joined = np.array([JOINED.match(r) is not None for r in runs], bool)
+        order = np.concatenate((np.flatnonzero(joined), np.flatnonzero(~joined)))
+        for k in range(0, int(joined.sum()), 2000):
+            some = order[k : min(k + 2000, int(joined.sum()))]
+            ids = self._plain("".join(runs[some]))
+            ends = np.cumsum([len(r.encode()) for r in runs[some]])
+            n[some] = np.diff(np.searchsorted(np.cumsum(self.n_bytes[ids]), ends), prepend=-1)
+            parts.append(ids)
+        for k in order[int(joined.sum()) :]:
+            ids = self._plain(runs[k])
+            n[k] = len(ids)
+            parts.append(ids)
+        begin = np.empty(len(runs), np.int64)
+        begin[order] = starts_of(n[order])
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.stack((begin, n))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [UNSURE.search(t) is None for t in texts]
         lists = [RUN.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.empty(int(counts.sum()), object)
-        at = 0
-        for x in lists:
-            flat[at : at + len(x)] = x
-            at += len(x)
+        flat[:] = list(chain.from_iterable(lists))
         codes, runs = pd.factorize(flat)
-        if len(self.runs) > MEMORY:
-            self.runs.clear()
-        new = [r for r in runs if r not in self.runs]
-        for k in range(0, len(new), 4096):
-            for r, e in zip(new[k : k + 4096], self.tool.encode_batch(new[k : k + 4096], add_special_tokens=False), strict=True):
-                self.runs[r] = np.array(e.ids, np.uint32)
-        parts = [self.runs[r] for r in runs]
-        n = np.fromiter(map(len, parts), np.int64, len(parts))
-        pool, begin = (np.concatenate(parts), starts_of(n)) if parts else (np.zeros(0, np.uint32), n)
+        pool, (begin, n) = self._runs(runs)
         each = n[codes]
         place = np.arange(int(each.sum()), dtype=np.int64) + np.repeat(begin[codes] - starts_of(each), each)
         ids = pool[place]
         ends = np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(counts)))]
-        return [ids[ends[i] : ends[i + 1]] if p else self._whole(t) for i, (t, p) in enumerate(zip(texts, plain, strict=True))]
+        return [ids[ends[i] : ends[i + 1]] if p else self.whole(t) for i, (t, p) in enumerate(zip(texts, plain, strict=True))]
 
 
 @lru_cache(maxsize=2)
 def _coder(model: str) -> RunCoder:
-    return RunCoder(model)
+    return RunCoder(model, RANKS if model == MODEL else None)
 
 
 def pieces(docs: DataFrame, model: str = MODEL, end: int = END, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,7 +125,7 @@ def pieces(docs: DataFrame, model: str = MODEL, end: int = END, size: int = SIZE
         coder = _coder(model)
         for b in batches:
             texts, ids = texts_of(b, text_col), b.column(b.schema.get_field_index(id_col))
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, CHUNK_CHARS):
                 rows = []
                 for k, x in enumerate(coder.encode(texts[i:j]), i):
                     x = np.append(x, np.uint32(end)).astype("<u4")
