@@ -19,12 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import table, whole_text
+from shoplens.llm.common import staged, table, whole_text
 
 K, S = 8, 2
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows of neighbouring ids that share a window; and of windows, and of those.
 NEAR = 1 << 10
+#: Up to so many windows (of three numbers each) the table of windows is
+#: broadcast; beyond, it is joined by shuffling.
+SMALL = 200_000
 
 
 def _let(value: Column, body) -> Column:
@@ -81,6 +84,9 @@ def with_sentinels(docs: DataFrame) -> DataFrame:
         F.coalesce("before1", "before2", "before3", "very_last").alias("_near"),
         F.when(F.coalesce("before1", "before2", "before3").isNull(), 2).otherwise(1).alias("_last"),
     )
+    into = staged(into, "next_windows")  # ids only, a NEARth of the rows
+    if into.count() <= SMALL:
+        into = F.broadcast(into)
     sentinels = docs.join(into, ["_id", "_tie"])
     rows = docs.withColumns({"_near": near("_id", NEAR), "_last": F.lit(0)})
     return rows.unionByName(sentinels.select(*rows.columns))
