@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import chunks, prepare, table, whole_text
+from shoplens.llm.common import chunks, prepare, staged, table, whole_text
 from shoplens.session import work_path
 
 MODEL = "piece_bpe_32k.model"
@@ -98,7 +98,10 @@ def count_tokens(docs: DataFrame, cache_path: str, model: str = MODEL, id_col: s
     fill_cache(docs, cache_path, model, text_col)
     rows = docs.select(F.col(id_col), whole_text(text_col).alias("text"))
     rows = rows.select(id_col, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("digest"))
-    counted = rows.join(_stored(spark, cache_path, tokenizer_digest(model)), "digest", "left")
+    # a written table: both sides of the join are plain shuffles, which Spark
+    # splits where one digest has very many rows
+    stored = staged(_stored(spark, cache_path, tokenizer_digest(model)), "token_counts")
+    counted = rows.join(stored, "digest", "left")
     return counted.select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
