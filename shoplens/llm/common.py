@@ -27,11 +27,14 @@ from shoplens.session import ensure_checkpoint_dir, work_path
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CHUNK_CHARS = 1_000_000
 _SHIPPED: set[str] = set()
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def prepare(spark: SparkSession) -> None:
     """Make the package importable on the executors (as ``--py-files`` does)."""
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(BATCH) == "10000":  # Spark's default; an owner's choice stays
+        spark.conf.set(BATCH, "2000")  # whole texts: keep a batch to a few MB
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

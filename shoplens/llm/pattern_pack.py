@@ -47,7 +47,7 @@ SPACE = "\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNSURE = re.compile("[\x1c-\x1f\u180e\u200b\ufeff]|<\\|endoftext\\|>")
 RUN = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 JOINED = re.compile(f"[{SPACE}]+[^{SPACE}]")
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 3_500_000
 
 
 class RunCoder:
@@ -59,17 +59,23 @@ class RunCoder:
     that it might split in another way go to the tokenizer itself."""
 
     def __init__(self, model: str = MODEL, ranks: str | None = RANKS):
-        self.tool = Tokenizer.from_file(public_tokenizers.path(model))
-        self.fast = None
+        self.model, self.fast, self._tool = model, None, None
         if ranks:
             with open(public_tokenizers.path(ranks), "rb") as f:
                 table_of = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding(model, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table_of, special_tokens={})
-        # one character of a byte-level token stands for one byte
-        vocab = self.tool.get_vocab()
-        self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
-        for token, i in vocab.items():
-            self.n_bytes[i] = len(token)
+            sizes = {i: len(token) for token, i in table_of.items()}
+        else:  # one character of a byte-level token stands for one byte
+            sizes = {i: len(token) for token, i in self.tool.get_vocab().items()}
+        self.n_bytes = np.zeros(max(sizes) + 1, np.int64)
+        self.n_bytes[list(sizes)] = list(sizes.values())
+
+    @property
+    def tool(self) -> Tokenizer:
+        """The tokenizer itself, loaded when a text needs it."""
+        if self._tool is None:
+            self._tool = Tokenizer.from_file(public_tokenizers.path(self.model))
+        return self._tool
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, np.uint32)
