@@ -516,3 +516,60 @@ def test_masking_takes_effect(spark, docs, rows, empty):
     clean = {i: t for i, t, *_ in rows if i is not None and i not in (88, 89)}
     assert all(texts[i] == t for i, t in clean.items())
     assert secret_owners.mask(empty).collect() == []
+
+
+# 3, large buckets ------------------------------------------------------------
+
+
+def chained(rng, n_chains, length, shared, own):
+    """Chains of copies, each with some words of the one before replaced,
+    behind a passage that all of them share."""
+    passage = [f"p{k}" for k in range(shared)]
+    out = []
+    for c in range(n_chains):
+        w = [f"c{c}x{k}" for k in range(own)]
+        for _ in range(length):
+            out.append(" ".join(passage + w))
+            w = list(w)
+            for k in rng.sample(range(own), own // 4):
+                w[k] = f"n{rng.randrange(10**9)}"
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("n_chains, length", [(120, 2)])
+def test_a_large_bucket_of_chained_copies(spark, n_chains, length):
+    """All texts share a passage, thus buckets; each is similar to its
+    neighbours in the chain only."""
+    rows = chained(random.Random(4), n_chains, length, 50, 50)
+    got = order_minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), 0.85).collect()
+    texts = [t.split() for _, t in rows]
+    head = list(range(len(rows)))
+
+    def root(k):
+        while head[k] != k:
+            k = head[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(set(texts[a]) & set(texts[b])) >= 85 and edits(texts[a], texts[b]) <= 15:
+                head[root(a)] = root(b)
+    want = Counter(root(k) for k in range(len(rows)))
+    assert sorted(Counter(r.label for r in got).values()) == sorted(want.values())
+
+
+def test_word_pair_counts_pass_every_similar_pair():
+    rng = random.Random(8)
+    for _ in range(200):
+        a = [f"w{rng.randrange(60)}" for _ in range(rng.randint(5, 400))]
+        b, most = list(a), int(0.2 * len(a))
+        for _ in range(most):
+            k = rng.randrange(len(b))
+            b[k : k + 1] = rng.choice([["x"], [b[k], "y"], []])
+            b = b or ["z"]
+        if not order_minhash.similar(a, b):
+            continue
+        given = order_minhash.word_runs([" ".join(a), " ".join(b)])
+        x, _, _ = order_minhash.alike(order_minhash.marks(given), given[2], np.arange(2), np.zeros(2), 0.8)
+        assert len(x) == 1
