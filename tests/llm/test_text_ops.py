@@ -537,7 +537,7 @@ def chained(rng, n_chains, length, shared, own):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("n_chains, length", [(120, 2)])
+@pytest.mark.parametrize("n_chains, length", [(120, 2), (40, 6)])
 def test_a_large_bucket_of_chained_copies(spark, n_chains, length):
     """All texts share a passage, thus buckets; each is similar to its
     neighbours in the chain only."""
