@@ -573,3 +573,20 @@ def test_word_pair_counts_pass_every_similar_pair():
         given = order_minhash.word_runs([" ".join(a), " ".join(b)])
         x, _, _ = order_minhash.alike(order_minhash.marks(given), given[2], np.arange(2), np.zeros(2), 0.8)
         assert len(x) == 1
+
+
+def shared_sketch(similarity, n_words=200, tries=400, seed=6):
+    """Share of pairs with scattered substitutions that share a sketch."""
+    rng, hits = random.Random(seed), 0
+    for _ in range(tries):
+        a = [f"w{rng.randrange(5000)}" for _ in range(n_words)]
+        b = list(a)
+        for k in rng.sample(range(n_words), round((1 - similarity) * n_words)):
+            b[k] = f"n{k}"
+        one, other = order_minhash.sketch([" ".join(a), " ".join(b)])
+        hits += bool(set(one) & set(other))
+    return hits / tries
+
+
+def test_pairs_at_the_threshold_are_candidates():
+    assert shared_sketch(0.8) >= 0.97 and shared_sketch(0.85) >= 0.99
