@@ -99,8 +99,14 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     z, least = shares.where("share > 0").agg(F.sum(p), F.min(p / F.col("share"))).first()
     spend = budget if budget is not None else (z or 1.0) / (least or 1.0)
     weight = F.when(F.col("share") > 0, F.round(p / F.lit(z or 1.0), 9)).otherwise(0.0)
-    # one token of slack, so that rounding cannot cost a whole last document
-    goal = F.floor(weight * F.lit(spend * (total or 0)) + F.lit(1e-6 * (total or 0) if budget is None else 0.5)).cast("long")
+    if budget is None:
+        # from the source's own tokens, at least once and at most ``repeats``
+        # times: neither rounding nor slack grows with the corpus
+        own = F.col("source_tokens")
+        goal = F.when(F.col("share") > 0, F.greatest(own, F.floor(F.least(own * (p / F.col("share") / F.lit(least or 1.0)) * (1 + 1e-9), own * F.lit(repeats))))).otherwise(0).cast("long")
+    else:
+        # half a token of slack, so that rounding cannot cost a whole last document
+        goal = F.floor(weight * F.lit(spend * (total or 0)) + 0.5).cast("long")
     plan = shares.withColumn("_weight", weight).withColumn("goal", goal)
     plan = plan.withColumn("full", F.when(F.col("source_tokens") > 0, F.floor(F.col("goal") / F.col("source_tokens"))).otherwise(1).cast("int"))
     plan = plan.withColumn("rest", F.when(F.col("source_tokens") > 0, F.col("goal") - F.col("full") * F.col("source_tokens")).otherwise(0))

@@ -590,3 +590,11 @@ def shared_sketch(similarity, n_words=200, tries=400, seed=6):
 
 def test_pairs_at_the_threshold_are_candidates():
     assert shared_sketch(0.8) >= 0.97 and shared_sketch(0.85) >= 0.99
+
+
+def test_slack_of_the_mixing_does_not_grow_with_the_corpus(spark):
+    """A source of one small document beside one of millions of words."""
+    rows = [(0, "a b c", "small"), *[(k, "word " * 400_000, "large") for k in range(1, 26)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = Counter(r.doc_id for r in mixing.mix(df, repeats=1.5, budget=None).select("doc_id").collect())
+    assert got == Counter({k: 1 for k in range(26)})
