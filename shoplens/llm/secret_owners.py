@@ -5,7 +5,8 @@ strings (the base kinds), and tokens that look like keys only by their shape
 (``generic``: 20 or more letters and digits mixed, of high entropy). The
 candidates' hashes are counted over the whole corpus by distinct repositories
 and distinct owners. A value that many owners hold is a copied example; one
-held by few owners is owner-specific and counts as live-looking. Generic
+held by few owners is owner-specific and counts as live-looking, however many
+repositories of theirs repeat it. Generic
 candidates are reported only when owner-specific; base spans always stay.
 
 Spans are code points with an exclusive end. Defined cases: null text scans as
@@ -32,7 +33,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 GENERIC = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-MAX_OWNERS, MAX_REPOS = 2, 20
+MAX_OWNERS = 2
 CANDIDATE = "kind: string, start: bigint, end: bigint, hash: string"
 
 
@@ -84,14 +85,14 @@ def ownership(found: DataFrame, repo_col: str, owner_col: str) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
 
 
-def judge(found: DataFrame, repo_col: str, owner_col: str, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+def judge(found: DataFrame, repo_col: str, owner_col: str, max_owners: int = MAX_OWNERS) -> DataFrame:
     """``found`` with ``live``: each row's candidates with their frequencies and
     the verdict (array of struct kind, start, end, n_repos, n_owners, live)."""
     rows = found.withColumn("_rid", F.monotonically_increasing_id())
     rows = staged(rows, "secret_rows")
     stats = ownership(rows, repo_col, owner_col)
     each = rows.select("_rid", F.explode("_found").alias("c")).select("_rid", "c.*")
-    each = each.join(stats, "hash").withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
+    each = each.join(stats, "hash").withColumn("live", F.col("n_owners") <= max_owners)
     # a row has at most its own text's candidates
     spans = each.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "n_repos", "n_owners", "live"))).alias("spans"))
     return rows.drop("_found").join(spans, "_rid", "left").drop("_rid")
@@ -105,12 +106,12 @@ def _joined(spans, kinds=None):
     return F.array_join(F.transform(keep, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", repo_col: str = "doc_id", owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", repo_col: str = "doc_id", owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
     """One row per document: counts and spans of the base kinds, all spans, the
     number of live-looking ones, and each candidate's frequencies."""
     prepare(docs.sparkSession)
     carry = list(dict.fromkeys([id_col, repo_col, owner_col]))
-    judged = judge(scan(docs, carry, text_col), repo_col, owner_col, max_owners, max_repos)
+    judged = judge(scan(docs, carry, text_col), repo_col, owner_col, max_owners)
     spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind:string,end:bigint,n_repos:bigint,n_owners:bigint,live:boolean>>"))
     judged = judged.withColumn("spans", spans)
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
@@ -124,13 +125,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", repo_col: str = "doc_i
     )
 
 
-def mask(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+def mask(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
     """``docs`` with every reported span replaced by ``[kind]``; all rows and
     columns stay. Only rows with a generic candidate are joined to the corpus
     frequencies; the others are settled where they are read."""
     prepare(docs.sparkSession)
     stats = ownership(staged(scan(docs, list(dict.fromkeys([repo_col, owner_col])), text_col).where(F.size("_found") > 0), "secret_found"), repo_col, owner_col)
-    copied = stats.where(~((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))).select("hash")
+    copied = stats.where(F.col("n_owners") > max_owners).select("hash")
     copied = staged(copied, "secret_copied")
     names = docs.columns
     rows = scan(docs, names, text_col)

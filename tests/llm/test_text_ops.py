@@ -598,3 +598,10 @@ def test_slack_of_the_mixing_does_not_grow_with_the_corpus(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = Counter(r.doc_id for r in mixing.mix(df, repeats=1.5, budget=None).select("doc_id").collect())
     assert got == Counter({k: 1 for k in range(26)})
+
+
+def test_copies_within_one_owner_do_not_hide_a_key(spark):
+    key = "Jh6Gf4Ds2Aq1Wz3Xe5Rc9"
+    df = spark.createDataFrame([(k, f"text {k} {key}", "s1") for k in range(30)], "doc_id long, text string, source string")
+    assert all(r.n_live == 1 and "generic" in r.spans for r in secret_owners.find_secrets(df).collect())
+    assert all(key not in r.text for r in secret_owners.mask(df).collect())
