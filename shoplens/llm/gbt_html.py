@@ -17,7 +17,7 @@ attributes, so that the trees don't lean on one template.
 
 Defined cases: null html is empty and gives the empty string; a page without
 elements is one block of text; unclosed and misplaced tags are closed the way
-browsers do for blocks; scripts, styles, comments, templates and the head never
+browsers do for blocks, also a head without end; scripts, styles, comments, templates and the head never
 count as text; pages of any length are parsed whole; repeated rows each get a
 row; an empty table gives an empty result; other columns are ignored.
 """
@@ -38,12 +38,14 @@ from shoplens.llm.common import map_rows, prepare, spread, table, texts_of
 
 SAMPLE, TREES, DEPTH, SEED = 300, 20, 4, 7
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|head|title)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)"""
+    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|title)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input button select option textarea picture source video audio".split())
+#: Elements of a head besides those whose text never counts; any other ends it.
+HEAD = frozenset("head meta link base basefont bgsound".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end an open paragraph, and those that end an open one of their kind.
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li".split())
@@ -67,15 +69,21 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self.links, self.marks = [0], [0]
         self._run: list[str] = []
-        open_, at, in_link = [0], 0, False
+        open_, at, in_link, in_head = [0], 0, False, False
         for m in TOKEN.finditer(html):
             if m.start() > at:
-                self._text(html[at : m.start()], open_[-1], in_link)
+                in_head = in_head and not html[at : m.start()].strip()
+                if not in_head:
+                    self._text(html[at : m.start()], open_[-1], in_link)
             at = m.end()
             name = m[3]
             if name is None:
                 continue
             name, ends = name.lower(), bool(m[2])
+            if name == "head" or in_head and name in HEAD:
+                in_head = not (name == "head" and ends)
+                continue
+            in_head = False
             self.marks[open_[-1]] += 1
             if name in INLINE:
                 if name == "a":

@@ -165,3 +165,12 @@ def test_warc_files_round_trip(spark):
     warc.write_warc(records, path)
     got = sorted((r.header["WARC-Record-ID"], r.header["WARC-Refers-To"], r.header["WARC-Type"], r.header["WARC-Block-Digest"], r.block) for r in warc.read_warc(spark, path).collect())
     assert got == sorted((r.record_id, r.refers_to, r.type, r.block_digest, r.block) for r in records.collect())
+
+
+def test_a_head_without_end(spark):
+    page = lambda h: [t for _, t in gbt_html.Page(h).blocks]
+    for end in ("<body>", "</head><body>", "", "</HEAD>\n"):
+        assert page(f"<html><head>\n<title>T</title> <meta charset=utf-8><link rel=x><style>p{{}}</style>{end}<p>one<p>two") == ["one", "two"]
+    assert page("<head><title>T</title>text") == ["text"]
+    rows = spark.createDataFrame([(1, "http://a", "<head><title>T</title><body><p>one<p>two")], SCHEMA)
+    assert [r.block for r in warc.derive(warc.responses(rows)).collect() if r.type == "conversion"] == ["one\ntwo"]
