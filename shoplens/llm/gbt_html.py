@@ -9,11 +9,13 @@ keeping it leaves the choice to its children, so no kept node stands below a
 dropped one. The kept blocks are the text, in page order.
 
 The trees are trained here, with Spark's boosted trees, on a bounded sample of
-pages (``SAMPLE``, by hash of the id). A page's known layout elements (navigation,
-adverts, footers, asides, forms, comments) are the negative examples, the rest
-of its article the positive ones; each sampled page is also used in a second
-form, in which layout and article elements carry other common tags and
-attributes, so that the trees don't lean on one template.
+pages (``SAMPLE``, by hash of the id). What stands in a page's article element
+is positive, the rest negative; in pages without one, known layout elements
+(navigation, adverts, footers, asides, forms, comments) are negative. Each page
+is also used in a second form, in which layout and article elements carry other
+common tags and attributes, so that the trees don't lean on one template, and
+a share of the second forms once more in disguise, without any such tag or
+word or with misleading ones, so that text, links and place decide there.
 
 Defined cases: null html is empty and gives the empty string; a page without
 elements is one block of text; unclosed and misplaced tags are closed the way
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import map_rows, prepare, spread, table, texts_of
 
 SAMPLE, TREES, DEPTH, SEED = 300, 20, 4, 7
+DISGUISED = 0.3  # share of the pages
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|title)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""",
@@ -248,6 +251,33 @@ def _answers(page: Page) -> np.ndarray:
     return out
 
 
+def _in_article(page: Page) -> np.ndarray:
+    """1 for nodes in an article element and around one; ``_answers`` of a page
+    without any."""
+    out = np.array([float(t == "article") for t in page.tags])
+    if not out.any():
+        return _answers(page)
+    for v in range(1, len(out)):
+        out[v] = max(out[v], out[page.parent[v]])
+    for v in range(len(out) - 1, 0, -1):
+        out[page.parent[v]] = max(out[page.parent[v]], out[v])
+    out[0] = 1
+    return out
+
+
+def _disguise(page: Page, answers: np.ndarray, rng: random.Random, misleading: bool) -> None:
+    """Take the words and tags of layout and article away from the page, or
+    give some to nodes of the other side."""
+    layout, main = sorted(LAYOUT), sorted(MAIN)
+    children = set(page.parent)
+    for v in range(1, len(page.tags)):
+        if page.tags[v] in LAYOUT or page.tags[v] in ("article", "main", "section"):
+            page.tags[v] = "div"
+        page.tokens[v] = frozenset()
+        if misleading and v in children and rng.random() < 0.5:
+            page.tokens[v] = frozenset([rng.choice(layout if answers[v] else main)])
+
+
 def _reform(html: str, rng: random.Random) -> str:
     """The page with other tags for layout and article, and layout within the
     article too."""
@@ -272,9 +302,13 @@ def train(spark: SparkSession, pages: list[str]) -> Trees | None:
     """The trees from sampled pages; None without any."""
     rng, rows = random.Random(SEED), []
     for html in pages:
-        for form in (html, _reform(html, rng)):
+        other = _reform(html, rng)
+        for form, misleading in ((html, None), (other, None), (other, rng.random() < 0.5)):
             page = Page(form)
-            rows += [(float(y), Vectors.dense(x)) for x, y in zip(page.features(), _answers(page), strict=True)]
+            answers = _in_article(page) if form is html else _answers(page)
+            if misleading is not None and rng.random() < DISGUISED:
+                _disguise(page, answers, rng, misleading)
+            rows += [(float(y), Vectors.dense(x)) for x, y in zip(page.features(), answers, strict=True)]
     if len({y for y, _ in rows}) < 2:
         return None
     data = spark.createDataFrame(rows, ["label", "features"]).repartition(2).cache()

@@ -174,3 +174,31 @@ def test_a_head_without_end(spark):
     assert page("<head><title>T</title>text") == ["text"]
     rows = spark.createDataFrame([(1, "http://a", "<head><title>T</title><body><p>one<p>two")], SCHEMA)
     assert [r.block for r in warc.derive(warc.responses(rows)).collect() if r.type == "conversion"] == ["one\ntwo"]
+
+
+@pytest.mark.parametrize("misleading", [False, True])
+def test_held_out_nodes_without_telling_words(trees, misleading):
+    """Pages that were not sampled, with no words of layout, or with wrong ones."""
+    model, pages = trees
+    rng, right, total = random.Random(98), 0, 0
+    for html in pages:
+        page = gbt_html.Page(gbt_html._reform(html, rng))
+        answers = gbt_html._answers(page)
+        gbt_html._disguise(page, answers, rng, misleading)
+        wanted = [t for node, t in page.blocks if answers[node]]
+        got = page.decode(model.odds(page.features()))
+        right += len(set(wanted) & set(got)) * 2
+        total += len(set(wanted)) + len(set(got))
+    print("F1", misleading, right / total)
+    assert right / total >= 0.9
+
+
+def test_wrappers_named_like_layout(trees):
+    model, pages = trees
+    some = [h for h in pages if "<article>" in h][:50]
+    kept = 0
+    for html in some:
+        page = gbt_html.Page(html.replace("<body>", "<body class='has-sidebar'><form id='form1'>"))
+        kept += bool(page.decode(model.odds(page.features())))
+    print("kept", kept, len(some))
+    assert kept >= 0.95 * len(some)
