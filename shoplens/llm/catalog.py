@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from shoplens.llm import crf_lines, gbt_html, lm_mix, mixing, order_minhash, pattern_pack, secret_owners, syncmers, token_cache, warc
+from shoplens.llm import (
+    crf_lines,
+    gbt_html,
+    lm_mix,
+    mixing,
+    orchard_codes,
+    order_minhash,
+    pattern_pack,
+    piece_rounds,
+    secret_owners,
+    shift_merkle,
+    syncmers,
+    token_cache,
+    warc,
+)
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +31,13 @@ QUERIES = {
         syncmers.op8_syncmers,
         pattern_pack.op9_pattern_pack,
         secret_owners.op10_secret_owners,
+        orchard_codes.op11_orchard_codes,
+        shift_merkle.op12_shift_merkle,
+        piece_rounds.op13_piece_rounds,
     )
 }
-ORACLES: dict[str, str] = {"op5_mixing": mixing.OP5_SQL}
+ORACLES: dict[str, str] = {
+    "op5_mixing": mixing.OP5_SQL,
+    "op11_orchard_codes": orchard_codes.OP11_SQL,
+    "op12_shift_merkle": shift_merkle.OP12_SQL,
+}
