@@ -51,3 +51,11 @@ def new_devices(dau: DataFrame) -> DataFrame:
     """(log_date, new_mid): devices whose first active day is that date."""
     return (first_seen_day(dau).groupBy(F.col("first_date").alias("log_date"))
             .agg(F.count(F.lit(1)).alias("new_mid")))
+
+
+FIRST_DAY = "mid string, log_date string"
+
+
+def new_mid_contribution(first_days: DataFrame) -> DataFrame:
+    """What a device's first day adds to its day's new devices."""
+    return first_days.select("log_date", F.lit(1).cast("bigint").alias("new_mid"))

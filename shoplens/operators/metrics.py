@@ -59,6 +59,25 @@ def gmv_hours(orders: DataFrame, day: str) -> DataFrame:
             .agg(money_sum("total_amount").alias("order_amount")))
 
 
+def gmv_contribution(orders: DataFrame) -> DataFrame:
+    """What an order adds to its hour: amount and count."""
+    amount = F.col("total_amount").try_cast("decimal(28,4)")
+    return orders.select("create_date", "create_hour", F.coalesce(amount, F.lit(0).cast("decimal(28,4)")).alias("order_amount"),
+                         amount.isNotNull().cast("bigint").alias("n_amounts"), F.lit(1).cast("bigint").alias("n_orders"))
+
+
+def gmv_hours_of_totals(totals: DataFrame, day: str) -> DataFrame:
+    """(create_hour, order_amount) as :func:`gmv_hours`, from sums that are kept
+    by hour; hours that no order is left in are gone."""
+    hours = totals.where((F.col("create_date") == day) & (F.col("n_orders") > 0))
+    return hours.select("create_hour", F.when(F.col("n_amounts") > 0, F.col("order_amount")).cast("double").alias("order_amount"))
+
+
+def new_mid_of_totals(totals: DataFrame, day: str) -> DataFrame:
+    """One row (new_mid) as :func:`new_mid_total`, from counts that are kept by day."""
+    return totals.where(F.col("log_date") == day).agg(F.coalesce(F.sum("new_mid"), F.lit(0)).cast("bigint").alias("new_mid"))
+
+
 def new_mid_total(dau: DataFrame, day: str) -> DataFrame:
     """One row (new_mid): devices first seen on ``day`` (the card the
     dashboard shows; the reference fills it with a constant)."""
@@ -66,16 +85,17 @@ def new_mid_total(dau: DataFrame, day: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("new_mid")))
 
 
-def realtime_total(dau: DataFrame, orders: DataFrame, day: str | None = None) -> DataFrame:
+def realtime_total(dau: DataFrame, orders: DataFrame, day: str | None = None, new_mids: DataFrame | None = None) -> DataFrame:
     """Metric cards (id, name, value) for ``day`` (default today): DAU, new
-    devices, revenue."""
+    devices, revenue. ``new_mids``: counts of new devices that are kept by day
+    (log_date, new_mid); with it no history of ``dau`` is read."""
     day = day or today(dau.sparkSession)
     def card(df: DataFrame, card_id: str, value_col: str) -> DataFrame:
         return df.select(F.lit(card_id).alias("id"), F.lit(CARD_NAMES[card_id]).alias("name"),
                          F.col(value_col).cast("double").alias("value"))
 
     return (card(dau_total(dau, day), CARD_DAU, "dau")
-            .unionByName(card(new_mid_total(dau, day), CARD_NEW_MID, "new_mid"))
+            .unionByName(card(new_mid_total(dau, day) if new_mids is None else new_mid_of_totals(new_mids, day), CARD_NEW_MID, "new_mid"))
             .unionByName(card(gmv_total(orders, day), CARD_ORDER_AMOUNT, "order_amount")))
 
 

@@ -14,7 +14,7 @@ copies the single order row. Full and anti joins are arranged so the skewed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens import schemas
@@ -54,9 +54,20 @@ def interval_condition(within_seconds: int) -> Column:
             & F.col("d_ingest_ts").between(F.col("o_ingest_ts") - w, F.col("o_ingest_ts") + w))
 
 
-def join_within(orders: DataFrame, details: DataFrame, within_seconds: int = 300) -> DataFrame:
-    """Each (order, detail) pair whose arrivals are at most ``within_seconds`` apart, once."""
-    return _details(details).join(_orders(orders), interval_condition(within_seconds), "inner").select(*_merged())
+def join_within(orders: DataFrame, details: DataFrame, within_seconds: int = 300, sale_time: bool = False) -> DataFrame:
+    """Each (order, detail) pair whose arrivals are at most ``within_seconds``
+    apart, once; with ``sale_time`` also ``sale_ts``, the later arrival."""
+    more = [F.greatest("o_ingest_ts", "d_ingest_ts").alias("sale_ts")] if sale_time else []
+    return _details(details).join(_orders(orders), interval_condition(within_seconds), "inner").select(*_merged(), *more)
+
+
+def join_full_within(orders: DataFrame, details: DataFrame, within_seconds: int = 300) -> DataFrame:
+    """The pairs of :func:`join_within`, the orders without a line within the
+    interval (line columns NULL) and the lines without an order within it
+    (order columns NULL but for the id). On streams the two outer halves come
+    once the watermark shows that no partner can still arrive."""
+    joined = _details(details).join(_orders(orders), interval_condition(within_seconds), "full_outer")
+    return joined.select(*_merged(F.coalesce("o_id", "d_order_id")))
 
 
 def join_all(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -121,6 +132,25 @@ def enrich_users(sales: DataFrame, users: DataFrame, as_of: str | Column) -> Dat
     return joined.withColumn("user_age", F.coalesce(F.col("u_age"), F.lit(0))).select(*schemas.SALE_DETAIL_COLUMNS)
 
 
+def enrich_users_as_of(sales: DataFrame, versions: DataFrame, as_of: str | Column) -> DataFrame:
+    """As :func:`enrich_users`, with the user as it was when the sale happened.
+
+    ``sales`` has ``sale_ts``; ``versions`` holds every change of a user with
+    its arrival ``ingest_ts`` and ``seq``. A sale takes the last version that
+    had arrived by then; a sale before a user's first version has no user. A
+    version is valid until the next one's arrival, so each sale meets one.
+    """
+    as_of_col = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    following = Window.partitionBy("id").orderBy("ingest_ts", "seq")  # a user's own changes
+    u = versions.select(F.col("id").alias("u_id"), F.col("gender").alias("user_gender"), "user_level",
+                        C.age_years(F.col("birthday"), as_of_col).alias("u_age"), F.col("ingest_ts").alias("u_from"),
+                        F.lead("ingest_ts").over(following).alias("u_until"))
+    then = (F.col("user_id") == F.col("u_id")) & (F.col("sale_ts") >= F.col("u_from")) & (
+        F.col("u_until").isNull() | (F.col("sale_ts") < F.col("u_until")))
+    joined = sales.join(u, then, "left")
+    return joined.withColumn("user_age", F.coalesce(F.col("u_age"), F.lit(0))).select(*schemas.SALE_DETAIL_COLUMNS)
+
+
 def build_sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str,
                       within_seconds: int = 300) -> DataFrame:
     return enrich_users(join_within(orders, details, within_seconds), users, as_of)

@@ -919,12 +919,10 @@ def cdc_stream(t: RetailTables) -> DataFrame:
     SELECT s.order_detail_id, s.order_id, s.user_id, u.gender AS user_gender, CASE WHEN o.q < 2 THEN u.user_level ELSE '9' END AS user_level
     FROM pairs s LEFT JOIN user_info u ON s.user_id = u.id
     JOIN (SELECT id, least(CAST(floor((epoch(ingest_ts) - lo) / ((hi - lo) / 4)) AS INTEGER), 3) AS q
-          FROM (SELECT *, (SELECT min(x) FROM bounds) AS lo, (SELECT max(x) FROM bounds) AS hi FROM order_detail)) o ON o.id = s.order_detail_id
-    WHERE s.order_id NOT IN (SELECT order_id FROM edges)""",
+          FROM (SELECT *, (SELECT min(x) FROM bounds) AS lo, (SELECT max(x) FROM bounds) AS hi FROM order_detail)) o ON o.id = s.order_detail_id""",
     "order_info", "order_detail", "user_info",
     extra={"pairs": _PAIRS_SQL,
-           "bounds": "SELECT epoch(ingest_ts) AS x FROM order_info UNION ALL SELECT epoch(ingest_ts) + CASE WHEN CAST(id AS BIGINT) % 10 = 3 THEN 60 ELSE 0 END FROM order_info UNION ALL SELECT epoch(ingest_ts) FROM order_detail UNION ALL SELECT epoch(ingest_ts) + 60 FROM order_detail WHERE CAST(order_id AS BIGINT) % 10 = 3",
-           "edges": "SELECT NULL AS order_id WHERE false"}))
+           "bounds": "SELECT epoch(ingest_ts) AS x FROM order_info UNION ALL SELECT epoch(ingest_ts) + CASE WHEN CAST(id AS BIGINT) % 10 = 3 THEN 60 ELSE 0 END FROM order_info UNION ALL SELECT epoch(ingest_ts) FROM order_detail UNION ALL SELECT epoch(ingest_ts) + 60 FROM order_detail WHERE CAST(order_id AS BIGINT) % 10 = 3"}))
 def sale_detail_user_updates_stream(t: RetailTables) -> DataFrame:
     """Every user's level changes halfway through the replay: pairs that meet
     later carry the new one."""
@@ -960,3 +958,226 @@ def sale_search_next_page(t: RetailTables) -> DataFrame:
     hits = search.filter_sales(_sales(t), SEARCH_DAY, SEARCH_KEYWORD).checkpoint()
     last = search.search_page_after(hits, None, PAGE_LENGTH).agg(F.max("order_detail_id")).first()[0]
     return search.search_page_after(hits, last, PAGE_LENGTH)
+
+
+# --- keyed tables kept by streams ------------------------------------------
+
+_DOCUMENT_SQL = ORACLES["coupon_alert_documents"]
+
+
+@register("alert_document_stream", _DOCUMENT_SQL)
+def alert_document_stream(t: RetailTables) -> DataFrame:
+    """Event topic replayed through the document job, then once more as a whole
+    by a second writer: the table still holds one document per device and
+    minute, and is read as it stands."""
+    spark = t.spark
+    topic, ckpt, again = work_path(spark, "topics", "event"), work_path(spark, "ckpt", "documents"), work_path(spark, "ckpt", "documents2")
+    table = jobs.alert_table(work_path(spark, "tables", "documents"), buckets=4)
+    lines = _stamped_lines(t, schemas.EVENT_TOPIC)
+
+    def run(checkpoint=ckpt, writer="first"):
+        return jobs.alert_document_job(read_topic_files(spark, topic), table, checkpoint, ALERT_WINDOW, ALERT_SLIDE,
+                                       watermark="1 hour", writer=writer, available_now=True)
+
+    replay({topic: (lines, "_t")}, run, n_chunks=2)
+    _tick(spark, lines, topic, {"mid": "__heartbeat__", "evid": "heartbeat"}, run)
+    for _ in range(2):
+        run(again, "second").awaitTermination()
+    return alerts.to_documents(table.read(spark))
+
+
+def _order_versions(t: RetailTables) -> DataFrame:
+    """Order messages in four deliveries (``_t``): the first version of all, a
+    later one of even keys with 100 more, a late copy of the first version, and
+    a third one of every third key with another status."""
+    text = fixtures.order_info_text(t.raw("orders"), None).drop("ingest_ts")
+    key = F.col("id").cast("bigint")
+
+    def version(n: int, seq: int, rows: DataFrame) -> DataFrame:
+        return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"), (key * 10 + seq).alias("seq"),
+                           F.lit(None).cast("timestamp").alias("ingest_ts"), F.lit(float(n)).alias("_t"))
+
+    dearer = (F.col("total_amount").cast("decimal(18,2)") + 100).cast("decimal(18,2)").cast("string")
+    second = version(1, 2, text.where(key % 2 == 0).withColumn("total_amount", dearer))
+    third = version(3, 3, text.where(key % 3 == 0).withColumn("order_status", F.lit("V3")))
+    return version(0, 1, text).unionByName(second).unionByName(version(2, 1, text.where(key % 5 == 0))).unionByName(third)
+
+
+def _order_table(t: RetailTables, merge_every: int):
+    spark = t.spark
+    topic, ckpt = work_path(spark, "topics", "orders"), work_path(spark, "ckpt", "order_table")
+    table = jobs.order_table(work_path(spark, "tables", "orders"), merge_every, part_chars=7)
+
+    def run(checkpoint=ckpt, writer="first"):
+        return jobs.order_table_job(read_topic_files(spark, topic), table, checkpoint, writer, available_now=True)
+
+    replay({topic: (_order_versions(t), "_t")}, run)
+    return table, run
+
+
+_LATEST_ORDER_SQL = """
+    SELECT id, create_date, create_hour, CASE WHEN okey % 3 = 0 THEN 'V3' ELSE order_status END AS order_status,
+           total_amount + CASE WHEN okey % 2 = 0 AND okey % 3 <> 0 THEN 100 ELSE 0 END AS total_amount FROM order_info"""
+
+
+@register("order_snapshot_stream", with_views("""
+    SELECT phase, id, create_date, order_status, round(total_amount, 2) AS total_amount
+    FROM latest, (SELECT unnest(['deltas', 'replayed', 'merged']) AS phase)""", "order_info", extra={"latest": _LATEST_ORDER_SQL}))
+def order_snapshot_stream(t: RetailTables) -> DataFrame:
+    """The order table as readers see it with open deltas, after the whole topic
+    was delivered again by another writer, and after a merge: always the
+    versions with the highest ``seq``."""
+    spark = t.spark
+    table, run = _order_table(t, merge_every=3)
+
+    def seen(phase: str) -> DataFrame:
+        return table.read(spark).select(F.lit(phase).alias("phase"), "id", "create_date", "order_status", F.round("total_amount", 2).alias("total_amount"))
+
+    before = seen("deltas").checkpoint(eager=True)
+    run(work_path(spark, "ckpt", "order_table2"), "second").awaitTermination()
+    between = seen("replayed").checkpoint(eager=True)
+    table.merge(spark)
+    return before.unionByName(between).unionByName(seen("merged"))
+
+
+@register("gmv_hours_kept", with_views("""
+    SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE) AS order_amount
+    FROM latest WHERE create_date = '1996-09-17' GROUP BY create_hour""", "order_info", extra={"latest": _LATEST_ORDER_SQL}))
+def gmv_hours_kept(t: RetailTables) -> DataFrame:
+    """Revenue by hour from the sums that the order table's merges keep: orders
+    that changed after their hour was counted are taken back and added again;
+    no order is read."""
+    table, _ = _order_table(t, merge_every=1)
+    return metrics.gmv_hours_of_totals(table.read_totals(t.spark, "hours"), GMV_DAY)
+
+
+@register("realtime_total_kept", with_views(f"""
+    SELECT 'dau' AS id, 'daily active devices' AS name, CAST((SELECT count(*) FROM dau WHERE log_date = '{DAU_DAY}') AS DOUBLE) AS value
+    UNION ALL SELECT 'new_mid', 'new devices', CAST((SELECT count(*) FROM (
+      SELECT mid, min(log_date) AS d FROM dau GROUP BY mid) WHERE d = '{DAU_DAY}') AS DOUBLE)
+    UNION ALL SELECT 'order_amount', 'order amount', (SELECT CAST(sum(CAST(total_amount AS DECIMAL(28,4))) AS DOUBLE) FROM order_info
+      WHERE create_date = '{DAU_DAY}')""", "dau", "order_info"))
+def realtime_total_kept(t: RetailTables) -> DataFrame:
+    """The metric cards with new devices from the first-day table: the days
+    arrive latest first, so every earlier row is a backfill that moves a device
+    to its true first day. The card reads one count, no history."""
+    spark = t.spark
+    topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "first_day")
+    table = jobs.first_day_table(work_path(spark, "tables", "first_day"), buckets=4)
+    lines = _stamped_lines(t, schemas.STARTUP_TOPIC).withColumn("_t", -F.col("_t"))
+    replay({topic: (lines, "_t")}, lambda: jobs.first_day_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
+    return metrics.realtime_total(t.dau_of(DAU_DAY), t.orders_of(DAU_DAY), DAU_DAY, table.read_totals(spark, "new_mid"))
+
+
+@register("dau_late_stream", with_views("SELECT * FROM dau", "dau"))
+def dau_late_stream(t: RetailTables) -> DataFrame:
+    """Startup topic into the keyed DAU table, a third of the rows delivered
+    after everything else: rows of days long over reach their day's table, and
+    an earlier row replaces the device's row."""
+    spark = t.spark
+    topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau_table")
+    table = jobs.dau_table(work_path(spark, "tables", "dau"), merge_every=3)
+    late = F.xxhash64("value") % 3 == 0
+    lines = _stamped_lines(t, schemas.STARTUP_TOPIC).withColumn("_t", F.when(late, F.col("_t") + F.lit(1e9)).otherwise(F.col("_t")))
+    replay({topic: (lines, "_t")}, lambda: jobs.dau_table_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
+    return table.read(spark)
+
+
+@register("dau_once_stream", with_views("SELECT log_date, mid, log_date = strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS own_day, "
+                                        "1::BIGINT AS n_rows FROM dau", "dau"))
+def dau_once_stream(t: RetailTables) -> DataFrame:
+    """Startup topic through the emit-once job: one row per (day, device) in the
+    files themselves; ``n_rows`` counts them without resolving any."""
+    spark = t.spark
+    topic, ckpt, out = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau_once"), work_path(spark, "tables", "dau_once")
+    replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")},
+           lambda: jobs.dau_once_job(read_topic_files(spark, topic), out, ckpt, available_now=True))
+    rows = spark.read.schema(jobs.DAU_SCHEMA).parquet(out)
+    return rows.groupBy("log_date", "mid").agg(F.bool_and(C.log_date("ts") == F.col("log_date")).alias("own_day"), F.count(F.lit(1)).alias("n_rows"))
+
+
+_WITHIN_SQL = f"""d.order_id = o.id AND d.ingest_ts BETWEEN o.ingest_ts - INTERVAL {JOIN_WITHIN_S} SECOND
+                                                      AND o.ingest_ts + INTERVAL {JOIN_WITHIN_S} SECOND"""
+
+
+@register("order_detail_full_outer_stream", with_views(f"""
+    SELECT d.id AS order_detail_id, coalesce(o.id, d.order_id) AS order_id, o.order_status, o.create_time, o.user_id, d.sku_id,
+           TRY_CAST(d.order_price AS DOUBLE) AS sku_price, d.sku_name, o.create_date AS dt
+    FROM order_detail d FULL OUTER JOIN present o ON {_WITHIN_SQL}""", "order_info", "order_detail",
+    extra={"present": "SELECT * FROM order_info WHERE okey % 7 <> 0"}))
+def order_detail_full_outer_stream(t: RetailTables) -> DataFrame:
+    """Order and detail topics, a seventh of the orders missing, through the
+    streaming full outer join: pairs, late orders and orphan lines."""
+    spark = t.spark
+    o_topic, d_topic = work_path(spark, "topics", "orders"), work_path(spark, "topics", "details")
+    ckpt, out = work_path(spark, "ckpt", "full_outer"), work_path(spark, "tables", "full_outer")
+    orders = _topic_messages(t, schemas.ORDER_INFO_TOPIC).where(F.get_json_object("value", "$.id").cast("bigint") % 7 != 0)
+    details = _topic_messages(t, schemas.ORDER_DETAIL_TOPIC)
+
+    def run():
+        return jobs.full_outer_job(read_topic_files(spark, o_topic), read_topic_files(spark, d_topic), out, ckpt, JOIN_WITHIN_S, available_now=True)
+
+    replay({o_topic: (orders, "_t"), d_topic: (details, "_t")}, run, n_chunks=2)
+    _close_intervals(orders, details, o_topic, d_topic, run)
+    return spark.read.parquet(out).where(F.col("order_id") != "__heartbeat__")
+
+
+def _close_intervals(orders: DataFrame, details: DataFrame, o_topic: str, d_topic: str, run) -> None:
+    """A message on each topic a day after the data, then two more runs."""
+    last = orders.unionByName(details).agg(F.max("ingest_ts").alias("last"))
+    tick = (F.col("last") + F.expr("INTERVAL 1 DAY")).alias("ingest_ts")
+    beat = F.lit("__heartbeat__")
+    append_topic_files(last.select(F.to_json(F.struct(beat.alias("id"))).alias("value"), tick), o_topic)
+    append_topic_files(last.select(F.to_json(F.struct(beat.alias("id"), beat.alias("order_id"))).alias("value"), tick), d_topic)
+    for _ in range(2):
+        run().awaitTermination()
+
+
+_USER_VERSION_SQL = """
+    SELECT id, user_level, birthday, gender, TIMESTAMP '1990-01-01' AS at, 1 AS seq FROM user_info
+    UNION ALL SELECT id, 'later', birthday, CASE gender WHEN 'M' THEN 'F' ELSE 'M' END, TIMESTAMP '1996-01-01', 2 FROM user_info
+    WHERE CAST(id AS BIGINT) % 2 = 0"""
+_AS_OF_SQL = f"""
+    SELECT p.order_detail_id, p.order_id, p.order_status, p.create_time, p.user_id, p.sku_id, u.gender AS user_gender,
+           coalesce(CAST(date_diff('day', CAST(u.birthday AS DATE), DATE '{AGE_AS_OF}') // 365 AS INTEGER), 0) AS user_age,
+           u.user_level, p.sku_price, p.sku_name, p.dt
+    FROM (SELECT d.id AS order_detail_id, o.id AS order_id, o.order_status, o.create_time, o.user_id, d.sku_id,
+                 TRY_CAST(d.order_price AS DOUBLE) AS sku_price, d.sku_name, o.create_date AS dt, greatest(o.ingest_ts, d.ingest_ts) AS at
+          FROM order_detail d JOIN order_info o ON {_WITHIN_SQL}) p
+    ASOF LEFT JOIN versions u ON p.user_id = u.id AND p.at >= u.at"""
+
+
+def _user_versions(t: RetailTables) -> DataFrame:
+    """User changes with arrival: all in 1990, even ones again in 1996."""
+    rows = t.users.select(*schemas.USER_INFO.fieldNames())
+    first = rows.select("*", F.lit(1).cast("bigint").alias("seq"), F.lit("1990-01-01").cast("timestamp").alias("ingest_ts"))
+    other = F.when(F.col("gender") == "M", "F").otherwise("M")
+    second = rows.where(F.col("id").cast("bigint") % 2 == 0).withColumns({"user_level": F.lit("later"), "gender": other})
+    return first.unionByName(second.select("*", F.lit(2).cast("bigint").alias("seq"), F.lit("1996-01-01").cast("timestamp").alias("ingest_ts")))
+
+
+@register("sale_detail_as_of", with_views(_AS_OF_SQL, "order_info", "order_detail", "user_info", extra={"versions": _USER_VERSION_SQL}))
+def sale_detail_as_of(t: RetailTables) -> DataFrame:
+    """Sales with their user as of the sale."""
+    pairs = sale_detail.join_within(t.bare_orders, t.details, JOIN_WITHIN_S, sale_time=True)
+    return sale_detail.enrich_users_as_of(pairs, _user_versions(t), AGE_AS_OF)
+
+
+@register("sale_detail_as_of_stream", with_views(_AS_OF_SQL, "order_info", "order_detail", "user_info", extra={"versions": _USER_VERSION_SQL}))
+def sale_detail_as_of_stream(t: RetailTables) -> DataFrame:
+    """Order, detail and user topics replayed by arrival through the job that
+    keeps user versions in its state; no user table is read."""
+    spark = t.spark
+    topics = {n: work_path(spark, "topics", n) for n in ("orders", "details", "users")}
+    table, ckpt = AppendTable(work_path(spark, "tables", "sale_as_of"), partition_by=["dt_month"]), work_path(spark, "ckpt", "sale_as_of")
+    users = _user_versions(t)
+    changes = users.select(F.to_json(F.struct(*schemas.USER_INFO.fieldNames())).alias("value"), "seq", "ingest_ts",
+                           F.unix_seconds("ingest_ts").cast("double").alias("_t"))
+
+    def run():
+        o, d, u = (read_topic_files(spark, topics[n]) for n in ("orders", "details", "users"))
+        return jobs.sale_detail_as_of_job(o, d, u, table, ckpt, AGE_AS_OF, JOIN_WITHIN_S, available_now=True)
+
+    replay({topics["orders"]: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t"),
+            topics["details"]: (_topic_messages(t, schemas.ORDER_DETAIL_TOPIC), "_t"), topics["users"]: (changes, "_t")}, run, n_chunks=2)
+    return table.read(spark).select(*schemas.SALE_DETAIL_COLUMNS)

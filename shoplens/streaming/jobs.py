@@ -13,15 +13,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens import schemas
 from shoplens.functions import columns as C
-from shoplens.operators import alerts, clean, dedup, ingest, sale_detail
+from shoplens.operators import alerts, clean, dedup, ingest, metrics, sale_detail
 from shoplens.sources import changefeed
+from shoplens.streaming import users as user_state
 from shoplens.streaming.sinks import AppendTable, LogTable
+from shoplens.streaming.snapshots import SnapshotTable, Totals
+
+DAU_SCHEMA = T.StructType([T.StructField(c, T.LongType() if c == "ts" else T.StringType()) for c in dedup.DAU_COLUMNS])
+ORDER_SCHEMA = T.StructType([*[T.StructField(c, T.DoubleType() if c == "total_amount" else T.StringType()) for c in schemas.ORDER_INFO_COLUMNS],
+                             T.StructField("seq", T.LongType())])
+ALERT_COUNT = ("mid string, window_start bigint, window_end bigint, n_users int, has_veto boolean, n_events bigint, "
+               "event_counts array<struct<evid: string, n: bigint>>, ts bigint")
+ALERT_DOCUMENT = "doc_id string, " + ALERT_COUNT.replace("has_veto boolean, ", "") + ", uids array<string>, item_ids array<string>"
+
+
+def read_or_empty(spark, schema: str, path: str) -> DataFrame:
+    """A parquet table that no job may have written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def _start(writer, checkpoint: str, trigger_seconds: int, available_now: bool, name: str) -> StreamingQuery:
@@ -33,6 +54,16 @@ def _start(writer, checkpoint: str, trigger_seconds: int, available_now: bool, n
     return writer.start()
 
 
+def table_job(rows: DataFrame, table: SnapshotTable, checkpoint: str, name: str, writer: str = "stream",
+              trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """A stream of rows -> a keyed table, merged on write. A micro-batch that
+    is replayed is left out; ``writer`` names the stream for that."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(batch, batch_id, writer)
+
+    return _start(rows.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger_seconds, available_now, name)
+
+
 # --- ingest -----------------------------------------------------------------
 
 def ingest_job(lines: DataFrame, path: str, checkpoint: str, stamp_ms: Column | str | None = None,
@@ -97,6 +128,60 @@ def dau_final_job(lines: DataFrame, path: str, checkpoint: str, lateness: str =
     return _start(writer, checkpoint, trigger_seconds, available_now, "dau_final")
 
 
+def dau_once_job(lines: DataFrame, path: str, checkpoint: str, within: str = "25 hours",
+                 trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Startup lines -> one row per (day, device), written at first sight.
+
+    ``dropDuplicatesWithinWatermark`` remembers a device until ``within`` after
+    its event time; a day's rows lie less than a day apart, so with 25 hours
+    none is written twice, and the table needs no resolving. Rows more than
+    ``within`` late are dropped (:func:`dau_table_job` keeps them). Of rows in
+    one micro-batch any may be the one that is kept."""
+    rows = clean.parse_startup(lines).select(*dedup.DAU_COLUMNS)
+    rows = rows.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", within)
+    once = rows.dropDuplicatesWithinWatermark(list(dedup.DAU_KEYS)).select(*dedup.DAU_COLUMNS)
+    writer = once.writeStream.format("parquet").option("path", path).partitionBy("log_date").outputMode("append")
+    return _start(writer, checkpoint, trigger_seconds, available_now, "dau_once")
+
+
+def dau_table(path: str, merge_every: int = 12) -> SnapshotTable:
+    """The first visit of each device and day, by day."""
+    return SnapshotTable(path, DAU_SCHEMA, keys=list(dedup.DAU_KEYS), order_by=["ts", "uid"], part="log_date",
+                         merge_every=merge_every, first=True)
+
+
+def dau_table_job(lines: DataFrame, table: SnapshotTable, checkpoint: str, writer: str = "stream",
+                  trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Startup lines -> the keyed DAU table. No row is too late: there is no
+    watermark and no state, a late row goes to its own day, and a merge rewrites
+    the days that got rows. A batch is reduced to its first visits first."""
+    rows = clean.parse_startup(lines).select(*dedup.DAU_COLUMNS).where(F.col("log_date").isNotNull())
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(dedup.first_visit_per_day(batch), batch_id, writer)
+
+    return _start(rows.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger_seconds, available_now, "dau_table")
+
+
+def first_day_table(path: str, buckets: int = 16) -> SnapshotTable:
+    """The first active day of each device, with the new devices of each day."""
+    return SnapshotTable(path, T.StructType.fromDDL(dedup.FIRST_DAY), keys=["mid"], order_by=["log_date"], buckets=buckets, first=True,
+                         totals={"new_mid": Totals(["log_date"], ["new_mid"], dedup.new_mid_contribution)})
+
+
+def first_day_job(lines: DataFrame, table: SnapshotTable, checkpoint: str, writer: str = "stream",
+                  trigger_seconds: int = 60, available_now: bool = False) -> StreamingQuery:
+    """Startup lines -> the first-day table. A row of an earlier day that comes
+    later moves its device: one new device less on the old day, one more on the
+    new one."""
+    rows = clean.parse_startup(lines).select("mid", "log_date").where(F.col("log_date").isNotNull())
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(dedup.first_seen_day(batch).select("mid", F.col("first_date").alias("log_date")), batch_id, writer)
+
+    return _start(rows.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger_seconds, available_now, "first_day")
+
+
 def read_dau(versions: DataFrame) -> DataFrame:
     """The DAU table from what either job wrote: the earliest row per key."""
     return dedup.first_visit_per_day(versions)
@@ -117,6 +202,20 @@ def order_job(lines: DataFrame, table: LogTable, checkpoint: str,
     return _start(table.writer(clean.parse_orders(lines)), checkpoint, trigger_seconds, available_now, "orders")
 
 
+def order_table(path: str, merge_every: int = 12, part_chars: int = 10) -> SnapshotTable:
+    """The latest version of each order, by day of creation (7 characters: by
+    month), with revenue by hour."""
+    return SnapshotTable(path, ORDER_SCHEMA, keys=["id"], order_by=["seq"], part="create_date", part_chars=part_chars, merge_every=merge_every,
+                         totals={"hours": Totals(["create_date", "create_hour"], ["order_amount", "n_amounts", "n_orders"],
+                                                 metrics.gmv_contribution)})
+
+
+def order_table_job(lines: DataFrame, table: SnapshotTable, checkpoint: str, writer: str = "stream",
+                    trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Order lines -> the keyed order table."""
+    return table_job(clean.parse_orders(lines), table, checkpoint, "order_table", writer, trigger_seconds, available_now)
+
+
 # --- coupon alerts ----------------------------------------------------------
 
 def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str = "30 seconds",
@@ -143,6 +242,36 @@ def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str =
     return _start(writer, checkpoint, trigger_seconds, available_now, "alert_counts")
 
 
+def alert_table(path: str, buckets: int = 16) -> SnapshotTable:
+    """Alert documents, one per device and minute of the alert time."""
+    return SnapshotTable(path, T.StructType.fromDDL(ALERT_DOCUMENT), keys=["doc_id"], order_by=["ts", "window_start"], buckets=buckets)
+
+
+def alert_document_job(lines: DataFrame, table: SnapshotTable, checkpoint: str, window: str = "30 seconds",
+                       slide: str = "5 seconds", watermark: str = "1 minute", coupon_event: str = schemas.COUPON_EVENT,
+                       veto_event: str = schemas.CLICK_EVENT, min_users: int = 3, writer: str = "stream",
+                       trigger_seconds: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Event lines -> alert documents with their users and items, one per device
+    and minute (last write wins).
+
+    The aggregations of :func:`alert_count_job`, which also carry the coupon
+    users and their items up; the state of a window holds what its document
+    would. Vetoed and small windows end here, and the rest is merged into the
+    table, so its readers resolve nothing."""
+    events = alerts.with_event_time(clean.parse_event(lines)).withWatermark("event_time", watermark)
+    ends = lambda w: F.window(F.window_time(w), slide).alias("w_end")
+    by_user = alerts.per_user(events, window, slide, alerts.claimed_items(coupon_event))
+    by_event = by_user.groupBy(ends("window"), "mid", "evid").agg(*alerts.event_totals(), alerts.claiming_users(coupon_event))
+    g = by_event.groupBy(ends("w_end"), "mid").agg(*alerts.window_totals(coupon_event, veto_event),
+                                                   F.flatten(F.collect_list("members")).alias("members"))
+    length_ms = F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {window})")
+    end_ms = F.unix_millis(F.col("w_end.end"))
+    windows = g.select("mid", (end_ms - length_ms).alias("window_start"), end_ms.alias("window_end"), "n_users", "has_veto",
+                       "n_events", "event_counts", *alerts.member_sets(), end_ms.alias("ts"))
+    documents = alerts.with_doc_id(alerts.coupon_alerts(windows, min_users))
+    return table_job(documents, table, checkpoint, "alert_documents", writer, trigger_seconds, available_now)
+
+
 CLAIM_SCHEMA = "mid string, uid string, evid string, itemid string, ts bigint, log_date string"
 
 
@@ -158,9 +287,11 @@ def claim_job(lines: DataFrame, path: str, checkpoint: str, coupon_event: str =
 def read_alerts(spark, counts_path: str, claims_path: str, window: str = "30 seconds", slide: str = "5 seconds",
                 coupon_event: str = schemas.COUPON_EVENT, min_users: int = 3) -> DataFrame:
     """The alerts, at most one per device and minute (latest wins), with their
-    users and items. ``window``, ``slide`` and ``coupon_event`` as in the jobs."""
-    found = alerts.coupon_alerts(spark.read.parquet(counts_path), min_users)
-    claims = alerts.with_event_time(spark.read.schema(CLAIM_SCHEMA).parquet(claims_path))
+    users and items. ``window``, ``slide`` and ``coupon_event`` as in the jobs.
+    Tables that hold nothing yet give no alerts. :func:`alert_document_job`
+    keeps the documents themselves; this reader is for other ``min_users``."""
+    found = alerts.coupon_alerts(read_or_empty(spark, ALERT_COUNT, counts_path), min_users)
+    claims = alerts.with_event_time(read_or_empty(spark, CLAIM_SCHEMA, claims_path))
     return alerts.latest_per_document(alerts.with_members(found, claims, window, slide, coupon_event))
 
 
@@ -180,10 +311,38 @@ def interval_join_job(order_lines: DataFrame, detail_lines: DataFrame, path: str
     return _start(writer.outputMode("append"), checkpoint, trigger_seconds, available_now, "order_detail_join")
 
 
-def _pairs(order_lines: DataFrame, detail_lines: DataFrame, within_seconds: int, watermark: str) -> DataFrame:
+def _pairs(order_lines: DataFrame, detail_lines: DataFrame, within_seconds: int, watermark: str, sale_time: bool = False) -> DataFrame:
+    orders = clean.parse_orders(order_lines).withWatermark("ingest_ts", watermark)
+    details = clean.parse_details(detail_lines).withWatermark("ingest_ts", watermark)
+    return sale_detail.join_within(orders, details, within_seconds, sale_time)
+
+
+def full_outer_job(order_lines: DataFrame, detail_lines: DataFrame, path: str, checkpoint: str, within_seconds: int = 300,
+                   watermark: str = "10 minutes", trigger_seconds: int = 3, available_now: bool = False) -> StreamingQuery:
+    """Pairs, orders without a line and lines without an order, each once.
+
+    Stream-stream full outer join: pairs come at once, and either side's lonely
+    rows leave the state with NULLs for the other side once the watermark shows
+    that no partner within ``within_seconds`` can still arrive."""
     orders = clean.parse_orders(order_lines).withWatermark("ingest_ts", watermark)
     details = clean.parse_details(detail_lines).withWatermark("ingest_ts", watermark)
-    return sale_detail.join_within(orders, details, within_seconds)
+    writer = sale_detail.join_full_within(orders, details, within_seconds).writeStream.format("parquet").option("path", path)
+    return _start(writer.outputMode("append"), checkpoint, trigger_seconds, available_now, "order_detail_full_outer")
+
+
+def sale_detail_as_of_job(order_lines: DataFrame, detail_lines: DataFrame, user_lines: DataFrame, table: AppendTable, checkpoint: str,
+                          as_of: str, within_seconds: int = 300, watermark: str = "10 minutes", keep_seconds: int = 86_400,
+                          trigger_seconds: int = 3, available_now: bool = False) -> StreamingQuery:
+    """The sale_detail job fed by the user topic itself: each pair takes the
+    user as of the sale from the state store (:mod:`shoplens.streaming.users`),
+    so a micro-batch reads no user table."""
+    pairs = _pairs(order_lines, detail_lines, within_seconds, watermark, sale_time=True)
+    rows = user_state.enrich_stream(pairs, clean.parse_users(user_lines), as_of, keep_seconds)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(batch.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
+
+    return _start(rows.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger_seconds, available_now, "sale_detail")
 
 
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: Callable[[], DataFrame], table: AppendTable,

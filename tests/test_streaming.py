@@ -278,24 +278,28 @@ def test_pipeline_end_to_end_on_file_topics(spark):
 
     qs = start_all(spark, lambda topic: read_topic_files(spark, f"{base}/topics/{topic}"), base,
                    as_of="2020-03-01", available_now=True, alert_window="6 hours", alert_slide="1 hour",
-                   alert_watermark="1 hour", join_watermark="400 days", dau_lateness="400 days")
+                   alert_watermark="1 hour", join_watermark="400 days", dau_lateness="400 days", part_chars=7)
     for q in qs.values():
         q.awaitTermination()
         assert q.exception() is None
-    tables = Tables(base)
-    assert rows(jobs.read_dau(tables.dau.read(spark))) == rows(t.dau)
+    tables = Tables(base, part_chars=7)
+    assert rows(tables.dau.read(spark)) == rows(t.dau)
+    first_days = tables.first_days.read_totals(spark, "new_mid")
+    assert rows(metrics.new_mid_of_totals(first_days, "2024-01-15")) == rows(metrics.new_mid_total(t.dau, "2024-01-15"))
     assert rows(tables.users.read(spark).select(*t.users.columns)) == rows(t.users)
     day = "1996-09-17"
-    orders_of_day = tables.orders.read(spark, where=F.col("create_date") == day)
+    orders_of_day = tables.orders.read(spark, parts=[day])
     assert rows(metrics.gmv_hours(orders_of_day, day)) == rows(metrics.gmv_hours(t.orders, day))
-    assert "PartitionFilters: [isnotnull(create_date" in _plan(orders_of_day)
+    tables.orders.merge(spark)
+    assert rows(tables.orders.read(spark, parts=[day]).select(*schemas.ORDER_INFO_COLUMNS)) == rows(
+        t.orders.where(F.col("create_date") == day).select(*schemas.ORDER_INFO_COLUMNS))
+    assert rows(metrics.gmv_hours_of_totals(tables.orders.read_totals(spark, "hours"), day)) == rows(metrics.gmv_hours(t.orders, day))
+    assert _plan(tables.orders.read(spark, parts=[day])).count("_part=") == 1  # one month's folder
     want = sale_detail.build_sale_detail(t.orders, t.details, t.users, "2020-03-01")
     assert rows(tables.sale_detail.read(spark).select(*want.columns)) == rows(want)
-    # windows that the watermark has closed: all but those of the last hours
-    closed = spark.read.parquet(tables.alert_counts)
-    counts = alerts.alert_counts(alerts.with_event_time(t.event_logs), "6 hours", "1 hour")
-    assert closed.count() > 0 and rows(alerts.render(closed)) == rows(alerts.render(counts.join(
-        closed.select("mid", "window_start"), ["mid", "window_start"], "left_semi").select(*closed.columns)))
+    # documents of windows that the watermark has closed: all but those of the last hours
+    found = alerts.to_documents(alerts.latest_per_document(alerts.alert_windows(alerts.with_event_time(t.event_logs), "6 hours", "1 hour")))
+    assert set(rows(alerts.to_documents(tables.alert_documents.read(spark)))) <= set(rows(found))
 
 
 def test_alert_count_job_equals_batch_counts(spark):
