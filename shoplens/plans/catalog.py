@@ -313,6 +313,10 @@ def _alert_counts(t: RetailTables) -> DataFrame:
     return alerts.alert_counts(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
 
 
+def _alert_windows(t: RetailTables) -> DataFrame:
+    return alerts.alert_windows(alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
+
+
 def _with_members(t: RetailTables, found: DataFrame) -> DataFrame:
     return alerts.with_members(found, alerts.with_event_time(t.event_logs), ALERT_WINDOW, ALERT_SLIDE)
 
@@ -326,7 +330,7 @@ def coupon_alert_candidates(t: RetailTables) -> DataFrame:
 @register("coupon_alert_windows", with_views(
     f"SELECT {_ALERT_COLUMNS} FROM w WHERE n_users >= 3 AND NOT has_veto", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_windows(t: RetailTables) -> DataFrame:
-    return alerts.render(_with_members(t, alerts.coupon_alerts(_alert_counts(t))))
+    return alerts.render(_alert_windows(t))
 
 
 @register("coupon_alert_latest", with_views("""
@@ -335,7 +339,7 @@ def coupon_alert_windows(t: RetailTables) -> DataFrame:
       FROM (SELECT *, mid || CAST(ts // 60000 AS VARCHAR) AS doc_id FROM w WHERE n_users >= 3 AND NOT has_veto))
     WHERE rn = 1""", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_latest(t: RetailTables) -> DataFrame:
-    return alerts.render(alerts.latest_per_document(_with_members(t, alerts.coupon_alerts(_alert_counts(t)))))
+    return alerts.render(alerts.latest_per_document(_alert_windows(t)))
 
 
 # --- orders x details x users ---------------------------------------------
@@ -618,7 +622,7 @@ def _sale_detail_stream(t: RetailTables, users_at) -> DataFrame:
     WHERE rn = 1)""", "event_log", extra={"w": _ALERT_SQL}))
 def coupon_alert_documents(t: RetailTables) -> DataFrame:
     """Alert documents as the keyed index stores them: (doc_id, JSON text)."""
-    return alerts.to_documents(alerts.latest_per_document(_with_members(t, alerts.coupon_alerts(_alert_counts(t)))))
+    return alerts.to_documents(alerts.latest_per_document(_alert_windows(t)))
 
 
 @register("topic_files_route", _LOG_TOPIC_COUNTS_SQL)

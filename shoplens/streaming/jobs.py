@@ -234,7 +234,7 @@ def alert_count_job(lines: DataFrame, path: str, checkpoint: str, window: str =
     ends = lambda w: F.window(F.window_time(w), slide).alias("w_end")
     by_event = alerts.per_user(events, window, slide).groupBy(ends("window"), "mid", "evid").agg(*alerts.event_totals())
     g = by_event.groupBy(ends("w_end"), "mid").agg(*alerts.window_totals(coupon_event, veto_event))
-    length_ms = F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {window})")
+    length_ms = alerts.interval_ms(window)
     end_ms = F.unix_millis(F.col("w_end.end"))
     out = g.select("mid", (end_ms - length_ms).alias("window_start"), end_ms.alias("window_end"),
                    "n_users", "has_veto", "n_events", "event_counts", end_ms.alias("ts"))
@@ -264,7 +264,7 @@ def alert_document_job(lines: DataFrame, table: SnapshotTable, checkpoint: str,
     by_event = by_user.groupBy(ends("window"), "mid", "evid").agg(*alerts.event_totals(), alerts.claiming_users(coupon_event))
     g = by_event.groupBy(ends("w_end"), "mid").agg(*alerts.window_totals(coupon_event, veto_event),
                                                    F.flatten(F.collect_list("members")).alias("members"))
-    length_ms = F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {window})")
+    length_ms = alerts.interval_ms(window)
     end_ms = F.unix_millis(F.col("w_end.end"))
     windows = g.select("mid", (end_ms - length_ms).alias("window_start"), end_ms.alias("window_end"), "n_users", "has_veto",
                        "n_events", "event_counts", *alerts.member_sets(), end_ms.alias("ts"))
