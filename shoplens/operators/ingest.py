@@ -23,17 +23,27 @@ def stamp_log(lines: DataFrame, stamp_ms: Column | str, value_col: str = "value"
     """Put ``ts`` = ingest time into each JSON log line, replacing a client ``ts``.
 
     ``stamp_ms`` is the ingest time in epoch ms (:func:`now_ms` in a live
-    service, a fixed column in replays and tests). Every other field keeps its
-    JSON type and value. A line that is no JSON object keeps its text and gets
-    ``well_formed`` false.
+    service, a fixed column in replays and tests). The text of every other field
+    stays as sent: ``ts`` is cut out of the text and appended. Only where the
+    text names several ``ts`` (or one that is no scalar) is the line rebuilt from
+    its parsed fields: same fields and values, numbers in their shortest form. A
+    line that is no JSON object keeps its text and gets ``well_formed`` false.
     """
     stamp = F.col(stamp_ms) if isinstance(stamp_ms, str) else stamp_ms
     fields = F.from_json(F.col(value_col), "map<string,variant>")
     rest = F.map_filter(fields, lambda k, v: k != F.lit("ts"))
+    more = F.when(F.size(rest) > 0, F.lit(",")).otherwise(F.lit(""))
+    tail = F.concat(more, F.lit('"ts":'), stamp.cast("string"), F.lit("}"))
+    scalar = r'"ts"\s*:\s*(-?[0-9][0-9.eE+-]*|"[^"\\]*"|true|false|null)\s*(,|(?=\}))'
+    cut = F.regexp_replace(F.col(value_col), scalar, "")
+    as_sent = F.concat(F.regexp_replace(F.when(F.map_contains_key(fields, F.lit("ts")), cut).otherwise(F.col(value_col)), r"[\s,]*\}\s*$", ""), tail)
     body = F.to_json(rest)
-    stamped = F.concat(F.substring(body, F.lit(1), F.length(body) - 1),
-                       F.when(F.size(rest) > 0, F.lit(",")).otherwise(F.lit("")),
-                       F.lit('"ts":'), stamp.cast("string"), F.lit("}"))
+    rebuilt = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), tail)
+    # the text can be cut if it names ts once, as a scalar, and is no other field's text
+    named = F.regexp_count(F.col(value_col), F.lit(r'"ts"|\\u0*7[34]'))
+    simple = ~F.map_contains_key(fields, F.lit("ts")) | ((named == 1) & (F.regexp_count(F.col(value_col), F.lit(scalar)) == 1))
+    stamped = F.when(simple, as_sent).otherwise(rebuilt)
+    stamped = F.when(fields.isNotNull(), stamped)
     return lines.withColumns({value_col: F.coalesce(stamped, F.col(value_col)), "ts": stamp.cast("bigint"),
                               "well_formed": fields.isNotNull()})
 
@@ -50,10 +60,12 @@ def route_logs(stamped: DataFrame, value_col: str = "value", by_type: bool = Fal
     return stamped.withColumn("topic", F.when(F.col("well_formed"), topic).otherwise(F.lit(schemas.REJECTED_TOPIC))).drop("well_formed")
 
 
-def archive_logs(stamped: DataFrame, path: str, ts_col: str = "ts") -> None:
-    """Append stamped lines as text, one folder per day (the rolled log file)."""
-    (stamped.where("well_formed").select(F.col("value"), C.log_date(ts_col).alias("log_date"))
-     .write.mode("append").partitionBy("log_date").text(path))
+def archive_logs(stamped: DataFrame, path: str, ts_col: str = "ts", batch: str = "0") -> None:
+    """Archive stamped lines as text, one folder per day (the rolled log file)
+    and ``batch``. A rerun of a batch replaces what it wrote before, so each
+    delivery needs a name of its own, such as its time."""
+    rows = stamped.where("well_formed").select(F.col("value"), C.log_date(ts_col).alias("log_date"), F.lit(batch).alias("batch"))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date", "batch").text(path))
 
 
 def route_changes(envelopes: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
 from shoplens.session import work_path
 from shoplens.sources import changefeed, fixtures
-from shoplens.sources.topics import append_topic_files, read_topic_files, write_topic_files
+from shoplens.sources.topics import append_topic_files, read_keyed_files, read_topic_files, unique_messages, write_topic_files
 from shoplens.streaming import jobs
 from shoplens.streaming.replay import replay
 from shoplens.streaming.sinks import AppendTable, LogTable
@@ -1185,3 +1185,44 @@ def sale_detail_as_of_stream(t: RetailTables) -> DataFrame:
     replay({topics["orders"]: (_topic_messages(t, schemas.ORDER_INFO_TOPIC), "_t"),
             topics["details"]: (_topic_messages(t, schemas.ORDER_DETAIL_TOPIC), "_t"), topics["users"]: (changes, "_t")}, run, n_chunks=2)
     return table.read(spark).select(*schemas.SALE_DETAIL_COLUMNS)
+
+
+# --- messages sent twice, counts of micro-batches ---------------------------
+
+@register("change_feed_replayed_stream", with_views(f"SELECT {ORDER_COLUMNS_SQL}, 1::BIGINT AS n_rows FROM order_info", "order_info"))
+def change_feed_replayed_stream(t: RetailTables) -> DataFrame:
+    """The order feed sent twice (the change job started again without its
+    checkpoint) and read through the reader that drops repeats by the change's
+    own number: every order once."""
+    spark = t.spark
+    feed, out = work_path(spark, "topics", "feed"), work_path(spark, "topics", "changes")
+    rows = changefeed.table_envelopes(changefeed.keyed_orders(t.orders_text), "order_info")
+    append_topic_files(rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"), "ingest_ts"), feed)
+    for _ in range(2):
+        jobs.change_job(read_topic_files(spark, feed), out, work_path(spark, "ckpt", "changes"), available_now=True).awaitTermination()
+    once = unique_messages(read_keyed_files(spark, f"{out}/topic={schemas.ORDER_INFO_TOPIC}"))
+    path = work_path(spark, "tables", "orders")
+    writer = clean.parse_orders(once).select(*schemas.ORDER_INFO_COLUMNS).writeStream.format("parquet").option("path", path)
+    jobs._start(writer.outputMode("append"), work_path(spark, "ckpt", "orders"), 5, True, "unique_orders").awaitTermination()
+    rows = spark.read.parquet(path)
+    return rows.groupBy(*schemas.ORDER_INFO_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("dau_batch_rows_stream", with_views("""
+    SELECT q AS batch, count(DISTINCT (log_date, mid)) AS n_rows FROM (
+      SELECT *, least(CAST(floor((ts / 1000.0 - lo) / ((hi - lo) / 2)) AS INTEGER), 1) AS q
+      FROM startup_log, (SELECT min(ts) / 1000.0 AS lo, max(ts) / 1000.0 AS hi FROM startup_log)) GROUP BY q""", "startup_log"))
+def dau_batch_rows_stream(t: RetailTables) -> DataFrame:
+    """Rows that each micro-batch of the DAU job put out, as its progress
+    reports them, beside the micro-batch's number."""
+    spark, queries = t.spark, []
+    topic, ckpt = work_path(spark, "topics", "start"), work_path(spark, "ckpt", "dau")
+    table = AppendTable(work_path(spark, "tables", "dau"), partition_by=["log_date"])
+
+    def run():
+        queries.append(jobs.dau_job(read_topic_files(spark, topic), table, ckpt, available_now=True))
+        return queries[-1]
+
+    replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")}, run, n_chunks=2)
+    counts = [(i, sum(jobs.observed_rows(q))) for i, q in enumerate(queries)]
+    return spark.createDataFrame(counts, "batch int, n_rows bigint")

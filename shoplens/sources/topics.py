@@ -22,32 +22,51 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topics: str | list[s
     timestamp (arrival time for watermarks and the interval join).
     Starts at the latest offsets like the reference; offsets are tracked in
     the query checkpoint instead of a shared consumer group, so two jobs on
-    one topic each see every message. Needs the Kafka connector on the
-    classpath (not available in this environment, not run here).
+    one topic each see every message. A message that carries the change's own
+    number (header ``seq``, see :func:`write_topic`) keeps it instead of the
+    offset, so a message that was sent twice can be told (:func:`unique_messages`).
+    Needs the Kafka connector on the classpath (not available in this
+    environment, not run here).
     """
     names = topics if isinstance(topics, str) else ",".join(topics)
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", names)
-              .option("startingOffsets", starting_offsets))
+              .option("startingOffsets", starting_offsets)
+              .option("includeHeaders", "true"))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    own = F.try_element_at(F.filter("headers", lambda h: h["key"] == "seq"), F.lit(1))["value"].cast("string").try_cast("bigint")
     return reader.load().select(
         "topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-        F.col("offset").alias("seq"), F.col("timestamp").alias("ingest_ts"))
+        F.coalesce(own, "offset").alias("seq"), F.col("timestamp").alias("ingest_ts"))
+
+
+def unique_messages(messages: DataFrame, within: str = "1 hour") -> DataFrame:
+    """Messages once each, though a producer that was restarted sent some again:
+    the first of each (key, seq), remembered until ``within`` after its arrival.
+    Messages without a number cannot be told apart and all stay."""
+    seen = messages.withWatermark("ingest_ts", within)
+    numbered = seen.where(F.col("seq").isNotNull()).dropDuplicatesWithinWatermark(["key", "seq"])
+    return numbered.unionByName(seen.where(F.col("seq").isNull()))
 
 
 def write_topic(df: DataFrame, bootstrap_servers: str, checkpoint: str, topic_col: str = "topic",
                 key_col: str | None = "key"):
     """Stream rows to the topic named in each row's ``topic`` column; the
     message key is ``key_col`` (the entity id), so all versions of one entity
-    land in one partition, in order. None sends unkeyed."""
+    land in one partition, in order. None sends unkeyed. ``seq``, where the rows
+    have it, goes along as a header: Kafka's sink may send a row twice after a
+    failure, and readers tell by it."""
     cols = [F.col(topic_col).alias("topic"), F.col("value").cast("string").alias("value")]
     if key_col:
         cols.append(F.col(key_col).cast("string").alias("key"))
+    if "seq" in df.columns:
+        cols.append(F.array(F.struct(F.lit("seq").alias("key"), F.col("seq").cast("string").cast("binary").alias("value"))).alias("headers"))
     return (df.select(*cols)
             .writeStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("includeHeaders", "true")
             .option("checkpointLocation", checkpoint)
             .start())
 
@@ -57,6 +76,14 @@ def write_topic(df: DataFrame, bootstrap_servers: str, checkpoint: str, topic_co
 TOPIC_FILE_SCHEMA = "value STRING, seq BIGINT, ingest_ts TIMESTAMP"
 
 
+KEYED_FILE_SCHEMA = "key STRING, " + TOPIC_FILE_SCHEMA
+
+
+def read_keyed_files(spark: SparkSession, path: str) -> DataFrame:
+    """One topic's folder of keyed messages, as the change job writes them."""
+    return spark.readStream.schema(KEYED_FILE_SCHEMA).parquet(path).select("key", "value", "seq", "ingest_ts")
+
+
 def read_topic_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                      fmt: str = "parquet") -> DataFrame:
     """A folder of message files as a topic stream.
