@@ -15,6 +15,7 @@ from shoplens import schemas
 from shoplens.functions import columns as C
 from shoplens.operators import alerts, clean, dedup, ingest, metrics, sale_detail, search
 from shoplens.operators.keyed import latest_per_key
+from shoplens.operators.keyword import KeywordIndex
 from shoplens.plans.oracle_views import ORDER_COLUMNS_SQL, with_views
 from shoplens.plans.tables import RetailTables
 from shoplens.session import work_path
@@ -1226,3 +1227,19 @@ def dau_batch_rows_stream(t: RetailTables) -> DataFrame:
     replay({topic: (_stamped_lines(t, schemas.STARTUP_TOPIC), "_t")}, run, n_chunks=2)
     counts = [(i, sum(jobs.observed_rows(q))) for i, q in enumerate(queries)]
     return spark.createDataFrame(counts, "batch int, n_rows bigint")
+
+
+# --- keyword index ----------------------------------------------------------
+
+WORDS, WORDS_FROM, WORDS_TO = "Ring RED", "1996-08-20", "1996-10-10"
+
+
+@register("sale_search_words", with_views(f"""
+    SELECT * FROM sale WHERE dt BETWEEN '{WORDS_FROM}' AND '{WORDS_TO}'
+      AND list_has_all(string_split(lower(sku_name), ' '), ['red', 'ring'])""", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_search_words(t: RetailTables) -> DataFrame:
+    """A search for two words over some weeks through the index: postings of the
+    words first, then the sales in the folders that hold hits."""
+    index = KeywordIndex(work_path(t.spark, "tables", "sale_index"), buckets=4)
+    index.write_batch(_sales(t), 0)
+    return index.search(t.spark, WORDS, WORDS_FROM, WORDS_TO).select(*schemas.SALE_DETAIL_COLUMNS)
