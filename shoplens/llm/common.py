@@ -11,7 +11,7 @@ import os
 import re
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -55,6 +55,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns that begin with an underscore, as the operators'
+    own do, under other names; and a function that gives the names back and
+    drops what was added."""
+    used, moved = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.startswith("_"):
+            new = f"in{c}"
+            while new.lower() in used:
+                new = f"in_{new}"
+            used.add(new.lower())
+            moved[c] = new
+    return df.withColumnsRenamed(moved), lambda d: d.select(*[F.col(f"`{moved.get(c, c)}`").alias(c) for c in df.columns])
+
+
 def whole_text(col: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(col), F.lit(""))

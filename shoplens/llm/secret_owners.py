@@ -26,7 +26,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import map_rows, prepare, staged, table, texts_of
+from shoplens.llm.common import map_rows, prepare, set_aside, staged, table, texts_of
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -127,9 +127,10 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", repo_col: str = "doc_i
 
 def mask(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
     """``docs`` with every reported span replaced by ``[kind]``; all rows and
-    columns stay. Only rows with a generic candidate are joined to the corpus
+    columns stay, whatever their names. Only rows with a generic candidate are joined to the corpus
     frequencies; the others are settled where they are read."""
     prepare(docs.sparkSession)
+    docs, named_back = set_aside(docs)
     stats = ownership(staged(scan(docs, list(dict.fromkeys([repo_col, owner_col])), text_col).where(F.size("_found") > 0), "secret_found"), repo_col, owner_col)
     copied = stats.where(F.col("n_owners") > max_owners).select("hash")
     copied = staged(copied, "secret_copied")
@@ -148,7 +149,7 @@ def mask(docs: DataFrame, repo_col: str = "doc_id", owner_col: str = "source", t
         return {text_col: [t and masked(t, f, set(k)) for t, f, k in zip(texts, found, known, strict=True)]}
 
     out = map_rows(rows.where(~generic).withColumn("_copied", none).unionByName(open_rows), names, f"`{text_col}` string", run)
-    return out.select(*names)
+    return named_back(out)
 
 
 def masked(text: str, found: list[dict], copied: set[str]) -> str:
