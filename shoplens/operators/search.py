@@ -9,8 +9,11 @@ Shares are computed on the grouped result (a handful of rows), so the
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens.functions import columns as C
 from shoplens.operators.metrics import money_sum
@@ -43,6 +46,42 @@ def search_page(filtered: DataFrame, start: int = 0, length: int = 20) -> DataFr
     return filtered.orderBy("order_detail_id").offset(int(start)).limit(int(length))
 
 
+@dataclass
+class SortedHits:
+    """Hits sorted once into ranges of ``order_detail_id``, with the number of
+    rows of each, so that a page far down costs the ranges that hold it: no task
+    or driver ever gathers the rows before it."""
+
+    rows: DataFrame
+    counts: list[tuple[str, int]]  # range, rows; in order
+
+    def page(self, start: int = 0, length: int = 20) -> DataFrame:
+        """Rows ``start`` .. ``start + length - 1``, as :func:`search_page`."""
+        before, wanted, first = 0, [], None
+        for name, n in self.counts:
+            if before < start + length and before + n > start:
+                wanted.append(name)
+                first = before if first is None else first
+            before += n
+        hits = self.rows.where(F.col(RANGE).isin(wanted)).drop(RANGE)
+        return hits.orderBy("order_detail_id").offset(start - (first or 0)).limit(length)
+
+
+RANGE = "_range"
+
+
+def sort_hits(filtered: DataFrame, path: str, ranges: int | None = None) -> SortedHits:
+    """Write the hits to ``path`` (a shared folder), one folder a range. Hits of
+    one id stay in one range. The driver learns one count a range."""
+    by = ([ranges] if ranges else []) + ["order_detail_id"]
+    placed = filtered.repartitionByRange(*by).withColumn(RANGE, F.lpad(F.spark_partition_id().cast("string"), 8, "0"))
+    placed.write.partitionBy(RANGE).parquet(path)
+    schema = T.StructType([*filtered.schema.fields, T.StructField(RANGE, T.StringType())])
+    rows = filtered.sparkSession.read.schema(schema).parquet(path)
+    counts = rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
+    return SortedHits(rows, sorted((r[RANGE], r["n"]) for r in counts))
+
+
 def share_counts(filtered: DataFrame) -> DataFrame:
     """(user_gender, age_band, n): the one grouping that all shares come from."""
     return filtered.groupBy("user_gender", C.age_band("user_age").alias("age_band")).agg(F.count(F.lit(1)).alias("n"))

@@ -1243,3 +1243,11 @@ def sale_search_words(t: RetailTables) -> DataFrame:
     index = KeywordIndex(work_path(t.spark, "tables", "sale_index"), buckets=4)
     index.write_batch(_sales(t), 0)
     return index.search(t.spark, WORDS, WORDS_FROM, WORDS_TO).select(*schemas.SALE_DETAIL_COLUMNS)
+
+
+@register("sale_search_far_page", with_views("""
+    SELECT * FROM sale ORDER BY order_detail_id LIMIT 20 OFFSET (SELECT count(*) // 2 FROM sale)""", *_SALE_DETAIL_VIEWS, extra=_SALE_EXTRA))
+def sale_search_far_page(t: RetailTables) -> DataFrame:
+    """The page in the middle of all sales: found by the counts of sorted ranges."""
+    hits = search.sort_hits(_sales(t), work_path(t.spark, "tables", "sorted_sales"), ranges=32)
+    return hits.page(sum(n for _, n in hits.counts) // 2, 20)

@@ -47,3 +47,16 @@ def test_a_search_reads_its_words_and_months_only(spark, index):
 def test_months():
     assert months_between("2023-11-30", "2024-02-01") == ["2023-11", "2023-12", "2024-01", "2024-02"]
     assert months_between("2024-02-01", "2024-02-01") == ["2024-02"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 300])
+def test_pages_of_sorted_hits(spark, n):
+    from shoplens.operators import search
+    ids = [f"{(i * 37) % max(n, 1):05}" for i in range(n)]
+    hits = search.sort_hits(spark.createDataFrame([(i, "x") for i in ids], "order_detail_id string, sku_name string"), scratch(), ranges=5)
+    assert sum(k for _, k in hits.counts) == n
+    for start in (0, 1, n // 2, max(n - 3, 0), n, n + 10):
+        assert [r.order_detail_id for r in hits.page(start, 4).collect()] == sorted(ids)[start : start + 4]
+    if n == 300:
+        text = _plan(hits.page(150, 4))
+        assert "PartitionFilters" in text and len([1 for name, _ in hits.counts if f"{name}" in text]) <= 2
