@@ -106,9 +106,17 @@ def test_alert_counts_hold_no_per_device_collection(spark):
 
 
 def test_alert_members_are_collected_after_the_count(spark):
-    """The sets are built above the semi join with the alerts."""
-    text = plan_text(E.queries()["coupon_alert_windows"](spark, SF_SMALL), "simple")
-    assert "collect_set" in text and "LeftSemi" in text and text.index("collect_set") < text.index("LeftSemi")
+    """The sets are built above the join of the claims with the alerts, whose
+    test (enough users, no veto) lies below it; the events are read once and no
+    event is copied for its windows."""
+    df = E.queries()["coupon_alert_windows"](spark, SF_SMALL)
+    text = plan_text(df, "simple")
+    join = min(text.index(k) for k in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") if k in text)
+    assert text.index("collect_set") < join < text.index("has_veto", join) and "collect_set" not in text[join:]
+    assert "Expand" not in text
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
 def test_revenue_of_a_day_reads_one_table_by_range(spark):
