@@ -342,7 +342,8 @@ def sale_detail_as_of_job(order_lines: DataFrame, detail_lines: DataFrame, user_
     def each(batch: DataFrame, batch_id: int) -> None:
         table.write_batch(batch.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
 
-    return _start(rows.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger_seconds, available_now, "sale_detail")
+    with user_state.rocksdb(rows.sparkSession):
+        return _start(rows.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger_seconds, available_now, "sale_detail")
 
 
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: Callable[[], DataFrame], table: AppendTable,

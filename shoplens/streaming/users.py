@@ -2,15 +2,16 @@
 
 Sales and user changes share one keyed stream. A key's state holds the versions
 that a sale may still need, so a micro-batch costs its own rows, whatever the
-number of users; no user table is read. Needs Spark's RocksDB state store, which
-:func:`enrich_stream` asks for.
+number of users; no user table is read. Needs Spark's RocksDB state store: start
+the query inside :func:`rocksdb`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +23,19 @@ VERSIONS = "found array<struct<seq: bigint, at: bigint, gender: string, level: s
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; a query takes the
+    setting along when it starts, so the session's own is put back after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class UserVersions(StatefulProcessor):
     """Per user: its versions by arrival; each sale leaves with the last one
     that had arrived by the sale's time. Versions that were replaced more than
@@ -60,7 +74,6 @@ def enrich_stream(sales: DataFrame, changes: DataFrame, as_of: str, keep_seconds
     """Stream form of ``sale_detail.enrich_users_as_of``: ``sales`` with
     ``sale_ts``, ``changes`` of users with ``seq`` and ``ingest_ts``. Sales
     without a user id need no state and pass by."""
-    spark = sales.sparkSession
     columns = [c for c in sales.columns if c != "sale_ts"]
     found = T.StructType([*[sales.schema[c] for c in columns], *[T.StructField(c, T.StringType()) for c in ("gender", "level", "birthday")]])
     none = lambda c: F.lit(None).cast(c)
@@ -70,7 +83,6 @@ def enrich_stream(sales: DataFrame, changes: DataFrame, as_of: str, keep_seconds
     u = changes.where(F.col("id").isNotNull()).select(
         F.col("id").alias("key"), F.lit(True).alias("is_user"), "seq", F.unix_micros("ingest_ts").alias("at"), "gender", F.col("user_level").alias("level"),
         "birthday", *[F.lit(None).cast(sales.schema[c].dataType).alias(c) for c in columns])
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # the only store with several states a key
     with_user = s.unionByName(u).groupBy("key").transformWithState(UserVersions(columns, keep_seconds), found, "Append", "None")
     nobody = sales.where(F.col("user_id").isNull()).select(*columns, *[none("string").alias(c) for c in ("gender", "level", "birthday")])
     rows = with_user.unionByName(nobody)
