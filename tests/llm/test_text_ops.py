@@ -605,3 +605,40 @@ def test_copies_within_one_owner_do_not_hide_a_key(spark):
     df = spark.createDataFrame([(k, f"text {k} {key}", "s1") for k in range(30)], "doc_id long, text string, source string")
     assert all(r.n_live == 1 and "generic" in r.spans for r in secret_owners.find_secrets(df).collect())
     assert all(key not in r.text for r in secret_owners.mask(df).collect())
+
+
+def edited(rng, words, n_edits):
+    out = list(words)
+    for _ in range(n_edits):
+        k = rng.randrange(len(out))
+        out[k : k + 1] = rng.choice([[f"e{rng.randrange(10**6)}"], [out[k], f"e{rng.randrange(10**6)}"], []])
+        out = out or ["e"]
+    return out
+
+
+def test_rare_pairs_of_similar_texts_meet():
+    """Whatever the counts of the slots, two similar texts have a listed pair in common."""
+    rng = random.Random(12)
+    for _ in range(300):
+        a = [f"w{rng.randrange(rng.choice([3, 60]))}" for _ in range(rng.randint(5, 120))]
+        b = edited(rng, a, int(0.2 * len(a)))
+        if not order_minhash.similar(a, b):
+            continue
+        given = order_minhash.word_runs([" ".join(a), " ".join(b)])
+        common = np.random.default_rng(rng.randrange(99)).integers(0, 50, 1 << 10)
+        one, other = order_minhash.rare_pairs(given, common, 0.8)
+        assert set(one) & set(other)
+
+
+def test_short_texts_keep_their_links(spark):
+    """Pairs at the threshold, of 5 to 40 words, behind no shared sketch."""
+    rng, rows = random.Random(13), []
+    for k in range(60):
+        n = rng.choice([5, 6, 8, 10, 15, 20, 30, 39])
+        a = [f"t{k}x{i}" for i in range(n)]
+        b = list(a)
+        for i in rng.sample(range(n), n // 5):
+            b[i] = f"u{k}x{i}"
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    got = order_minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.class_id == r.id // 2 * 2 and r.class_size == 2 for r in got)
