@@ -571,7 +571,7 @@ def test_word_pair_counts_pass_every_similar_pair():
         if not order_minhash.similar(a, b):
             continue
         given = order_minhash.word_runs([" ".join(a), " ".join(b)])
-        x, _, _ = order_minhash.alike(order_minhash.marks(given), given[2], np.arange(2), np.zeros(2), 0.8)
+        x, _, _ = order_minhash.alike(order_minhash.marks(order_minhash.word_hashes(given), given[2]), given[2], np.arange(2), np.zeros(2), 0.8)
         assert len(x) == 1
 
 
@@ -626,10 +626,39 @@ def test_rare_pairs_of_similar_texts_meet():
             continue
         given = order_minhash.word_runs([" ".join(a), " ".join(b)])
         common = np.random.default_rng(rng.randrange(99)).integers(0, 50, 1 << 10)
-        one, other = order_minhash.rare_pairs(given, common, 0.8)
+        one, other = order_minhash.rare_pairs(order_minhash.word_hashes(given), given[2], common, 0.8)
         assert set(one) & set(other)
 
 
+def test_links_of_a_list_join_what_similar_pairs_join():
+    """Short texts by links, long ones as unverified pairs; pairs met before are left out."""
+    rng = random.Random(14)
+    for long in (2000, 12):
+        texts = []
+        for _ in range(6):
+            a = [f"w{rng.randrange(9)}" for _ in range(rng.randint(5, 30))]
+            texts += [edited(rng, a, rng.randint(0, 4)) or ["z"] for _ in range(5)]
+        given = order_minhash.word_runs([" ".join(t) for t in texts])
+        counts, words = given[2], order_minhash.word_hashes(given)
+        rows = [w if len(w) <= long else order_minhash.marks(w, counts[k : k + 1])[0] for k, w in enumerate(np.split(words, np.cumsum(counts)[:-1]))]
+        before = [np.array([[1], [2], []][k % 3], np.int64) for k in range(len(texts))]
+        for met in ([np.zeros(0, np.int64)] * len(texts), before):
+            x, y, known = order_minhash.linked([r.tobytes() for r in rows], counts, np.arange(len(texts)), np.zeros(len(texts)), met, 0.8, long)
+            assert known == [bool(counts[i] <= long and counts[j] <= long) for i, j in zip(x, y, strict=True)]
+            assert all(order_minhash.similar(texts[i], texts[j]) for i, j, k in zip(x, y, known, strict=True) if k)
+            pairs = [(i, j) for i in range(len(texts)) for j in range(i) if not set(met[i]) & set(met[j]) and order_minhash.similar(texts[i], texts[j])]
+            links = [(i, j) for i, j in zip(x, y, strict=True) if order_minhash.similar(texts[i], texts[j])]
+            assert united(len(texts), links) == united(len(texts), pairs)
+
+
+def united(n, links):
+    label = list(range(n))
+    for _ in range(n):
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    return label
+
+
 def test_short_texts_keep_their_links(spark):
     """Pairs at the threshold, of 5 to 40 words, behind no shared sketch."""
     rng, rows = random.Random(13), []
