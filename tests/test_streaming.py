@@ -365,3 +365,49 @@ def test_log_table_keeps_latest_version_by_seq(spark):
     day = table.read(spark, where=F.col("create_date") == "2024-01-02")
     assert rows(day, "id") == [("o2",)]
     assert "PartitionFilters: [isnotnull(create_date" in _plan(day)
+
+
+def test_replay_derives_its_messages_once(spark):
+    from shoplens.streaming.replay import replay
+    topic, ckpt, out = scratch() + "/topic", scratch(), scratch() + "/out"
+    derived = spark.sparkContext.accumulator(0)
+
+    def text(i):
+        derived.add(1)
+        return f"m{i}"
+
+    made = spark.range(0, 40).select(F.udf(text)("id").alias("value"), F.col("id").cast("double").alias("_t"))
+
+    def run():
+        stream = read_topic_files(spark, topic).select("value").writeStream.format("parquet").option("path", out)
+        return jobs._start(stream, ckpt, 5, True, "copy")
+
+    replay({topic: (made, "_t")}, run)
+    assert rows(spark.read.parquet(out)) == sorted((f"m{i}",) for i in range(40))
+    assert derived.value == 40
+
+
+def test_state_has_no_more_partitions_than_the_cores_need(spark):
+    import os
+
+    from shoplens.session import setting, state_partitions
+    topic, ckpt = scratch() + "/topic", scratch()
+    append_topic_files(spark.createDataFrame([(_startup_json("m1", "u1", T0),)], "value string"), topic)
+    with setting(spark, "spark.sql.shuffle.partitions", "64"):
+        most = state_partitions(spark)
+        jobs.dau_final_job(read_topic_files(spark, topic), scratch() + "/out", ckpt, available_now=True).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    assert most == max(16, 2 * spark.sparkContext.defaultParallelism) < 64
+    found = os.listdir(f"{ckpt.removeprefix('file:')}/state/0")
+    assert sum(d.isdigit() for d in found) == most
+    assert state_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))  # a smaller setting stays
+
+
+def test_stamped_lines_are_parsed_once_by_a_filter_on_their_topic(spark):
+    from shoplens.operators import ingest
+    lines = spark.createDataFrame([('{"type":"startup"}', T0), ('{"type":"event","ts":1}', T0), ("broken", T0)], "value string, at long")
+    routed = ingest.route_logs(ingest.stamp_log(lines, "at"))
+    some = routed.where(F.col("topic") == "gmall_start").select("value", F.col("ts") + 1)
+    assert rows(some) == [(f'{{"type":"startup","ts":{T0}}}', T0 + 1)]
+    plan = _plan(some).split("== Physical Plan ==")[-1]
+    assert plan.count("from_json(") == 1
