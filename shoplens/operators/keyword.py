@@ -54,8 +54,11 @@ class KeywordIndex:
 
     def write_batch(self, sales: DataFrame, batch_id: int) -> None:
         placed = sales.withColumns({"dt_month": F.substring("dt", 1, 7), "id_bucket": _bucket(F.col(ID), self.buckets)})
-        words = placed.select("dt_month", "dt", ID, F.col("id_bucket").alias("in_bucket"), F.explode(words_of("sku_name")).alias("word"))
         self.rows.write_batch(placed, batch_id)
+        spark = sales.sparkSession
+        if self.rows.exists(spark):  # the postings come from the rows as written: ``sales`` is computed once
+            placed = self.rows.read_batch(spark, batch_id)
+        words = placed.select("dt_month", "dt", ID, F.col("id_bucket").alias("in_bucket"), F.explode(words_of("sku_name")).alias("word"))
         self.postings.write_batch(words.withColumn("word_bucket", _bucket(F.col("word"), self.buckets)), batch_id)
 
     def hits(self, spark: SparkSession, keyword: str, first: str, last: str) -> DataFrame:

@@ -60,3 +60,21 @@ def test_pages_of_sorted_hits(spark, n):
     if n == 300:
         text = _plan(hits.page(150, 4))
         assert "PartitionFilters" in text and len([1 for name, _ in hits.counts if f"{name}" in text]) <= 2
+
+
+def test_a_batch_is_computed_once_for_rows_and_postings(spark):
+    from pyspark.sql import functions as F
+    computed = spark.sparkContext.accumulator(0)
+
+    def name(i):
+        computed.add(1)
+        return "red ring" if i % 2 else "bolt"
+
+    batch = spark.range(0, 30, numPartitions=2).select(
+        F.format_string("id%02d", "id").alias("order_detail_id"), F.udf(name)("id").alias("sku_name"), F.lit("2024-01-05").alias("dt"))
+    made = KeywordIndex(scratch(), buckets=2)
+    made.write_batch(batch, 0)
+    assert computed.value == 30
+    assert [r[0] for r in rows(made.search(spark, "ring", "2024-01-05"), "order_detail_id")] == [f"id{i:02d}" for i in range(1, 30, 2)]
+    made.write_batch(batch.limit(0), 1)  # nothing to add
+    assert made.search(spark, "bolt", "2024-01-05").count() == 15
