@@ -97,6 +97,70 @@ def test_scores_of_no_documents_and_no_training(spark, empty):
     assert r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score)
 
 
+def test_word_order_and_words_before_count(spark):
+    """Held-out texts of the same words: the order of the training texts is
+    likelier, so contexts reach over word ends."""
+    rng = random.Random(1)
+    pairs = [("red", "fish"), ("blue", "bird"), ("old", "tree"), ("new", "road"), ("big", "house"), ("wet", "stone")]
+    texts = [" ".join(" ".join(p) for p in rng.choices(pairs, k=30)) for _ in range(60)]
+    order = [p for _ in range(5) for p in pairs]
+    known = " ".join(f"{a} {b}" for a, b in order)
+    other = " ".join([a for a, _ in order] + [b for _, b in order])
+    data = [(k, t, "en", False) for k, t in enumerate(texts)] + [(100, known, "en", True), (101, other, "en", True)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, _h boolean")
+    score = {r.doc_id: (r.score, r.base_score) for r in lm_mix.score_texts(df, "_h", "lang").where("doc_id >= 100").collect()}
+    assert score[100][1] == pytest.approx(score[101][1])
+    assert score[100][0] > score[101][0] + 10
+    assert score[100][0] > score[100][1] + 10  # 60 words, of which each second one follows from the first
+
+
+def _text_mixer(bits):
+    rng = np.random.default_rng(3)
+    code = lm_mix.Code(rng.integers(0, 50, (12, 3)).astype(float), np.array([4.0, 2.0, 1.0]))
+    sizes = rng.integers(2, 20, 40)
+    numbers = rng.integers(2, 12, sizes.sum())
+    numbers[::7] = -5  # a word outside the vocabulary
+    numbers[np.cumsum(sizes) - 1] = lm_mix.STOP
+    seen = np.zeros((3, 1 << lm_mix.SEEN_BITS))
+    for k, c in enumerate(code.contexts(numbers, sizes)[1:]):
+        seen[k] += np.bincount(lm_mix.seen_slot(c), minlength=seen.shape[1])
+    used = lm_mix.in_table(seen, bits)
+    counts = np.zeros((2, 1 << bits), np.uint32)
+    lm_mix.count_decisions(code, used, numbers, sizes, counts)
+    mixer = lm_mix.TextMixer(code, used, lm_mix.paired(counts))
+    mixer.learn_texts(numbers, sizes)
+    return mixer, numbers, sizes
+
+
+@pytest.mark.parametrize("bits", [6, 9, 16])
+def test_token_probabilities_add_up(bits):
+    """After any start, the tokens' probabilities add up to one, also where the
+    table is too small for all contexts."""
+    mixer, *_ = _text_mixer(bits)
+    for start in ([2], [5, 7], [-5, 3, 3]):
+        each = np.array([[*start, x] for x in range(12)])
+        scores = mixer.score_texts(each.ravel(), np.full(12, len(start) + 1))
+        alone = mixer.score_texts(np.array(start), np.array([len(start)]))
+        assert np.power(10.0, scores).sum() == pytest.approx(10 ** alone[0], rel=1e-6)
+
+
+def test_texts_score_alike_alone_and_together():
+    mixer, numbers, sizes = _text_mixer(16)
+    ends = np.cumsum(sizes)
+    alone = [mixer.score_texts(numbers[e - n : e], np.array([n]))[0] for n, e in zip(sizes, ends)]
+    assert np.allclose(mixer.score_texts(numbers, sizes), alone)
+
+
+def test_frequent_contexts_fit_the_table():
+    seen = np.zeros((3, 1 << lm_mix.SEEN_BITS))
+    seen[0, :10] = 1000
+    seen[0, 10:5000] = 1
+    used = lm_mix.in_table(seen, 16)
+    assert used[0, :10].all() and not used[0, 10:].any() and not used[1:].any()  # 4,990 of one more do not fit
+    assert lm_mix.in_table(seen, 20)[0, :5000].all()
+    assert (lm_mix.paired(np.array([[0, 200_000], [3, 100_000]], np.uint32)) == [3 << 16, 65535 | (32768 << 16)]).all()
+
+
 # 3 ----------------------------------------------------------- near copies
 
 
