@@ -5,8 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import SF_SMALL, rows
+from shoplens import schemas
 from shoplens.operators import dedup, ingest, metrics
+from shoplens.plans import catalog
+from shoplens.plans.tables import RetailTables
 from shoplens.sources.topics import append_topic_files, read_topic_files
 from shoplens.streaming import jobs
 from test_streaming import scratch
@@ -80,3 +83,24 @@ def test_empty_tables_give_no_alerts(spark):
 
 def test_first_visit_columns_are_the_tables(spark):
     assert jobs.DAU_SCHEMA.fieldNames() == dedup.DAU_COLUMNS
+
+
+def test_only_lines_that_may_start_are_parsed(spark):
+    """The cheap test before the parsing keeps every line of the startup topic."""
+    sent = ['{"mid":"a","type":"startup"}', '{"mid":"b","type":"\\u0073tartup","ts":1,"x":{"ts":2}}', '{"mid":"c","ts":"startup"}',
+            '{"mid":"d","type":"event"}', '{"sta":"rtup","ts":3}', "startup, no JSON", "{}", None, '{"x":"\\\\"}', '{"ts":1,"startup":null}']
+    lines = spark.createDataFrame([(i, v) for i, v in enumerate(sent)], "i int, value string")
+
+    def starts(rows):
+        stamped = ingest.route_logs(ingest.stamp_log(rows, F.lit(STAMP)))
+        return sorted(tuple(r) for r in stamped.where(F.col("topic") == schemas.STARTUP_TOPIC).select("i", "value").collect())
+
+    kept = {r.i for r in lines.where(ingest.may_start()).collect()}
+    assert kept == {0, 1, 2, 5, 8, 9}
+    assert starts(lines.where(ingest.may_start())) == starts(lines) != []
+
+
+def test_startup_topic_filters_before_it_parses(spark):
+    plan = catalog._stamped_lines(RetailTables(spark, SF_SMALL), schemas.STARTUP_TOPIC)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter (Contains(value" in plan
+    assert plan.index("from_json") < plan.index("Filter (Contains(value") < plan.index("Union")
