@@ -735,3 +735,45 @@ def test_short_texts_keep_their_links(spark):
         rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
     got = order_minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all(r.class_id == r.id // 2 * 2 and r.class_size == 2 for r in got)
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    """What a staged table was shuffled through goes when it is written."""
+    import time
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from shoplens.llm.common import staged
+
+    def files():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+    before = files()
+    got = staged(spark.range(0, 20_000, 1, 4).groupBy((F.col("id") % 7000).alias("k")).agg(F.count(F.lit(1)).alias("n")), "counted")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert got.agg(F.count(F.lit(1)), F.sum("n")).first()[:] == (7000, 20_000)
+
+
+def test_pairs_in_many_parts_give_the_same_classes(spark, monkeypatch):
+    """Candidates verified a few at a time: the links are those of one go."""
+    rng, rows = random.Random(31), []
+    for k in range(2):
+        base = [f"w{rng.randrange(400)}" for _ in range(60)]
+        for i in range(12):
+            words = list(base)
+            for j in rng.sample(range(60), 8):
+                words[j] = f"c{k}x{i}x{j}"
+            rows.append((100 * k + i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(order_minhash, "LEAST", 30)
+    monkeypatch.setattr(order_minhash, "PART", 1000)
+    sizes, real = [], order_minhash.verified
+    monkeypatch.setattr(order_minhash, "verified", lambda pairs, *more: sizes.append(pairs.count()) or real(pairs, *more))
+    parts = {r.id: r.class_id for r in order_minhash.near_classes(df).collect()}
+    want = united(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if order_minhash.similar(rows[i][1].split(), rows[j][1].split())])
+    assert parts == {rows[i][0]: rows[k][0] for i, k in enumerate(want)}
