@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -15,7 +16,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shoplens.llm import crf_lines, lm_mix, mixing, order_minhash, pattern_pack, secret_owners, syncmers, token_cache
+from shoplens.llm import common, crf_lines, lm_mix, mixing, order_minhash, pattern_pack, secret_owners, syncmers, token_cache
 from shoplens.session import work_path
 from textrows import docs, empty, rows  # noqa: F401 - fixtures
 
@@ -777,3 +778,32 @@ def test_pairs_in_many_parts_give_the_same_classes(spark, monkeypatch):
     parts = {r.id: r.class_id for r in order_minhash.near_classes(df).collect()}
     want = united(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if order_minhash.similar(rows[i][1].split(), rows[j][1].split())])
     assert parts == {rows[i][0]: rows[k][0] for i, k in enumerate(want)}
+
+
+def test_staged_tables_go_when_they_are_read(spark, monkeypatch):
+    """Lists that give their pairs in parts, and links verified in parts, leave the
+    classes of brute force; of the tables staged on the way only the classes stay."""
+    rng, rows = random.Random(32), []
+    for k in range(2):
+        base = [f"w{rng.randrange(400)}" for _ in range(60)]
+        for i in range(12):
+            words = list(base)
+            for j in rng.sample(range(60), 8):
+                words[j] = f"c{k}x{i}x{j}"
+            rows.append((100 * k + i, " ".join(words)))
+    monkeypatch.setattr(order_minhash, "LEAST", 12)
+    monkeypatch.setattr(order_minhash, "PAIRS", 0)
+    folders, real = {}, order_minhash.staged
+
+    def staged(df, name):
+        out = real(df, name)
+        folders[common._FOLDERS[out]] = name
+        return out
+
+    monkeypatch.setattr(order_minhash, "staged", staged)
+    got = order_minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert list(folders.values()).count("listed_pairs") > 1 and list(folders.values()).count("linked") > 1
+    held = [name for folder, name in folders.items() if os.path.exists(folder.removeprefix("file:"))]
+    assert "classes" in held and not set(held) - {"classes", "linked", "labels", "edges", "blocks"}  # links and labels only
+    want = united(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if order_minhash.similar(rows[i][1].split(), rows[j][1].split())])
+    assert {r.id: r.class_id for r in got.collect()} == {rows[i][0]: rows[k][0] for i, k in enumerate(want)}
