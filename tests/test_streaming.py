@@ -411,3 +411,50 @@ def test_stamped_lines_are_parsed_once_by_a_filter_on_their_topic(spark):
     assert rows(some) == [(f'{{"type":"startup","ts":{T0}}}', T0 + 1)]
     plan = _plan(some).split("== Physical Plan ==")[-1]
     assert plan.count("from_json(") == 1
+
+
+def test_replay_gives_one_part_of_each_topic_at_a_time(spark):
+    import os
+
+    from shoplens.streaming.replay import replay
+    paths, ckpt, seen, chunks = [scratch() + "/orders", scratch() + "/details"], scratch(), [], []
+    made = spark.range(0, 40).select(F.col("id").cast("string").alias("value"), (F.col("id") * 7 % 40).cast("double").alias("_t"))
+    few = made.where("_t < 3 or _t >= 36")  # most parts have none of these
+
+    def each(batch, batch_id):
+        seen.append((chunks[-1], sorted((r.topic, int(r.value) * 7 % 40) for r in batch.collect())))
+
+    def run():
+        topics = [read_topic_files(spark, p, 1).select("value", F.lit(i).alias("topic")) for i, p in enumerate(paths)]
+        return jobs._start(topics[0].unionByName(topics[1]).writeStream.foreachBatch(each), ckpt, 5, True, "parts")
+
+    replay({paths[0]: (made, "_t"), paths[1]: (few, "_t")}, run, n_chunks=2, at_once=6, keep=False, starting=chunks.append)
+    assert [t for _, b in seen for topic, t in b if topic == 0] == list(range(40))
+    assert sorted(t for _, b in seen for topic, t in b if topic == 1) == [0, 1, 2, 36, 37, 38, 39]
+    filled = [(c, [t for _, t in b]) for c, b in seen if b]
+    assert len(filled) > 4 and all(len(b) <= 12 for _, b in filled)
+    assert all(max(a) < min(b) for (_, a), (_, b) in zip(filled, filled[1:]))  # the topics go side by side
+    assert all(c == (t >= 19.5) for c, b in filled for t in b)
+    # the first range's files went, and so did the folders beside the topics
+    here = [p.removeprefix("file:") for p in paths]
+    left = [t for p in paths for t in spark.read.parquet(p).select((F.col("value").cast("int") * 7 % 40).alias("t")).toPandas()["t"]]
+    assert min(left) >= 19.5 and not any(os.path.exists(p + end) for p in here for end in (".staged", ".parts"))
+
+
+def test_user_state_is_given_no_room_ahead(spark):
+    from shoplens.streaming import users
+    key = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+    before = spark.conf.get(key, None)
+    with users.rocksdb(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key, None) == before
+
+
+def test_alert_table_may_merge_several_batches_at_once(spark):
+    table = jobs.alert_table(scratch() + "/alerts", buckets=2, merge_every=3)
+    for i in range(4):
+        row = spark.sql(f"SELECT 'd' AS doc_id, 'm' AS mid, {i}L AS window_start, 9L AS window_end, 3 AS n_users, 3L AS n_events, "
+                        f"array(struct('coupon' AS evid, 3L AS n)) AS event_counts, {i}L AS ts, array('u') AS uids, array('i') AS item_ids")
+        table.write_batch(row, i)
+    assert len(table.state(spark)["deltas"]) == 1
+    assert rows(table.read(spark), "doc_id", "ts") == [("d", 3)]
